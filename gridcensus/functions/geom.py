@@ -252,15 +252,15 @@ def _a_part_starts_inside(inner: Column, outer: Column) -> Column:
 
 def within_distance(a: Column, b: Column, radius: float) -> Column:
     """True when the two geometries are at most ``radius`` apart; touching counts."""
-    near = F.exists(all_edges(a), lambda e: F.exists(
-        all_edges(b), lambda f: segment_distance_squared(e, f) <= radius * radius))
+    near = let(all_edges(b), lambda fs: F.exists(all_edges(a), lambda e: F.exists(
+        fs, lambda f: segment_distance_squared(e, f) <= radius * radius)))
     return _a_part_starts_inside(b, a) | _a_part_starts_inside(a, b) | near
 
 
 def distance(a: Column, b: Column) -> Column:
     """Exact distance; 0 when the geometries touch or overlap."""
-    gaps = F.flatten(F.transform(all_edges(a), lambda e: F.transform(
-        all_edges(b), lambda f: segment_distance_squared(e, f))))
+    gaps = let(all_edges(b), lambda fs: F.transform(all_edges(a), lambda e: F.array_min(
+        F.transform(fs, lambda f: segment_distance_squared(e, f)))))
     return F.when(_a_part_starts_inside(b, a) | _a_part_starts_inside(a, b), 0.0).otherwise(
         F.sqrt(F.array_min(gaps)))
 

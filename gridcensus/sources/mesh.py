@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcensus.functions.geom import let
 from gridcensus.functions.projection import to_degrees
 from gridcensus.operators.joins import orphans
 from gridcensus.operators.verdict import side_by_side, with_verdict
@@ -13,14 +14,14 @@ from gridcensus.operators.verdict import side_by_side, with_verdict
 def vertex_rows(coordinates: DataFrame, unit: str | None = None) -> DataFrame:
     """``source_grid_id``, ``longitude`` and ``latitude`` arrays to one row per vertex.
 
-    The unit is radians when its text says so or, without a text, when no value of the axis
-    exceeds a full turn.
+    Values are radians when the unit text says so or no value of the axis exceeds a full turn.
     """
     text = F.lit(unit) if unit is not None else None
 
     def axis(name: str) -> Column:
-        largest = F.array_max(F.transform(name, lambda v: F.abs(v)))
-        return F.transform(name, lambda v: to_degrees(v, text, largest))
+        known = F.filter(name, lambda v: ~F.isnan(v))
+        return let(F.array_max(F.transform(known, lambda v: F.abs(v))), lambda largest:
+                   F.transform(name, lambda v: to_degrees(v, text, largest)))
 
     return (coordinates.select("source_grid_id", axis("longitude").alias("lon"),
                                axis("latitude").alias("lat"))
