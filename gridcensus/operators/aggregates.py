@@ -79,64 +79,69 @@ def top_ranked(df: DataFrame, order: Sequence[Column], limit: int = 10,
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Numeric columns as (column, value) rows, missing and NaN dropped."""
+    """Numeric columns as (column, value) rows; missing and non-finite values are dropped."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"),
                                F.col(c).cast("double").alias("value")) for c in columns])
     return (df.select(F.explode(pairs).alias("p")).select("p.column", "p.value")
-            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
+            .filter(F.abs("value") < float("inf")))
 
 
 _BUCKETS = 65536
+_MEDIAN_STATE = "column string, middle int, rank long, lo double, hi double"
 
 
 def exact_medians(values: DataFrame) -> DataFrame:
     """Interpolated median per column of (column, value) rows, without gathering them.
 
-    Equal values are counted first. The two middle ranks are then narrowed down: once by
-    sign and binary exponent, then three times by 65,536 equal steps of the remaining
-    interval, which leaves only neighbouring doubles. Every step aggregates to a bounded
-    number of buckets, whatever the distribution.
+    The two middle ranks of each column are narrowed down pass by pass: first by sign and
+    binary exponent, then by 65,536 equal steps of what remains, until one value is left.
+    That takes a few passes for any distribution, at most six. A pass is a scan with a
+    partial aggregate into a bounded number of buckets; the driver sees two rows per column.
     """
-    counted = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    total = counted.groupBy("column").agg(F.sum("n").alias("total"))
-    ranks = F.array(F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2))
-    target = total.select("column", F.posexplode(ranks).alias("middle", "rank"),
-                          F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
-
-    value, magnitude = F.col("value"), F.abs(F.col("value"))
+    value = F.col("value")
+    magnitude = F.least(F.abs(value), F.lit(1e308))
     exponent = F.when(value == 0, 0.0).otherwise(
-        F.signum(value) * (F.floor(F.log2(F.least(magnitude, F.lit(1e308)))) + 1100.0))
-    width = F.col("hi") - F.col("lo")
-    step = F.when(width > 0, F.floor((value - F.col("lo")) / width * (_BUCKETS - 1))
-                  ).otherwise(0.0)
-
-    for bucket in (exponent, step, step, step, value):
-        target = _narrow(counted, target, bucket)
-    return target.groupBy("column").agg(F.avg("lo").alias("median"))
-
-
-def _narrow(counted: DataFrame, target: DataFrame, bucket: Column) -> DataFrame:
-    """Replace each target interval by the bucket that holds its rank.
-
-    ``target`` has two rows per described column, so it is broadcast.
-    """
-    inside = counted.join(F.broadcast(target.withColumnRenamed("column", "_c")), (
-        (F.col("column") == F.col("_c")) & (F.col("value") >= F.col("lo"))
-        & (F.col("value") <= F.col("hi")))).drop("_c")
-    buckets = inside.groupBy("column", "middle", "rank", bucket.alias("bucket")).agg(
-        F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    running = F.sum("n").over(Window.partitionBy("column", "middle").orderBy("bucket"))
-    return (buckets.withColumn("upto", running)
-            .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n")
-                                                        < F.col("rank")))
-            .select("column", "middle", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
-                    "lo", "hi"))
+        F.signum(value) * (F.floor(F.log2(magnitude)) + 1100.0))
+    buckets = values.groupBy("column", exponent.alias("bucket")).agg(
+        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    total = F.sum("n").over(Window.partitionBy("column"))
+    ranks = F.array(F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2))
+    ranked = buckets.withColumn("total", total).select(
+        "*", F.posexplode(ranks).alias("middle", "rank"))
+    target = _holding_rank(ranked).collect()
+
+    spark = values.sparkSession
+    while any(row["lo"] < row["hi"] for row in target):
+        known = F.broadcast(spark.createDataFrame(target, _MEDIAN_STATE).select(
+            F.col("column").alias("_c"), "middle", "rank", F.col("lo").alias("_lo"),
+            F.col("hi").alias("_hi")))
+        # Halves before the difference, so that the width cannot overflow.
+        part = (value / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        step = F.when(F.col("_hi") > F.col("_lo"), F.floor(part * (_BUCKETS - 1))).otherwise(0)
+        inside = values.join(known, (F.col("column") == F.col("_c")) & value.between(
+            F.col("_lo"), F.col("_hi")))
+        buckets = inside.groupBy("column", "middle", "rank", step.alias("bucket")).agg(
+            F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        target = _holding_rank(buckets).collect()
+    return spark.createDataFrame(target, _MEDIAN_STATE).groupBy("column").agg(
+        F.avg("lo").alias("median"))
+
+
+def _holding_rank(buckets: DataFrame) -> DataFrame:
+    """The bucket each rank falls into, and the rank inside it."""
+    upto = F.sum("n").over(Window.partitionBy("column", "middle").orderBy("bucket"))
+    before = F.col("upto") - F.col("n")
+    return (buckets.withColumn("upto", upto)
+            .filter((F.col("upto") >= F.col("rank")) & (before < F.col("rank")))
+            .select("column", F.col("middle").cast("int").alias("middle"),
+                    (F.col("rank") - before).cast("long").alias("rank"), "lo", "hi"))
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: count, minimum, exact median, mean, maximum, sum, sample std.
 
-    Columns without any value keep a row of NULLs.
+    Columns without any value keep a row of NULLs. The median takes several passes, so an
+    expensive frame should be stored or checkpointed first.
     """
     values = long_values(df, columns)
     moments = values.groupBy("column").agg(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcensus.operators.skew import lookup_join
+from gridcensus.operators.skew import is_small, lookup_join
 from gridcensus.operators.verdict import CheckFailed, side_by_side, with_verdict
 
 _SIDES = {"one_to_one": ("left", "right"), "many_to_one": ("right",),
@@ -53,10 +53,11 @@ def checked_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
 
 
 def join_with_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                    salt_by: Sequence[str], name: str = "is_matched") -> DataFrame:
+                    salt_by: Sequence[str], name: str = "is_matched",
+                    small: bool | None = None) -> DataFrame:
     """Left join that keeps whether the right side had the key."""
     marked = right.withColumn(name, F.lit(True))
-    return (lookup_join(left, marked, keys, "left", salt_by)
+    return (lookup_join(left, marked, keys, "left", salt_by, small=small)
             .withColumn(name, F.coalesce(name, F.lit(False))))
 
 
@@ -85,11 +86,13 @@ def explained_join(left: DataFrame, accepted: DataFrame, rejected: DataFrame, ke
     """Left join that says, for every unmatched row, which registry entry explains it.
 
     Unmatched rows without a registry entry keep a NULL reason; ``explained_audit`` counts
-    them and the registry entries nothing refers to.
+    them and the registry entries nothing refers to. One count of both halves' keys decides
+    how they are joined.
     """
-    found = join_with_match(left, accepted.select(key, *values), [key], salt_by, "_found")
+    small = is_small(accepted.select(key).union(rejected.select(key)))
+    found = join_with_match(left, accepted.select(key, *values), [key], salt_by, "_found", small)
     registry = rejected.select(key, F.col("rejection_reason").alias(reason))
-    return (lookup_join(found, registry, [key], "left", salt_by)
+    return (lookup_join(found, registry, [key], "left", salt_by, small=small)
             .withColumn(status, F.when(F.col("_found"), "available")
                         .otherwise("rejected_source_record")).drop("_found"))
 

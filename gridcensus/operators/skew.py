@@ -52,10 +52,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                salt_by: Sequence[str | Column], condition=None,
+                salt_by: Sequence[str | Column], condition=None, small: bool | None = None,
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast the right side if it counts at most ``max_rows``, else a salted join."""
-    if is_small(right, max_rows):
+    """Broadcast the right side if it counts at most ``max_rows``, else a salted join.
+
+    A caller that has counted the rows behind ``right`` passes the outcome as ``small``.
+    """
+    if is_small(right, max_rows) if small is None else small:
         return _equi_join(left, F.broadcast(right), list(keys), how, condition)
     return salted_join(left, right, keys, how, salt_by, condition)
 

@@ -65,22 +65,34 @@ def candidate_pairs(left: DataFrame, right: DataFrame, size: float,
 
 
 def area_bridge(zones: DataFrame, cells: DataFrame, tile_size: float | None = None,
-                min_area: float = 0.0) -> DataFrame:
+                min_area: float = 1e-6) -> DataFrame:
     """Weighted zone-cell table: shared area and its share of either side.
 
     ``zones``: plr_id, geography_version, geometry. ``cells``: source_grid_id, cell_index,
-    geometry, icon_cell_area_m2.
+    geometry, icon_cell_area_m2. Pairs that share no more than ``min_area`` square metres
+    only touch and are left out.
+
+    The area of a pair is a sum over its edge pairs, computed as generated code on exploded
+    rows and added up before the shuffle, so what is shuffled is one number per pair.
     """
+    g = F.col("geometry")
     z = with_box(zones.select("plr_id", "geography_version", "geometry",
-                              geom.area(F.col("geometry")).alias("plr_area_m2")))
+                              geom.area(g).alias("plr_area_m2")))
+    z = z.withColumn("slabs", geom.slabs(g)).drop("geometry")
     c = with_box(cells.select("source_grid_id", "cell_index", "geometry", "icon_cell_area_m2"))
+    c = c.withColumn("slabs", geom.slabs(g)).drop("geometry")
     size = tile_size or suggest_tile_size(c)
-    pairs = candidate_pairs(c, z, size, ["source_grid_id", "cell_index"])
-    shared = geom.overlap_area(F.col("r_geometry"), F.col("geometry"))
-    measured = pairs.select(
-        F.col("r_plr_id").alias("plr_id"), F.col("r_geography_version").alias("geography_version"),
-        "source_grid_id", "cell_index", shared.alias("intersection_area_m2"),
-        F.col("r_plr_area_m2").alias("plr_area_m2"), "icon_cell_area_m2")
+    zone, cell = ["plr_id", "geography_version"], ["source_grid_id", "cell_index"]
+    pairs = candidate_pairs(c, z, size, cell)
+    edges = (pairs.select(*cell, *[F.col(f"r_{k}").alias(k) for k in zone],
+                          F.col("r_plr_area_m2").alias("plr_area_m2"), "icon_cell_area_m2",
+                          F.col("box.miny").alias("floor"), "slabs",
+                          F.explode("r_slabs").alias("e"))
+             .select("*", F.explode("slabs").alias("f")).drop("slabs"))
+    share = geom.slab_overlap(F.col("e"), F.col("f"), F.col("floor"))
+    measured = edges.groupBy(*zone, *cell).agg(
+        F.sum(share).alias("intersection_area_m2"), F.max("plr_area_m2").alias("plr_area_m2"),
+        F.max("icon_cell_area_m2").alias("icon_cell_area_m2"))
     return (measured.filter(F.col("intersection_area_m2") > min_area)
             .withColumn("fraction_of_plr", F.col("intersection_area_m2") / F.col("plr_area_m2"))
             .withColumn("fraction_of_icon_cell",
@@ -91,45 +103,97 @@ def weather_mask(zones: DataFrame, cells: DataFrame, buffer_m: int,
                  tile_size: float | None = None) -> DataFrame:
     """Cells within ``buffer_m`` metres of any zone, touching included.
 
-    The zones are neither merged nor buffered: a cell meets the buffered union exactly when
-    its distance to some zone is at most the buffer.
+    The zones are neither merged nor buffered. A cell is near their union exactly when one
+    of its corners lies in a zone, a zone lies in the cell, or its edges come within the
+    buffer of the union's outline. The last test runs on edge pairs as generated code.
     """
     if buffer_m < 0:
         raise ValueError("the mask buffer must not be negative")
-    z = with_box(zones.select("geography_version", "geometry"))
+    key = ["geography_version", "source_grid_id", "cell_index"]
+    z = zones.select("geography_version", "geometry")
     c = with_box(cells.select("source_grid_id", "cell_index", "geometry"))
     size = tile_size or max(suggest_tile_size(c), float(buffer_m))
-    pairs = candidate_pairs(c, z, size, ["source_grid_id", "cell_index"], float(buffer_m))
-    near = pairs.filter(geom.within_distance(
-        F.col("geometry"), F.col("r_geometry"), float(buffer_m)))
-    return (near.groupBy(F.col("r_geography_version").alias("geography_version"),
-                         "source_grid_id", "cell_index")
-            .agg(F.lit(buffer_m).alias("mask_buffer_m")).select(
-                "geography_version", "source_grid_id", "mask_buffer_m", "cell_index"))
-
 
-def points_in_union(points: DataFrame, zones: DataFrame, point_id: Sequence[str],
-                    tile_size: float) -> DataFrame:
-    """Points (columns ``x``, ``y``) inside or on the edge of any zone, each once."""
-    here = F.struct(F.col("x").alias("minx"), F.col("y").alias("miny"),
-                    F.col("x").alias("maxx"), F.col("y").alias("maxy"))
-    z = with_tiles(with_box(zones.select("geometry")), tile_size)
-    keyed = (points.withColumn("box", here)
+    def first_corners(df: DataFrame) -> DataFrame:
+        parts = df.select(*df.columns, F.explode("geometry").alias("_part"))
+        return parts.select(*[k for k in df.columns if k not in ("geometry", "box")],
+                            F.col("_part")[0][0]["x"].alias("x"),
+                            F.col("_part")[0][0]["y"].alias("y"))
+
+    corner_in_zone = points_in_polygons(first_corners(c), z, size,
+                                        ["source_grid_id", "cell_index"]).select(*key)
+    zone_in_cell = points_in_polygons(first_corners(z), c.drop("box"), size, ["x", "y"]).select(*key)
+
+    rim = outline(z, ["geography_version"])
+    low, high = F.least, F.greatest
+    rim = rim.withColumn("box", F.struct(
+        low("a.x", "b.x").alias("minx"), low("a.y", "b.y").alias("miny"),
+        high("a.x", "b.x").alias("maxx"), high("a.y", "b.y").alias("maxy")))
+    met = candidate_pairs(c.withColumn("edges", geom.all_edges(F.col("geometry"))).drop("geometry"),
+                          rim, size, ["source_grid_id", "cell_index"], float(buffer_m))
+    near = met.select(
+        F.col("r_geography_version").alias("geography_version"), "source_grid_id", "cell_index",
+        F.struct(F.col("r_a").alias("a"), F.col("r_b").alias("b")).alias("e"),
+        F.explode("edges").alias("f")).filter(geom.segment_distance_squared(
+            F.col("e"), F.col("f")) <= float(buffer_m) ** 2).select(*key)
+    return (near.union(corner_in_zone).union(zone_in_cell).distinct()
+            .select("geography_version", "source_grid_id",
+                    F.lit(buffer_m).alias("mask_buffer_m"), "cell_index"))
+
+
+def _point_box(x: str = "x", y: str = "y") -> Column:
+    return F.struct(F.col(x).alias("minx"), F.col(y).alias("miny"),
+                    F.col(x).alias("maxx"), F.col(y).alias("maxy"))
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, tile_size: float,
+                       point_id: Sequence[str], how: str = "inner") -> DataFrame:
+    """Points (columns ``x``, ``y``) with the polygons they lie in or on the edge of.
+
+    ``how`` may be ``left_semi`` to keep each point once.
+    """
+    boxed = with_tiles(with_box(polygons), tile_size)
+    keyed = (points.withColumn("box", _point_box())
              .withColumn("tile_x", _tile(F.col("x"), tile_size))
              .withColumn("tile_y", _tile(F.col("y"), tile_size)))
     inside = geom.boxes_overlap(F.col("l.box"), F.col("r.box")) & geom.contains_or_touches(
         F.col("r.geometry"), F.col("l.x"), F.col("l.y"))
-    return (lookup_join(keyed, z, TILE_KEYS, "left_semi", point_id, condition=inside)
-            .drop("box", *TILE_KEYS))
+    if how == "left_semi":
+        found = lookup_join(keyed, boxed, TILE_KEYS, how, point_id, condition=inside)
+        return found.drop("box", *TILE_KEYS)
+    carried = [c for c in polygons.columns if c not in points.columns]
+    found = lookup_join(keyed, boxed, TILE_KEYS, how, point_id, condition=inside)
+    return found.select(*[F.col(f"l.{c}") for c in points.columns],
+                        *[F.col(f"r.{c}") for c in carried])
 
 
-def outline(zones: DataFrame) -> DataFrame:
-    """Edges of the dissolved zones: those that occur once regardless of direction."""
-    e = zones.select(F.explode(geom.all_edges(F.col("geometry"))).alias("e")).select("e.*")
-    forward = F.struct("a.x", "a.y") <= F.struct("b.x", "b.y")
-    return (e.select(F.when(forward, F.col("a")).otherwise(F.col("b")).alias("a"),
-                     F.when(forward, F.col("b")).otherwise(F.col("a")).alias("b"))
-            .groupBy("a", "b").agg(F.count("*").alias("n")).filter("n = 1").drop("n"))
+def points_in_union(points: DataFrame, zones: DataFrame, point_id: Sequence[str],
+                    tile_size: float) -> DataFrame:
+    """Points inside or on the edge of any zone, each once."""
+    return points_in_polygons(points, zones.select("geometry"), tile_size, point_id, "left_semi")
+
+
+def outline(zones: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """Edges of the dissolved zones, per group: those that only one side runs along.
+
+    With all rings turned the same way, neighbours run along a shared edge in opposite
+    directions. Copies of a zone run along it in the same direction and leave it once.
+    """
+    rings = zones.select(*group, F.explode("geometry").alias("poly")).select(
+        *group, F.posexplode("poly").alias("i", "ring"))
+    turned = rings.withColumn("turn", geom.turning(F.col("ring")) * F.when(
+        F.col("i") == 0, 1.0).otherwise(-1.0))
+    e = turned.select(*group, "turn", F.explode(geom.edges(F.col("ring"))).alias("e")).select(
+        *group, F.when(F.col("turn") > 0, F.col("e.a")).otherwise(F.col("e.b")).alias("from"),
+        F.when(F.col("turn") > 0, F.col("e.b")).otherwise(F.col("e.a")).alias("to"))
+    upward = F.col("from") < F.col("to")
+    return (e.filter(F.col("from") != F.col("to"))
+            .select(*group, F.when(upward, F.col("from")).otherwise(F.col("to")).alias("a"),
+                    F.when(upward, F.col("to")).otherwise(F.col("from")).alias("b"),
+                    upward.alias("upward"))
+            .groupBy(*group, "a", "b")
+            .agg(F.min("upward").alias("low"), F.max("upward").alias("high"))
+            .filter(F.col("low") == F.col("high")).drop("low", "high"))
 
 
 def self_crossings(df: DataFrame, key: Sequence[str], strip_factor: float = 2.0) -> DataFrame:
@@ -193,7 +257,7 @@ def flag_invalid(df: DataFrame, key: Sequence[str], name: str = "is_invalid") ->
     marked = df.withColumn("_sound", sound)
     crossed = (self_crossings(marked.filter("_sound"), key)
                .withColumn("_crossed", F.lit(True)))
-    return (lookup_join(marked, crossed, list(key), "left", list(key))
+    return (marked.join(crossed, list(key), "left")
             .withColumn(name, F.col("geometry").isNotNull()
                         & (~F.col("_sound") | F.coalesce("_crossed", F.lit(False))))
             .drop("_sound", "_crossed"))
@@ -217,57 +281,83 @@ def triangle_geometry() -> Column:
     return reproject(geom.promote(geom.polygon(ring)), F.lit(4326))
 
 
-def nearest(points: DataFrame, targets: DataFrame, point_id: str, target_columns: Sequence[str],
-            depth: int = 5) -> DataFrame:
+_MAX_DEPTH = 16
+_CROWD = 256
+
+
+def nearest(points: DataFrame, targets: DataFrame, point_id: str,
+            target_columns: Sequence[str]) -> DataFrame:
     """Nearest target per point with its distance; every target tied for it is kept.
 
     Targets are reduced to distinct places, and places to a pyramid of occupied tiles, eight
     by eight children per tile. Points descend the pyramid one level per join and keep only
     tiles that can still hold a nearest place: those not farther at their closest than the
-    least farthest corner among the kept tiles. A crowded area costs depth, not pairs.
+    least farthest corner among the kept tiles. The pyramid is as deep as it takes to leave
+    few places per tile, so a crowded area costs depth, not pairs.
     """
     places = targets.groupBy(F.col("x").alias("tx"), F.col("y").alias("ty")).agg(
         F.count("*").alias("_n")).drop("_n")
-    extent = places.agg(F.min("tx").alias("x0"), F.min("ty").alias("y0"), F.greatest(
-        F.max("tx") - F.min("tx"), F.max("ty") - F.min("ty"), F.lit(1e-9)).alias("side"))
-    frame = extent.select(F.struct("x0", "y0", "side").alias("f")).scalar()
-    base = places.withColumn("_f", frame)
-
-    def cell(level: int, value: str, origin: str) -> Column:
-        step = F.col("_f.side") * (1 + 1e-9) / 8**level
-        return F.floor((F.col(value) - F.col(f"_f.{origin}")) / step).cast("long")
-
-    leaf = base.select("tx", "ty", cell(depth, "tx", "x0").alias("cx"),
-                       cell(depth, "ty", "y0").alias("cy"))
+    size = places.agg(F.count("*").alias("n"), F.min("tx").alias("x0"), F.min("ty").alias("y0"),
+                      F.max("tx").alias("x1"), F.max("ty").alias("y1")).first()
+    if not size["n"]:
+        return points.join(targets.limit(0).select(*target_columns), F.lit(False)).select(
+            point_id, *target_columns, F.lit(None).cast("double").alias("distance_m"))
+    side = max(size["x1"] - size["x0"], size["y1"] - size["y0"], 1e-9) * (1 + 1e-9)
+
+    def tiled(level: int) -> DataFrame:
+        step = side / 8**level
+        return places.select(
+            "tx", "ty", F.floor((F.col("tx") - size["x0"]) / step).cast("long").alias("cx"),
+            F.floor((F.col("ty") - size["y0"]) / step).cast("long").alias("cy"))
+
+    depth = max(1, math.ceil(math.log(size["n"], 64)))
+    while depth < _MAX_DEPTH:
+        crowd = tiled(depth).groupBy("cx", "cy").agg(F.count("*").alias("n"))
+        if crowd.agg(F.max("n")).first()[0] <= _CROWD:
+            break
+        depth += 1
+    leaf = tiled(depth)
+
+    px, py = F.col("px"), F.col("py")
     kept = points.select(point_id, F.col("x").alias("px"), F.col("y").alias("py"),
                          F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
     for level in range(1, depth + 1):
-        scale = 8 ** (depth - level)
-        tiles = leaf.groupBy(F.floor(F.col("cx") / scale).alias("nx"),
-                             F.floor(F.col("cy") / scale).alias("ny")).agg(
+        shrink = 8 ** (depth - level)
+        tiles = leaf.groupBy(F.floor(F.col("cx") / shrink).alias("nx"),
+                             F.floor(F.col("cy") / shrink).alias("ny")).agg(
             F.min("tx").alias("minx"), F.max("tx").alias("maxx"),
             F.min("ty").alias("miny"), F.max("ty").alias("maxy"))
         tiles = (tiles.withColumn("cx", F.floor(F.col("nx") / 8))
                  .withColumn("cy", F.floor(F.col("ny") / 8)))
-        met = kept.join(tiles, ["cx", "cy"], "inner")
-        gap_x = F.greatest(F.col("minx") - F.col("px"), F.col("px") - F.col("maxx"), F.lit(0.0))
-        gap_y = F.greatest(F.col("miny") - F.col("py"), F.col("py") - F.col("maxy"), F.lit(0.0))
-        far_x = F.greatest(F.abs(F.col("minx") - F.col("px")), F.abs(F.col("maxx") - F.col("px")))
-        far_y = F.greatest(F.abs(F.col("miny") - F.col("py")), F.abs(F.col("maxy") - F.col("py")))
-        bound = F.min(far_x * far_x + far_y * far_y).over(Window.partitionBy(point_id))
-        kept = (met.withColumn("_bound", bound)
-                .filter(gap_x * gap_x + gap_y * gap_y <= F.col("_bound"))
-                .select(point_id, "px", "py", F.col("nx").alias("cx"), F.col("ny").alias("cy")))
-    apart = F.sqrt(F.pow(F.col("px") - F.col("tx"), 2) + F.pow(F.col("py") - F.col("ty"), 2))
-    met = kept.join(leaf, ["cx", "cy"], "inner").withColumn("distance_m", apart)
-    best = met.withColumn("_best", F.min("distance_m").over(Window.partitionBy(point_id)))
-    winners = best.filter(F.col("distance_m") == F.col("_best")).select(
+        gap_x = F.greatest(F.col("minx") - px, px - F.col("maxx"), F.lit(0.0))
+        gap_y = F.greatest(F.col("miny") - py, py - F.col("maxy"), F.lit(0.0))
+        far_x = F.greatest(F.abs(F.col("minx") - px), F.abs(F.col("maxx") - px))
+        far_y = F.greatest(F.abs(F.col("miny") - py), F.abs(F.col("maxy") - py))
+        met = lookup_join(kept, tiles, ["cx", "cy"], "inner", [point_id],
+                          small=None if level > 3 else True).select(
+            point_id, "px", "py", "nx", "ny", (gap_x * gap_x + gap_y * gap_y).alias("_gap"),
+            (far_x * far_x + far_y * far_y).alias("_far"))
+        kept = _within_best(met, point_id, "_gap", "_far").select(
+            point_id, "px", "py", F.col("nx").alias("cx"), F.col("ny").alias("cy"))
+    apart = F.sqrt(F.pow(px - F.col("tx"), 2) + F.pow(py - F.col("ty"), 2))
+    met = lookup_join(kept, leaf, ["cx", "cy"], "inner", [point_id]).withColumn(
+        "distance_m", apart)
+    winners = _within_best(met, point_id, "distance_m", "distance_m").select(
         point_id, "tx", "ty", "distance_m")
     named = targets.select(F.col("x").alias("tx"), F.col("y").alias("ty"), *target_columns)
     return (winners.join(named, ["tx", "ty"], "inner")
             .select(point_id, *target_columns, "distance_m"))
 
 
+def _within_best(df: DataFrame, point_id: str, low: str, high: str) -> DataFrame:
+    """Rows whose ``low`` does not exceed their point's smallest ``high``.
+
+    A point never has more rows than a few tiles' children.
+    """
+    best = F.min(high).over(Window.partitionBy(point_id))
+    return df.withColumn("_best", best).filter(F.col(low) <= F.col("_best"))
+
+
 def duplicate_zone_flags(raw: DataFrame) -> DataFrame:
     """Every member of a repeated (id, version) group; NULL ids group together."""
     return flag_duplicates(raw, ["plr_id", "geography_version"], ["source_row_id"])

@@ -16,7 +16,7 @@ from gridcensus.functions.fields import nan_to_null, output_value, wind_speed
 from gridcensus.functions.forecast import run_label, valid_time
 from gridcensus.operators.aggregates import count_if, max_where, weighted_mean, weighted_sum
 from gridcensus.operators.joins import explained_join, latest_partition, unmatched_keys
-from gridcensus.operators.skew import lookup_join
+from gridcensus.operators.skew import is_small, lookup_join
 from gridcensus.operators.verdict import passed
 
 FORECAST = ("run_time_utc", "lead_time", "valid_time_utc")
@@ -37,11 +37,12 @@ def explode_fields(decoded: DataFrame, values: str = "values") -> DataFrame:
             .withColumn("source_value", nan_to_null(F.col("source_value").cast("double"))))
 
 
-def restrict_to_cells(field: DataFrame, cells: DataFrame) -> DataFrame:
+def restrict_to_cells(field: DataFrame, cells: DataFrame, small: bool | None = None
+                      ) -> DataFrame:
     """Keep only rows of the listed cells; runs map-side when the list is small."""
     wanted = cells.select("cell_index").distinct()
     return lookup_join(field, wanted, ["cell_index"], "left_semi",
-                       [c for c in (*FORECAST, "indicator") if c in field.columns])
+                       [c for c in (*FORECAST, "indicator") if c in field.columns], small=small)
 
 
 def combine_fields(field: DataFrame) -> DataFrame:
@@ -78,23 +79,26 @@ def field_identity_audit(field: DataFrame) -> DataFrame:
 
 
 def aggregate_to_zones(weather: DataFrame, bridge: DataFrame,
-                       values: Sequence[str] = schemas.WEATHER_VALUES) -> DataFrame:
+                       values: Sequence[str] = schemas.WEATHER_VALUES,
+                       small: bool | None = None) -> DataFrame:
     """Area-weighted mean per zone and forecast, missing-preserving.
 
     The weather is first reduced to bridge cells. A zone of which some bridge cell has no
     weather row gets NULL values; ``bridge_coverage`` names those cells' forecasts.
     """
     zone = [c for c in ("plr_id", "geography_version") if c in bridge.columns]
-    links = bridge.select(*zone, "cell_index", F.col("fraction_of_plr").alias("_w"))
-    sizes = links.groupBy(*zone).agg(F.count("*").alias("_cells"))
+    small = is_small(bridge) if small is None else small
+    sizes = bridge.groupBy(*zone).agg(F.count("*").alias("_cells"))
+    links = bridge.select(*zone, "cell_index", F.col("fraction_of_plr").alias("_w")).join(
+        sizes, zone, "inner")
     joined = lookup_join(weather.select("cell_index", *FORECAST, *values), links,
-                         ["cell_index"], "inner", [*FORECAST])
+                         ["cell_index"], "inner", [*FORECAST], small=small)
     means = joined.groupBy(*zone, *FORECAST).agg(
-        F.count("*").alias("_met"),
+        F.count("*").alias("_met"), F.max("_cells").alias("_cells"),
         *[weighted_mean(F.col(v), F.col("_w")).alias(v) for v in values])
     whole = F.col("_met") == F.col("_cells")
-    return (lookup_join(means, sizes, zone, "inner", [*FORECAST])
-            .select(*zone, *FORECAST, *[F.when(whole, F.col(v)).alias(v) for v in values]))
+    return means.select(*zone, *FORECAST,
+                        *[F.when(whole, F.col(v)).alias(v) for v in values])
 
 
 def bridge_coverage(weather: DataFrame, bridge: DataFrame) -> DataFrame:
@@ -116,7 +120,9 @@ def missing_bridge_cells(weather: DataFrame, bridge: DataFrame, limit: int = 10)
 
 def plr_weather(field: DataFrame, bridge: DataFrame) -> DataFrame:
     """Zone weather for every forecast in ``field``."""
-    return aggregate_to_zones(combine_fields(restrict_to_cells(field, bridge)), bridge)
+    small = is_small(bridge)
+    kept = restrict_to_cells(field, bridge, small)
+    return aggregate_to_zones(combine_fields(kept), bridge, small=small)
 
 
 def plr_weather_population(weather: DataFrame, accepted: DataFrame, rejected: DataFrame
@@ -133,8 +139,7 @@ def plr_temperature(temperature: DataFrame, bridge: DataFrame) -> DataFrame:
     ``temperature``: cell_index, run_time_utc, valid_time_utc, temperature_k, temperature_c.
     """
     identity = [c for c in FORECAST if c in temperature.columns]
-    kept = restrict_to_cells(temperature, bridge)
-    joined = lookup_join(kept, bridge.select("plr_id", "cell_index", "fraction_of_plr"),
+    joined = lookup_join(temperature, bridge.select("plr_id", "cell_index", "fraction_of_plr"),
                          ["cell_index"], "inner", identity)
     w = F.col("fraction_of_plr")
     return joined.groupBy("plr_id", *identity).agg(

@@ -13,6 +13,7 @@ from gridcensus.operators import (aggregates, checks, gates, joins, profiles, re
                                   spatial, weather)
 from gridcensus.operators.verdict import reason_counts, side_by_side
 from gridcensus.plans import lenses
+from gridcensus.session import cut_lineage
 from gridcensus.sources import catalogue, manifests, tables
 from gridcensus.streaming import completion
 
@@ -465,8 +466,9 @@ def status_reason_counts(spark, sf_dir):
 def final_checks(spark, sf_dir):
     """Coverage, exceptions and the explained-join audit of the final table."""
     split = gates.population_gate(lenses.raw_population(spark, sf_dir))
-    zone_weather = _weather(spark, sf_dir)
-    final = weather.plr_weather_population(zone_weather, split.accepted, split.rejected)
+    zone_weather = cut_lineage(_weather(spark, sf_dir))
+    final = cut_lineage(weather.plr_weather_population(zone_weather, split.accepted,
+                                                       split.rejected))
     zones = lenses.table(spark, sf_dir, "customer").agg(F.count("*")).scalar()
     coverage = checks.coverage_check(final, zones).agg(
         F.count("*").alias("forecast_count"), F.min("passed").alias("coverage_passed"),
@@ -630,14 +632,18 @@ def mesh_profile(spark, sf_dir):
 
 def _bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.area_bridge(lenses.zones(spark, sf_dir), lenses.cells(spark, sf_dir),
-                               float(lenses.CELL_M))
+                               float(lenses.CELL_M), 1e-3)
+
+
+def _stored_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge as a stored table: built once, then checked."""
+    return cut_lineage(_bridge(spark, sf_dir))
 
 
 @query
 def area_bridge(spark, sf_dir):
     """Shared area of every zone and mesh triangle with both fractions."""
-    b = _bridge(spark, sf_dir).filter(F.col("intersection_area_m2") > 1e-3)
-    return _longs(b.select(
+    return _longs(_bridge(spark, sf_dir).select(
         "plr_id", "cell_index", F.round("intersection_area_m2", 3).alias("intersection_area_m2"),
         F.round("fraction_of_plr", 6).alias("fraction_of_plr"),
         F.round("fraction_of_icon_cell", 6).alias("fraction_of_icon_cell")))
@@ -648,19 +654,14 @@ def bridge_quality(spark, sf_dir):
     """Coverage, orphans, areas, fractions and weight sums of the bridge."""
     zones, cells = lenses.zones(spark, sf_dir), lenses.cells(spark, sf_dir)
     count = lenses.table(spark, sf_dir, "customer").agg(F.count("*")).scalar()
-    verdict = checks.bridge_check(_meaningful(spark, sf_dir), zones, cells, count)
+    verdict = checks.bridge_check(_stored_bridge(spark, sf_dir), zones, cells, count)
     return _rounded(_longs(verdict), ("max_plr_weight_error",))
 
 
-def _meaningful(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.area_bridge(lenses.zones(spark, sf_dir), lenses.cells(spark, sf_dir),
-                               float(lenses.CELL_M), 1e-3)
-
-
 @query
 def bridge_profile(spark, sf_dir):
     """Per zone: cells, weight, covered area and coverage ratio."""
-    rolled = profiles.zone_rollup(_meaningful(spark, sf_dir))
+    rolled = profiles.zone_rollup(_bridge(spark, sf_dir))
     return _rounded(rolled.select(
         "plr_id", "icon_cells_used", F.round("weight_sum", 6).alias("weight_sum"),
         "intersection_area_sum_m2", "plr_area_m2", "coverage_ratio"),
@@ -706,7 +707,7 @@ def nearest_summary(spark, sf_dir):
     zones = lenses.rounded_centres(lenses.zones(spark, sf_dir), ["plr_id"])
     cells = lenses.rounded_centres(lenses.cells(spark, sf_dir), ["cell_index"])
     found = spatial.nearest(zones, cells, "plr_id", ["cell_index"])
-    out = profiles.nearest_summary(found)
+    out = profiles.nearest_summary(cut_lineage(found))
     return _rounded(_longs(out), [c for c, t in out.dtypes if t == "double"], 3)
 
 
@@ -746,8 +747,8 @@ def mask_quality(spark, sf_dir):
     """The mask contains every bridge cell and only known cells."""
     zones, cells = lenses.zones(spark, sf_dir), lenses.cells(spark, sf_dir)
     count = lenses.table(spark, sf_dir, "customer").agg(F.count("*")).scalar()
-    return _longs(checks.mask_check(_mask(spark, sf_dir), _meaningful(spark, sf_dir), zones, cells,
-                                    count))
+    return _longs(checks.mask_check(cut_lineage(_mask(spark, sf_dir)),
+                                    _stored_bridge(spark, sf_dir), zones, cells, count))
 
 
 @query

@@ -26,7 +26,7 @@ seen AS (SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS run, user_id AS cel
                 max(value) AS v FROM ev GROUP BY ALL),
 runs AS (SELECT DISTINCT CAST(date_trunc('week', ts) AS TIMESTAMP) AS run FROM ev),
 mesh AS (SELECT unnest(range(0, (SELECT max(user_id) + 1 FROM events))) AS cell),
-field AS (SELECT run, cell, indicator, v FROM runs, mesh, names
+field AS (SELECT run, cell, indicator, v FROM (SELECT * FROM runs, mesh, names) AS g
           LEFT JOIN seen USING (run, cell, indicator)),
 wide AS (SELECT run, cell, max(v) FILTER (indicator = 'T_2M') - 273.15 AS t,
                 max(v) FILTER (indicator = 'RELHUM_2M') AS rh,
@@ -175,7 +175,7 @@ rings(kind, n, px, py) AS (VALUES
   (1, 0, 0, 0), (1, 1, 4000, 0), (1, 2, 4000, 4000), (1, 3, 0, 4000), (1, 4, 0, 0),
   (2, 0, 0, 0), (2, 1, 4000, 0), (2, 2, 4000, 2000), (2, 3, 2000, 2000), (2, 4, 2000, 4000),
   (2, 5, 0, 4000), (2, 6, 0, 0)),
-sides AS (SELECT a.kind, a.px AS ax, a.py AS ay, b.px AS bx, b.py AS by
+sides AS (SELECT a.kind, a.px AS ax, a.py AS ay, b.px AS bx, b.py AS b_y
   FROM rings a JOIN rings b ON a.kind = b.kind AND b.n = a.n + 1),
 corners(half, n, px, py) AS (VALUES (0, 0, 0, 0), (0, 1, 7000, 0), (0, 2, 7000, 7000), (0, 3, 0, 0),
   (1, 0, 0, 0), (1, 1, 7000, 7000), (1, 2, 0, 7000), (1, 3, 0, 0)),
@@ -184,23 +184,23 @@ legs AS (SELECT a.half, a.px AS cx, a.py AS cy, b.px AS dx, b.py AS dy
 near AS (SELECT z.id, z.kind, z.x AS zx, z.y AS zy, t.cell, t.half, t.x AS tx, t.y AS ty
   FROM zone z JOIN tri t ON z.x <= t.x + 12000 AND t.x <= z.x + 9000
     AND z.y <= t.y + 12000 AND t.y <= z.y + 9000),
-seg AS (SELECT n.id, n.cell, zx + ax AS ax, zy + ay AS ay, zx + bx AS bx, zy + by AS by,
+seg AS (SELECT n.id, n.cell, zx + ax AS ax, zy + ay AS ay, zx + bx AS bx, zy + b_y AS b_y,
     tx + cx AS cx, ty + cy AS cy, tx + dx AS dx, ty + dy AS dy
   FROM near n JOIN sides s USING (kind) JOIN legs l USING (half)),
 foot AS (SELECT *, px - qx AS ux, py - qy AS uy, rx - qx AS vx, ry - qy AS vy FROM (
     SELECT id, cell, ax AS px, ay AS py, cx AS qx, cy AS qy, dx AS rx, dy AS ry FROM seg UNION ALL
-    SELECT id, cell, bx, by, cx, cy, dx, dy FROM seg UNION ALL
-    SELECT id, cell, cx, cy, ax, ay, bx, by FROM seg UNION ALL
-    SELECT id, cell, dx, dy, ax, ay, bx, by FROM seg)),
+    SELECT id, cell, bx, b_y, cx, cy, dx, dy FROM seg UNION ALL
+    SELECT id, cell, cx, cy, ax, ay, bx, b_y FROM seg UNION ALL
+    SELECT id, cell, dx, dy, ax, ay, bx, b_y FROM seg)),
 reach AS (SELECT id, cell, pow(ux - k * vx, 2) + pow(uy - k * vy, 2) AS d2 FROM (
     SELECT *, greatest(0, least(1, (ux * vx + uy * vy) / (vx * vx + vy * vy))) AS k FROM foot)),
 hit AS (SELECT id, cell FROM seg WHERE
-    ((bx-ax)*(cy-ay)-(by-ay)*(cx-ax)) * ((bx-ax)*(dy-ay)-(by-ay)*(dx-ax)) < 0
-    AND ((dx-cx)*(ay-cy)-(dy-cy)*(ax-cx)) * ((dx-cx)*(by-cy)-(dy-cy)*(bx-cx)) < 0),
-within AS (SELECT id, n.cell FROM near n WHERE zx >= tx AND zx <= tx + 7000 AND zy >= ty
+    ((bx-ax)*(cy-ay)-(b_y-ay)*(cx-ax)) * ((bx-ax)*(dy-ay)-(b_y-ay)*(dx-ax)) < 0
+    AND ((dx-cx)*(ay-cy)-(dy-cy)*(ax-cx)) * ((dx-cx)*(b_y-cy)-(dy-cy)*(bx-cx)) < 0),
+holds AS (SELECT id, n.cell FROM near n WHERE zx >= tx AND zx <= tx + 7000 AND zy >= ty
     AND zy <= ty + 7000 AND CASE half WHEN 0 THEN zy - ty <= zx - tx ELSE zy - ty >= zx - tx END),
 masked AS (SELECT cell FROM reach WHERE d2 <= 25000000.0 UNION SELECT cell FROM hit
-  UNION SELECT cell FROM within)"""
+  UNION SELECT cell FROM holds)"""
 
 # Transverse Mercator on GRS80, third flattening n.
 _N = "0.0016792203946287445"
@@ -671,16 +671,16 @@ add("cells_in_union", SHAPES, """SELECT cell AS cell_index, x, y FROM centre p W
 
 add("union_outline", """z AS (SELECT c_custkey % 3 AS kind, CAST(c_custkey % 8 * 4000 AS BIGINT) AS x,
     CAST(c_custkey // 8 * 4000 AS BIGINT) AS y FROM customer),
-r(kind, ax, ay, bx, by) AS (VALUES
+r(kind, ax, ay, bx, b_y) AS (VALUES
   (0, 0, 0, 4000, 0), (0, 4000, 0, 4000, 4000), (0, 0, 4000, 4000, 4000), (0, 0, 0, 0, 4000),
   (1, 0, 0, 4000, 0), (1, 4000, 0, 4000, 4000), (1, 0, 4000, 4000, 4000), (1, 0, 0, 0, 4000),
   (1, 1000, 1000, 2000, 1000), (1, 2000, 1000, 2000, 2500), (1, 1000, 2500, 2000, 2500),
   (1, 1000, 1000, 1000, 2500),
   (2, 0, 0, 4000, 0), (2, 4000, 0, 4000, 2000), (2, 2000, 2000, 4000, 2000),
   (2, 2000, 2000, 2000, 4000), (2, 0, 4000, 2000, 4000), (2, 0, 0, 0, 4000)),
-e AS (SELECT x + ax AS ax, y + ay AS ay, x + bx AS bx, y + by AS by FROM z JOIN r USING (kind)),
+e AS (SELECT x + ax AS ax, y + ay AS ay, x + bx AS bx, y + b_y AS b_y FROM z JOIN r USING (kind)),
 o AS (SELECT * FROM e GROUP BY ALL HAVING count(*) = 1)""", """SELECT CASE WHEN ax = bx THEN 'vertical' ELSE 'horizontal' END AS direction,
-  count(*) AS edge_count, round(CAST(sum(bx - ax + by - ay) AS DOUBLE), 3) AS length_m FROM o GROUP BY 1""")
+  count(*) AS edge_count, round(CAST(sum(bx - ax + b_y - ay) AS DOUBLE), 3) AS length_m FROM o GROUP BY 1""")
 
 add("weather_mask", MASK, """SELECT '2023-01-01' AS geography_version, 'G1' AS source_grid_id,
   CAST(5000 AS BIGINT) AS mask_buffer_m, cell AS cell_index FROM masked""")
