@@ -1,6 +1,6 @@
 """Transverse Mercator (UTM zone 33 north on GRS80) and back, as Column expressions.
 
-Three-term Krueger series in the third flattening, accurate to well below a millimetre
+Krueger series to the fourth power of the third flattening, accurate to micrometres
 inside the zone.
 """
 
@@ -23,10 +23,16 @@ FALSE_EASTING = 500000.0
 _n = FLATTENING / (2 - FLATTENING)
 RADIUS = SCALE * SEMI_MAJOR / (1 + _n) * (1 + _n**2 / 4 + _n**4 / 64)
 ECCENTRICITY = 2 * math.sqrt(_n) / (1 + _n)
-ALPHA = (_n / 2 - 2 * _n**2 / 3 + 5 * _n**3 / 16, 13 * _n**2 / 48 - 3 * _n**3 / 5,
-         61 * _n**3 / 240)
-BETA = (_n / 2 - 2 * _n**2 / 3 + 37 * _n**3 / 96, _n**2 / 48 + _n**3 / 15, 17 * _n**3 / 480)
-DELTA = (2 * _n - 2 * _n**2 / 3 - 2 * _n**3, 7 * _n**2 / 3 - 8 * _n**3 / 5, 56 * _n**3 / 15)
+# Series coefficients of the conformal and rectifying latitudes.
+ALPHA = (_n / 2 - 2 * _n**2 / 3 + 5 * _n**3 / 16 + 41 * _n**4 / 180,
+         13 * _n**2 / 48 - 3 * _n**3 / 5 + 557 * _n**4 / 1440,
+         61 * _n**3 / 240 - 103 * _n**4 / 140, 49561 * _n**4 / 161280)
+BETA = (_n / 2 - 2 * _n**2 / 3 + 37 * _n**3 / 96 - _n**4 / 360,
+        _n**2 / 48 + _n**3 / 15 - 437 * _n**4 / 1440, 17 * _n**3 / 480 - 37 * _n**4 / 840,
+        4397 * _n**4 / 161280)
+DELTA = (2 * _n - 2 * _n**2 / 3 - 2 * _n**3 + 116 * _n**4 / 45,
+         7 * _n**2 / 3 - 8 * _n**3 / 5 - 227 * _n**4 / 45, 56 * _n**3 / 15 - 136 * _n**4 / 35,
+         4279 * _n**4 / 630)
 
 
 def to_degrees(c: Column, unit: Column | None, largest: Column) -> Column:

@@ -123,8 +123,9 @@ def exact_medians(values: DataFrame) -> DataFrame:
         buckets = inside.groupBy("column", "middle", "rank", step.alias("bucket")).agg(
             F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         target = _holding_rank(buckets).collect()
+    both_same = F.min("lo") == F.max("lo")
     return spark.createDataFrame(target, _MEDIAN_STATE).groupBy("column").agg(
-        F.avg("lo").alias("median"))
+        F.when(both_same, F.min("lo")).otherwise(F.avg("lo")).alias("median"))
 
 
 def _holding_rank(buckets: DataFrame) -> DataFrame:

@@ -42,8 +42,10 @@ def with_tiles(df: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
     box = F.col("box")
     xs = F.sequence(_tile(box.minx - margin, size), _tile(box.maxx + margin, size))
     ys = F.sequence(_tile(box.miny - margin, size), _tile(box.maxy + margin, size))
-    return (df.filter(box.minx.isNotNull())
-            .withColumn("tile_x", F.explode(xs)).withColumn("tile_y", F.explode(ys)))
+    # The outer form drops nothing here: a missing box has no tile and meets nobody. Plain
+    # explode would make the optimizer evaluate the boxes once more as a filter.
+    return (df.withColumn("tile_x", F.explode_outer(xs))
+            .withColumn("tile_y", F.explode_outer(ys)))
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, size: float,
@@ -89,9 +91,8 @@ def area_bridge(zones: DataFrame, cells: DataFrame, tile_size: float | None = No
                           F.col("box.miny").alias("floor"), "slabs",
                           F.explode("r_slabs").alias("e"))
              .select("*", F.explode("slabs").alias("f")).drop("slabs"))
-    share = geom.slab_overlap(F.col("e"), F.col("f"), F.col("floor"))
-    measured = edges.groupBy(*zone, *cell).agg(
-        F.sum(share).alias("intersection_area_m2"), F.max("plr_area_m2").alias("plr_area_m2"),
+    measured = _slab_shares(edges).groupBy(*zone, *cell).agg(
+        F.sum("share").alias("intersection_area_m2"), F.max("plr_area_m2").alias("plr_area_m2"),
         F.max("icon_cell_area_m2").alias("icon_cell_area_m2"))
     return (measured.filter(F.col("intersection_area_m2") > min_area)
             .withColumn("fraction_of_plr", F.col("intersection_area_m2") / F.col("plr_area_m2"))
@@ -99,6 +100,62 @@ def area_bridge(zones: DataFrame, cells: DataFrame, tile_size: float | None = No
                         F.col("intersection_area_m2") / F.col("icon_cell_area_m2")))
 
 
+def _slab_shares(edges: DataFrame) -> DataFrame:
+    """What each pair of slabs ``e`` and ``f`` adds to the area shared by their geometries.
+
+    Heights are taken above ``floor``, any level near both, to keep the numbers small. The
+    steps are columns of their own: one deep expression would repeat its parts and outgrow
+    the size of method the JVM compiles.
+    """
+    e, f = F.col("e"), F.col("f")
+    height = lambda s, at: s.y - F.col("floor") + (F.col(at) - s.lo) * s.m
+    return (edges.withColumns({"_lo": F.greatest(e.lo, f.lo), "_hi": F.least(e.hi, f.hi)})
+            .withColumns({"_ea": height(e, "_lo"), "_eb": height(e, "_hi"),
+                          "_fa": height(f, "_lo"), "_fb": height(f, "_hi"),
+                          "_w": e.sign * f.sign * F.greatest(F.col("_hi") - F.col("_lo"),
+                                                             F.lit(0.0))})
+            .withColumn("share", F.col("_w") * geom.lower_mean(
+                F.col("_ea"), F.col("_eb"), F.col("_fa"), F.col("_fb"))))
+
+
+def _with_segment_terms(df: DataFrame) -> DataFrame:
+    """For segments ``e`` and ``f``: whether they properly cross, and their squared distance.
+
+    Adds ``crosses`` and ``d2``, plus the turns ``_o1`` to ``_o4`` of every end seen from the
+    other segment. As with areas, every step is a column of its own.
+    """
+    e, f = F.col("e"), F.col("f")
+    c = F.col
+    cross = lambda a, b: c(f"_{a}x") * c(f"_{b}y") - c(f"_{a}y") * c(f"_{b}x")
+    dot = lambda a, b: c(f"_{a}x") * c(f"_{b}x") + c(f"_{a}y") * c(f"_{b}y")
+
+    def along(p: str, s: str) -> Column:
+        part = F.coalesce(dot(p, s) / F.nullif(c(f"_{s}{s}"), F.lit(0.0)), F.lit(0.0))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), part))
+
+    def off(p: str, s: str, t: str) -> Column:
+        x, y = (c(f"_{p}{k}") - c(t) * c(f"_{s}{k}") for k in "xy")
+        return x * x + y * y
+
+    # u and v run along the segments; w, q, r, s point from one start to the other's ends.
+    steps = (
+        {"_ux": e.b.x - e.a.x, "_uy": e.b.y - e.a.y, "_vx": f.b.x - f.a.x, "_vy": f.b.y - f.a.y,
+         "_wx": f.a.x - e.a.x, "_wy": f.a.y - e.a.y, "_qx": f.b.x - e.a.x, "_qy": f.b.y - e.a.y,
+         "_rx": e.a.x - f.a.x, "_ry": e.a.y - f.a.y, "_sx": e.b.x - f.a.x, "_sy": e.b.y - f.a.y},
+        {"_uu": dot("u", "u"), "_vv": dot("v", "v"), "_o1": F.signum(cross("u", "w")),
+         "_o2": F.signum(cross("u", "q")), "_o3": F.signum(cross("v", "r")),
+         "_o4": F.signum(cross("v", "s"))},
+        {"_t1": along("w", "u"), "_t2": along("q", "u"), "_t3": along("r", "v"),
+         "_t4": along("s", "v"),
+         "crosses": (c("_o1") * c("_o2") < 0) & (c("_o3") * c("_o4") < 0)},
+        {"_d1": off("w", "u", "_t1"), "_d2": off("q", "u", "_t2"), "_d3": off("r", "v", "_t3"),
+         "_d4": off("s", "v", "_t4")},
+        {"d2": F.when(c("crosses"), 0.0).otherwise(F.least("_d1", "_d2", "_d3", "_d4"))})
+    for step in steps:
+        df = df.withColumns(step)
+    return df
+
+
 def weather_mask(zones: DataFrame, cells: DataFrame, buffer_m: int,
                  tile_size: float | None = None) -> DataFrame:
     """Cells within ``buffer_m`` metres of any zone, touching included.
@@ -131,11 +188,14 @@ def weather_mask(zones: DataFrame, cells: DataFrame, buffer_m: int,
         high("a.x", "b.x").alias("maxx"), high("a.y", "b.y").alias("maxy")))
     met = candidate_pairs(c.withColumn("edges", geom.all_edges(F.col("geometry"))).drop("geometry"),
                           rim, size, ["source_grid_id", "cell_index"], float(buffer_m))
-    near = met.select(
+    segments = met.select(
         F.col("r_geography_version").alias("geography_version"), "source_grid_id", "cell_index",
         F.struct(F.col("r_a").alias("a"), F.col("r_b").alias("b")).alias("e"),
-        F.explode("edges").alias("f")).filter(geom.segment_distance_squared(
-            F.col("e"), F.col("f")) <= float(buffer_m) ** 2).select(*key)
+        F.explode("edges").alias("f"))
+    # The smallest distance per cell is known before the shuffle; a filter ahead of it would
+    # be pushed under the steps and repeat them.
+    near = (_with_segment_terms(segments).groupBy(*key).agg(F.min("d2").alias("d2"))
+            .filter(F.col("d2") <= float(buffer_m) ** 2).select(*key))
     return (near.union(corner_in_zone).union(zone_in_cell).distinct()
             .select("geography_version", "source_grid_id",
                     F.lit(buffer_m).alias("mask_buffer_m"), "cell_index"))
@@ -225,25 +285,18 @@ def self_crossings(df: DataFrame, key: Sequence[str], strip_factor: float = 2.0)
     overlap = ((F.col("l.bot") <= F.col("r.top")) & (F.col("r.bot") <= F.col("l.top"))
                & (F.col("l.lo") <= F.col("r.hi")) & (F.col("r.lo") <= F.col("l.hi")))
     pairs = l.join(r, same & (F.col("l.strip") == F.col("r.strip")) & order & first & overlap)
-
-    a, b = F.col("l.e"), F.col("r.e")
     neighbours = (F.col("l.ring") == F.col("r.ring")) & (
         (F.col("r.pos") - F.col("l.pos") == 1)
         | ((F.col("l.pos") == 0) & (F.col("r.pos") == F.col("l.steps") - 1)))
-    turn = ((a.b.x - a.a.x) * (b.b.y - b.a.y) - (a.b.y - a.a.y) * (b.b.x - b.a.x))
-    forth = ((a.b.x - a.a.x) * (b.b.x - b.a.x) + (a.b.y - a.a.y) * (b.b.y - b.a.y))
-    folded = (turn == 0) & (forth < 0)
-    touching_rings = F.col("l.ring") != F.col("r.ring")
-    proper = _proper_cross(a, b)
-    bad = F.when(neighbours, folded).when(touching_rings, proper).otherwise(
-        geom.segments_cross(a, b))
-    return pairs.filter(bad).select(*[F.col(f"l.{k}") for k in key]).distinct()
-
-
-def _proper_cross(e: Column, f: Column) -> Column:
-    turn = geom._turn
-    return ((turn(e.a, e.b, f.a) * turn(e.a, e.b, f.b) < 0)
-            & (turn(f.a, f.b, e.a) * turn(f.a, f.b, e.b) < 0))
+    judged = _with_segment_terms(pairs.select(
+        *[F.col(f"l.{k}").alias(k) for k in key], F.col("l.e").alias("e"),
+        F.col("r.e").alias("f"), neighbours.alias("_neighbours"),
+        (F.col("l.ring") != F.col("r.ring")).alias("_rings")))
+    parallel = F.col("_ux") * F.col("_vy") == F.col("_uy") * F.col("_vx")
+    folded = parallel & (F.col("_ux") * F.col("_vx") + F.col("_uy") * F.col("_vy") < 0)
+    bad = (F.when(F.col("_neighbours"), folded).when(F.col("_rings"), F.col("crosses"))
+           .otherwise(F.col("d2") == 0))
+    return (judged.groupBy(*key).agg(F.max(bad).alias("_bad")).filter("_bad").select(*key))
 
 
 def flag_invalid(df: DataFrame, key: Sequence[str], name: str = "is_invalid") -> DataFrame:

@@ -214,8 +214,10 @@ def _krueger(lon: str, lat: str) -> tuple[str, str]:
 
 
 _A = f"(0.9996 * 6378137.0 / (1 + {_N}) * (1 + pow({_N}, 2) / 4 + pow({_N}, 4) / 64))"
-_ALPHA = (f"({_N} / 2 - 2 * pow({_N}, 2) / 3 + 5 * pow({_N}, 3) / 16)",
-          f"(13 * pow({_N}, 2) / 48 - 3 * pow({_N}, 3) / 5)", f"(61 * pow({_N}, 3) / 240)")
+_ALPHA = (
+    f"({_N} / 2 - 2 * pow({_N}, 2) / 3 + 5 * pow({_N}, 3) / 16 + 41 * pow({_N}, 4) / 180)",
+    f"(13 * pow({_N}, 2) / 48 - 3 * pow({_N}, 3) / 5 + 557 * pow({_N}, 4) / 1440)",
+    f"(61 * pow({_N}, 3) / 240 - 103 * pow({_N}, 4) / 140)", f"(49561 * pow({_N}, 4) / 161280)")
 
 
 def _easting(xi: str = "xi", eta: str = "eta") -> str:

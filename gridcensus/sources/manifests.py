@@ -28,13 +28,23 @@ def with_digest(df: DataFrame, content: str = "content") -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Path, size, hash and payload problem per file; the content itself is dropped."""
+    """Path, size, hash and payload problem per file; the content itself is dropped.
+
+    The reader skips files without content; ``with_expected_files`` brings them back.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return with_digest(reader.load(path)).drop("content")
 
 
+def with_expected_files(manifest: DataFrame, expected: DataFrame, key: str = "path") -> DataFrame:
+    """Every expected file once; those the manifest lacks are empty or absent."""
+    return expected.select(key).join(manifest, key, "left").withColumn(
+        "payload_problem", F.when(F.col("sha256").isNull(), "empty_or_absent")
+        .otherwise(F.col("payload_problem")))
+
+
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """JSON metadata beside retained files; unreadable documents have NULL columns."""
     schema = ("indicator string, run_time_utc timestamp, lead_time string, "
