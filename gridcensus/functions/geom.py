@@ -1,9 +1,10 @@
 """Planar geometry as Column expressions.
 
 A geometry is ``array<polygon>``, a polygon ``array<ring>`` (exterior first, then holes),
-a ring a closed ``array<struct<x,y>>``. Everything here is evaluated inside the JVM.
-Coordinates are shifted to a local origin before products are taken, because planar
-coordinates of several million metres would otherwise lose digits.
+a ring a closed ``array<struct<x,y>>``. Constructors take Columns; measures take the name of
+a geometry column (qualified where a join needs it) and are Spark SQL array lambdas, run
+inside the JVM. Coordinates are shifted to a local origin before products are taken, because
+planar coordinates of several million metres would otherwise lose digits.
 """
 
 from __future__ import annotations
@@ -19,10 +20,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
-
-
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -49,88 +46,91 @@ def is_polygonal(geometry_type: Column) -> Column:
     return F.upper(geometry_type).isin("POLYGON", "MULTIPOLYGON")
 
 
-def is_empty(geometry: Column) -> Column:
-    return F.size(F.flatten(F.flatten(geometry))) == 0
+def is_empty(geometry: str) -> Column:
+    return F.expr(f"size(flatten(flatten({geometry}))) = 0")
 
 
-def exterior_point_count(geometry: Column) -> Column:
-    return F.size(geometry[0][0])
+def exterior_point_count(geometry: str) -> Column:
+    return F.expr(f"size({geometry}[0][0])")
 
 
-def _steps(ring: Column) -> Column:
-    return F.greatest(F.size(ring) - 1, F.lit(0))
+# SQL text of the building blocks.
 
+def _bind(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-def edges(ring: Column) -> Column:
-    """Consecutive point pairs ``struct<a,b>`` of a closed ring."""
-    return F.zip_with(F.slice(ring, F.lit(1), _steps(ring)),
-                      F.slice(ring, F.lit(2), _steps(ring)),
-                      lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
+def _sum(values: str) -> str:
+    return f"aggregate({values}, 0D, (_s, _v) -> _s + _v)"
 
-def all_edges(geometry: Column) -> Column:
-    return F.flatten(F.transform(F.flatten(geometry), edges))
 
+def _edges(ring: str) -> str:
+    steps = f"greatest(size({ring}) - 1, 0)"
+    return (f"zip_with(slice({ring}, 1, {steps}), slice({ring}, 2, {steps}), "
+            "(_a, _b) -> named_struct('a', _a, 'b', _b))")
 
-def _ring_moments(ring: Column, ox: Column, oy: Column) -> Column:
-    """Signed twice-area and signed first moments (times six) about a local origin."""
-    local = F.transform(ring, lambda p: F.struct((p.x - ox).alias("x"), (p.y - oy).alias("y")))
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
 
-    def add(total: Column, e: Column) -> Column:
-        return let(e.a.x * e.b.y - e.b.x * e.a.y, lambda cross: F.struct(
-            (total.s + cross).alias("s"),
-            (total.mx + (e.a.x + e.b.x) * cross).alias("mx"),
-            (total.my + (e.a.y + e.b.y) * cross).alias("my")))
+def _all_edges(geometry: str) -> str:
+    return f"flatten(transform(flatten({geometry}), _r -> {_edges('_r')}))"
 
-    return let(local, lambda r: F.aggregate(edges(r), zero, add))
 
+def _twice_area(ring: str) -> str:
+    return _sum(f"transform({_edges(ring)}, _e -> "
+                f"(_e.a.x - {ring}[0].x) * (_e.b.y - {ring}[0].y) "
+                f"- (_e.b.x - {ring}[0].x) * (_e.a.y - {ring}[0].y))")
 
-def ring_area(ring: Column) -> Column:
-    """Unsigned planar area of one closed ring."""
-    return let(ring, lambda r: F.abs(_sum(F.transform(
-        edges(r),
-        lambda e: (e.a.x - r[0].x) * (e.b.y - r[0].y) - (e.b.x - r[0].x) * (e.a.y - r[0].y)
-    ))) / 2)
 
+def _area(geometry: str) -> str:
+    ring = f"if(_i = 0, 0.5D, -0.5D) * abs({_twice_area('_ring')})"
+    polygon_area = _sum(f"transform(_poly, (_ring, _i) -> {ring})")
+    return _sum(f"transform({geometry}, _poly -> {polygon_area})")
 
-def _signed_by_position(poly: Column, measure: Callable[[Column], Column]) -> Column:
-    """Exterior counts positive, holes negative."""
-    return _sum(F.transform(
-        poly, lambda ring, i: F.when(i == 0, measure(ring)).otherwise(-measure(ring))))
 
+def edges(ring: str) -> Column:
+    """Consecutive point pairs ``struct<a,b>`` of a closed ring."""
+    return F.expr(_edges(ring))
 
-def area(geometry: Column) -> Column:
-    return F.when(geometry.isNotNull(), _sum(F.transform(
-        geometry, lambda poly: _signed_by_position(poly, ring_area))))
 
+def all_edges(geometry: str) -> Column:
+    return F.expr(_all_edges(geometry))
 
-def bounds(geometry: Column) -> Column:
-    """``struct<minx,miny,maxx,maxy>`` over the exterior rings."""
-    outer = F.flatten(F.transform(geometry, lambda poly: poly[0]))
 
-    def box(points: Column) -> Column:
-        xs, ys = F.transform(points, lambda p: p.x), F.transform(points, lambda p: p.y)
-        return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
-                        F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
+def turning(ring: str) -> Column:
+    """1 for counter-clockwise rings, -1 for clockwise ones."""
+    return F.expr(f"signum({_twice_area(ring)})")
 
-    return let(outer, box)
 
+def area(geometry: str) -> Column:
+    """Planar area; holes subtract."""
+    return F.expr(_area(geometry))
 
-def centroid(geometry: Column) -> Column:
-    """Area-weighted centroid ``struct<x,y>``; holes subtract."""
-    def weigh(origin: Column) -> Column:
-        signed = F.flatten(F.transform(geometry, lambda poly: F.transform(
-            poly, lambda ring, i: let(
-                _ring_moments(ring, origin.x, origin.y), lambda m: let(
-                    F.signum(m.s) * F.when(i == 0, 1.0).otherwise(-1.0),
-                    lambda k: F.struct((k * m.s).alias("s"), (k * m.mx).alias("mx"),
-                                       (k * m.my).alias("my")))))))
-        return let(signed, lambda ms: let(_sum(F.transform(ms, lambda m: m.s)), lambda s: F.struct(
-            (origin.x + _sum(F.transform(ms, lambda m: m.mx)) / (s * 3)).alias("x"),
-            (origin.y + _sum(F.transform(ms, lambda m: m.my)) / (s * 3)).alias("y"))))
 
-    return F.when(area(geometry) > 0, let(geometry[0][0][0], weigh))
+def bounds(geometry: str) -> Column:
+    """``struct<minx,miny,maxx,maxy>`` over the exterior rings."""
+    outer = f"flatten(transform({geometry}, _poly -> get(_poly, 0)))"
+    xs, ys = ("transform(_pts, _p -> _p.x)", "transform(_pts, _p -> _p.y)")
+    box = (f"named_struct('minx', array_min({xs}), 'miny', array_min({ys}), "
+           f"'maxx', array_max({xs}), 'maxy', array_max({ys}))")
+    return F.expr(_bind("_pts", outer, box))
+
+
+def centroid(geometry: str) -> Column:
+    """Area-weighted centroid ``struct<x,y>``; holes subtract. NULL without area."""
+    moments = (
+        f"aggregate({_edges('_loc')}, named_struct('s', 0D, 'mx', 0D, 'my', 0D), (_t, _e) -> "
+        + _bind("_c", "_e.a.x * _e.b.y - _e.b.x * _e.a.y",
+                "named_struct('s', _t.s + _c, 'mx', _t.mx + (_e.a.x + _e.b.x) * _c, "
+                "'my', _t.my + (_e.a.y + _e.b.y) * _c)") + ")")
+    local = "transform(_ring, _p -> named_struct('x', _p.x - _o.x, 'y', _p.y - _o.y))"
+    signed = _bind("_loc", local, _bind("_m", moments, _bind(
+        "_k", "signum(_m.s) * if(_i = 0, 1D, -1D)",
+        "named_struct('s', _k * _m.s, 'mx', _k * _m.mx, 'my', _k * _m.my)")))
+    rings = f"flatten(transform({geometry}, _poly -> transform(_poly, (_ring, _i) -> {signed})))"
+    centre = _bind("_ms", rings, _bind("_total", _sum("transform(_ms, _m -> _m.s)"), (
+        f"named_struct('x', _o.x + {_sum('transform(_ms, _m -> _m.mx)')} / (_total * 3), "
+        f"'y', _o.y + {_sum('transform(_ms, _m -> _m.my)')} / (_total * 3))")))
+    return F.expr(f"CASE WHEN {_area(geometry)} > 0 THEN "
+                  f"{_bind('_o', f'{geometry}[0][0][0]', centre)} END")
 
 
 def boxes_overlap(a: Column, b: Column, margin: float = 0.0) -> Column:
@@ -138,44 +138,24 @@ def boxes_overlap(a: Column, b: Column, margin: float = 0.0) -> Column:
             & (a.miny <= b.maxy + margin) & (b.miny - margin <= a.maxy))
 
 
-def turning(ring: Column) -> Column:
-    """1 for counter-clockwise rings, -1 for clockwise ones."""
-    return let(ring, lambda r: F.signum(_sum(F.transform(
-        edges(r),
-        lambda e: (e.a.x - r[0].x) * (e.b.y - r[0].y) - (e.b.x - r[0].x) * (e.a.y - r[0].y)))))
+def _slabs(geometry: str) -> str:
+    slab = ("named_struct('lo', least(_e.a.x, _e.b.x), 'hi', greatest(_e.a.x, _e.b.x), "
+            "'y', if(_e.a.x < _e.b.x, _e.a.y, _e.b.y), "
+            "'m', (_e.b.y - _e.a.y) / (_e.b.x - _e.a.x), "
+            "'sign', if(_e.a.x < _e.b.x, -_k, _k))")
+    sloped = f"filter({_edges('_ring')}, _e -> _e.a.x <> _e.b.x)"
+    turn = f"signum({_twice_area('_ring')}) * if(_i = 0, 1D, -1D)"
+    ring = _bind("_k", turn, f"transform({sloped}, _e -> {slab})")
+    return f"flatten(flatten(transform({geometry}, _poly -> transform(_poly, (_ring, _i) -> {ring}))))"
 
 
-def slabs(geometry: Column) -> Column:
+def slabs(geometry: str) -> Column:
     """Non-vertical edges as lines ``y + (x - lo) * m`` over ``lo``..``hi`` with a sign.
 
     The half-strips below the edges, taken with these signs, add up to the geometry: 1
     inside, 0 outside and in holes, whatever way the rings run.
     """
-    def slab(e: Column, ring_sign: Column) -> Column:
-        forward = e.a.x < e.b.x
-        return F.struct(
-            F.least(e.a.x, e.b.x).alias("lo"), F.greatest(e.a.x, e.b.x).alias("hi"),
-            F.when(forward, e.a.y).otherwise(e.b.y).alias("y"),
-            ((e.b.y - e.a.y) / (e.b.x - e.a.x)).alias("m"),
-            (F.when(forward, -1.0).otherwise(1.0) * ring_sign).alias("sign"))
-
-    def of_ring(ring: Column, i: Column) -> Column:
-        sloped = F.filter(edges(ring), lambda e: e.a.x != e.b.x)
-        return let(turning(ring) * F.when(i == 0, 1.0).otherwise(-1.0),
-                   lambda sign: F.transform(sloped, lambda e: slab(e, sign)))
-
-    return F.flatten(F.flatten(F.transform(geometry, lambda poly: F.transform(poly, of_ring))))
-
-
-def _slab_overlap(e: Column, f: Column, floor: Column) -> Column:
-    span = F.struct(F.greatest(e.lo, f.lo).alias("a"), F.least(e.hi, f.hi).alias("b"))
-    heights = let(span, lambda t: F.struct(
-        (t.b - t.a).alias("w"), (e.y - floor + (t.a - e.lo) * e.m).alias("ea"),
-        (e.y - floor + (t.b - e.lo) * e.m).alias("eb"),
-        (f.y - floor + (t.a - f.lo) * f.m).alias("fa"),
-        (f.y - floor + (t.b - f.lo) * f.m).alias("fb")))
-    return let(heights, lambda h: F.when(h.w > 0, e.sign * f.sign * h.w * lower_mean(
-        h.ea, h.eb, h.fa, h.fb)).otherwise(0.0))
+    return F.expr(_slabs(geometry))
 
 
 def lower_mean(e_lo: Column, e_hi: Column, f_lo: Column, f_hi: Column) -> Column:
@@ -187,7 +167,7 @@ def lower_mean(e_lo: Column, e_hi: Column, f_lo: Column, f_hi: Column) -> Column
     return (f_lo + f_hi) / 2 + dip
 
 
-def overlap_area(a: Column, b: Column) -> Column:
+def overlap_area(a: str, b: str) -> Column:
     """Area shared by two geometries; rings may be concave and may have holes.
 
     The indicator of an overlap is the product of two signed sums of half-strips, so its
@@ -195,71 +175,85 @@ def overlap_area(a: Column, b: Column) -> Column:
     clipped. For many pairs ``operators.spatial.area_bridge`` is faster: it evaluates the
     same sum as generated code over exploded edges, while array lambdas are interpreted.
     """
-    return F.greatest(F.lit(0.0), let(slabs(b), lambda fs: _sum(F.transform(
-        slabs(a), lambda e: _sum(F.transform(
-            fs, lambda f: _slab_overlap(e, f, b[0][0][0].y)))))))
-
-
-def _on_segment(e: Column, x: Column, y: Column) -> Column:
-    cross = (e.b.x - e.a.x) * (y - e.a.y) - (e.b.y - e.a.y) * (x - e.a.x)
-    return ((cross == 0)
-            & (x >= F.least(e.a.x, e.b.x)) & (x <= F.greatest(e.a.x, e.b.x))
-            & (y >= F.least(e.a.y, e.b.y)) & (y <= F.greatest(e.a.y, e.b.y)))
-
-
-def contains_or_touches(geometry: Column, x: Column, y: Column) -> Column:
+    gaps = ("named_struct('w', _h.w, 'base', (_h.fa + _h.fb) / 2, 'da', _h.ea - _h.fa, "
+            "'db', _h.eb - _h.fb, 'u', least(_h.ea - _h.fa, 0D) + least(_h.eb - _h.fb, 0D))")
+    height = "_{s}.y - _floor + (_t.{at} - _{s}.lo) * _{s}.m"
+    ends = ", ".join(f"'{s}{at}', {height.format(s='e' if s == 'e' else 'f', at=at)}"
+                     for s in "ef" for at in "ab")
+    heights = f"named_struct('w', _e.sign * _f.sign * (_t.b - _t.a), {ends})"
+    mean = ("_g.w * (_g.base + if(_g.da * _g.db < 0, "
+            "-(_g.u * _g.u) / ((abs(_g.da) + abs(_g.db)) * 2), _g.u / 2))")
+    span = "named_struct('a', greatest(_e.lo, _f.lo), 'b', least(_e.hi, _f.hi))"
+    share = _bind("_t", span, f"if(_t.b > _t.a, {_bind('_h', heights, _bind('_g', gaps, mean))}, 0D)")
+    pairs = _sum(f"transform({_slabs(a)}, _e -> {_sum(f'transform(_fs, _f -> {share})')})")
+    return F.expr("greatest(0D, " + _bind("_floor", f"{b}[0][0][0].y",
+                                          _bind("_fs", _slabs(b), pairs)) + ")")
+
+
+def _on_segment(x: str, y: str) -> str:
+    return (f"((_e.b.x - _e.a.x) * ({y} - _e.a.y) = (_e.b.y - _e.a.y) * ({x} - _e.a.x) "
+            f"AND {x} BETWEEN least(_e.a.x, _e.b.x) AND greatest(_e.a.x, _e.b.x) "
+            f"AND {y} BETWEEN least(_e.a.y, _e.b.y) AND greatest(_e.a.y, _e.b.y))")
+
+
+def _contains(geometry: str, x: str, y: str) -> str:
+    crossed = (f"if((_e.a.y > {y}) <> (_e.b.y > {y}), {x} < _e.a.x + (_e.b.x - _e.a.x) "
+               f"* ({y} - _e.a.y) / (_e.b.y - _e.a.y), false)")
+    return _bind("_es", _all_edges(geometry), (
+        f"exists(_es, _e -> {_on_segment(x, y)}) "
+        f"OR size(filter(_es, _e -> {crossed})) % 2 = 1"))
+
+
+def contains_or_touches(geometry: str, x: str, y: str) -> Column:
     """Even-odd rule over all rings; points on an edge count as touching."""
-    def crossed(e: Column) -> Column:
-        return F.when((e.a.y > y) != (e.b.y > y),
-                      x < e.a.x + (e.b.x - e.a.x) * (y - e.a.y) / (e.b.y - e.a.y)
-                      ).otherwise(F.lit(False))
+    return F.expr(_contains(geometry, x, y))
 
-    return let(all_edges(geometry), lambda es: F.exists(es, lambda e: _on_segment(e, x, y)) | (
-        F.size(F.filter(es, crossed)) % 2 == 1))
 
+def _point_gap(p: str, s: str) -> str:
+    dx, dy = f"({s}.b.x - {s}.a.x)", f"({s}.b.y - {s}.a.y)"
+    along = (f"(({p}.x - {s}.a.x) * {dx} + ({p}.y - {s}.a.y) * {dy}) "
+             f"/ nullif({dx} * {dx} + {dy} * {dy}, 0D)")
+    return _bind("_t", f"greatest(0D, least(1D, coalesce({along}, 0D)))",
+                 f"power({p}.x - {s}.a.x - _t * {dx}, 2) + power({p}.y - {s}.a.y - _t * {dy}, 2)")
 
-def turn(a: Column, b: Column, c: Column) -> Column:
-    """Sign of the turn a-b-c."""
-    return F.signum((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x))
 
+def _turn(a: str, b: str, c: str) -> str:
+    return f"signum(({b}.x - {a}.x) * ({c}.y - {a}.y) - ({b}.y - {a}.y) * ({c}.x - {a}.x))"
 
-def _point_segment_squared(px: Column, py: Column, e: Column) -> Column:
-    dx, dy = e.b.x - e.a.x, e.b.y - e.a.y
-    along = ((px - e.a.x) * dx + (py - e.a.y) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-    return let(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0)))),
-               lambda t: F.pow(px - e.a.x - t * dx, 2.0) + F.pow(py - e.a.y - t * dy, 2.0))
 
+def _segment_gap() -> str:
+    """Squared distance of the segments ``_e`` and ``_f``."""
+    proper = (f"{_turn('_e.a', '_e.b', '_f.a')} * {_turn('_e.a', '_e.b', '_f.b')} < 0 AND "
+              f"{_turn('_f.a', '_f.b', '_e.a')} * {_turn('_f.a', '_f.b', '_e.b')} < 0")
+    return (f"if({proper}, 0D, least({_point_gap('_e.a', '_f')}, {_point_gap('_e.b', '_f')}, "
+            f"{_point_gap('_f.a', '_e')}, {_point_gap('_f.b', '_e')}))")
 
-def segment_distance_squared(e: Column, f: Column) -> Column:
-    proper = ((turn(e.a, e.b, f.a) * turn(e.a, e.b, f.b) < 0)
-              & (turn(f.a, f.b, e.a) * turn(f.a, f.b, e.b) < 0))
-    return F.when(proper, 0.0).otherwise(F.least(
-        _point_segment_squared(e.a.x, e.a.y, f), _point_segment_squared(e.b.x, e.b.y, f),
-        _point_segment_squared(f.a.x, f.a.y, e), _point_segment_squared(f.b.x, f.b.y, e)))
 
+def distance(a: str, b: str) -> Column:
+    """Exact distance; 0 when the geometries touch or overlap.
 
-def _a_part_starts_inside(inner: Column, outer: Column) -> Column:
-    return F.exists(inner, lambda poly: contains_or_touches(
-        outer, poly[0][0].x, poly[0][0].y))
+    For many pairs ``operators.spatial.weather_mask`` is faster, for the reason given at
+    ``overlap_area``.
+    """
+    gaps = (f"transform({_all_edges(a)}, _e -> "
+            f"array_min(transform(_fs, _f -> {_segment_gap()})))")
+    least_gap = _bind("_fs", _all_edges(b), f"sqrt(array_min({gaps}))")
 
+    def starts_inside(inner: str, outer: str) -> str:
+        return (f"exists({inner}, _part -> "
+                f"{_contains(outer, '_part[0][0].x', '_part[0][0].y')})")
 
-def within_distance(a: Column, b: Column, radius: float) -> Column:
-    """True when the two geometries are at most ``radius`` apart; touching counts."""
-    near = let(all_edges(b), lambda fs: F.exists(all_edges(a), lambda e: F.exists(
-        fs, lambda f: segment_distance_squared(e, f) <= radius * radius)))
-    return _a_part_starts_inside(b, a) | _a_part_starts_inside(a, b) | near
+    return F.expr(f"if({starts_inside(b, a)} OR {starts_inside(a, b)}, 0D, {least_gap})")
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Exact distance; 0 when the geometries touch or overlap."""
-    gaps = let(all_edges(b), lambda fs: F.transform(all_edges(a), lambda e: F.array_min(
-        F.transform(fs, lambda f: segment_distance_squared(e, f)))))
-    return F.when(_a_part_starts_inside(b, a) | _a_part_starts_inside(a, b), 0.0).otherwise(
-        F.sqrt(F.array_min(gaps)))
+def within_distance(a: str, b: str, radius: float) -> Column:
+    """True when the two geometries are at most ``radius`` apart; touching counts."""
+    return distance(a, b) <= radius
 
 
-def rings_are_closed(geometry: Column) -> Column:
+def rings_are_closed(geometry: str) -> Column:
     """Every ring has at least four points, finite coordinates and ends where it starts."""
-    return F.forall(F.flatten(geometry), lambda r: (F.size(r) >= 4) & (
-        F.element_at(r, 1) == F.element_at(r, -1)) & F.forall(
-        r, lambda p: p.x.isNotNull() & p.y.isNotNull() & ~F.isnan(p.x) & ~F.isnan(p.y)))
+    return F.expr(
+        f"forall(flatten({geometry}), _r -> size(_r) >= 4 AND get(_r, 0) = get(_r, size(_r) - 1) "
+        "AND forall(_r, _p -> _p.x IS NOT NULL AND _p.y IS NOT NULL "
+        "AND NOT isnan(_p.x) AND NOT isnan(_p.y)))")

@@ -78,7 +78,7 @@ def population_check(raw: DataFrame, accepted: DataFrame, rejected: DataFrame) -
         F.col("accepted_rejected_overlap") == 0, F.col("source_row_count") > 0)
 
 
-def _unsound(geometry: Column) -> Column:
+def _unsound(geometry: str) -> Column:
     return ~F.coalesce(geom.rings_are_closed(geometry) & (geom.area(geometry) > 0), F.lit(False))
 
 
@@ -92,7 +92,7 @@ def zone_check(raw: DataFrame, zones: DataFrame, rejected: DataFrame,
         raw.agg(F.count("*").alias("source_row_count"),
                 F.min("geography_version").alias("geography_version")),
         zones.agg(F.count("*").alias("normalized_row_count"),
-                  count_if(_unsound(F.col("geometry"))).alias("invalid_normalized_geometry_count"),
+                  count_if(_unsound("geometry")).alias("invalid_normalized_geometry_count"),
                   count_if(wrong).alias("wrong_srid_count")),
         _tally(rejected, "rejected_row_count"), reason_map(rejected))
     return with_verdict(
@@ -107,15 +107,14 @@ def cell_check(vertices: DataFrame, topology: DataFrame, cells: DataFrame, rejec
                srid: str | None = None) -> DataFrame:
     """Mesh counts as expected, three topology rows per cell, four zero counters."""
     wrong = F.lit(False) if srid is None else F.col(srid) != schemas.PLANAR_SRID
-    g = F.col("geometry")
     counts = side_by_side(
         cells.sparkSession, _tally(vertices, "raw_vertex_count"),
         topology.agg(F.count_distinct("cell_index").alias("raw_cell_count"),
                      F.count("*").alias("topology_row_count")),
         cells.agg(F.count("*").alias("normalized_cell_count"),
-                  count_if(_unsound(g)).alias("invalid_normalized_geometry_count"),
+                  count_if(_unsound("geometry")).alias("invalid_normalized_geometry_count"),
                   count_if(wrong).alias("wrong_srid_count"),
-                  count_if(geom.exterior_point_count(g) != 4).alias("non_triangle_count")),
+                  count_if(geom.exterior_point_count("geometry") != 4).alias("non_triangle_count")),
         _tally(rejected, "rejected_cell_count"), reason_map(rejected))
     return with_verdict(
         counts, F.col("raw_vertex_count") == expected_vertices,

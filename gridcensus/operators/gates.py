@@ -168,14 +168,14 @@ def zone_gate(raw: DataFrame) -> Split:
         (F.col("geography_version").isNull(), "missing_geography_version"),
         (F.col("is_duplicate"), "duplicate_plr_id"),
         (g.isNull(), "missing_geometry"),
-        (geom.is_empty(g), "empty_geometry"),
+        (geom.is_empty("geometry"), "empty_geometry"),
         (F.col("srid").isNull() | (F.col("srid") == 0), "missing_srid"),
         (~geom.is_polygonal(F.col("geometry_type")), "non_polygonal_geometry"),
         (F.col("is_invalid"), "invalid_geometry"))
     planar = (flagged.withColumn("rejection_reason", first)
               .withColumn("geometry", F.when(F.col("rejection_reason").isNull(),
                                              reproject(g, F.col("srid")))))
-    sound = F.coalesce(geom.rings_are_closed(g) & (geom.area(g) > 0), F.lit(False))
+    sound = F.coalesce(geom.rings_are_closed("geometry") & (geom.area("geometry") > 0), F.lit(False))
     classified = planar.withColumn("rejection_reason", F.coalesce(
         "rejection_reason", F.when(~sound, "invalid_after_transform")))
     return Split.of(
@@ -208,13 +208,13 @@ def cell_gate(topology: DataFrame, vertices: DataFrame) -> Split:
     late = text.first_match(
         (F.col("_early").isNotNull(), "early"),
         (g.isNull(), "geometry_construction_failed"),
-        (geom.is_empty(g), "empty_geometry"),
-        (~geom.rings_are_closed(g), "invalid_geometry"),
+        (geom.is_empty("geometry"), "empty_geometry"),
+        (~geom.rings_are_closed("geometry"), "invalid_geometry"),
         (F.col("icon_cell_area_m2") <= 0, "non_positive_area"),
-        (geom.exterior_point_count(g) != 4, "not_triangular"))
+        (geom.exterior_point_count("geometry") != 4, "not_triangular"))
     built = (triangles(topology, vertices).withColumn("_early", early)
              .withColumn("geometry", F.when(F.col("_early").isNull(), triangle_geometry()))
-             .withColumn("icon_cell_area_m2", geom.area(g)))
+             .withColumn("icon_cell_area_m2", geom.area("geometry")))
     classified = built.withColumn("rejection_reason", F.coalesce("_early", late))
     return Split.of(classified, ("source_grid_id", "cell_index", "geometry", "icon_cell_area_m2"),
                     ("source_grid_id", "cell_index", "rejection_reason"))

@@ -61,8 +61,8 @@ def zone_profile(raw: DataFrame, id_column: str = "plr_id_source") -> DataFrame:
             count_if(F.col(id_column).isNull()).alias("null_plr_id_count"),
             F.min("srid").alias("first_srid"), F.max("srid").alias("last_srid"),
             count_if(g.isNull()).alias("null_geometry_count"),
-            count_if(geom.is_empty(g)).alias("empty_geometry_count"),
-            count_if(F.col("is_invalid") & ~geom.is_empty(g)).alias("invalid_geometry_count")),
+            count_if(geom.is_empty("geometry")).alias("empty_geometry_count"),
+            count_if(F.col("is_invalid") & ~geom.is_empty("geometry")).alias("invalid_geometry_count")),
         duplicate_count(raw, [id_column], "duplicate_plr_id_count"))
 
 
@@ -72,7 +72,7 @@ def geometry_types(raw: DataFrame) -> DataFrame:
 
 def area_profile(zones: DataFrame) -> DataFrame:
     """Total bounds and the area distribution, one row."""
-    boxed = with_box(zones).withColumn("area_m2", geom.area(F.col("geometry")))
+    boxed = with_box(zones).withColumn("area_m2", geom.area("geometry"))
     bounds = boxed.agg(F.count("*").alias("zone_count"), F.min("box.minx").alias("minx"),
                        F.min("box.miny").alias("miny"), F.max("box.maxx").alias("maxx"),
                        F.max("box.maxy").alias("maxy"))

@@ -12,11 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 HOT_SHARE = 0.002
 SALTS = 64
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over as many partitions as a shuffle uses, by keys that are nearly unique.
+
+    For steps that do far more work per row than the row has bytes: small inputs come as a
+    few large splits, and adaptive execution would merge small shuffle partitions.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Count at most ``max_rows + 1`` rows."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from gridcensus.functions import geom
 from gridcensus.functions.projection import reproject
 from gridcensus.operators.joins import flag_duplicates
-from gridcensus.operators.skew import lookup_join
+from gridcensus.operators.skew import lookup_join, spread
+from gridcensus.session import cut_lineage
 
 TILE_KEYS = ("tile_x", "tile_y")
 
 
 def with_box(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    return df.withColumn("box", geom.bounds(F.col(geometry)))
+    return df.withColumn("box", geom.bounds(geometry))
 
 
 def suggest_tile_size(df: DataFrame, factor: float = 2.0) -> float:
@@ -75,16 +76,16 @@ def area_bridge(zones: DataFrame, cells: DataFrame, tile_size: float | None = No
     only touch and are left out.
 
     The area of a pair is a sum over its edge pairs, computed as generated code on exploded
-    rows and added up before the shuffle, so what is shuffled is one number per pair.
+    rows.
     """
-    g = F.col("geometry")
     z = with_box(zones.select("plr_id", "geography_version", "geometry",
-                              geom.area(g).alias("plr_area_m2")))
-    z = z.withColumn("slabs", geom.slabs(g)).drop("geometry")
-    c = with_box(cells.select("source_grid_id", "cell_index", "geometry", "icon_cell_area_m2"))
-    c = c.withColumn("slabs", geom.slabs(g)).drop("geometry")
-    size = tile_size or suggest_tile_size(c)
+                              geom.area("geometry").alias("plr_area_m2")))
+    z = z.withColumn("slabs", geom.slabs("geometry")).drop("geometry")
     zone, cell = ["plr_id", "geography_version"], ["source_grid_id", "cell_index"]
+    # Spread by cell, which also serves the final grouping when the zones are broadcast.
+    c = with_box(spread(cells.select(*cell, "geometry", "icon_cell_area_m2"), *cell))
+    c = c.withColumn("slabs", geom.slabs("geometry")).drop("geometry")
+    size = tile_size or suggest_tile_size(c)
     pairs = candidate_pairs(c, z, size, cell)
     edges = (pairs.select(*cell, *[F.col(f"r_{k}").alias(k) for k in zone],
                           F.col("r_plr_area_m2").alias("plr_area_m2"), "icon_cell_area_m2",
@@ -168,7 +169,8 @@ def weather_mask(zones: DataFrame, cells: DataFrame, buffer_m: int,
         raise ValueError("the mask buffer must not be negative")
     key = ["geography_version", "source_grid_id", "cell_index"]
     z = zones.select("geography_version", "geometry")
-    c = with_box(cells.select("source_grid_id", "cell_index", "geometry"))
+    c = with_box(spread(cells.select("source_grid_id", "cell_index", "geometry"),
+                        "source_grid_id", "cell_index"))
     size = tile_size or max(suggest_tile_size(c), float(buffer_m))
 
     def first_corners(df: DataFrame) -> DataFrame:
@@ -186,7 +188,7 @@ def weather_mask(zones: DataFrame, cells: DataFrame, buffer_m: int,
     rim = rim.withColumn("box", F.struct(
         low("a.x", "b.x").alias("minx"), low("a.y", "b.y").alias("miny"),
         high("a.x", "b.x").alias("maxx"), high("a.y", "b.y").alias("maxy")))
-    met = candidate_pairs(c.withColumn("edges", geom.all_edges(F.col("geometry"))).drop("geometry"),
+    met = candidate_pairs(c.withColumn("edges", geom.all_edges("geometry")).drop("geometry"),
                           rim, size, ["source_grid_id", "cell_index"], float(buffer_m))
     segments = met.select(
         F.col("r_geography_version").alias("geography_version"), "source_grid_id", "cell_index",
@@ -213,11 +215,11 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, tile_size: float,
     ``how`` may be ``left_semi`` to keep each point once.
     """
     boxed = with_tiles(with_box(polygons), tile_size)
-    keyed = (points.withColumn("box", _point_box())
+    keyed = (spread(points, *point_id).withColumn("box", _point_box())
              .withColumn("tile_x", _tile(F.col("x"), tile_size))
              .withColumn("tile_y", _tile(F.col("y"), tile_size)))
     inside = geom.boxes_overlap(F.col("l.box"), F.col("r.box")) & geom.contains_or_touches(
-        F.col("r.geometry"), F.col("l.x"), F.col("l.y"))
+        "r.geometry", "l.x", "l.y")
     if how == "left_semi":
         found = lookup_join(keyed, boxed, TILE_KEYS, how, point_id, condition=inside)
         return found.drop("box", *TILE_KEYS)
@@ -241,9 +243,9 @@ def outline(zones: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """
     rings = zones.select(*group, F.explode("geometry").alias("poly")).select(
         *group, F.posexplode("poly").alias("i", "ring"))
-    turned = rings.withColumn("turn", geom.turning(F.col("ring")) * F.when(
+    turned = rings.withColumn("turn", geom.turning("ring") * F.when(
         F.col("i") == 0, 1.0).otherwise(-1.0))
-    e = turned.select(*group, "turn", F.explode(geom.edges(F.col("ring"))).alias("e")).select(
+    e = turned.select(*group, "turn", F.explode(geom.edges("ring")).alias("e")).select(
         *group, F.when(F.col("turn") > 0, F.col("e.a")).otherwise(F.col("e.b")).alias("from"),
         F.when(F.col("turn") > 0, F.col("e.b")).otherwise(F.col("e.a")).alias("to"))
     upward = F.col("from") < F.col("to")
@@ -266,7 +268,7 @@ def self_crossings(df: DataFrame, key: Sequence[str], strip_factor: float = 2.0)
     """
     listed = df.select(*key, F.posexplode(F.flatten(F.col("geometry"))).alias("ring", "pts"))
     e = (listed.select(*key, "ring", F.size("pts").alias("_size"),
-                       F.posexplode(geom.edges(F.col("pts"))).alias("pos", "e"))
+                       F.posexplode(geom.edges("pts")).alias("pos", "e"))
          .withColumn("steps", F.col("_size") - 1)
          .filter(F.col("e.a") != F.col("e.b"))
          .withColumn("lo", F.least("e.a.x", "e.b.x")).withColumn("hi", F.greatest("e.a.x", "e.b.x"))
@@ -305,8 +307,8 @@ def flag_invalid(df: DataFrame, key: Sequence[str], name: str = "is_invalid") ->
     Full simple-feature validity also asks that holes lie inside and do not split the
     interior; that part is not tested here.
     """
-    closed = geom.rings_are_closed(F.col("geometry"))
-    sound = F.coalesce(closed & (geom.area(F.col("geometry")) > 0), F.lit(False))
+    closed = geom.rings_are_closed("geometry")
+    sound = F.coalesce(closed & (geom.area("geometry") > 0), F.lit(False))
     marked = df.withColumn("_sound", sound)
     crossed = (self_crossings(marked.filter("_sound"), key)
                .withColumn("_crossed", F.lit(True)))
@@ -348,8 +350,8 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str,
     least farthest corner among the kept tiles. The pyramid is as deep as it takes to leave
     few places per tile, so a crowded area costs depth, not pairs.
     """
-    places = targets.groupBy(F.col("x").alias("tx"), F.col("y").alias("ty")).agg(
-        F.count("*").alias("_n")).drop("_n")
+    places = cut_lineage(targets.groupBy(F.col("x").alias("tx"), F.col("y").alias("ty")).agg(
+        F.count("*").alias("_n")).drop("_n"))
     size = places.agg(F.count("*").alias("n"), F.min("tx").alias("x0"), F.min("ty").alias("y0"),
                       F.max("tx").alias("x1"), F.max("ty").alias("y1")).first()
     if not size["n"]:
@@ -372,7 +374,7 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str,
     leaf = tiled(depth)
 
     px, py = F.col("px"), F.col("py")
-    kept = points.select(point_id, F.col("x").alias("px"), F.col("y").alias("py"),
+    kept = spread(points, point_id).select(point_id, F.col("x").alias("px"), F.col("y").alias("py"),
                          F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
     for level in range(1, depth + 1):
         shrink = 8 ** (depth - level)

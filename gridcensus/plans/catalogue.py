@@ -599,9 +599,8 @@ def stream_completion(spark, sf_dir):
 def zone_area_bbox(spark, sf_dir):
     """Area, bounds and centroid of every zone."""
     z = lenses.zones(spark, sf_dir)
-    g = F.col("geometry")
-    return z.select("plr_id", F.round(geom.area(g), 3).alias("area_m2"),
-                    geom.bounds(g).alias("b"), geom.centroid(g).alias("c")).select(
+    return z.select("plr_id", F.round(geom.area("geometry"), 3).alias("area_m2"),
+                    geom.bounds("geometry").alias("b"), geom.centroid("geometry").alias("c")).select(
         "plr_id", "area_m2", "b.minx", "b.miny", "b.maxx", "b.maxy",
         F.round("c.x", 3).alias("cx"), F.round("c.y", 3).alias("cy"))
 
@@ -756,7 +755,7 @@ def zone_gate(spark, sf_dir):
     """First rejection reason per raw zone; duplicates all flagged, crossings found."""
     split = gates.zone_gate(lenses.raw_zones(spark, sf_dir))
     return split.classified.select("source_row_id", "plr_id", "rejection_reason", F.round(
-        geom.area(F.col("geometry")), 3).alias("area_m2"))
+        geom.area("geometry"), 3).alias("area_m2"))
 
 
 # Storage and sources

@@ -162,7 +162,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rounded_centres(df: DataFrame, keep) -> DataFrame:
     """Centroids on whole metres, so that distances are exact and ties are real ties."""
-    c = geom.centroid(F.col("geometry"))
+    c = geom.centroid("geometry")
     return (df.select(*keep, c.alias("c"))
             .select(*keep, F.round("c.x").alias("x"), F.round("c.y").alias("y")))
 

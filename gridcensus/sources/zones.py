@@ -99,4 +99,4 @@ def geographic(zones: DataFrame) -> DataFrame:
 
 
 def with_extent(zones: DataFrame) -> DataFrame:
-    return zones.withColumn("box", geom.bounds(F.col("geometry")))
+    return zones.withColumn("box", geom.bounds("geometry"))

@@ -112,12 +112,19 @@ def square(x, y, side):
     return geom.rectangle(F.lit(x), F.lit(y), F.lit(x + side), F.lit(y + side))
 
 
+def measured(spark, measure, **geometries):
+    """A measure over named geometry columns."""
+    df = spark.range(1).select(*[g.alias(n) for n, g in geometries.items()])
+    return df.select(measure.alias("v")).first()["v"]
+
+
 def test_areas_and_centroid(spark):
     holed = geom.promote(geom.polygon(square(0.0, 0.0, 10.0), square(2.0, 2.0, 4.0)))
-    assert value(spark, geom.area(holed)) == 84.0
-    c = value(spark, geom.centroid(holed))
+    assert measured(spark, geom.area("g"), g=holed) == 84.0
+    c = measured(spark, geom.centroid("g"), g=holed)
     assert c["x"] == pytest.approx((100 * 5 - 16 * 4) / 84)
-    assert value(spark, geom.bounds(holed)).asDict() == dict(minx=0, miny=0, maxx=10, maxy=10)
+    assert measured(spark, geom.bounds("g"), g=holed).asDict() == dict(
+        minx=0, miny=0, maxx=10, maxy=10)
 
 
 def test_split_square(spark):
@@ -126,20 +133,21 @@ def test_split_square(spark):
     for x0, x1, share in ((0.0, 2.5, 0.25), (2.5, 10.0, 0.75)):
         part = geom.promote(geom.polygon(geom.rectangle(
             F.lit(x0), F.lit(0.0), F.lit(x1), F.lit(10.0))))
-        assert value(spark, geom.overlap_area(zone, part)) / 100 == pytest.approx(share)
+        assert measured(spark, geom.overlap_area("z", "p"), z=zone, p=part) / 100 == \
+            pytest.approx(share)
 
 
 def test_distance_and_containment(spark):
     a = geom.promote(geom.polygon(square(0.0, 0.0, 10.0), square(2.0, 2.0, 4.0)))
     b = geom.promote(geom.polygon(square(13.0, 14.0, 2.0)))
     inner = geom.promote(geom.polygon(square(3.0, 3.0, 1.0)))
-    assert value(spark, geom.distance(a, b)) == 5.0
-    assert value(spark, geom.within_distance(a, b, 5.0))
-    assert not value(spark, geom.within_distance(a, b, 4.999))
-    assert value(spark, geom.distance(a, inner)) == 1.0
-    assert not value(spark, geom.contains_or_touches(a, F.lit(3.0), F.lit(3.0)))
-    assert value(spark, geom.contains_or_touches(a, F.lit(2.0), F.lit(3.0)))
-    assert value(spark, geom.contains_or_touches(a, F.lit(1.0), F.lit(3.0)))
+    assert measured(spark, geom.distance("a", "b"), a=a, b=b) == 5.0
+    assert measured(spark, geom.within_distance("a", "b", 5.0), a=a, b=b)
+    assert not measured(spark, geom.within_distance("a", "b", 4.999), a=a, b=b)
+    assert measured(spark, geom.distance("a", "b"), a=a, b=inner) == 1.0
+    for x, inside in ((3.0, False), (2.0, True), (1.0, True)):
+        assert measured(spark, geom.contains_or_touches("a", "x", "y"),
+                        a=a, x=F.lit(x), y=F.lit(3.0)) is inside
 
 
 @pytest.mark.parametrize("lon,lat,x,y", [

@@ -120,7 +120,7 @@ def test_one_square_is_normalised(spark):
     raw = spark.createDataFrame([zone_row(1, "A", SQUARE)], ZONE)
     enforce(gates.zone_preconditions(raw))
     split = gates.zone_gate(raw)
-    assert split.accepted.select(geom.area(F.col("geometry"))).first()[0] == 10000.0
+    assert split.accepted.select(geom.area("geometry")).first()[0] == 10000.0
     assert checks.zone_check(raw, split.accepted, split.rejected, 1).first()["passed"]
 
 
@@ -161,7 +161,7 @@ def mesh(spark, corners=((0, 0), (1, 1), (2, 2)), lat=52.51):
 def test_one_triangle_is_normalised(spark):
     topology, vertices = mesh(spark)
     split = gates.cell_gate(topology, vertices)
-    cell = split.accepted.select("*", geom.exterior_point_count(F.col("geometry")).alias("n")).first()
+    cell = split.accepted.select("*", geom.exterior_point_count("geometry").alias("n")).first()
     assert cell["n"] == 4 and cell["icon_cell_area_m2"] > 0
     verdict = checks.cell_check(vertices, topology, split.accepted, split.rejected, 3, 1).first()
     assert verdict["passed"] and verdict["topology_row_count"] == 3

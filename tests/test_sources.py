@@ -49,7 +49,7 @@ def test_zone_file(spark, tmp_path):
         feature({"RAUMID": "w", "PLR_ID": "04"}, {"type": "Point", "coordinates": [1, 2]}),
     ], "urn:ogc:def:crs:EPSG::25833"))
     df = zones.read_zones(spark, str(path), "2023-01-01", "sha", "2023-01-01")
-    got = {r["plr_id_source"]: r for r in df.withColumn("a", geom.area(F.col("geometry"))).collect()}
+    got = {r["plr_id_source"]: r for r in df.withColumn("a", geom.area("geometry")).collect()}
     assert (got["01"]["a"], got["02"]["a"], got["01"]["srid"]) == (9.0, 18.0, 25833)
     assert got["03"]["geometry"] is None and got["04"]["geometry_type"] == "Point"
     assert df.select("source_row_id").distinct().count() == 4

@@ -245,7 +245,7 @@ def test_overlap_expression_agrees_with_the_job(world):
     _, _, zones, cells = world
     a, b = zones.limit(3), cells.filter("cell_index between 40 and 130")
     direct = (a.crossJoin(b.withColumnRenamed("geometry", "cell")).select(
-        "plr_id", "cell_index", geom.overlap_area(F.col("geometry"), F.col("cell")).alias("a"))
+        "plr_id", "cell_index", geom.overlap_area("geometry", "cell").alias("a"))
         .filter("a > 1e-6"))
     job = spatial.area_bridge(a, b)
     want = {(r["plr_id"], r["cell_index"]): r["intersection_area_m2"] for r in job.collect()}
