@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from gridcensus import schemas
 from gridcensus.functions import geom
 from gridcensus.functions.fields import is_finite
-from gridcensus.functions.forecast import valid_time
+from gridcensus.functions.forecast import parse_run_label, valid_time
 from gridcensus.operators.aggregates import (count_if, current_version, duplicate_count,
                                              is_constant, weight_deviation)
-from gridcensus.operators.joins import compare_keys, duplicate_keys, orphans, unmatched_keys
+from gridcensus.operators.joins import compare_keys, orphans, unmatched_keys
 from gridcensus.operators.skew import lookup_join
 from gridcensus.operators.verdict import passed, reason_map, side_by_side, with_verdict
 
@@ -230,10 +230,6 @@ def mask_check(mask: DataFrame, bridge: DataFrame, zones: DataFrame, cells: Data
 PARTITION = ("run_time_utc", "lead_time")
 
 
-def _expected_indicators(df: DataFrame) -> Column:
-    return F.array(*[F.lit(i) for i in schemas.INDICATORS])
-
-
 def _per_indicator(row_count: str) -> Column:
     """Map over the five expected indicators, zero where none was observed."""
     pairs = []
@@ -400,8 +396,6 @@ def coverage_check(final: DataFrame, expected_zones: int | Column = schemas.EXPE
 def identity_check(final: DataFrame, partition: Sequence[str] = ("run_label", "lead_label")
                    ) -> DataFrame:
     """Per stored partition: one run, lead and valid time, equal to the partition's labels."""
-    from gridcensus.functions.forecast import parse_run_label
-
     counts = final.groupBy(*partition).agg(
         *[F.count_distinct(c).alias(f"{c}_count") for c in (*PARTITION, "valid_time_utc")],
         *[F.min(c).alias(c) for c in (*PARTITION, "valid_time_utc")])

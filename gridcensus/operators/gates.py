@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from gridcensus import schemas
 from gridcensus.functions import fields, geom, text
+from gridcensus.functions.forecast import valid_time
 from gridcensus.functions.projection import reproject
 from gridcensus.operators.aggregates import count_if
 from gridcensus.operators.spatial import (duplicate_zone_flags, flag_invalid, triangle_geometry,
                                           triangles)
 from gridcensus.operators.verdict import passed, reason_map, side_by_side, with_verdict
+from gridcensus.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,11 @@ class Split:
         return cls(classified, classified.filter(reason.isNull()).select(*accepted_columns),
                    classified.filter(reason.isNotNull()).select(*rejected_columns))
 
+    def stored(self) -> "Split":
+        """The same split over rows classified once and kept in the shared folder."""
+        return Split.of(cut_lineage(self.classified), self.accepted.columns,
+                        self.rejected.columns)
+
     def summary(self, group: str | None = None) -> DataFrame:
         """Source, accepted and rejected counts, in one pass over the classified rows."""
         reason = F.col("rejection_reason")
@@ -227,8 +234,6 @@ def field_metadata_gate(metadata: DataFrame, contract: DataFrame,
     ``metadata`` holds one row per (run_time_utc, lead_time, indicator) with the decoded
     header columns. The contract has five rows and is broadcast.
     """
-    from gridcensus.functions.forecast import valid_time
-
     m = metadata.withColumn("_unit", text.unit_key(F.col("units")))
     c = contract.select("indicator", *[F.col(k).alias(f"c_{k}") for k in (
         "discipline", "parameter_category", "parameter_number", "surface_type",

@@ -82,14 +82,16 @@ def with_expected(expected: DataFrame, observed: DataFrame, keys: Sequence[str],
 def explained_join(left: DataFrame, accepted: DataFrame, rejected: DataFrame, key: str,
                    values: Sequence[str], salt_by: Sequence[str],
                    status: str = "population_status",
-                   reason: str = "population_rejection_reason") -> DataFrame:
+                   reason: str = "population_rejection_reason",
+                   small: bool | None = None) -> DataFrame:
     """Left join that says, for every unmatched row, which registry entry explains it.
 
     Unmatched rows without a registry entry keep a NULL reason; ``explained_audit`` counts
     them and the registry entries nothing refers to. One count of both halves' keys decides
-    how they are joined.
+    how they are joined, unless the caller has counted their source.
     """
-    small = is_small(accepted.select(key).union(rejected.select(key)))
+    if small is None:
+        small = is_small(accepted.select(key).union(rejected.select(key)))
     found = join_with_match(left, accepted.select(key, *values), [key], salt_by, "_found", small)
     registry = rejected.select(key, F.col("rejection_reason").alias(reason))
     return (lookup_join(found, registry, [key], "left", salt_by, small=small)

@@ -45,13 +45,18 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """Shuffle join with hot keys spread over ``salts`` partitions.
 
     ``salt_by`` must vary between the left rows of one key (a row id, say). The salt is a
-    hash of those columns, so a task that runs again places every row where it was.
+    hash of those columns, so a task that runs again places every row where it was. Rows
+    with a missing key match nothing and are spread as well.
     ``condition`` may be a function of the two aliased sides for an extra predicate.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a join of type {how} cannot repeat its right side")
-    hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
+    hot = F.broadcast(hot_keys(left.dropna(subset=list(keys)), keys, share).withColumn("_hot", F.lit(True)))
+    unkeyed = F.lit(False)
+    for key in keys:
+        unkeyed = unkeyed | F.col(key).isNull()
+    spread = F.when(F.col("_hot") | unkeyed,
+                    F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     l = (left.join(hot, list(keys), "left")
          .withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_hot"))
     r = (right.join(hot, list(keys), "left")

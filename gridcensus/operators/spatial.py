@@ -397,10 +397,11 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str,
     apart = F.sqrt(F.pow(px - F.col("tx"), 2) + F.pow(py - F.col("ty"), 2))
     met = lookup_join(kept, leaf, ["cx", "cy"], "inner", [point_id]).withColumn(
         "distance_m", apart)
-    winners = _within_best(met, point_id, "distance_m", "distance_m").select(
-        point_id, "tx", "ty", "distance_m")
+    winners = cut_lineage(_within_best(met, point_id, "distance_m", "distance_m").select(
+        point_id, "tx", "ty", "distance_m"))
+    # The targets are the larger side, and copies of one place may be many.
     named = targets.select(F.col("x").alias("tx"), F.col("y").alias("ty"), *target_columns)
-    return (winners.join(named, ["tx", "ty"], "inner")
+    return (lookup_join(named, winners, ["tx", "ty"], "inner", list(target_columns))
             .select(point_id, *target_columns, "distance_m"))
 
 

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridcensus import schemas
-from gridcensus.functions.fields import nan_to_null, output_value, wind_speed
+from gridcensus.functions.fields import (indicator_bit, nan_to_null, output_value,
+                                         wind_speed)
 from gridcensus.functions.forecast import run_label, valid_time
 from gridcensus.operators.aggregates import count_if, max_where, weighted_mean, weighted_sum
 from gridcensus.operators.joins import explained_join, latest_partition, unmatched_keys
@@ -67,8 +68,9 @@ def combine_fields(field: DataFrame) -> DataFrame:
 
 def field_identity_audit(field: DataFrame) -> DataFrame:
     """Per forecast: five fields, no repeated cell in a field, every first-field cell combined."""
+    bits = F.bit_or(indicator_bit(F.col("indicator")))
     by_cell = field.groupBy("cell_index", *FORECAST).agg(
-        F.count("*").alias("rows"), F.count_distinct("indicator").alias("indicators"),
+        F.count("*").alias("rows"), F.bit_count(bits).alias("indicators"),
         count_if(F.col("indicator") == "T_2M").alias("first_rows"))
     counts = by_cell.groupBy(*FORECAST).agg(
         F.sum("first_rows").alias("expected_rows"),
@@ -125,12 +127,12 @@ def plr_weather(field: DataFrame, bridge: DataFrame) -> DataFrame:
     return aggregate_to_zones(combine_fields(kept), bridge, small=small)
 
 
-def plr_weather_population(weather: DataFrame, accepted: DataFrame, rejected: DataFrame
-                           ) -> DataFrame:
+def plr_weather_population(weather: DataFrame, accepted: DataFrame, rejected: DataFrame,
+                           small: bool | None = None) -> DataFrame:
     """Zone weather with population, or with the reason the population is missing."""
     return explained_join(weather, accepted, rejected, "plr_id",
                           ("population_total", "population_65plus", "share_65plus"),
-                          [*FORECAST])
+                          [*FORECAST], small=small)
 
 
 def plr_temperature(temperature: DataFrame, bridge: DataFrame) -> DataFrame:
@@ -190,8 +192,6 @@ def partition_summary(final: DataFrame, values: Sequence[str] = schemas.WEATHER_
 def observe_partition(final: DataFrame, name: str, values: Sequence[str] =
                       schemas.WEATHER_VALUES):
     """The frame with counters collected while it is written, and their observation."""
-    from pyspark.sql import Observation
-
     seen = Observation(name)
     return final.observe(seen, F.count(F.lit(1)).alias("row_count"), *[
         F.count_if(F.col(v).isNull()).alias(f"{v}_null_count") for v in values]), seen

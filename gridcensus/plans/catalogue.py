@@ -11,6 +11,7 @@ from gridcensus import schemas
 from gridcensus.functions import fields, forecast, geom, projection, text
 from gridcensus.operators import (aggregates, checks, gates, joins, profiles, readiness, report,
                                   spatial, weather)
+from gridcensus.operators.skew import is_small
 from gridcensus.operators.verdict import reason_counts, side_by_side
 from gridcensus.plans import lenses
 from gridcensus.session import cut_lineage
@@ -272,7 +273,7 @@ def population_reasons(spark, sf_dir):
 def population_accounting(spark, sf_dir):
     """Preconditions, source = accepted + rejected, no overlap, ids rebuilt."""
     raw = lenses.raw_population(spark, sf_dir)
-    split = gates.population_gate(raw)
+    split = gates.population_gate(raw).stored()
     checked = checks.population_check(raw, split.accepted, split.rejected).select(
         "passed", "source_row_count", "accepted_row_count", "rejected_row_count",
         "accepted_rejected_overlap")
@@ -289,7 +290,7 @@ def population_contract(spark, sf_dir):
     """Strict contract counters and the artefact contract over the lenient split."""
     frame = _coerced(spark, sf_dir)
     strict = gates.population_contract(frame, None, "202512")
-    split = gates.lenient_population_gate(frame)
+    split = gates.lenient_population_gate(frame).stored()
     artefact = checks.artefact_contract(split.accepted, split.rejected, None).select(
         F.col("passed").alias("artefact_passed"), "accepted_missing_count", "overlap_count",
         F.col("source_row_count").alias("artefact_rows"))
@@ -393,8 +394,10 @@ def _weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = gates.population_gate(lenses.raw_population(spark, sf_dir))
-    return weather.plr_weather_population(_weather(spark, sf_dir), split.accepted, split.rejected)
+    raw = lenses.raw_population(spark, sf_dir)
+    split = gates.population_gate(raw)
+    return weather.plr_weather_population(_weather(spark, sf_dir), split.accepted,
+                                          split.rejected, is_small(raw))
 
 
 @query
@@ -465,7 +468,7 @@ def status_reason_counts(spark, sf_dir):
 @query
 def final_checks(spark, sf_dir):
     """Coverage, exceptions and the explained-join audit of the final table."""
-    split = gates.population_gate(lenses.raw_population(spark, sf_dir))
+    split = gates.population_gate(lenses.raw_population(spark, sf_dir)).stored()
     zone_weather = cut_lineage(_weather(spark, sf_dir))
     final = cut_lineage(weather.plr_weather_population(zone_weather, split.accepted,
                                                        split.rejected))
@@ -671,10 +674,13 @@ def bridge_profile(spark, sf_dir):
 def bridge_references(spark, sf_dir):
     """Ids that only the bridge or only the zone and mesh sides know."""
     zones, cells = lenses.zones(spark, sf_dir), lenses.cells(spark, sf_dir)
-    known = zones.filter(F.substring("plr_id", 8, 1) != "7")
+    customers = lenses.table(spark, sf_dir, "customer").withColumn(
+        "plr_id", lenses.plr_id(F.col("c_custkey")))
+    known = zones.join(customers.filter("c_acctbal > 0").select("plr_id"), "plr_id", "left_semi")
     mesh = cells.join(lenses.table(spark, sf_dir, "part").filter("p_size > 5").select(
         F.col("p_partkey").cast("int").alias("cell_index")), "cell_index", "left_semi")
-    bridge = lenses.event_bridge(spark, sf_dir).filter(F.substring("plr_id", 8, 1) != "3")
+    bridge = lenses.event_bridge(spark, sf_dir).join(
+        customers.filter("c_nationkey <> 3").select("plr_id"), "plr_id", "left_semi")
     return profiles.bridge_references(bridge, known, mesh)
 
 
@@ -753,7 +759,7 @@ def mask_quality(spark, sf_dir):
 @query
 def zone_gate(spark, sf_dir):
     """First rejection reason per raw zone; duplicates all flagged, crossings found."""
-    split = gates.zone_gate(lenses.raw_zones(spark, sf_dir))
+    split = gates.zone_gate(cut_lineage(lenses.raw_zones(spark, sf_dir)))
     return split.classified.select("source_row_id", "plr_id", "rejection_reason", F.round(
         geom.area("geometry"), 3).alias("area_m2"))
 
@@ -785,14 +791,14 @@ def upsert(spark, sf_dir):
 def content_hash(spark, sf_dir):
     """Digest, size, payload problem and reuse decision per document."""
     docs = lenses.table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.encode("text", "UTF-8").alias("content"))
+        "doc_id", "lang", "n_chars", F.encode("text", "UTF-8").alias("content"))
     digest = manifests.with_digest(docs).select(
         F.col("doc_id").cast("string").alias("path"), F.col("lang").alias("indicator"),
         F.lit(None).cast("timestamp").alias("run_time_utc"), F.lit("PT000H00M").alias("lead_time"),
         F.lit(None).cast("timestamp").alias("valid_time_utc"), "sha256", "size_bytes",
-        "payload_problem", "doc_id")
-    known = digest.filter(F.col("doc_id") % 5 != 0).withColumn("sha256", F.when(
-        F.col("doc_id") % 7 == 0, F.lit("0" * 64)).otherwise(F.col("sha256")))
+        "payload_problem", "doc_id", "n_chars")
+    known = digest.filter(F.col("indicator") != "fr").withColumn("sha256", F.when(
+        F.col("n_chars") > 2000, F.lit("0" * 64)).otherwise(F.col("sha256")))
     judged = manifests.reuse_decision(digest, known.drop("doc_id"))
     return judged.select("doc_id", "sha256", "size_bytes", "payload_problem", "decision")
 

@@ -635,8 +635,9 @@ add("bridge_profile", BRIDGE, """SELECT plr_id, count(DISTINCT cell) AS icon_cel
   max(area) AS plr_area_m2, round(sum(a) / max(area), 3) AS coverage_ratio FROM bridge GROUP BY plr_id""")
 
 add("bridge_references", LINKS + """,
-b AS (SELECT DISTINCT plr_id, cell FROM links WHERE plr_id[8] <> '3'),
-z AS (SELECT DISTINCT plr_id FROM links WHERE plr_id[8] <> '7')""",
+c AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS plr_id, c_acctbal, c_nationkey FROM customer),
+b AS (SELECT DISTINCT plr_id, cell FROM links JOIN c USING (plr_id) WHERE c_nationkey <> 3),
+z AS (SELECT plr_id FROM c WHERE c_acctbal > 0)""",
     """SELECT 'zone' AS kind, plr_id AS id, 'missing_from_bridge' AS difference FROM z
   WHERE plr_id NOT IN (SELECT plr_id FROM b)
 UNION ALL SELECT DISTINCT 'zone', plr_id, 'unexpected_in_bridge' FROM b
@@ -714,7 +715,7 @@ add("upsert", """n AS (SELECT o_custkey AS key, max(o_totalprice) AS amount FROM
 add("content_hash", "", """SELECT doc_id, sha256(text) AS sha256, strlen(text) AS size_bytes,
   CASE WHEN text = '' THEN 'empty_payload' WHEN regexp_matches(lower(text[1:500]), '^\\s*(<html|<!doctype html)')
     THEN 'html_payload' END AS payload_problem,
-  CASE WHEN doc_id % 5 = 0 THEN 'missing' WHEN doc_id % 7 = 0 THEN 'replace' ELSE 'reuse' END AS decision
+  CASE WHEN lang = 'fr' THEN 'missing' WHEN n_chars > 2000 THEN 'replace' ELSE 'reuse' END AS decision
   FROM documents""")
 
 add("page_payloads", """p AS (SELECT CASE WHEN html = '' THEN 'empty_payload'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus.operators.skew import lookup_join
@@ -55,8 +55,6 @@ def load_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def load_rows(df: DataFrame, columns: Sequence[str], path: str, mode: str = "append"):
     """Append projected rows and return the row count seen while writing."""
-    from pyspark.sql import Observation
-
     seen = Observation("load")
     rows = load_columns(df, columns).observe(seen, F.count(F.lit(1)).alias("row_count"))
     rows.write.mode(mode).parquet(path)

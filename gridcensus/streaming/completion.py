@@ -10,21 +10,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcensus.functions.fields import indicator_bit
 from gridcensus.schemas import INDICATORS
 from gridcensus.session import shared_folder
 
 
-def indicator_bit(indicator: Column, indicators: Sequence[str] = INDICATORS) -> Column:
-    """A power of two per expected indicator, 0 for any other."""
-    bit = F.lit(0)
-    for position, name in enumerate(indicators):
-        bit = F.when(indicator == name, 1 << position).otherwise(bit)
-    return bit
-
-
 def completion_state(arrivals: DataFrame, lateness: str = "2 days",
                      indicators: Sequence[str] = INDICATORS) -> DataFrame:
     """Streaming aggregate: arrived indicators per (run, lead), late arrivals dropped.
