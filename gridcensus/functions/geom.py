@@ -251,6 +251,11 @@ def within_distance(a: str, b: str, radius: float) -> Column:
     return distance(a, b) <= radius
 
 
+def intersects(a: str, b: str) -> Column:
+    """True when the geometries share at least a point."""
+    return distance(a, b) == 0
+
+
 def rings_are_closed(geometry: str) -> Column:
     """Every ring has at least four points, finite coordinates and ends where it starts."""
     return F.expr(

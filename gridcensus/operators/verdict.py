@@ -53,6 +53,13 @@ def enforce(verdict: DataFrame, message: str = "check failed") -> DataFrame:
     return verdict
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """Raise when a frame that must hold something is empty."""
+    if not df.limit(1).count():
+        raise CheckFailed(f"{what} is empty")
+    return df
+
+
 def offenders(df: DataFrame, order_by, limit: int = 10) -> DataFrame:
     """First offenders in order, for a report."""
     return df.orderBy(order_by).limit(limit)
