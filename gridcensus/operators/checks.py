@@ -308,8 +308,8 @@ def scoped_partition_check(manifest: DataFrame, fields: DataFrame, mask: DataFra
         count_if(F.col("valid_time_utc") != valid_time(F.col("run_time_utc"), F.col("lead_time")))
         .alias("wrong_valid_time_indicator_count"))
 
-    scoped = fields.join(F.broadcast(scope.select(*PARTITION, *scope_columns[:3])),
-                         list(PARTITION), "left")
+    scoped = lookup_join(fields, scope.select(*PARTITION, *scope_columns[:3]), PARTITION, "left",
+                         ["indicator", "cell_index"])
     mask_key = [*scope_columns[:3], "cell_index"]
     held = lookup_join(scoped, mask.select(*mask_key).distinct().withColumn("_in", F.lit(True)),
                        mask_key, "left", [*PARTITION, "indicator", "cell_index"])

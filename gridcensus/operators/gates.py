@@ -208,7 +208,7 @@ def cell_gate(topology: DataFrame, vertices: DataFrame) -> Split:
         out_of_range = out_of_range | text.outside(lon, -180, 180) | text.outside(lat, -90, 90)
     early = text.first_match(
         (F.col("vertex_count") != 3, "invalid_vertex_count"),
-        (F.col("distinct_vertex_count") != 3, "repeated_vertex"),
+        (~F.col("corners_differ"), "repeated_vertex"),
         (any_missing, "missing_vertex_coordinate"),
         (out_of_range, "invalid_vertex_coordinate"))
     g = F.col("geometry")

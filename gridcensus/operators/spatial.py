@@ -324,10 +324,13 @@ def triangles(topology: DataFrame, vertices: DataFrame) -> DataFrame:
     picks = [F.max(F.when(F.col("vertex_order") == k, F.col(column))).alias(f"{short}_{k}")
              for k in range(3)
              for column, short in (("longitude_deg", "lon"), ("latitude_deg", "lat"))]
-    # Distinct indexes of a cell are few; the set keeps the aggregate to one shuffle.
+    # Three corners are distinct when the one between the smallest and the largest differs
+    # from both. That needs no set, so a cell with any number of rows stays one small state.
+    low, high, total = (f("vertex_index") for f in (F.min, F.max, F.sum))
+    middle = total - low - high
     return joined.groupBy("source_grid_id", "cell_index").agg(
         F.count("*").alias("vertex_count"),
-        F.size(F.collect_set("vertex_index")).alias("distinct_vertex_count"), *picks)
+        ((low < middle) & (middle < high)).alias("corners_differ"), *picks)
 
 
 def triangle_geometry() -> Column:

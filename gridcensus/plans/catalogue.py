@@ -509,7 +509,7 @@ def partition_complete_scoped(spark, sf_dir):
     first = field.agg(F.min("run_time_utc")).scalar()
     last = field.agg(F.max("run_time_utc")).scalar()
     stray = field.filter((F.col("run_time_utc") == first) & (F.col("indicator") == "T_2M")).join(
-        F.broadcast(mask), "cell_index", "left_anti")
+        mask, "cell_index", "left_anti")
     scope = {"source_grid_id": F.lit(lenses.GRID), "geography_version": F.lit(lenses.VERSION),
              "mask_buffer_m": F.lit(5000)}
     sources = manifest.filter(~((F.col("run_time_utc") == last)
@@ -621,7 +621,7 @@ def triangle_build(spark, sf_dir):
     topology, vertices = lenses.mesh(spark, sf_dir)
     c = gates.cell_gate(topology, vertices).classified
     return c.select(F.col("cell_index").cast("bigint").alias("cell_index"), "rejection_reason",
-                    F.round("icon_cell_area_m2", 1).alias("area_m2"))
+                    F.round("icon_cell_area_m2").alias("area_m2"))
 
 
 @query

@@ -598,7 +598,7 @@ add("zone_area_profile", SHAPES, """SELECT count(*) AS zone_count, min(x) AS min
 add("triangle_build", LATTICE, """SELECT cell AS cell_index, CASE d WHEN 1 THEN 'invalid_vertex_count'
   WHEN 2 THEN 'repeated_vertex' WHEN 3 THEN 'missing_vertex_coordinate'
   WHEN 4 THEN 'invalid_vertex_coordinate' END AS rejection_reason,
-  CASE WHEN d NOT IN (1, 2, 3, 4) THEN round(abs((x1 - x0) * (y2 - y0) - (x2 - x0) * (y1 - y0)) / 2, 1) END
+  CASE WHEN d NOT IN (1, 2, 3, 4) THEN round(abs((x1 - x0) * (y2 - y0) - (x2 - x0) * (y1 - y0)) / 2) END
   AS area_m2 FROM planar""")
 
 add("mesh_profile", """c AS (SELECT p_partkey AS k, p_partkey % 23 AS d, p_partkey % 2 AS half,

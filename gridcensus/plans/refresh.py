@@ -98,7 +98,7 @@ def refresh_mask(zones: DataFrame, cells: DataFrame, bridge: DataFrame,
     key = ["geography_version", "source_grid_id", "mask_buffer_m"]
     cell = ["geography_version", "source_grid_id", "cell_index"]
     used = bridge.select(*cell).distinct().join(
-        F.broadcast(built.select(*cell[:2]).distinct()), cell[:2], "left_semi")
+        built.select(*cell[:2]).distinct(), cell[:2], "left_semi")
     summary = side_by_side(
         built.sparkSession, built.agg(F.count("*").alias("mask_cell_count")),
         used.agg(F.count("*").alias("bridge_cell_count")),

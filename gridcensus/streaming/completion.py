@@ -50,12 +50,14 @@ def run_available(arrivals: DataFrame, name: str, lateness: str = "2 days",
         (complete_forecasts(batch, indicators).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{out}/part={batch_id}"))
 
+    schema = "run_time_utc timestamp, lead_time string, arrived int, batch_id int"
+    # Keeps the output readable when nothing has arrived yet.
+    spark.createDataFrame([], schema).write.parquet(f"{out}/part=none")
     query = (completion_state(arrivals, lateness, indicators).writeStream.outputMode("update")
              .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
              .foreachBatch(emit).start())
     if not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream {name} did not finish within {timeout_s} s")
-    schema = "run_time_utc timestamp, lead_time string, arrived int, batch_id int"
     found = spark.read.schema(schema).parquet(f"{out}/*")
     return found.groupBy("run_time_utc", "lead_time").agg(F.min("batch_id").alias("batch_id"))

@@ -153,3 +153,8 @@ def test_stream_drops_late_arrivals(spark, tmp_path):
     next_file([(hour(0, 1), LEADS[0], "V_10M")])
     rows = completion.run_available(arrivals(spark, path), "late", "2 days").collect()
     assert [r["run_time_utc"] for r in rows] == [hour(0, 20)]
+
+
+def test_stream_without_arrivals(spark, tmp_path):
+    spark.createDataFrame([], OBSERVED).write.parquet(str(tmp_path / "none"))
+    assert completion.run_available(arrivals(spark, str(tmp_path / "none")), "none").count() == 0
