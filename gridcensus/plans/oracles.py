@@ -300,7 +300,9 @@ add("sentinel_audit", TEMP, """SELECT run AS run_time_utc, count(*) AS row_count
   count(*) FILTER (d = 1) AS missing_count, CAST(0 AS BIGINT) AS non_finite_count,
   count(*) FILTER (d <> 1 AND abs(c - (k - 273.15)) > 1e-6) AS inconsistent_count,
   round(min(k) FILTER (d <> 1), 6) AS min_k, round(max(k) FILTER (d <> 1), 6) AS max_k,
-  false AS passed FROM temp GROUP BY run""")
+  count(*) FILTER (d IN (2, 3)) = 0 AND count(*) FILTER (d <> 1 AND abs(c - (k - 273.15)) > 1e-6) = 0
+    AND min(k) FILTER (d <> 1) >= 253 AND max(k) FILTER (d <> 1) <= 313 AS passed
+  FROM temp GROUP BY run""")
 
 add("temperature_profile", TEMP + ",\n" + LINKS + """,
 wanted AS (SELECT DISTINCT cell FROM links),
