@@ -1,8 +1,8 @@
-"""Session defaults and shared-folder checkpoints."""
+"""Session defaults and tables kept in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,22 +31,37 @@ def spark_session(app_name: str = "gridcensus", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder: on a cluster such a
-    folder lives on one machine, so the missing setting is an error there.
+    Where that is unset it becomes a folder of the warehouse, which executors share as well;
+    a machine's own temporary folder is never taken.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="gridcensus-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+_STORED: list[str] = []
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives the loss of executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    The copy survives the loss of executors, keeps columns apart for pruning, and gives the
+    planner true sizes. ``release_stored`` deletes the copies once their readers are done.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STORED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Delete every copy ``cut_lineage`` made in this process; returns how many."""
+    count = 0
+    while _STORED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        count += bool(files.delete(path, True))
+    return count

@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from gridcensus.plans.catalogue import QUERIES
 from tests.compare import connect, difference
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,7 +17,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     assert name in oracle_sql()
     assert difference(spark, duck, name, SF) is None

@@ -92,17 +92,23 @@ def test_buffer_from_environment(monkeypatch):
         checks.mask_buffer_from_env()
 
 
-def test_shared_folder_is_required_on_a_cluster(spark):
+def test_shared_folder_falls_back_to_the_warehouse(spark):
     from gridcensus.session import shared_folder
 
-    class Conf:
-        def get(self, key, default=None):
-            return default
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
 
-    class Cluster:
-        conf = Conf()
-        sparkContext = type("C", (), {"master": "yarn"})()
+    class Session:
+        conf = Conf({"spark.sql.warehouse.dir": "hdfs:///warehouse"})
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster())
+    assert shared_folder(Session()) == "hdfs:///warehouse/_checkpoints"
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_stored_tables_keep_rows_and_can_be_released(spark):
+    from gridcensus.session import cut_lineage, release_stored
+
+    stored = cut_lineage(spark.range(7))
+    assert stored.count() == 7 and stored.schema == spark.range(7).schema
+    assert release_stored(spark) >= 1
