@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+import zipfile
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -65,3 +68,29 @@ def release_stored(spark: SparkSession) -> int:
         files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         count += bool(files.delete(path, True))
     return count
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers of ``spark``, once per application.
+
+    Functions that run in Python workers are looked up there by module name, so the package must
+    be importable wherever a worker starts.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.join(SparkFiles.getRootDirectory(), "package")
+    os.makedirs(folder, exist_ok=True)
+    archive = os.path.join(folder, os.path.basename(package) + ".zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for top, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(top, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
