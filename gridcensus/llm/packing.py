@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.llm import arrow_text
 from gridcensus.llm.token_ids import word_ids
-from gridcensus.session import cut_lineage
+from gridcensus.session import cut_lineage, ship_package
 
 END_ID = 1
 
@@ -48,6 +48,7 @@ def token_pieces(docs: DataFrame, path: str, limits: Limits = Limits(),
     ids_crc32 over little-endian unsigned 32-bit ids, doc_tokens, and ``ids`` on request. A NULL
     or empty text is one piece with the end id alone.
     """
+    ship_package(docs.sparkSession)
     picked = docs.select("doc_id", "text")
     size = min(limits.tokens, limits.loss)
     kind = dict(picked.dtypes)["doc_id"]
@@ -122,6 +123,7 @@ def pack(pieces: DataFrame, limits: Limits = Limits(), group_rows: int = GROUP_R
     Rows that repeat are packed each. Sequence ids are unique, not consecutive: the group in the
     high bits, the bin in the low 32.
     """
+    ship_package(pieces.sparkSession)
     pieces = cut_lineage(pieces)
     full = (F.col("length") == limits.tokens) | (F.col("loss") == limits.loss)
     counted = pieces.agg(F.count(F.when(~full, 1)).alias("rest")).first()
@@ -133,7 +135,7 @@ def pack(pieces: DataFrame, limits: Limits = Limits(), group_rows: int = GROUP_R
     def place(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start"], kind="stable", ignore_index=True)
         number, offset = fill(group["length"].to_numpy(), group["loss"].to_numpy(), limits)
-        group["sequence_id"] = ((group["_group"].astype("int64") + 1) << 32) + number
+        group["sequence_id"] = (group["_group"].astype("int64") + 1) * 2**32 + number
         group["offset"] = offset
         return group.drop(columns="_group")
 

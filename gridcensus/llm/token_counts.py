@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from gridcensus.llm import arrow_text, word_split
 from gridcensus.llm.count_transducer import transducer
 from gridcensus.llm.piece_table import PieceValues
+from gridcensus.session import ship_package
 
 SPECIAL = "<|endoftext|>"
 LIMIT = 512
@@ -62,6 +63,7 @@ def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id",
     ``path`` names a byte-level vocabulary file that every worker can open. A map without a
     shuffle; only the two columns named are read.
     """
+    ship_package(docs.sparkSession)
     picked = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))
     kind = dict(picked.dtypes)["doc_id"]
 
