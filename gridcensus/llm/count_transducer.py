@@ -26,7 +26,8 @@ def byte_letters() -> dict[str, int]:
 
 
 class CountTransducer:
-    MOST_MOVES = 600_000
+    #: Compiled moves and remembered pair tests, each, before a worker starts anew.
+    MOST = 450_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -43,7 +44,7 @@ class CountTransducer:
             self._merge[self._entry[left], self._entry[right]] = rank, self._entry[left + right]
         self._begins = {t[:k] for t in self._entry for k in range(len(t))}
         self._whole: dict[bytes, bool] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -72,9 +73,10 @@ class CountTransducer:
             if token not in self._whole:
                 self._whole[token] = len(self.merged(token)) == 1
             return self._whole[token]
-        pair = before, self._entry[token]
+        after = self._entry[token]
+        pair = before << 32 | after
         if pair not in self._pairs:
-            self._pairs[pair] = self.merged(self._bytes[before] + token) == list(pair)
+            self._pairs[pair] = self.merged(self._bytes[before] + token) == [before, after]
         return self._pairs[pair]
 
     def _compile(self, state: int, byte: int) -> tuple[int, int]:
@@ -91,15 +93,19 @@ class CountTransducer:
 
     def count(self, piece: bytes) -> int:
         """Tokens of one piece: the sum of what its transitions emit."""
-        if len(self._next) > self.MOST_MOVES:
+        if len(self._next) > self.MOST:
             self._reset()
+        if max(len(self._pairs), len(self._whole)) > self.MOST:
+            self._pairs.clear()
+            self._whole.clear()
         total, state, known = 0, 0, self._next
         for byte in piece:
             move = known.get(state << 8 | byte)
             if move is None:
-                move = known[state << 8 | byte] = self._compile(state, byte)
-            state = move[0]
-            total += move[1]
+                target, emitted = self._compile(state, byte)
+                move = known[state << 8 | byte] = target << 16 | emitted + 0x8000
+            state = move >> 16
+            total += (move & 0xFFFF) - 0x8000
         return total
 
     def counts(self, pieces: list[bytes]) -> list[int]:

@@ -29,7 +29,7 @@ LIMIT = 512
 
 @cache
 def _values(path: str) -> PieceValues:
-    return PieceValues(transducer(path).counts)
+    return PieceValues(transducer(path).counts, 300_000)
 
 
 def count_slice(data: np.ndarray, offsets: np.ndarray, path: str) -> np.ndarray:
@@ -71,7 +71,7 @@ def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id",
         for batch in batches:
             data, offsets = arrow_text.flat_text(batch.column("text"))
             tokens = [count_slice(part, at, path)
-                      for _, _, part, at in arrow_text.slices(data, offsets)]
+                      for _, _, part, at in arrow_text.slices(data, offsets, 2_000_000)]
             tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "n_bytes": pa.array(np.diff(offsets)),
