@@ -131,6 +131,16 @@ def _counted(batches):
                                "counts": pa.array(rows, pa.binary())})
 
 
+def leading(matrix: np.ndarray, rank: int, extra: int = 16, rounds: int = 8) -> np.ndarray:
+    """Leading right singular vectors by subspace iteration from a fixed random start."""
+    start = np.random.Generator(np.random.PCG64(11)).standard_normal((matrix.shape[1], rank + extra))
+    basis = np.linalg.qr(start.astype(np.float32))[0]
+    for _ in range(rounds):
+        basis = np.linalg.qr(matrix.T @ (matrix @ basis))[0]
+    _, _, turn = np.linalg.svd(matrix @ basis, full_matrices=False)
+    return np.ascontiguousarray((basis @ turn.T)[:, :rank])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
         rank: int = RANK, neighbours: int = NEIGHBOURS, folds: int = FOLDS) -> Model:
     """Fit on at most ``sample`` labelled documents outside the held-out fold.
@@ -149,8 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     truth = np.array([y for y, _ in rows])
     rarity = np.log1p(len(counts) / (1 + (counts > 0).sum(0))).astype(np.float32)
     matrix = weighted(counts, rarity)
-    _, vectors = np.linalg.eigh((matrix.T @ matrix).astype(np.float64))
-    loadings = np.ascontiguousarray(vectors[:, ::-1][:, :rank]).astype(np.float32)
+    loadings = leading(matrix, rank)
     bare = Model(rarity, loadings, np.zeros((0, rank), np.float32), truth, neighbours)
     return Model(rarity, loadings, bare.project(counts).astype(np.float32), truth, neighbours)
 

@@ -6,13 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcensus.llm import packing, quality, secret_scan, shards, token_counts
+from gridcensus.llm import (decontaminate, line_dedup, packing, quality, secret_scan, shards,
+                            token_counts, url_lists)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.cleaned(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "removed", "text")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -42,6 +53,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_lists.evaluate(url_lists.dated_captures(pages), url_lists.derived_entries(pages))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_token_counts, op5_sharding, op6_packing, op7_quality, op8_secret_scan)}
-ORACLES: dict[str, str] = {}
+    op1_decontaminate, op3_token_counts, op4_line_dedup, op5_sharding, op6_packing, op7_quality,
+    op8_secret_scan, op10_url_lists)}
+ORACLES = {"op1_decontaminate": decontaminate.SQL, "op10_url_lists": url_lists.SQL}
