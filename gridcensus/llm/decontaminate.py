@@ -73,9 +73,9 @@ def without_contaminated(docs: DataFrame, items: DataFrame,
 
 SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
-                                      x -> x <> '') AS a FROM documents),
+                                      lambda x: x <> '') AS a FROM documents),
 b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
-                                  x -> x <> '') AS a FROM benchmark),
+                                  lambda x: x <> '') AS a FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, array_to_string(a[i:i+4], ' ') AS g
        FROM (SELECT doc_id, a, unnest(range(1, len(a) - 3)) AS i FROM d)),
 bs AS (SELECT DISTINCT item_id, array_to_string(a[i:i+4], ' ') AS g

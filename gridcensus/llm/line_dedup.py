@@ -24,6 +24,7 @@ from __future__ import annotations
 from hashlib import blake2b
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,37 +116,39 @@ def cleaned(docs: DataFrame, least: int = WORDS) -> DataFrame:
 
     ``removed`` are the deleted ranges of line numbers from 0, ends included.
     """
-    runs = cut_lineage(repeated_runs(docs, least))
+    runs = cut_lineage(repeated_runs(docs, least)).hint("shuffle_hash")
     columns = [c for c in docs.columns if c != "text"]
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    rows = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (rows["_text"] == runs["_text"]), "left")
-    spans = F.transform("spans", lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
-    changed = rows.where("spans IS NOT NULL").select(*columns, "text", spans.alias("spans"))
-    lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
-    same = rows.where("spans IS NULL").select(
-        *columns, "text", lines.alias("n_lines"), F.lit(0).alias("n_removed"),
-        F.lit(None).cast("array<struct<first:int,last:int>>").alias("removed"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.select(*columns).dtypes)
+    keyed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], "text",
+                        F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_key"))
+    rows = keyed.join(runs, keyed["_doc"].eqNullSafe(runs["_id"]) & (
+        keyed["_key"] == runs["_text"]), "left").select(
+        *[f"c{i}" for i in range(len(columns))], "text", "spans")
+    kinds = [f"c{i} {t}" for i, (_, t) in enumerate(docs.select(*columns).dtypes)]
+    ranges = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
     def delete(batches):
         for batch in batches:
-            texts, total, gone, ranges = [], [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(),
-                                   batch.column("spans").to_pylist()):
-                lines, cut = text.split("\n"), merged(spans)
-                drop = {i for a, b in cut for i in range(a, b + 1)}
-                texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop))
-                total.append(len(lines))
-                gone.append(len(drop))
-                ranges.append([{"first": a, "last": b} for a, b in cut])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in columns] + [
-                    pa.array(texts, pa.string()), pa.array(total, pa.int32()),
-                    pa.array(gone, pa.int32()), pa.array(ranges, pa.list_(pa.struct(
-                        [("first", pa.int32()), ("last", pa.int32())])))],
-                names=[*columns, "text", "n_lines", "n_removed", "removed"])
-
-    edited = changed.mapInArrow(delete, ", ".join(filter(None, [
-        schema, "text string, n_lines int, n_removed int, removed array<struct<first:int,last:int>>"])))
-    return same.unionByName(edited)
+            text, spans = batch.column("text"), batch.column("spans").to_pylist()
+            lines = pc.add(pc.count_substring(text, "\n"), 1).fill_null(0).cast(pa.int32())
+            edited, cuts, gone = [], [], []
+            for row, found in enumerate(spans):
+                cuts.append(None)
+                gone.append(0)
+                if found is not None:
+                    cut = merged(found)
+                    drop = {i for a, b in cut for i in range(a, b + 1)}
+                    edited.append("\n".join(x for i, x in enumerate(
+                        text[row].as_py().split("\n")) if i not in drop))
+                    cuts[-1] = [{"first": a, "last": b} for a, b in cut]
+                    gone[-1] = len(drop)
+            text = pc.replace_with_mask(text, pa.array([s is not None for s in spans], pa.bool_()),
+                                        pa.array(edited, text.type))
+            yield pa.record_batch({
+                **{f"c{i}": batch.column(f"c{i}") for i in range(len(columns))}, "text": text,
+                "n_lines": lines, "n_removed": pa.array(gone, pa.int32()),
+                "removed": pa.array(cuts, ranges)})
+
+    out = rows.mapInArrow(delete, ", ".join(kinds + [
+        "text string, n_lines int, n_removed int, removed array<struct<first:int,last:int>>"]))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)],
+                      "text", "n_lines", "n_removed", "removed")

@@ -136,7 +136,7 @@ l AS (SELECT *, string_split(host, '.') AS labels FROM p),
 k AS (
   SELECT page_id, url, fetched_on, unnest(list_concat(
     list_transform(range(1, greatest(len(labels) - 1, 1) + 1),
-                   i -> array_to_string(labels[i:], '.')),
+                   lambda i: array_to_string(labels[i:], '.')),
     CASE WHEN part <> '' THEN [host || '/' || part] ELSE [] END)) AS pattern
   FROM l WHERE host IS NOT NULL),
 found AS (SELECT DISTINCT pattern FROM k
