@@ -164,16 +164,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     return Model(rarity, loadings, bare.project(counts).astype(np.float32), truth, neighbours)
 
 
+def accepted(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
+    """The documents that the model does not reject, with their columns."""
+    names = [f"k{i}" if c != "text" else c for i, c in enumerate(docs.columns)]
+    scored = score(docs.toDF(*names), model, names, accept)
+    return scored.where("predicted = 1").select(*[
+        F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+
+
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None,
           accept: float = ACCEPT) -> DataFrame:
     """Columns ``keep`` (doc_id if not given) of every document with score and predicted."""
     spark = docs.sparkSession
     ship_package(spark)
     keep = keep or ["doc_id"]
-    picked = docs.select("text", *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)])
+    named = [(f"_{i}", c) for i, c in enumerate(keep) if c != "text"]
+    picked = docs.select("text", *[F.col(c).alias(n) for n, c in named])
     shared = spark.sparkContext.broadcast(model)
     kinds = dict(picked.dtypes)
-    schema = ", ".join(f"_{i} {kinds[f'_{i}']}" for i in range(len(keep)))
+    out_columns = [n for n, _ in named] + ["text"] * ("text" in keep)
+    schema = "".join(f"{n} {kinds[n]}, " for n in out_columns)
 
     def run(batches):
         for batch in batches:
@@ -181,10 +191,11 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None,
             found = [shared.value.scores(term_counts(part, at))
                      for _, _, part, at in arrow_text.slices(data, offsets, 2_000_000)]
             found = np.concatenate(found) if found else np.zeros(0)
-            yield pa.record_batch({f"_{i}": batch.column(f"_{i}") for i in range(len(keep))} | {
+            yield pa.record_batch({n: batch.column(n) for n in out_columns} | {
                 "_score": pa.array(found, pa.float64())})
 
-    out = picked.mapInArrow(run, f"{schema}, _score double")
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)],
+    out = picked.mapInArrow(run, f"{schema}_score double")
+    name_of = {c: n for n, c in named} | {"text": "text"}
+    return out.select(*[F.col(name_of[c]).alias(c) for c in keep],
                       F.col("_score").alias("score"),
                       (F.col("_score") >= accept).cast("int").alias("predicted"))

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcensus.llm import (decontaminate, line_dedup, packing, quality, secret_scan, shards,
-                            token_counts, url_lists)
+from gridcensus.llm import (decontaminate, line_dedup, near_text, near_vectors, packing, quality,
+                            secret_scan, shards, token_counts, url_lists)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.cleaned(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", "removed", "text")
@@ -53,12 +57,16 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_lists.evaluate(url_lists.dated_captures(pages), url_lists.derived_entries(pages))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op3_token_counts, op4_line_dedup, op5_sharding, op6_packing, op7_quality,
-    op8_secret_scan, op10_url_lists)}
+    op1_decontaminate, op2_near_dedup, op3_token_counts, op4_line_dedup, op5_sharding, op6_packing, op7_quality,
+    op8_secret_scan, op9_near_vectors, op10_url_lists)}
 ORACLES = {"op1_decontaminate": decontaminate.SQL, "op10_url_lists": url_lists.SQL}
