@@ -32,7 +32,7 @@ from gridcensus.llm.graph import components
 from gridcensus.llm.words import small
 from gridcensus.session import cut_lineage, ship_package
 
-COSINE, BLOCK, TILE, CHUNK = 0.9, 16, 16_384, 256
+COSINE, BLOCK, TILE, CHUNK = 0.9, 16, 16_384, 64
 _SLACK = 1e-9
 
 
@@ -119,7 +119,7 @@ def linked(left: np.ndarray, right: np.ndarray | None, number: int, cosine: floa
     """
     dims = left.shape[1]
     other = left if right is None else right
-    turned, against = left @ _rotation(dims), other @ _rotation(dims)
+    turned, against = (np.round(x @ _rotation(dims), 12) for x in (left, other))
     spans = blocks(dims, block)
     budgets = [(2 - 2 * cosine) * (b - a) / dims + _SLACK for a, b in spans]
 
@@ -127,18 +127,24 @@ def linked(left: np.ndarray, right: np.ndarray | None, number: int, cosine: floa
         x, y = turned[i, span[0]:span[1]], against[j, span[0]:span[1]]
         return ((x - y)**2).sum(1)
 
+    # one product in single precision gives all squared distances of the block; its slack lets
+    # through whatever the exact test below could accept
     first, last = spans[number]
-    norm = (against[:, first:last]**2).sum(1)
+    one = lambda x: np.ones((len(x), 1))
+    square = lambda x: (x[:, first:last]**2).sum(1, keepdims=True)
+    rows = np.hstack([-2 * turned[:, first:last], square(turned), one(turned)]).astype(np.float32)
+    columns = np.ascontiguousarray(np.hstack(
+        [against[:, first:last], one(against), square(against)]).astype(np.float32).T)
+    most = np.float32(budgets[number] + 1e-5)
     for at in range(0, len(left), CHUNK):
-        part = turned[at:at + CHUNK, first:last]
-        near = (part**2).sum(1)[:, None] + norm - 2 * part @ against[:, first:last].T
-        near = near <= budgets[number] + 1e-7
-        if right is None:
-            near &= np.arange(len(other)) > np.arange(at, at + len(part))[:, None]
+        past = at if right is None else 0
+        near = rows[at:at + CHUNK] @ columns[:, past:] <= most
         if near.mean() > 0.02:  # a dense part: all cosines at once
-            near &= left[at:at + CHUNK] @ other.T >= cosine - 1e-12
-        i, j = np.nonzero(near)
-        i += at
+            near &= left[at:at + CHUNK] @ other[past:].T >= cosine - 1e-12
+        i, j = np.divmod(np.flatnonzero(near), near.shape[1])
+        i, j = i + at, j + past
+        if right is None:
+            i, j = i[j > i], j[j > i]
         for cut in range(0, len(i), 100_000):
             a, b = i[cut:cut + 100_000], j[cut:cut + 100_000]
             keep = np.einsum("ij,ij->i", left[a], other[b]) >= cosine
