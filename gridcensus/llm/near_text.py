@@ -4,13 +4,15 @@ Texts of the same words are one class and are compared once. Every class has a s
 ``BANDS x ROWS`` slots; classes that share a band's key are candidates. At similarity 0.8 a pair
 shares none of the bands with probability (1 - 0.8**ROWS)**BANDS, about 5e-6.
 
-Buckets may be crowded, by true copies or by a passage that many documents share, so pairs are
-never listed for a whole bucket. First each member is compared with the bucket's first only; the
-links found join most copies to components. What is left to compare are pairs of one bucket in
-different components. Their number is known before they are listed; a bucket with more than
-``CROWDED`` of them is split by a second band (and, if need be, a third), which keeps every pair
-that agrees there too and loses none of the candidates' recall: a pair similar enough agrees in
-many bands.
+Buckets may be crowded, by true copies or by a passage that many documents share, so the pairs
+of a bucket are never listed. First each member is compared with the bucket's hub only, the
+member that shares most with others; the links found join nearly all copies to components. What
+is left are pairs of one bucket in different components. They are compared by their signatures,
+of which every slot keeps one byte, inside a task, and only pairs that agree in at least
+``AGREE`` of the slots come out, to be verified exactly; a pair at similarity 0.8 agrees in fewer
+with probability about 5e-5. The number of a bucket's open pairs is known before: one with more
+than ``CROWDED`` of them is split by a second band (and, if need be, a third). A pair similar
+enough agrees in many bands, so it meets again there.
 
 A link is a pair whose exact probability Jaccard similarity of counted five-word shingles is at
 least 0.8. The group of a document is its component over all links.
@@ -33,7 +35,8 @@ from gridcensus.llm.graph import components
 from gridcensus.llm.words import SIMILARITY, small, word_hashes
 from gridcensus.session import cut_lineage, ship_package
 
-BANDS, ROWS, CROWDED, LEVELS = 40, 6, 20_000, 3
+BANDS, ROWS, CROWDED, LEVELS, AGREE = 40, 6, 1_000_000, 3, 0.7
+BIN_ROWS = 20_000
 _SLICE_WORDS = 400_000
 
 
@@ -44,7 +47,10 @@ def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, c1, c2 (128 bits of the word sequence) and the band keys; NULL keys without words."""
+    """id, c1, c2 (128 bits of the word sequence), band keys and a byte of every slot.
+
+    The keys are NULL without words.
+    """
     ship_package(docs.sparkSession)
     hashed = docs.select(F.col("doc_id").alias("id"), word_hashes(F.col("text")).alias("words"))
     hashed = hashed.select("id", F.xxhash64("words").alias("c1"),
@@ -72,10 +78,14 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                                                  mask=pa.array(~filled))
                 part = batch.slice(first, end - first)
                 yield pa.record_batch({"id": part.column("id"), "c1": part.column("c1"),
-                                       "c2": part.column("c2"), "keys": lists})
+                                       "c2": part.column("c2"), "keys": lists,
+                                       "sketch": pa.array([r.tobytes() for r in (
+                                           signature & np.uint64(255)).astype(np.uint8)],
+                                           pa.binary())})
                 first = end
 
-    return hashed.mapInArrow(sign, f"id {kind}, c1 bigint, c2 bigint, keys array<bigint>")
+    return hashed.mapInArrow(sign, f"id {kind}, c1 bigint, c2 bigint, keys array<bigint>, "
+                                   "sketch binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -110,53 +120,108 @@ def _open_buckets(buckets: DataFrame) -> DataFrame:
         ((count * count - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
 
 
-def candidate_pairs(buckets: DataFrame, keys: DataFrame, crowded: int = CROWDED,
-                    levels: int = LEVELS) -> DataFrame:
-    """Pairs a < b that share a bucket (key, id, component) and lie in different components.
+def agreeing(sketch: np.ndarray, component: np.ndarray, agree: float):
+    """Index pairs (i < j) of different components that agree in a share ``agree`` of the bytes."""
+    n, slots = sketch.shape
+    step = max(1, 16_000_000 // (n * slots))
+    for at in range(0, n - 1, step):
+        apart = component[at:at + step, None] != component[None, at:]
+        apart &= np.arange(n - at) > np.arange(len(apart))[:, None]
+        i, j = np.nonzero(apart)
+        if not len(i):
+            continue
+        if len(i) * 4 < apart.size:  # few pairs: only those
+            same = (sketch[i + at] == sketch[j + at]).sum(1)
+        else:
+            same = (sketch[at:at + step, None, :] == sketch[None, at:, :]).sum(2)[i, j]
+        keep = same >= agree * slots
+        yield i[keep] + at, j[keep] + at
+
+
+def alike(buckets: DataFrame, sketches: DataFrame, agree: float) -> DataFrame:
+    """Pairs of one bucket (key, id, component) and different components with like sketches.
+
+    Many buckets go to a task, by a hash of their keys; rows come out for like pairs only.
+    """
+    bins = max(1, -(-buckets.count() // BIN_ROWS))
+    rows = buckets.join(sketches, "id").withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins)))
+    kind = dict(buckets.dtypes)["id"]
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("key", "ascending"), ("id", "ascending")])
+        keys = group.column("key").to_numpy()
+        component = group.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(
+            len(keys), -1)
+        starts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for first, end in zip(starts[:-1], starts[1:]):
+            for i, j in agreeing(sketch[first:end], component[first:end], agree):
+                a.append(i + first)
+                b.append(j + first)
+        ids = group.column("id")
+        found = pa.table({"a": ids.take(pa.array(np.concatenate(a))),
+                          "b": ids.take(pa.array(np.concatenate(b)))})
+        return found.group_by(["a", "b"]).aggregate([])
+
+    return rows.select("bin", "key", "id", "component", "sketch").groupBy("bin").applyInArrow(
+        compare, f"a {kind}, b {kind}")
+
+
+def candidate_pairs(buckets: DataFrame, classes: DataFrame, crowded: int = CROWDED,
+                    levels: int = LEVELS, agree: float = AGREE) -> DataFrame:
+    """Like pairs that share a bucket (key, id, component) and lie in different components.
 
     Crowded buckets are split by the members' other band keys, level by level.
     """
+    keys, sketches = classes.select("id", "keys"), classes.select("id", "sketch")
     found = None
     for level in range(levels):
         open_ = cut_lineage(_open_buckets(buckets))
         last = level == levels - 1
         calm = open_ if last else open_.where(F.col("pairs") <= crowded)
         rows = cut_lineage(buckets.join(calm.select("key"), "key", "left_semi"))
-        left = rows.select("key", F.col("id").alias("a"), F.col("component").alias("_ca"))
-        right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("_cb"))
-        pairs = left.join(right, "key").where("a < b AND _ca <> _cb").select("a", "b")
+        pairs = alike(rows, sketches, agree)
         found = pairs if found is None else found.unionByName(pairs)
         if last or open_.where(F.col("pairs") > crowded).isEmpty():
             break
         busy = buckets.join(open_.where(F.col("pairs") > crowded).select("key"), "key", "left_semi")
         buckets = cut_lineage(busy.join(keys, "id").select(
             "id", "component", F.col("key").alias("_key"), F.explode("keys").alias("_other")).where(
-            "_other <> _key").select("id", "component", F.xxhash64("_key", "_other").alias("key")))
+            "_other <> _key").select("id", "component", F.xxhash64(
+                F.least("_key", "_other"), F.greatest("_key", "_other")).alias("key")).distinct())
     return found.distinct()
 
 
+def hubs(buckets: DataFrame) -> DataFrame:
+    """key and hub of buckets (key, id, n): the member whose buckets hold most, then smallest id."""
+    shared = buckets.groupBy("id").agg(F.sum("n").alias("_met"))
+    return buckets.select("key", "id").join(shared, "id").groupBy("key").agg(
+        F.min(F.struct((-F.col("_met")).alias("_less"), "id")).alias("_best")).select(
+        "key", F.col("_best.id").alias("hub"))
+
+
 def near_groups(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
                 crowded: int = CROWDED) -> DataFrame:
     """doc_id, class_id (smallest id with the same words), group_id (smallest id of the
     component), kept (doc_id = group_id); one row per row of ``docs``."""
     marks = cut_lineage(signed(docs, bands, rows))
     classes = cut_lineage(marks.where("keys IS NOT NULL").groupBy("c1", "c2").agg(
-        F.min("id").alias("class_id"), F.any_value("keys").alias("keys")))
-    keys = classes.select(F.col("class_id").alias("id"), "keys")
-    rows_ = keys.select("id", F.explode("keys").alias("key"))
-    shared = rows_.groupBy("key").agg(F.count("*").alias("_n"), F.min("id").alias("first")).where(
-        "_n > 1").drop("_n")
-    buckets = cut_lineage(rows_.join(shared, "key"))
-    stars = cut_lineage(buckets.where("first < id").select(
-        F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+        F.min("id").alias("id"), F.any_value("keys").alias("keys"),
+        F.any_value("sketch").alias("sketch")))
+    placed = classes.select("id", F.explode("keys").alias("key"))
+    shared = placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = cut_lineage(placed.join(shared, "key"))
+    stars = cut_lineage(buckets.join(hubs(buckets), "key").where("hub <> id").select(
+        F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
     links = cut_lineage(verified(stars, docs, least))
     joined = components(links)
     labelled = cut_lineage(buckets.select("key", "id").join(joined, "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("component")))
-    rest = cut_lineage(candidate_pairs(labelled, keys, crowded).join(stars, ["a", "b"], "left_anti"))
+    rest = cut_lineage(candidate_pairs(labelled, classes, crowded))
     links = links.unionByName(verified(rest, docs, least))
     grouped = components(links).select(F.col("id").alias("class_id"), "component")
-    of_class = classes.select("c1", "c2", "class_id").join(grouped, "class_id", "left").select(
+    of_class = classes.select("c1", "c2", F.col("id").alias("class_id")).join(grouped, "class_id", "left").select(
         "c1", "c2", "class_id", F.coalesce("component", "class_id").alias("group_id"))
     found = marks.where("keys IS NOT NULL").select(F.col("id").alias("doc_id"), "c1", "c2").join(
         of_class, ["c1", "c2"]).select("doc_id", "class_id", "group_id")
