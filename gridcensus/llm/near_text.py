@@ -1,7 +1,8 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and exact verification.
 
 Texts of the same words are one class and are compared once. Every class has a signature of
-``BANDS x ROWS`` slots; classes that share a band's key are candidates. At similarity 0.8 a pair
+``SLOTS`` slots, the first ``BANDS x ROWS`` of which make bands; classes that share a band's key
+are candidates. At similarity 0.8 a pair
 shares none of the bands with probability (1 - 0.8**ROWS)**BANDS, about 5e-6.
 
 Buckets may be crowded, by true copies or by a passage that many documents share, so the pairs
@@ -35,7 +36,9 @@ from gridcensus.llm.graph import components
 from gridcensus.llm.words import SIMILARITY, small, word_hashes
 from gridcensus.session import cut_lineage, ship_package
 
-BANDS, ROWS, CROWDED, LEVELS, AGREE = 40, 6, 1_000_000, 3, 0.7
+BANDS, ROWS, CROWDED, LEVELS = 40, 6, 1_000_000, 3
+#: Slots of a signature (the first BANDS x ROWS make bands), and the share that must agree.
+SLOTS, AGREE = 480, 0.73
 BIN_ROWS = 20_000
 _SLICE_WORDS = 400_000
 
@@ -46,7 +49,8 @@ def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values, offsets
 
 
-def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
+           slots: int = SLOTS) -> DataFrame:
     """id, c1, c2 (128 bits of the word sequence), band keys and a byte of every slot.
 
     The keys are NULL without words.
@@ -70,8 +74,8 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 signature = prob_minhash.signatures(
                     np.concatenate([h for h, _ in parts]),
                     np.concatenate([c for _, c in parts]).astype(float), owner, end - first,
-                    bands * rows)
-                keys = prob_minhash.band_keys(signature, rows)
+                    slots)
+                keys = prob_minhash.band_keys(signature, bands, rows)
                 filled = np.diff(offsets[first:end + 1]) > 0
                 at = np.append(0, np.cumsum(np.where(filled, bands, 0))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(keys[filled].ravel()),

@@ -67,10 +67,9 @@ def signatures(hashes: np.ndarray, weights: np.ndarray, owner: np.ndarray, docs:
     return winner.reshape(docs, slots)
 
 
-def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
+def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """(docs, bands) keys, each of ``rows`` slots and the band's number."""
-    docs, slots = signature.shape
-    bands = slots // rows
+    docs = len(signature)
     parts = signature[:, :bands * rows].reshape(docs, bands, rows)
     keys = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64) * _G), (docs, bands))
     for k in range(rows):
