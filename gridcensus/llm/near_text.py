@@ -38,9 +38,9 @@ from gridcensus.session import cut_lineage, ship_package
 
 BANDS, ROWS, CROWDED, LEVELS = 40, 6, 1_000_000, 3
 #: Slots of a signature (the first BANDS x ROWS make bands), and the share that must agree.
-SLOTS, AGREE = 480, 0.73
+SLOTS, AGREE = 720, 0.742
 BIN_ROWS = 20_000
-_SLICE_WORDS = 400_000
+_SLICE_WORDS = 300_000
 
 
 def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
