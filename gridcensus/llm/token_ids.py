@@ -49,26 +49,26 @@ def _word_encoder(path: str):
 
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
+    added = spec["added_tokens"]
     bytes_only = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
                   "use_regex": False}
     spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
         "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, bytes_only]}}
+    special = [t["content"].encode() for t in added]
     suffix = spec["model"]["end_of_word_suffix"]
     closes = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
     closes[[i for t, i in spec["model"]["vocab"].items() if t.endswith(suffix)]] = True
     encoder = Tokenizer.from_str(json.dumps(spec))
     encoder.model._resize_cache(0)
-    return encoder, closes
+    return encoder, closes, special
 
 
 class WordIds:
     """Ids of words, kept flat: a word's value is where its ids begin and how many they are."""
 
-    def __init__(self, path: str, most: int = 600_000):
-        self._tokenizer = _tokenizer(path)
-        self._encoder, self._closes = _word_encoder(path)
-        self._special = [a.content.encode()
-                         for a in self._tokenizer.get_added_tokens_decoder().values()]
+    def __init__(self, path: str, most: int = 300_000):
+        self._path = path
+        self._encoder, self._closes, self._special = _word_encoder(path)
         self._words = PieceValues(self._encode, most, self._clear)
         self._clear()
 
@@ -132,7 +132,7 @@ class WordIds:
         for i in np.flatnonzero(slow):
             text = whole[offsets[i]:offsets[i + 1]].decode()
             found[i] = np.array(
-                self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                _tokenizer(self._path).encode(text, add_special_tokens=False).ids, np.uint32)
         rest = np.flatnonzero(~slow)
         if len(rest):
             parts = [whole[offsets[i]:offsets[i + 1]] for i in rest]
