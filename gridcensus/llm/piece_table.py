@@ -22,7 +22,7 @@ class _Powers:
 
     def grow(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
+            n = -(-n // 2**18) * 2**18
             for name, base in (("up", _STEP), ("down", pow(_STEP, -1, 2**64))):
                 factors = np.full(n, np.uint64(base))
                 factors[0] = 1
@@ -46,7 +46,7 @@ def piece_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.nda
 class PieceValues:
     """Integer value of each piece, computed once per distinct piece and kept while there is room."""
 
-    def __init__(self, compute: Callable[[list[bytes]], list[int]], most: int = 600_000,
+    def __init__(self, compute: Callable[[list[bytes]], list[int]], most: int = 250_000,
                  on_clear: Callable[[], None] | None = None):
         self._compute, self._most, self._known = compute, most, {}
         self._on_clear = on_clear or (lambda: None)

@@ -66,7 +66,7 @@ def _word_encoder(path: str):
 class WordIds:
     """Ids of words, kept flat: a word's value is where its ids begin and how many they are."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 250_000):
         self._path = path
         self._encoder, self._closes, self._special = _word_encoder(path)
         self._words = PieceValues(self._encode, most, self._clear)
