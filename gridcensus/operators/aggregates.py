@@ -63,9 +63,9 @@ def current_version(df: DataFrame, version: str = "geography_version",
             .orderBy(F.desc_nulls_last(stamp), F.desc(version)).limit(1))
 
 
-def weight_deviation(df: DataFrame, key: str, weight: str, tolerance: float) -> DataFrame:
+def weight_deviation(df: DataFrame, keys: Sequence[str], weight: str, tolerance: float) -> DataFrame:
     """Groups whose weights do not sum to one, and the largest deviation."""
-    sums = df.groupBy(key).agg(F.sum(weight).alias("_w"))
+    sums = df.groupBy(*keys).agg(F.sum(weight).alias("_w"))
     deviation = F.abs(F.col("_w") - 1.0)
     return sums.agg(count_if(deviation > tolerance).alias("weight_failure_count"),
                     F.coalesce(F.max(deviation), F.lit(0.0)).alias("max_weight_error"))
@@ -79,11 +79,11 @@ def top_ranked(df: DataFrame, order: Sequence[Column], limit: int = 10,
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Numeric columns as (column, value) rows; missing and non-finite values are dropped."""
+    """Numeric columns as (column, value) rows; missing values are dropped, infinite ones kept."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"),
                                F.col(c).cast("double").alias("value")) for c in columns])
     return (df.select(F.explode(pairs).alias("p")).select("p.column", "p.value")
-            .filter(F.abs("value") < float("inf")))
+            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
 _BUCKETS = 65536
@@ -100,7 +100,8 @@ def exact_medians(values: DataFrame) -> DataFrame:
     """
     value = F.col("value")
     magnitude = F.least(F.abs(value), F.lit(1e308))
-    exponent = F.when(value == 0, 0.0).otherwise(
+    exponent = F.when(value == 0, 0.0).when(
+        F.abs(value) == float("inf"), F.signum(value) * 4000.0).otherwise(
         F.signum(value) * (F.floor(F.log2(magnitude)) + 1100.0))
     buckets = values.groupBy("column", exponent.alias("bucket")).agg(
         F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))

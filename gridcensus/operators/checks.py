@@ -138,6 +138,10 @@ def bridge_summary(bridge: DataFrame) -> DataFrame:
                       F.count_distinct("cell_index").alias("represented_icon_cell_count"))
 
 
+#: One zone of one geography version on one grid: its weights sum to one.
+BRIDGE_KEY = ("geography_version", "source_grid_id", "plr_id")
+
+
 def bridge_check(bridge: DataFrame, zones: DataFrame, cells: DataFrame,
                  expected_zones: int | Column = schemas.EXPECTED_ZONE_COUNT,
                  tolerance: float = schemas.DEFAULT_WEIGHT_TOLERANCE) -> DataFrame:
@@ -145,7 +149,8 @@ def bridge_check(bridge: DataFrame, zones: DataFrame, cells: DataFrame,
     zone_key = ["plr_id", "geography_version"]
     plr, cell = F.col("fraction_of_plr"), F.col("fraction_of_icon_cell")
     areas = [F.col(c) <= 0 for c in ("intersection_area_m2", "plr_area_m2", "icon_cell_area_m2")]
-    deviation = weight_deviation(bridge, "plr_id", "fraction_of_plr", tolerance).select(
+    deviation = weight_deviation(
+        bridge, [c for c in BRIDGE_KEY if c in bridge.columns], "fraction_of_plr", tolerance).select(
         F.col("weight_failure_count").alias("plr_weight_failure_count"),
         F.col("max_weight_error").alias("max_plr_weight_error"))
     counts = side_by_side(
@@ -188,7 +193,8 @@ def bridge_contract(bridge: DataFrame, expected_zones: int | None = schemas.EXPE
                    count_if(not_positive).alias("nonpositive_count"),
                    count_if(above).alias("above_one_count")),
         duplicate_count(bridge, ["plr_id", "cell_index"], "duplicate_pair_count"),
-        weight_deviation(bridge, "plr_id", "fraction_of_plr", tolerance))
+        weight_deviation(bridge, [c for c in BRIDGE_KEY if c in bridge.columns], "fraction_of_plr",
+                         tolerance))
     expected = F.lit(True) if expected_zones is None else F.col("plr_count") == expected_zones
     zero = [F.col(c) == 0 for c in (
         "null_key_count", "non_finite_count", "nonpositive_count", "above_one_count",

@@ -101,7 +101,7 @@ def explained_join(left: DataFrame, accepted: DataFrame, rejected: DataFrame, ke
 
 def explained_audit(left: DataFrame, accepted: DataFrame, rejected: DataFrame,
                     key: str) -> DataFrame:
-    """The unmatched keys must be exactly the registry keys."""
+    """The unmatched keys must be exactly the registry keys, and no side may repeat a key."""
     unmatched = unmatched_keys(left, accepted, [key])
     registry = rejected.select(key).distinct()
     counts = side_by_side(
@@ -111,9 +111,12 @@ def explained_audit(left: DataFrame, accepted: DataFrame, rejected: DataFrame,
         unmatched.join(registry, key, "left_anti")
         .agg(F.count("*").alias("unexplained_key_count")),
         registry.join(unmatched, key, "left_anti")
-        .agg(F.count("*").alias("unused_registry_key_count")))
-    return with_verdict(counts, F.col("unexplained_key_count") == 0,
-                        F.col("unused_registry_key_count") == 0)
+        .agg(F.count("*").alias("unused_registry_key_count")),
+        *[duplicate_keys(side, [key]).agg(F.count("*").alias(f"repeated_{name}_key_count"))
+          for name, side in (("accepted", accepted), ("registry", rejected))])
+    return with_verdict(counts, *[F.col(c) == 0 for c in (
+        "unexplained_key_count", "unused_registry_key_count", "repeated_accepted_key_count",
+        "repeated_registry_key_count")])
 
 
 def compare_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -147,8 +147,9 @@ def bridge_subset_profile(field: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def zone_rollup(bridge: DataFrame) -> DataFrame:
-    """Cells, weight and covered area per zone."""
-    rolled = bridge.groupBy("plr_id").agg(
+    """Cells, weight and covered area per zone of a geography version on a grid."""
+    keys = [c for c in ("geography_version", "source_grid_id", "plr_id") if c in bridge.columns]
+    rolled = bridge.groupBy(*keys).agg(
         F.count_distinct("cell_index").alias("icon_cells_used"),
         F.sum("fraction_of_plr").alias("weight_sum"),
         F.sum("intersection_area_m2").alias("intersection_area_sum_m2"),

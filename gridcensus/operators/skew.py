@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
 HOT_SHARE = 0.002
-SALTS = 64
+ROWS_PER_TASK = 250_000
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -32,17 +32,18 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of all rows, so never more than ``1 / share`` keys."""
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE,
+             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with at least ``share`` of all rows or more than four tasks' worth, and their rows."""
     counted = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     total = counted.agg(F.sum("_rows").alias("n")).scalar()
-    return counted.filter(F.col("_rows") >= total * share).select(*keys)
+    return counted.filter(F.col("_rows") >= F.least(total * share, F.lit(4.0 * rows_per_task)))
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
                 salt_by: Sequence[str | Column], condition=None, share: float = HOT_SHARE,
-                salts: int = SALTS) -> DataFrame:
-    """Shuffle join with hot keys spread over ``salts`` partitions.
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Shuffle join with hot keys spread by their own row counts, ``rows_per_task`` to a salt.
 
     ``salt_by`` must vary between the left rows of one key (a row id, say). The salt is a
     hash of those columns, so a task that runs again places every row where it was. Rows
@@ -51,17 +52,21 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a join of type {how} cannot repeat its right side")
-    hot = F.broadcast(hot_keys(left.dropna(subset=list(keys)), keys, share).withColumn("_hot", F.lit(True)))
+    salts = F.greatest(F.lit(2), F.ceil(F.col("_rows") / rows_per_task)).cast("int")
+    hot = F.broadcast(hot_keys(left.dropna(subset=list(keys)), keys, share, rows_per_task)
+                      .select(*keys, salts.alias("_hot")))
     unkeyed = F.lit(False)
     for key in keys:
         unkeyed = unkeyed | F.col(key).isNull()
-    spread = F.when(F.col("_hot") | unkeyed,
-                    F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
+    number = F.xxhash64(*salt_by)
+    spread = F.when(unkeyed, F.pmod(number, F.lit(2**30)).cast("int")).when(
+        F.col("_hot").isNotNull(), F.pmod(number, F.col("_hot")).cast("int"))
     l = (left.join(hot, list(keys), "left")
          .withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_hot"))
     r = (right.join(hot, list(keys), "left")
          .withColumn("_salt", F.explode(F.when(
-             F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+             F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(
+                 F.array(F.lit(0)))))
          .drop("_hot"))
     return _equi_join(l, r, [*keys, "_salt"], how, condition).drop("_salt")
 

@@ -85,8 +85,9 @@ def aggregate_to_zones(weather: DataFrame, bridge: DataFrame,
                        small: bool | None = None) -> DataFrame:
     """Area-weighted mean per zone and forecast, missing-preserving.
 
-    The weather is first reduced to bridge cells. A zone of which some bridge cell has no
-    weather row gets NULL values; ``bridge_coverage`` names those cells' forecasts.
+    The weather is first reduced to bridge cells. Every zone of the bridge comes out for every
+    forecast; one of which some bridge cell has no weather row gets NULL values, and
+    ``bridge_coverage`` names those cells' forecasts.
     """
     zone = [c for c in ("plr_id", "geography_version") if c in bridge.columns]
     small = is_small(bridge) if small is None else small
@@ -98,9 +99,11 @@ def aggregate_to_zones(weather: DataFrame, bridge: DataFrame,
     means = joined.groupBy(*zone, *FORECAST).agg(
         F.count("*").alias("_met"), F.max("_cells").alias("_cells"),
         *[weighted_mean(F.col(v), F.col("_w")).alias(v) for v in values])
+    forecasts = weather.agg(F.collect_set(F.struct(*FORECAST))).scalar()
+    expected = sizes.select(*zone, F.explode(forecasts).alias("_f")).select(*zone, "_f.*")
     whole = F.col("_met") == F.col("_cells")
-    return means.select(*zone, *FORECAST,
-                        *[F.when(whole, F.col(v)).alias(v) for v in values])
+    return expected.join(means, [*zone, *FORECAST], "left").select(
+        *zone, *FORECAST, *[F.when(whole, F.col(v)).alias(v) for v in values])
 
 
 def bridge_coverage(weather: DataFrame, bridge: DataFrame) -> DataFrame:
@@ -161,15 +164,31 @@ def temperature_audit(temperature: DataFrame, bridge: DataFrame, tolerance: floa
     per_cell = kept.groupBy("cell_index", *identity).agg(
         F.count("*").alias("rows"),
         count_if(F.col("temperature_c").isNull()).alias("missing"))
-    counts = per_cell.groupBy(*identity).agg(
+    held = per_cell.groupBy(*identity).agg(
         count_if(F.col("rows") > 1).alias("duplicate_cell_count"),
-        (total - F.count("*")).alias("missing_cell_count"),
-        F.sum("missing").alias("missing_value_count"))
+        F.count("*").alias("_held"), F.sum("missing").alias("missing_value_count"))
+    counts = temperature.select(*identity).distinct().join(held, identity, "left").fillna(0).select(
+        *identity, "duplicate_cell_count", (total - F.col("_held")).alias("missing_cell_count"),
+        "missing_value_count")
     bad = plr_temperature(temperature, bridge).groupBy(*identity).agg(
         count_if(F.abs(F.col("weight_sum") - 1) > tolerance).alias("bad_weight_count"))
     zero = [F.col(c) == 0 for c in ("duplicate_cell_count", "missing_cell_count",
                                     "missing_value_count", "bad_weight_count")]
-    return counts.join(bad, identity).withColumn("passed", passed(*zero))
+    return counts.join(bad, identity, "left").fillna(0, ["bad_weight_count"]).withColumn(
+        "passed", passed(*zero))
+
+
+def newest_forecast(field: DataFrame, forecasts: DataFrame | None = None) -> DataFrame:
+    """The field rows of the newest run at its first lead.
+
+    ``forecasts`` (run_time_utc, lead_time) may name what there is, else the field's own keys
+    do. The two filters prune partitions and are pushed below whatever reads the rows.
+    """
+    known = (field if forecasts is None else forecasts).select("run_time_utc", "lead_time")
+    run = known.agg(F.max("run_time_utc")).scalar()
+    lead = known.filter(F.col("run_time_utc") == known.agg(F.max("run_time_utc")).scalar()).agg(
+        F.min("lead_time")).scalar()
+    return field.filter((F.col("run_time_utc") == run) & (F.col("lead_time") == lead))
 
 
 def current_exposure(final: DataFrame) -> DataFrame:

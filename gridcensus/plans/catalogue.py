@@ -389,14 +389,17 @@ def latest_source(spark, sf_dir):
 
 # Zone weather
 
-def _weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weather.plr_weather(lenses.field(spark, sf_dir), lenses.event_bridge(spark, sf_dir))
+def _weather(spark: SparkSession, sf_dir: str, newest: bool = False) -> DataFrame:
+    field = lenses.field(spark, sf_dir)
+    if newest:
+        field = weather.newest_forecast(field, lenses.field_forecasts(spark, sf_dir))
+    return weather.plr_weather(field, lenses.event_bridge(spark, sf_dir))
 
 
-def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _final(spark: SparkSession, sf_dir: str, newest: bool = False) -> DataFrame:
     raw = lenses.raw_population(spark, sf_dir)
     split = gates.population_gate(raw)
-    return weather.plr_weather_population(_weather(spark, sf_dir), split.accepted,
+    return weather.plr_weather_population(_weather(spark, sf_dir, newest), split.accepted,
                                           split.rejected, is_small(raw))
 
 
@@ -440,14 +443,14 @@ def partition_summary(spark, sf_dir):
 @query
 def current_exposure(spark, sf_dir):
     """Rows of the newest run at its first lead."""
-    return _rounded(weather.current_exposure(_final(spark, sf_dir)).drop("geography_version"),
+    return _rounded(_final(spark, sf_dir, newest=True).drop("geography_version"),
                     (*schemas.WEATHER_VALUES, "share_65plus"))
 
 
 @query
 def hottest_zones(spark, sf_dir):
     """Ten warmest zones of the current forecast and who lives there."""
-    current = weather.current_exposure(_final(spark, sf_dir))
+    current = _final(spark, sf_dir, newest=True)
     rounded = current.withColumn("temperature_c", F.round("temperature_c", DIGITS))
     top = report.hottest_zones(rounded)
     return _rounded(_longs(top), ("relative_humidity_percent", "share_65plus"))
@@ -587,8 +590,8 @@ def retry_eligible(spark, sf_dir):
 def stream_completion(spark, sf_dir):
     """Forecasts a stream of arrivals completes."""
     schema = lenses.table(spark, sf_dir, "events").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
+    # A pattern finds the table whether it is one file or a folder of them.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     arrivals = stream.select(
         F.date_trunc("day", "ts").alias("run_time_utc"),
         lenses._lead(F.col("event_id")).alias("lead_time"),
@@ -663,7 +666,8 @@ def bridge_quality(spark, sf_dir):
 @query
 def bridge_profile(spark, sf_dir):
     """Per zone: cells, weight, covered area and coverage ratio."""
-    rolled = profiles.zone_rollup(_bridge(spark, sf_dir))
+    rolled = profiles.zone_rollup(_bridge(spark, sf_dir)).drop(
+        "geography_version", "source_grid_id")
     return _rounded(rolled.select(
         "plr_id", "icon_cells_used", F.round("weight_sum", 6).alias("weight_sum"),
         "intersection_area_sum_m2", "plr_area_m2", "coverage_ratio"),

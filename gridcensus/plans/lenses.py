@@ -39,17 +39,22 @@ def cell_count(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense weekly fields at lead 0: every cell of every indicator, NULL where no event fell."""
+    """Dense weekly fields at lead 0: every cell of every indicator, NULL where no event fell.
+
+    The cells are a parallel range; each meets the short list of runs and indicators.
+    """
     events = table(spark, sf_dir, "events")
     keys = ["run_time_utc", "cell_index", "indicator"]
     run = F.date_trunc("week", "ts").alias("run_time_utc")
     seen = (events.select(run, F.col("user_id").cast("int").alias("cell_index"),
                           _indicator().alias("indicator"), "value")
             .groupBy(*keys).agg(F.max("value").alias("source_value")))
-    last = (cell_count(spark, sf_dir) - 1).cast("int")
-    grid = (events.select(run).distinct()
-            .withColumn("indicator", F.explode(F.array(*[F.lit(i) for i in INDICATORS])))
-            .withColumn("cell_index", F.explode(F.sequence(F.lit(0), last))))
+    cells = events.agg(F.max("user_id")).first()[0]
+    runs = events.select(run).agg(F.collect_set("run_time_utc")).scalar()
+    grid = (spark.range(0 if cells is None else cells + 1)
+            .select(F.col("id").cast("int").alias("cell_index"),
+                    F.explode(runs).alias("run_time_utc"))
+            .withColumn("indicator", F.explode(F.array(*[F.lit(i) for i in INDICATORS]))))
     return (grid.join(seen, keys, "left")
             .withColumn("lead_time", F.lit("PT000H00M"))
             .withColumn("valid_time_utc", F.col("run_time_utc"))
@@ -57,6 +62,13 @@ def field(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "source_value"))
 
 
+def field_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecasts that ``field`` holds, from one narrow scan."""
+    return table(spark, sf_dir, "events").select(
+        F.date_trunc("week", "ts").alias("run_time_utc")).distinct().withColumn(
+        "lead_time", F.lit("PT000H00M"))
+
+
 def sparse_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily runs times six leads with many gaps and a few disagreeing units."""
     hours = F.get(F.array(*[F.lit(int(x[2:5])) for x in LEAD_TIMES]),

@@ -721,7 +721,7 @@ add("content_hash", "", """SELECT doc_id, sha256(text) AS sha256, strlen(text) A
   FROM documents""")
 
 add("page_payloads", """p AS (SELECT CASE WHEN html = '' THEN 'empty_payload'
-  WHEN regexp_matches(lower(html[1:500]), '^\\s*(<html|<!doctype html)') THEN 'html_payload' END AS payload_problem,
+  WHEN regexp_matches(lower(html), '^\\s*(<html|<!doctype html)') THEN 'html_payload' END AS payload_problem,
   strlen(html) AS n FROM pages)""", """SELECT payload_problem, count(*) AS page_count,
   CAST(sum(n) AS BIGINT) AS size_bytes FROM p GROUP BY 1""")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridcensus import schemas
 from gridcensus.operators import checks, gates, spatial, weather
-from gridcensus.operators.joins import unmatched_keys
+from gridcensus.operators.joins import explained_audit, unmatched_keys
 from gridcensus.operators.verdict import enforce, side_by_side
 from gridcensus.session import cut_lineage
 from gridcensus.sources.tables import replace_slice, upsert, write_partitions
@@ -115,8 +115,11 @@ def publish_exposure(field: DataFrame, bridge: DataFrame, accepted: DataFrame,
     fields are read once.
     """
     enforce(weather.bridge_coverage(field, bridge), "bridge cells")
+    enforce(weather.field_identity_audit(weather.restrict_to_cells(field, bridge)),
+            "fields of the bridge cells")
     zone_weather = cut_lineage(weather.plr_weather(field, bridge))
     final = weather.plr_weather_population(zone_weather, accepted, rejected)
+    enforce(explained_audit(zone_weather, accepted, rejected, "plr_id"), "population keys")
     enforce(checks.coverage_check(final, expected_zones), "zone coverage")
     enforce(checks.exceptions_check(final, rejected), "population exceptions")
     if path is not None:

@@ -14,9 +14,12 @@ IDENTITY = ("indicator", "run_time_utc", "lead_time", "valid_time_utc", "sha256"
 
 
 def payload_problem(content: Column) -> Column:
-    """Why binary content is no data file: empty, or a web page; NULL if it may be one."""
-    head = F.lower(F.ltrim(F.translate(
-        F.decode(F.substring(content, 1, 500), "ISO-8859-1"), "\t\n\r\f\v", "     ")))
+    """Why binary content is no data file: empty, or a web page; NULL if it may be one.
+
+    Blanks before the first mark don't count, however many.
+    """
+    marks = F.ltrim(F.translate(F.decode(content, "ISO-8859-1"), "\t\n\r\f\v", "     "))
+    head = F.lower(F.substring(marks, 1, 16))
     return (F.when(F.length(content) == 0, "empty_payload")
             .when(head.startswith("<html") | head.startswith("<!doctype html"), "html_payload"))
 

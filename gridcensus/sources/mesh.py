@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridcensus.functions.geom import let
 from gridcensus.functions.projection import to_degrees
 from gridcensus.operators.joins import orphans
-from gridcensus.operators.verdict import side_by_side, with_verdict
+from gridcensus.operators.verdict import with_verdict
 
 
 def vertex_rows(coordinates: DataFrame, unit: str | None = None) -> DataFrame:
@@ -38,20 +38,21 @@ def connectivity_rows(matrix: DataFrame) -> DataFrame:
 
 
 def topology_rows(matrix: DataFrame, vertex_count: int) -> tuple[DataFrame, DataFrame]:
-    """Zero-based cell corners, and the verdict on shape and index range.
+    """Zero-based cell corners, and per grid the verdict on shape and index range.
 
     Three rows mean one row per corner, otherwise three columns mean one row per cell. The
     smallest index decides whether counting starts at one.
     """
     entries = connectivity_rows(matrix)
-    shape = matrix.agg(F.count("*").alias("row_count"),
+    grid = "source_grid_id"
+    shape = matrix.groupBy(grid).agg(F.count("*").alias("row_count"),
                        F.min(F.size("indexes")).alias("min_width"),
                        F.max(F.size("indexes")).alias("max_width"))
-    span = entries.agg(F.min("value").alias("min_index"), F.max("value").alias("max_index"))
-    facts = side_by_side(matrix.sparkSession, shape, span)
-    by_corner = facts.select(F.col("row_count") == 3).scalar()
-    base = facts.select(F.when(F.col("min_index") == 1, 1).otherwise(0)).scalar()
-    topology = entries.select(
+    span = entries.groupBy(grid).agg(F.min("value").alias("min_index"), F.max("value").alias("max_index"))
+    facts = shape.join(span, grid, "left")
+    by_corner = F.col("row_count") == 3
+    base = F.when(F.col("min_index") == 1, 1).otherwise(0)
+    topology = entries.join(facts, grid).select(
         "source_grid_id",
         F.when(by_corner, F.col("column")).otherwise(F.col("row")).cast("int").alias("cell_index"),
         F.when(by_corner, F.col("row")).otherwise(F.col("column")).cast("int")

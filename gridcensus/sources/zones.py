@@ -71,8 +71,9 @@ def read_zones(spark: SparkSession, path: str, geography_version: str, source_sh
                line_delimited: bool = False) -> DataFrame:
     """Raw zone rows with the id column found by preference."""
     features = read_features(spark, path, line_delimited)
-    names = [r[0] for r in features.select(F.explode(F.map_keys("properties"))).distinct()
-             .collect()]
+    present = features.agg(*[F.max(F.map_contains_key("properties", F.lit(c))).alias(c)
+                             for c in candidates]).first()
+    names = [c for c in candidates if present[c]]
     plr = blank_to_null(F.col("properties")[find_id_column(names, candidates)],
                         any_whitespace=True)
     row_id = F.xxhash64(F.to_json("properties"), "geometry_type", F.to_json("geometry"))

@@ -36,7 +36,7 @@ def complete_forecasts(state: DataFrame, indicators: Sequence[str] = INDICATORS)
 
 
 def run_available(arrivals: DataFrame, name: str, lateness: str = "2 days",
-                  indicators: Sequence[str] = INDICATORS, timeout_s: int = 600) -> DataFrame:
+                  indicators: Sequence[str] = INDICATORS) -> DataFrame:
     """Process what has arrived and return the forecasts found complete, each once.
 
     Every micro-batch overwrites its own directory, so a repeated batch leaves no duplicate.
@@ -56,8 +56,6 @@ def run_available(arrivals: DataFrame, name: str, lateness: str = "2 days",
     query = (completion_state(arrivals, lateness, indicators).writeStream.outputMode("update")
              .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
              .foreachBatch(emit).start())
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"stream {name} did not finish within {timeout_s} s")
+    query.awaitTermination()
     found = spark.read.schema(schema).parquet(f"{out}/*")
     return found.groupBy("run_time_utc", "lead_time").agg(F.min("batch_id").alias("batch_id"))

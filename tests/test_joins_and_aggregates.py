@@ -16,7 +16,7 @@ def test_salted_join_equals_plain_join(spark, how):
     right = spark.createDataFrame([(k, f"v{k}") for k in range(0, 40, 2)] + [(7, "a"), (7, "b")],
                                   "k long, v string")
     plain = left.join(right, ["k"], how)
-    salted = skew.salted_join(left, right, ["k"], how, ["row"], share=0.1, salts=5)
+    salted = skew.salted_join(left, right, ["k"], how, ["row"], share=0.1, rows_per_task=5)
     columns = plain.columns
     assert sorted(map(tuple, salted.select(*columns).collect())) == \
         sorted(map(tuple, plain.collect()))
@@ -38,7 +38,7 @@ def test_conditions_beyond_equality(spark):
     left = spark.range(100).select(F.col("id").alias("row"), (F.col("id") % 2).alias("k"))
     right = spark.range(20).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
     near = F.abs(F.col("l.row") - F.col("r.v")) <= 2
-    got = skew.salted_join(left, right, ["k"], "inner", ["row"], condition=near, share=0.1, salts=3)
+    got = skew.salted_join(left, right, ["k"], "inner", ["row"], condition=near, share=0.1, rows_per_task=7)
     want = {(r, v) for r in range(100) for v in range(20) if r % 2 == v % 2 and abs(r - v) <= 2}
     assert {(r["row"], r["v"]) for r in got.collect()} == want and got.count() == len(want)
 
