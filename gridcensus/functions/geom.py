@@ -51,7 +51,8 @@ def is_empty(geometry: str) -> Column:
 
 
 def exterior_point_count(geometry: str) -> Column:
-    return F.expr(f"size({geometry}[0][0])")
+    """Points of the first shell; 0 where there is none."""
+    return F.expr(f"coalesce(size(get(get({geometry}, 0), 0)), 0)")
 
 
 # SQL text of the building blocks.

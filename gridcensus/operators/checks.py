@@ -125,6 +125,16 @@ def cell_check(vertices: DataFrame, topology: DataFrame, cells: DataFrame, rejec
         F.col("non_triangle_count") == 0)
 
 
+def only(df: DataFrame, **scope) -> DataFrame:
+    """The rows of one slice, e.g. ``only(bridge, geography_version=v, source_grid_id=g)``.
+
+    The filters are plain equalities, so they prune partitions and reach the scan.
+    """
+    for column, value in scope.items():
+        df = df.filter(F.col(column) == value)
+    return df
+
+
 def bridge_preconditions(zones: DataFrame, cells: DataFrame) -> DataFrame:
     """Both sides present before a bridge or mask is built."""
     counts = side_by_side(zones.sparkSession, _tally(zones, "zone_count"),

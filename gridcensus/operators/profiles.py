@@ -82,6 +82,14 @@ def area_profile(zones: DataFrame) -> DataFrame:
     return side_by_side(zones.sparkSession, bounds, areas)
 
 
+def union_share(inside: DataFrame, cells: DataFrame) -> DataFrame:
+    """Cells whose centre lies in the union, and their share of the grid, one row."""
+    counts = side_by_side(cells.sparkSession,
+                          inside.agg(F.count("*").alias("inside_cell_count")),
+                          cells.agg(F.count("*").alias("grid_cell_count")))
+    return counts.withColumn("grid_share", F.try_divide("inside_cell_count", "grid_cell_count"))
+
+
 def mesh_profile(vertices: DataFrame, topology: DataFrame) -> DataFrame:
     """Sizes, referenced vertices, corners per cell and coordinate ranges, one row."""
     corners = topology.groupBy("cell_index").agg(F.count("*").alias("n")).agg(

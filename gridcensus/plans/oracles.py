@@ -715,7 +715,7 @@ add("upsert", """n AS (SELECT o_custkey AS key, max(o_totalprice) AS amount FROM
   FROM customer c FULL JOIN n ON n.key = c.c_custkey""")
 
 add("content_hash", "", """SELECT doc_id, sha256(text) AS sha256, strlen(text) AS size_bytes,
-  CASE WHEN text = '' THEN 'empty_payload' WHEN regexp_matches(lower(text[1:500]), '^\\s*(<html|<!doctype html)')
+  CASE WHEN text = '' THEN 'empty_payload' WHEN regexp_matches(lower(text), '^\\s*(<html|<!doctype html)')
     THEN 'html_payload' END AS payload_problem,
   CASE WHEN lang = 'fr' THEN 'missing' WHEN n_chars > 2000 THEN 'replace' ELSE 'reuse' END AS decision
   FROM documents""")

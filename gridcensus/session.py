@@ -47,6 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
 _STORED: list[str] = []
 
 
+def stored_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, which ``release_stored`` deletes with the rest."""
+    path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
+    _STORED.append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -54,9 +61,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     planner true sizes. ``release_stored`` deletes the copies once their readers are done.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
+    path = stored_path(spark)
     df.write.parquet(path)
-    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
