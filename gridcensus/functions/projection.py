@@ -1,4 +1,4 @@
-"""Transverse Mercator (UTM zone 33 north on GRS80) and back, as Column expressions.
+"""Transverse Mercator (UTM north zones on GRS80) and back, as Column expressions.
 
 Krueger series to the fourth power of the third flattening, accurate to micrometres
 inside the zone.
@@ -43,9 +43,9 @@ def to_degrees(c: Column, unit: Column | None, largest: Column) -> Column:
     return F.when(in_radians, F.degrees(c)).otherwise(c)
 
 
-def to_planar(lon: Column, lat: Column) -> Column:
+def to_planar(lon: Column, lat: Column, meridian: float | Column = CENTRAL_MERIDIAN) -> Column:
     """Longitude and latitude in degrees to ``struct<x,y>`` in metres."""
-    lam, sine = F.radians(lon - CENTRAL_MERIDIAN), F.sin(F.radians(lat))
+    lam, sine = F.radians(lon - meridian), F.sin(F.radians(lat))
     t = F.sinh(F.atanh(sine) - F.atanh(sine * ECCENTRICITY) * ECCENTRICITY)
 
     def series(s: Column) -> Column:
@@ -60,7 +60,7 @@ def to_planar(lon: Column, lat: Column) -> Column:
                  F.atanh(F.sin(lam) / F.sqrt(q * q + 1)).alias("eta")), series))
 
 
-def to_geographic(x: Column, y: Column) -> Column:
+def to_geographic(x: Column, y: Column, meridian: float | Column = CENTRAL_MERIDIAN) -> Column:
     """Planar metres back to ``struct<x,y>`` holding longitude and latitude in degrees."""
     start = F.struct((y / RADIUS).alias("xi"), ((x - FALSE_EASTING) / RADIUS).alias("eta"))
 
@@ -73,7 +73,7 @@ def to_geographic(x: Column, y: Column) -> Column:
 
     def unfold(s: Column) -> Column:
         return let(F.asin(F.sin(s.xi) / F.cosh(s.eta)), lambda chi: F.struct(
-            (F.degrees(F.atan2(F.sinh(s.eta), F.cos(s.xi))) + CENTRAL_MERIDIAN).alias("x"),
+            (F.degrees(F.atan2(F.sinh(s.eta), F.cos(s.xi))) + meridian).alias("x"),
             F.degrees(sum((F.sin(chi * (2 * j)) * d for j, d in enumerate(DELTA, start=1)),
                           chi)).alias("y")))
 
@@ -85,10 +85,24 @@ def _map_points(geometry: Column, convert) -> Column:
         poly, lambda ring: F.transform(ring, lambda p: convert(p.x, p.y))))
 
 
+def utm_meridian(srid: Column) -> Column:
+    """Central meridian of a northern UTM zone on ETRS89 or WGS 84, else NULL.
+
+    The two datums are taken as one, as they differ by less than a metre.
+    """
+    zoned = srid.between(25828, 25838) | srid.between(32601, 32660)
+    return F.when(zoned, (F.pmod(srid, F.lit(100)) * 6 - 183).cast("double"))
+
+
 def reproject(geometry: Column, srid: Column, planar_srid: int = 25833) -> Column:
-    """Planar geometry of a geographic or already planar one; other systems give NULL."""
+    """Geometry of a geographic or UTM system in one UTM zone; other systems give NULL."""
+    there = float(planar_srid % 100 * 6 - 183)
+    here = utm_meridian(srid)
     return (F.when(srid == planar_srid, geometry)
-            .when(srid.isin(4326, 4258), _map_points(geometry, to_planar)))
+            .when(srid.isin(4326, 4258), _map_points(
+                geometry, lambda x, y: to_planar(x, y, there)))
+            .when(here.isNotNull(), _map_points(geometry, lambda x, y: let(
+                to_geographic(x, y, here), lambda p: to_planar(p.x, p.y, there)))))
 
 
 def to_geographic_geometry(geometry: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -96,15 +97,27 @@ def percent(c: Column, digits: int = 1) -> Column:
 
 
 def transliterate(c: Column) -> Column:
-    """Lower case with German umlauts spelled out and common accents removed."""
+    """Lower case with German umlauts spelled out and accents of Latin letters removed.
+
+    A letter loses the marks it decomposes into; marks that stand alone go as well.
+    """
     text = c
     # Spelled-out letters.
     for letter, spelled in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"),
                             ("Ä", "Ae"), ("Ö", "Oe"), ("Ü", "Ue"), ("ß", "ss")):
         text = F.replace(text, F.lit(letter), F.lit(spelled))
-    accents = "àáâãåèéêëìíîïòóôõùúûñçýÿ"
-    plain = "aaaaaeeeeiiiioooouuuncyy"
-    return F.translate(F.lower(F.coalesce(text, F.lit(""))), accents, plain)
+    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[\u0300-\u036f]", "")
+    return F.translate(lower, *_accents())
+
+
+def _accents() -> tuple[str, str]:
+    """Lower-case letters of the Latin blocks that carry marks, and the letters below the marks."""
+    marked = [chr(c) for block in (range(0xC0, 0x250), range(0x1E00, 0x1F00)) for c in block
+              if unicodedata.decomposition(chr(c)) and not chr(c).isupper()]
+    plain = {m: "".join(c for c in unicodedata.normalize("NFD", m) if not unicodedata.combining(c))
+             for m in marked}
+    single = [m for m in marked if len(plain[m]) == 1 and plain[m] != m]
+    return "".join(single), "".join(plain[m] for m in single)
 
 
 def decode_percent(c: Column) -> Column:

@@ -164,8 +164,9 @@ def lenient_preconditions(split: Split, expected_rows: int | None = schemas.EXPE
 def zone_gate(raw: DataFrame) -> Split:
     """Classify raw zones, reproject the sound ones, and quarantine what the transform broke.
 
-    ``raw`` follows ``schemas.RAW_ZONE``. Validity needs every ring edge compared with its
-    neighbours in space, so it runs once before and once after reprojection.
+    ``raw`` follows ``schemas.RAW_ZONE``. Rings are compared with each other once, before the
+    transform; after it closure and area are tested again, which a zone in a system that has no
+    transform here fails too.
     """
     g = F.col("geometry")
     keyed = raw.withColumn("plr_id", text.blank_to_null(F.col("plr_id_source")))

@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A small side is broadcast only after its rows have been counted against a limit. Beyond
-the limit the join shuffles, and keys that hold a large share of the left side are spread:
+A small side is broadcast only after its rows and bytes have been counted against limits. Beyond
+them the join shuffles, and keys that hold a large share of the left side are spread:
 their left rows get a salt, their right rows are repeated once per salt.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 << 20
 HOT_SHARE = 0.002
 ROWS_PER_TASK = 250_000
 
@@ -27,9 +28,22 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+             ) -> bool:
+    """Whether ``df`` has at most so many rows and bytes; reads at most ``max_rows + 1`` rows.
+
+    Numbers count 16 bytes. Text, lists and structures count their length as JSON, which is
+    about what they take in memory.
+    """
+    fixed = ("int", "bigint", "smallint", "tinyint", "float", "double", "boolean", "date",
+             "timestamp")
+    size = F.lit(16 * len(df.columns))
+    long = [c for c, t in df.dtypes if t not in fixed]
+    if long:
+        size = size + F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in long])))
+    seen = df.limit(max_rows + 1).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return seen["n"] <= max_rows and seen["bytes"] <= max_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE,
@@ -74,7 +88,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
                 salt_by: Sequence[str | Column], condition=None, small: bool | None = None,
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast the right side if it counts at most ``max_rows``, else a salted join.
+    """Broadcast the right side if ``is_small`` finds it so, else a salted join.
 
     A caller that has counted the rows behind ``right`` passes the outcome as ``small``.
     """

@@ -258,59 +258,129 @@ def outline(zones: DataFrame, group: Sequence[str] = ()) -> DataFrame:
             .filter(F.col("low") == F.col("high")).drop("low", "high"))
 
 
-def self_crossings(df: DataFrame, key: Sequence[str], strip_factor: float = 2.0) -> DataFrame:
-    """Keys whose rings cross themselves or each other.
+def _ring_edges(df: DataFrame, key: Sequence[str], strip_factor: float) -> DataFrame:
+    """Edges of all rings with their extent and the vertical strips they reach into.
 
-    Edges meet only inside a vertical strip as wide as a few mean edges of their own
-    geometry and only when their heights overlap. A strip is shared by an edge pair
-    exactly once, through the left end of their common span. Neighbouring edges share a
-    point by construction and are compared for overlap along a line only.
+    A strip is as wide as a few mean edges of the geometry.
+    """
+    extents = F.filter(F.transform(geom.all_edges("geometry"), lambda e: F.greatest(
+        F.abs(e.b.x - e.a.x), F.abs(e.b.y - e.a.y))), lambda v: v > 0)
+    mean = geom.let(extents, lambda v: F.try_divide(
+        F.aggregate(v, F.lit(0.0), lambda total, one: total + one), F.size(v)))
+    width = F.greatest(mean * strip_factor, F.lit(1e-6))
+    return (df.select(*key, width.alias("width"), F.posexplode("geometry").alias("part", "poly"))
+            .select(*key, "width", "part", F.posexplode("poly").alias("hole", "pts"))
+            .select(*key, "width", F.struct("part", "hole").alias("ring"),
+                    (F.size("pts") - 1).alias("steps"),
+                    F.posexplode(geom.edges("pts")).alias("pos", "e"))
+            .filter(F.col("e.a") != F.col("e.b"))
+            .withColumn("lo", F.least("e.a.x", "e.b.x")).withColumn("hi", F.greatest("e.a.x", "e.b.x"))
+            .withColumn("bot", F.least("e.a.y", "e.b.y")).withColumn("top", F.greatest("e.a.y", "e.b.y"))
+            .withColumn("strip", F.explode(F.sequence(
+                F.floor(F.col("lo") / F.col("width")), F.floor(F.col("hi") / F.col("width"))))))
+
+
+def _crossings(strips: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys with two edges that cross, touch where they must not, or run along each other.
+
+    Within its strip an edge takes the square tiles that it passes, so a long vertical side is
+    no crowd and a long slanting edge takes as many tiles as it is long. Edges that share several
+    tiles are judged in each; the verdict is the same.
     """
-    listed = df.select(*key, F.posexplode(F.flatten(F.col("geometry"))).alias("ring", "pts"))
-    e = (listed.select(*key, "ring", F.size("pts").alias("_size"),
-                       F.posexplode(geom.edges("pts")).alias("pos", "e"))
-         .withColumn("steps", F.col("_size") - 1)
-         .filter(F.col("e.a") != F.col("e.b"))
-         .withColumn("lo", F.least("e.a.x", "e.b.x")).withColumn("hi", F.greatest("e.a.x", "e.b.x"))
-         .withColumn("bot", F.least("e.a.y", "e.b.y")).withColumn("top", F.greatest("e.a.y", "e.b.y")))
-    width = e.groupBy(*key).agg(
-        F.greatest(F.avg(F.col("hi") - F.col("lo")) * strip_factor, F.lit(1e-6)).alias("width"))
-    strips = (e.join(width, list(key))
-              .withColumn("strip", F.explode(F.sequence(
-                  F.floor(F.col("lo") / F.col("width")), F.floor(F.col("hi") / F.col("width"))))))
-    l, r = strips.alias("l"), strips.alias("r")
-    same = F.lit(True)
+    e, w = F.col("e"), F.col("width")
+    slope = F.coalesce(F.try_divide(e.b.y - e.a.y, e.b.x - e.a.x), F.lit(0.0))
+    at = lambda x: F.greatest("bot", F.least("top", e.a.y + (x - e.a.x) * slope))
+    left, right = at(F.greatest(F.col("lo"), F.col("strip") * w)), at(
+        F.least(F.col("hi"), (F.col("strip") + 1) * w))
+    upright = F.col("lo") == F.col("hi")
+    low = F.when(upright, F.col("bot")).otherwise(F.least(left, right))
+    high = F.when(upright, F.col("top")).otherwise(F.greatest(left, right))
+    tiled = strips.withColumn("level", F.explode(F.sequence(
+        F.floor(low / w - 1e-6), F.floor(high / w + 1e-6))))
+    l, r = tiled.alias("l"), tiled.alias("r")
+    same = (F.col("l.strip") == F.col("r.strip")) & (F.col("l.level") == F.col("r.level"))
     for k in key:
         same = same & (F.col(f"l.{k}") == F.col(f"r.{k}"))
     order = F.struct("l.ring", "l.pos") < F.struct("r.ring", "r.pos")
-    first = F.floor(F.greatest("l.lo", "r.lo") / F.col("l.width")) == F.col("l.strip")
     overlap = ((F.col("l.bot") <= F.col("r.top")) & (F.col("r.bot") <= F.col("l.top"))
                & (F.col("l.lo") <= F.col("r.hi")) & (F.col("r.lo") <= F.col("l.hi")))
-    pairs = l.join(r, same & (F.col("l.strip") == F.col("r.strip")) & order & first & overlap)
+    pairs = l.join(r, same & order & overlap)
     neighbours = (F.col("l.ring") == F.col("r.ring")) & (
         (F.col("r.pos") - F.col("l.pos") == 1)
         | ((F.col("l.pos") == 0) & (F.col("r.pos") == F.col("l.steps") - 1)))
+    shared = ((F.greatest("l.lo", "r.lo") < F.least("l.hi", "r.hi"))
+              | (F.greatest("l.bot", "r.bot") < F.least("l.top", "r.top")))
     judged = _with_segment_terms(pairs.select(
         *[F.col(f"l.{k}").alias(k) for k in key], F.col("l.e").alias("e"),
         F.col("r.e").alias("f"), neighbours.alias("_neighbours"),
-        (F.col("l.ring") != F.col("r.ring")).alias("_rings")))
+        (F.col("l.ring") != F.col("r.ring")).alias("_rings"), shared.alias("_shared")))
     parallel = F.col("_ux") * F.col("_vy") == F.col("_uy") * F.col("_vx")
     folded = parallel & (F.col("_ux") * F.col("_vx") + F.col("_uy") * F.col("_vy") < 0)
-    bad = (F.when(F.col("_neighbours"), folded).when(F.col("_rings"), F.col("crosses"))
-           .otherwise(F.col("d2") == 0))
-    return (judged.groupBy(*key).agg(F.max(bad).alias("_bad")).filter("_bad").select(*key))
+    alongside = parallel & F.col("_shared") & (F.col("d2") == 0)
+    bad = (F.when(F.col("_neighbours"), folded)
+           .when(F.col("_rings"), F.col("crosses") | alongside).otherwise(F.col("d2") == 0))
+    return judged.groupBy(*key).agg(F.max(bad).alias("_bad")).filter("_bad").select(*key)
+
+
+def self_crossings(df: DataFrame, key: Sequence[str], strip_factor: float = 2.0) -> DataFrame:
+    """Keys whose rings cross themselves or each other, or share more than points."""
+    return _crossings(_ring_edges(df, key, strip_factor), key)
+
+
+def _misplaced(strips: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys with a hole outside its shell or in another hole, or a part inside another part.
+
+    Rings that do not cross lie wholly inside or outside each other, so one point of each ring,
+    the middle of its first edge, stands for it. A ring holds the point if an odd number of its
+    edges lies above it; these edges are in the point's strip. Rings that the point lies on are
+    not judged by it.
+    """
+    rings = strips.groupBy(*key, "ring").agg(
+        F.min_by("e", "pos").alias("e"), F.any_value("width").alias("width")).select(
+        *key, "ring", "width", ((F.col("e.a.x") + F.col("e.b.x")) / 2).alias("x"),
+        ((F.col("e.a.y") + F.col("e.b.y")) / 2).alias("y"))
+    several = rings.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*key)
+    points = rings.join(several, list(key)).withColumn("strip", F.floor(F.col("x") / F.col("width")))
+    l, r = points.alias("l"), strips.alias("r")
+    same = F.col("l.strip") == F.col("r.strip")
+    for k in key:
+        same = same & (F.col(f"l.{k}") == F.col(f"r.{k}"))
+    x, y, e = F.col("l.x"), F.col("l.y"), F.col("r.e")
+    upright = (F.col("r.lo") == F.col("r.hi")) & (F.col("r.lo") == x)
+    over = (F.col("r.lo") <= x) & (x < F.col("r.hi"))
+    height = e.a.y + (x - e.a.x) * F.coalesce(F.try_divide(e.b.y - e.a.y, e.b.x - e.a.x), F.lit(0.0))
+    near = F.abs(height - y) <= (F.abs(y) + 1) * 1e-12
+    on = F.when(upright, y.between(F.col("r.bot"), F.col("r.top"))).otherwise(near)
+    held = (l.join(r, same & (F.col("l.ring") != F.col("r.ring")) & (over | upright))
+            .groupBy(*[F.col(f"l.{k}").alias(k) for k in key], F.col("l.ring").alias("ring"),
+                     F.col("r.ring").alias("by"))
+            .agg((F.count_if(over & (height > y)) % 2 == 1).alias("inside"),
+                 F.max(on).alias("on")))
+    hole, own = F.col("ring.hole") > 0, F.col("ring.part") == F.col("by.part")
+    shell = F.col("by.hole") == 0
+    sure = F.col("inside") & ~F.col("on")
+    found = held.groupBy(*key, "ring").agg(
+        F.max(F.when(own & shell, F.col("inside") | F.col("on"))).alias("_home"),
+        F.max(own & ~shell & sure).alias("_nested"),
+        F.sum(F.when(~own & sure, F.when(shell, 1).otherwise(-1)).otherwise(0)).alias("_depth"))
+    bad = F.when(hole, ~F.coalesce("_home", F.lit(False)) | F.coalesce("_nested", F.lit(False))
+                 ).otherwise(F.coalesce("_depth", F.lit(0)) > 0)
+    return (points.select(*key, "ring").join(found, [*key, "ring"], "left")
+            .groupBy(*key).agg(F.max(bad).alias("_bad")).filter("_bad").select(*key))
 
 
 def flag_invalid(df: DataFrame, key: Sequence[str], name: str = "is_invalid") -> DataFrame:
-    """Mark geometries with open, short or crossing rings or without area.
+    """Mark geometries that are no simple feature.
 
-    Full simple-feature validity also asks that holes lie inside and do not split the
-    interior; that part is not tested here.
+    Rings must be closed and have area, must not cross or run along each other, holes lie in
+    their shell and not in each other, and no part lies in another. Not tested: whether holes
+    that touch at several points cut the interior in two.
     """
     closed = geom.rings_are_closed("geometry")
     sound = F.coalesce(closed & (geom.area("geometry") > 0), F.lit(False))
     marked = df.withColumn("_sound", sound)
-    crossed = (self_crossings(marked.filter("_sound"), key)
+    strips = cut_lineage(_ring_edges(marked.filter("_sound"), key, 2.0))
+    crossed = (_crossings(strips, key).union(_misplaced(strips, key)).distinct()
                .withColumn("_crossed", F.lit(True)))
     return (marked.join(crossed, list(key), "left")
             .withColumn(name, F.col("geometry").isNotNull()
