@@ -1,9 +1,12 @@
 """Repeated runs of lines, found by winnowing over line hashes and deleted where they come later.
 
-A document is its lines with words, in order. From every line a window reaches as far as needed
-to hold ``WORDS`` words, so a long paragraph is a window by itself. Of each window the line with
-the smallest hash (the last of equal ones) is selected: the same run of lines anywhere selects
-the same line, so every repeated run of at least ``WORDS`` words shares a selected fingerprint.
+A document is its lines with words, in order. From every line one window reaches forward and one
+back, as far as needed to hold ``WORDS`` words, so a long paragraph is a window by itself. Every
+line of a run of at least ``WORDS`` words lies in a window within the run: in the one from that
+line forward, or, where fewer words than that are left, in the one back from the run's last line.
+Of each window the line with the smallest hash (the last of equal ones) is selected: the same run
+of lines anywhere selects the same line, so every repeated run of at least ``WORDS`` words shares
+a selected fingerprint.
 
 Fingerprints that occur once anywhere are dropped. Around the others the match is extended both
 ways: all windows that selected the fingerprint, to its left and right, are compared with the
@@ -45,7 +48,7 @@ def windows_of(text: str, least: int = WORDS) -> dict[bytes, list[tuple[int, int
             numbers.append(number)
             digests.append(blake2b(" ".join(parts).encode(), digest_size=16).digest())
             words.append(len(parts))
-    found: dict[int, list] = {}
+    windows = set()
     end = held = 0
     for start in range(len(numbers)):
         while end < len(numbers) and held < least:
@@ -53,10 +56,21 @@ def windows_of(text: str, least: int = WORDS) -> dict[bytes, list[tuple[int, int
             end += 1
         if held < least:
             break
+        windows.add((start, end))
+        held -= words[start]
+    start = held = 0
+    for end in range(1, len(numbers) + 1):
+        held += words[end - 1]
+        while held - words[start] >= least:
+            held -= words[start]
+            start += 1
+        if held >= least:
+            windows.add((start, end))
+    found: dict[int, list] = {}
+    for start, end in sorted(windows):
         chosen = min(range(start, end), key=lambda i: (digests[i], -i))
         content = blake2b(b"".join(digests[start:end]), digest_size=16).digest()
         found.setdefault(chosen, []).append((numbers[start], numbers[end - 1], content))
-        held -= words[start]
     return {(digests[i], i): spans for i, spans in found.items()}
 
 

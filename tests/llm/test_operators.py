@@ -208,6 +208,32 @@ def test_line_dedup_equals_brute_force(spark):
     assert line_dedup.cleaned(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_deletes_whole_repeated_runs(spark):
+    run = [prose(n, 3000 + n) for n in (100, 11, 10, 9, 12, 30, 8, 7, 60, 5, 6)]
+    texts = ["\n".join(run), "\n\n".join(run)]
+    for i in range(60):  # parts of the run, cut anywhere, between lines of their own
+        rng = random.Random(i)
+        first = rng.randrange(len(run))
+        part = run[first:rng.randint(first + 1, len(run))]
+        texts.append("\n".join([prose(5, 4000 + i), *part, prose(rng.randint(1, 60), 5000 + i)]))
+    texts += [run[0] + "\n" + "\n".join(run[1:4])] * 2
+    lines = [[(k, x) for k, x in enumerate(t.split("\n")) if x] for t in texts]
+    drop, places = collections.defaultdict(set), {}
+    for doc, own in enumerate(lines):  # every run of 50 words or more, not only the shortest
+        for s in range(len(own)):
+            for e in range(s + 1, len(own) + 1):
+                held = [x for _, x in own[s:e]]
+                if sum(len(x.split()) for x in held) >= line_dedup.WORDS and places.setdefault(
+                        tuple(held), (doc, s)) != (doc, s):
+                    drop[doc].update(range(own[s][0], own[e - 1][0] + 1))
+    got = {r.doc_id: r for r in line_dedup.cleaned(frame(spark, texts)).collect()}
+    for doc, text in enumerate(texts):
+        assert got[doc].n_removed == len(drop[doc])
+        assert got[doc].text == "\n".join(
+            x for i, x in enumerate(text.split("\n")) if i not in drop[doc])
+    assert got[1].text == got[len(texts) - 1].text == ""
+
+
 def test_contained_items_equal_brute_force(spark):
     items = [prose(n, 50 + n) for n in (5, 6, 9, 17, 40, 60, 33)] + ["a b", "", None]
     texts = [prose(300, 900 + i) for i in range(30)]
