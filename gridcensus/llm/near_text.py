@@ -11,9 +11,9 @@ member that shares most with others; the links found join nearly all copies to c
 is left are pairs of one bucket in different components. They are compared by their signatures,
 of which every slot keeps one byte, inside a task, and only pairs that agree in at least
 ``AGREE`` of the slots come out, to be verified exactly; a pair at similarity 0.8 agrees in fewer
-with probability about 5e-5. The number of a bucket's open pairs is known before: one with more
-than ``CROWDED`` of them is split by a second band (and, if need be, a third). A pair similar
-enough agrees in many bands, so it meets again there.
+with probability about 5e-5. A bucket with more than ``CROWDED`` open pairs or ``CHUNK`` members
+is cut into chunks of about ``CHUNK``, and every pair of chunks that holds open pairs is a task:
+no task holds more than two chunks, and one common band is enough in a bucket of any size.
 
 A link is a pair whose exact probability Jaccard similarity of counted five-word shingles is at
 least 0.8. The group of a document is its component over all links.
@@ -36,10 +36,10 @@ from gridcensus.llm.graph import components
 from gridcensus.llm.words import SIMILARITY, small, word_hashes
 from gridcensus.session import cut_lineage, ship_package
 
-BANDS, ROWS, CROWDED, LEVELS = 40, 6, 1_000_000, 3
+BANDS, ROWS, CROWDED = 40, 6, 1_000_000
 #: Slots of a signature (the first BANDS x ROWS make bands), and the share that must agree.
 SLOTS, AGREE = 720, 0.742
-BIN_ROWS = 20_000
+BIN_ROWS, CHUNK = 20_000, 4096
 _SLICE_WORDS = 300_000
 
 
@@ -116,36 +116,56 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> Da
     return both.mapInArrow(check, f"a {kind}, b {kind}").distinct()
 
 
-def _open_buckets(buckets: DataFrame) -> DataFrame:
-    """key and the number of pairs in different components, for buckets that have any."""
-    parts = buckets.groupBy("key", "component").agg(F.count("*").alias("n"))
-    count = F.sum("n")
-    return parts.groupBy("key").agg(
-        ((count * count - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
-
+def agreeing(sketch: np.ndarray, component: np.ndarray, agree: float,
+             other: np.ndarray | None = None, against: np.ndarray | None = None):
+    """Index pairs of different components that agree in a share ``agree`` of the bytes.
 
-def agreeing(sketch: np.ndarray, component: np.ndarray, agree: float):
-    """Index pairs (i < j) of different components that agree in a share ``agree`` of the bytes."""
-    n, slots = sketch.shape
+    Pairs i < j within ``sketch``, or of a row there and a row of ``other``, whose components are
+    ``against``.
+    """
+    within = other is None
+    if within:
+        other, against = sketch, component
+    n, slots = other.shape
     step = max(1, 16_000_000 // (n * slots))
-    for at in range(0, n - 1, step):
-        apart = component[at:at + step, None] != component[None, at:]
-        apart &= np.arange(n - at) > np.arange(len(apart))[:, None]
+    for at in range(0, len(sketch), step):
+        past = at if within else 0
+        apart = component[at:at + step, None] != against[None, past:]
+        if within:
+            apart &= np.arange(n - at) > np.arange(len(apart))[:, None]
         i, j = np.nonzero(apart)
         if not len(i):
             continue
         if len(i) * 4 < apart.size:  # few pairs: only those
-            same = (sketch[i + at] == sketch[j + at]).sum(1)
+            same = equal_bytes(sketch[i + at], other[j + past])
         else:
-            same = (sketch[at:at + step, None, :] == sketch[None, at:, :]).sum(2)[i, j]
+            same = equal_bytes(sketch[at:at + step, None, :], other[None, past:, :])[i, j]
         keep = same >= agree * slots
-        yield i[keep] + at, j[keep] + at
+        yield i[keep] + at, j[keep] + past
+
+
+def equal_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bytes of the last axis are equal."""
+    same = a == b
+    if same.shape[-1] % 8 or same.shape[-1] > 8 * 255:
+        return same.sum(-1)
+    lanes = same.view(np.uint64).sum(-1)  # eight counts, each in a byte of its own
+    return lanes.view(np.uint8).reshape(*lanes.shape, 8).sum(-1)
+
+
+def _sketches(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _components(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
 
 
 def alike(buckets: DataFrame, sketches: DataFrame, agree: float) -> DataFrame:
     """Pairs of one bucket (key, id, component) and different components with like sketches.
 
-    Many buckets go to a task, by a hash of their keys; rows come out for like pairs only.
+    Many buckets, of at most ``CHUNK`` members each, go to a task by a hash of their keys; rows
+    come out for like pairs only.
     """
     bins = max(1, -(-buckets.count() // BIN_ROWS))
     rows = buckets.join(sketches, "id").withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins)))
@@ -154,9 +174,7 @@ def alike(buckets: DataFrame, sketches: DataFrame, agree: float) -> DataFrame:
     def compare(group: pa.Table) -> pa.Table:
         group = group.sort_by([("key", "ascending"), ("id", "ascending")])
         keys = group.column("key").to_numpy()
-        component = group.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
-        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(
-            len(keys), -1)
+        component, sketch = _components(group.column("component")), _sketches(group.column("sketch"))
         starts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for first, end in zip(starts[:-1], starts[1:]):
@@ -172,29 +190,80 @@ def alike(buckets: DataFrame, sketches: DataFrame, agree: float) -> DataFrame:
         compare, f"a {kind}, b {kind}")
 
 
+def alike_in_chunks(buckets: DataFrame, parts: DataFrame, sketches: DataFrame,
+                    agree: float) -> DataFrame:
+    """What ``alike`` finds, for buckets of any size, by tasks that hold two chunks at most.
+
+    ``parts`` has the members n of each component of a bucket. One that fills a good part of a
+    chunk gets chunks of its own, dealt by a hash of the ids; the others are dealt whole to the
+    bucket's mixed chunks. Two chunks of one component never meet.
+    """
+    parts = cut_lineage(parts.withColumn("own", F.col("n") * 8 > CHUNK))
+    mixed = parts.where("NOT own").groupBy("key").agg(F.sum("n").alias("_mixed"))
+    cuts = cut_lineage(parts.join(mixed, "key", "left").select("key", "component", "own", F.ceil(
+        F.when(F.col("own"), F.col("n")).otherwise(F.col("_mixed")) / CHUNK).alias("cuts")))
+    number = F.pmod(F.when(F.col("own"), F.xxhash64("id")).otherwise(F.xxhash64("component")),
+                    F.col("cuts"))
+    owner = F.when(F.col("own"), F.col("component").cast("string"))
+    rows = cut_lineage(buckets.join(small(cuts, cuts.count()), ["key", "component"]).select(
+        "key", "id", "component", owner.alias("owner"),
+        F.concat_ws("|", "key", owner, number).alias("tile")))
+    tiles = cut_lineage(rows.groupBy("key", "tile").agg(
+        F.min("owner").alias("owner"), F.min("component").alias("low"),
+        F.max("component").alias("high")))
+    side = lambda n: tiles.select("key", F.col("tile").alias(f"t{n}"), F.col("owner").alias(f"o{n}"),
+                                  (F.col("low") < F.col("high")).alias(f"several{n}"))
+    pairs = cut_lineage(side(1).join(side(2), "key").where(
+        "t1 < t2 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2) OR t1 = t2 AND several1").select(
+        "t1", "t2"))
+    ends = pairs.select(F.col("t1").alias("tile"), "t1", "t2", F.lit(0).alias("side")).unionByName(
+        pairs.where("t1 < t2").select(F.col("t2").alias("tile"), "t1", "t2", F.lit(1).alias("side")))
+    sent = rows.select("tile", "id", "component").join(
+        small(ends, 8 * pairs.count()), "tile").drop("tile").join(sketches, "id")
+    kind = dict(buckets.dtypes)["id"]
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("side", "ascending"), ("id", "ascending")])
+        n = int((group.column("side").to_numpy() == 0).sum())
+        component, sketch = _components(group.column("component")), _sketches(group.column("sketch"))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if n < len(sketch):
+            found = ((i, j + n) for i, j in agreeing(
+                sketch[:n], component[:n], agree, sketch[n:], component[n:]))
+        else:
+            found = agreeing(sketch, component, agree)
+        for i, j in found:
+            a.append(i)
+            b.append(j)
+        ids = group.column("id")
+        return pa.table({"a": ids.take(pa.array(np.concatenate(a))),
+                         "b": ids.take(pa.array(np.concatenate(b)))})
+
+    return sent.select("t1", "t2", "side", "id", "component", "sketch").groupBy(
+        "t1", "t2").applyInArrow(compare, f"a {kind}, b {kind}")
+
+
 def candidate_pairs(buckets: DataFrame, classes: DataFrame, crowded: int = CROWDED,
-                    levels: int = LEVELS, agree: float = AGREE) -> DataFrame:
-    """Like pairs that share a bucket (key, id, component) and lie in different components.
+                    agree: float = AGREE) -> DataFrame:
+    """Like pairs a < b that share a bucket (key, id, component) and lie in different components.
 
-    Crowded buckets are split by the members' other band keys, level by level.
+    A bucket with more than ``crowded`` such pairs or ``CHUNK`` members is compared in chunks.
     """
-    keys, sketches = classes.select("id", "keys"), classes.select("id", "sketch")
-    found = None
-    for level in range(levels):
-        open_ = cut_lineage(_open_buckets(buckets))
-        last = level == levels - 1
-        calm = open_ if last else open_.where(F.col("pairs") <= crowded)
-        rows = cut_lineage(buckets.join(calm.select("key"), "key", "left_semi"))
-        pairs = alike(rows, sketches, agree)
-        found = pairs if found is None else found.unionByName(pairs)
-        if last or open_.where(F.col("pairs") > crowded).isEmpty():
-            break
-        busy = buckets.join(open_.where(F.col("pairs") > crowded).select("key"), "key", "left_semi")
-        buckets = cut_lineage(busy.join(keys, "id").select(
-            "id", "component", F.col("key").alias("_key"), F.explode("keys").alias("_other")).where(
-            "_other <> _key").select("id", "component", F.xxhash64(
-                F.least("_key", "_other"), F.greatest("_key", "_other")).alias("key")).distinct())
-    return found.distinct()
+    sketches = classes.select("id", "sketch")
+    parts = cut_lineage(buckets.groupBy("key", "component").agg(F.count("*").alias("n")))
+    count = F.sum("n")
+    open_ = cut_lineage(parts.groupBy("key").agg(count.alias("members"), (
+        (count * count - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0"))
+    calm = (F.col("pairs") <= crowded) & (F.col("members") <= CHUNK)
+    found = alike(cut_lineage(buckets.join(open_.where(calm).select("key"), "key", "left_semi")),
+                  sketches, agree)
+    busy = cut_lineage(open_.where(~calm).select("key"))
+    n_busy = busy.count()
+    if n_busy:
+        of_busy = lambda df: df.join(small(busy, n_busy), "key", "left_semi")
+        found = found.unionByName(alike_in_chunks(
+            cut_lineage(of_busy(buckets)), of_busy(parts), sketches, agree))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def hubs(buckets: DataFrame) -> DataFrame:

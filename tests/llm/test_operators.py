@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 from gridcensus.llm import (automaton, decontaminate, graph, line_dedup, near_text, near_vectors,
@@ -309,6 +310,29 @@ def test_near_groups_equal_brute_force(spark):
     assert near_text.near_groups(frame(spark, [])).count() == 0
 
 
+def test_near_text_tasks_are_bounded_in_one_large_bucket(spark, monkeypatch):
+    most, plain = 200, GroupedData.applyInArrow
+
+    def bounded(self, compare, schema):
+        def checked(group):
+            assert group.num_rows <= most, f"{group.num_rows} rows in a task"
+            return compare(group)
+        return plain(self, checked, schema)
+
+    monkeypatch.setattr(near_text, "CHUNK", 60, raising=False)
+    monkeypatch.setattr(GroupedData, "applyInArrow", bounded)
+    rng = np.random.default_rng(1)
+    sketch = rng.integers(0, 256, (900, 720), dtype=np.uint8)
+    sketch[899], sketch[898] = sketch[7], sketch[820]  # an outsider like a member, two outsiders
+    part = [0] * 800 + list(range(800, 900))
+    buckets = spark.createDataFrame(
+        [(1, i, part[i]) for i in range(900)], "key long, id long, component long")
+    classes = spark.createDataFrame([(i, [1], r.tobytes()) for i, r in enumerate(sketch)],
+                                    "id long, keys array<long>, sketch binary")
+    found = near_text.candidate_pairs(buckets, classes).collect()
+    assert {(r.a, r.b) for r in found} == {(7, 899), (820, 898)} and len(found) == 2
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(5)
     shared = rng.integers(1, 2**63, 300, dtype=np.uint64)
