@@ -333,6 +333,17 @@ def test_near_text_tasks_are_bounded_in_one_large_bucket(spark, monkeypatch):
     assert {(r.a, r.b) for r in found} == {(7, 899), (820, 898)} and len(found) == 2
 
 
+def test_one_common_band_is_enough_in_a_crowded_bucket(spark):
+    sketch = np.random.default_rng(2).integers(0, 256, (12, 720), dtype=np.uint8)
+    sketch[11] = sketch[0]
+    buckets = spark.createDataFrame([(1, i, i) for i in range(12)],
+                                    "key long, id long, component long")
+    classes = spark.createDataFrame([(i, [1, 100 + i], r.tobytes()) for i, r in enumerate(sketch)],
+                                    "id long, keys array<long>, sketch binary")
+    found = near_text.candidate_pairs(buckets, classes, crowded=3).collect()
+    assert [(r.a, r.b) for r in found] == [(0, 11)]
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(5)
     shared = rng.integers(1, 2**63, 300, dtype=np.uint64)
