@@ -181,7 +181,7 @@ def links(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, tile:
                         F.col("low").alias("l1"))
     right = tiles.select("dims", "block", F.col("tile").alias("t2"), F.col("low").alias("l2"),
                          F.col("high").alias("h2"))
-    widest = F.ceil(F.col("dims") / F.greatest(F.lit(1.0), F.round(F.col("dims") / block)))
+    widest = F.ceil(F.col("dims") / F.greatest(F.lit(1.0), F.bround(F.col("dims") / block)))
     reach = F.sqrt((2 - 2 * cosine) * widest / F.col("dims")) + 1e-6
     meets = left.join(right, ["dims", "block"]).where("t1 <= t2").where(
         (F.col("l2") <= F.col("h1") + reach) & (F.col("l1") <= F.col("h2") + reach))

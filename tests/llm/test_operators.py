@@ -401,6 +401,27 @@ def test_near_vectors_equal_brute_force(spark):
     assert near_vectors.near_vectors(frame_.limit(0)).count() == 0
 
 
+def test_near_vectors_reach_at_forty_dimensions(spark):
+    rng, turned = np.random.default_rng(3), []
+    for _ in range(150):  # pairs that only the first of two blocks finds, 0.3 apart in its range
+        half = np.zeros(40)
+        half[0], half[20] = 0.15, 0.162
+        w = rng.standard_normal(40)
+        w[0] = w[20] = 0
+        first = rng.uniform(-0.4, 0.4)
+        second = -first * half[0] / half[20]
+        w *= np.sqrt(1 - half @ half - first**2 - second**2) / np.linalg.norm(w)
+        w[0], w[20] = first, second
+        turned += [w + half, w - half]
+    rows = np.array(turned) @ near_vectors.rotation(40).T
+    near = rows @ rows.T >= 0.9
+    want = int(near.sum()) - len(rows)
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)],
+                                  "vec_id long, embedding array<double>")
+    assert want >= 300
+    assert near_vectors.links(table, tile=3)[1].agg(F.sum("n")).first()[0] == want
+
+
 def test_url_lists_intervals_and_verdicts(spark):
     day = datetime.date
     entries = spark.createDataFrame([
