@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcensus.llm import (decontaminate, line_dedup, near_text, near_vectors, packing, quality,
-                            secret_scan, shards, token_counts, url_lists)
+from gridcensus.llm import (best_fit, decontaminate, importance, line_dedup, near_text, near_vectors,
+                            packing, prefix_trie, quality, secret_scan, shards, token_counts,
+                            url_lists)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +67,23 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.evaluate(url_lists.dated_captures(pages), url_lists.derived_entries(pages))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_near_dedup, op3_token_counts, op4_line_dedup, op5_sharding, op6_packing, op7_quality,
-    op8_secret_scan, op9_near_vectors, op10_url_lists)}
+    op8_secret_scan, op9_near_vectors, op10_url_lists, op11_resampling, op12_prefix_trie,
+    op13_best_fit)}
 ORACLES = {"op1_decontaminate": decontaminate.SQL, "op10_url_lists": url_lists.SQL}
