@@ -197,12 +197,15 @@ def _on_segment(x: str, y: str) -> str:
             f"AND {y} BETWEEN least(_e.a.y, _e.b.y) AND greatest(_e.a.y, _e.b.y))")
 
 
-def _contains(geometry: str, x: str, y: str) -> str:
+def _hold(edges: str, x: str, y: str) -> str:
     crossed = (f"if((_e.a.y > {y}) <> (_e.b.y > {y}), {x} < _e.a.x + (_e.b.x - _e.a.x) "
                f"* ({y} - _e.a.y) / (_e.b.y - _e.a.y), false)")
-    return _bind("_es", _all_edges(geometry), (
-        f"exists(_es, _e -> {_on_segment(x, y)}) "
-        f"OR size(filter(_es, _e -> {crossed})) % 2 = 1"))
+    return (f"exists({edges}, _e -> {_on_segment(x, y)}) "
+            f"OR size(filter({edges}, _e -> {crossed})) % 2 = 1")
+
+
+def _contains(geometry: str, x: str, y: str) -> str:
+    return _bind("_es", _all_edges(geometry), _hold("_es", x, y))
 
 
 def contains_or_touches(geometry: str, x: str, y: str) -> Column:
@@ -210,6 +213,11 @@ def contains_or_touches(geometry: str, x: str, y: str) -> Column:
     return F.expr(_contains(geometry, x, y))
 
 
+def edges_hold(edges: str, x: str, y: str) -> Column:
+    """As ``contains_or_touches``, for a column of all edges."""
+    return F.expr(_hold(edges, x, y))
+
+
 def _point_gap(p: str, s: str) -> str:
     dx, dy = f"({s}.b.x - {s}.a.x)", f"({s}.b.y - {s}.a.y)"
     along = (f"(({p}.x - {s}.a.x) * {dx} + ({p}.y - {s}.a.y) * {dy}) "

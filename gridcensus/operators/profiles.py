@@ -202,7 +202,8 @@ def bridge_references(bridge: DataFrame, zones: DataFrame, cells: DataFrame) ->
 
 
 def nearest_summary(mapping: DataFrame) -> DataFrame:
-    """Distances and zones per assigned cell, one row."""
+    """Distances and zones per assigned cell, one row; zones without a cell count nowhere."""
+    mapping = mapping.where("cell_index IS NOT NULL")
     loads = mapping.groupBy("cell_index").agg(F.count("*").alias("zones_per_cell"))
     d = describe(mapping, ["distance_m"]).select(
         F.col("value_count").alias("mapped_count"), F.col("mean").alias("mean_distance_m"),

@@ -7,7 +7,6 @@ left corner of their common box, so pairs need no deduplicating shuffle.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +16,7 @@ from gridcensus.functions import geom
 from gridcensus.functions.projection import reproject
 from gridcensus.operators.joins import flag_duplicates
 from gridcensus.operators.skew import lookup_join, spread
+from gridcensus.operators.tiling import in_tile, tile_index, tile_slabs
 from gridcensus.session import cut_lineage
 
 TILE_KEYS = ("tile_x", "tile_y")
@@ -49,12 +49,11 @@ def with_tiles(df: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
             .withColumn("tile_y", F.explode_outer(ys)))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, size: float,
-                    left_id: Sequence[str], margin: float = 0.0) -> DataFrame:
+def candidate_pairs(left: DataFrame, right: DataFrame, size: float, margin: float = 0.0
+                    ) -> DataFrame:
     """Pairs whose boxes come within ``margin``, each once.
 
-    ``right`` columns get the prefix ``r_``. ``left_id`` identifies a left row and spreads
-    the rows of a crowded tile.
+    ``right`` columns get the prefix ``r_``. Crowded tiles are split by adaptive execution.
     """
     l = with_tiles(left, size)
     r = (with_tiles(right, size, margin)
@@ -62,9 +61,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, size: float,
     a, b = F.col("l.box"), F.col("r.r_box")
     corner = ((_tile(F.greatest(a.minx, b.minx - margin), size) == F.col("l.tile_x"))
               & (_tile(F.greatest(a.miny, b.miny - margin), size) == F.col("l.tile_y")))
-    met = geom.boxes_overlap(a, b, margin) & corner
-    return (lookup_join(l, r, TILE_KEYS, "inner", left_id, condition=met)
-            .drop(*TILE_KEYS))
+    same = (F.col("l.tile_x") == F.col("r.tile_x")) & (F.col("l.tile_y") == F.col("r.tile_y"))
+    met = l.alias("l").join(r.alias("r"), same & geom.boxes_overlap(a, b, margin) & corner)
+    return met.drop(*[F.col(f"{side}.{k}") for side in "lr" for k in TILE_KEYS])
 
 
 def area_bridge(zones: DataFrame, cells: DataFrame, tile_size: float | None = None,
@@ -75,36 +74,39 @@ def area_bridge(zones: DataFrame, cells: DataFrame, tile_size: float | None = No
     geometry, icon_cell_area_m2. Pairs that share no more than ``min_area`` square metres
     only touch and are left out.
 
-    The area of a pair is a sum over its edge pairs, computed as generated code on exploded
-    rows.
+    Both sides are cut along tiles, and the area of a pair is a sum over the pairs of their slabs
+    that lie in one tile and share a part of its width.
     """
-    z = with_box(zones.select("plr_id", "geography_version", "geometry",
-                              geom.area("geometry").alias("plr_area_m2")))
-    z = z.withColumn("slabs", geom.slabs("geometry")).drop("geometry")
     zone, cell = ["plr_id", "geography_version"], ["source_grid_id", "cell_index"]
-    # Spread by cell, which also serves the final grouping when the zones are broadcast.
-    c = with_box(spread(cells.select(*cell, "geometry", "icon_cell_area_m2"), *cell))
-    c = c.withColumn("slabs", geom.slabs("geometry")).drop("geometry")
-    size = tile_size or suggest_tile_size(c)
-    pairs = candidate_pairs(c, z, size, cell)
-    edges = (pairs.select(*cell, *[F.col(f"r_{k}").alias(k) for k in zone],
-                          F.col("r_plr_area_m2").alias("plr_area_m2"), "icon_cell_area_m2",
-                          F.col("box.miny").alias("floor"), "slabs",
-                          F.explode("r_slabs").alias("e"))
-             .select("*", F.explode("slabs").alias("f")).drop("slabs"))
-    measured = _slab_shares(edges).groupBy(*zone, *cell).agg(
-        F.sum("share").alias("intersection_area_m2"), F.max("plr_area_m2").alias("plr_area_m2"),
-        F.max("icon_cell_area_m2").alias("icon_cell_area_m2"))
-    return (measured.filter(F.col("intersection_area_m2") > min_area)
-            .withColumn("fraction_of_plr", F.col("intersection_area_m2") / F.col("plr_area_m2"))
-            .withColumn("fraction_of_icon_cell",
-                        F.col("intersection_area_m2") / F.col("icon_cell_area_m2")))
+    size = tile_size or suggest_tile_size(with_box(cells.select("geometry")))
+    measured = slab_pairs(zones, cells, zone, cell, size).groupBy(*zone, *cell).agg(
+        F.sum("share").alias("intersection_area_m2")).filter(
+        F.col("intersection_area_m2") > min_area)
+    sized = measured.join(zones.select(*zone, geom.area("geometry").alias("plr_area_m2")), zone).join(
+        cells.select(*cell, "icon_cell_area_m2"), cell)
+    return sized.select(
+        *zone, *cell, "intersection_area_m2", "plr_area_m2", "icon_cell_area_m2",
+        (F.col("intersection_area_m2") / F.col("plr_area_m2")).alias("fraction_of_plr"),
+        (F.col("intersection_area_m2") / F.col("icon_cell_area_m2")).alias("fraction_of_icon_cell"))
+
+
+def slab_pairs(zones: DataFrame, cells: DataFrame, zone: Sequence[str], cell: Sequence[str],
+               size: float) -> DataFrame:
+    """Both keys and ``share`` for every pair of slabs of one tile that overlap in width."""
+    slab = F.struct("lo", "hi", "y", "m", "sign")
+    z = tile_slabs(zones, zone, size).select(*TILE_KEYS, *zone, slab.alias("e"))
+    c = tile_slabs(cells, cell, size).select(*TILE_KEYS, *cell, slab.alias("f"))
+    l, r = c.alias("l"), z.alias("r")
+    met = (F.col("l.tile_x") == F.col("r.tile_x")) & (F.col("l.tile_y") == F.col("r.tile_y")) & (
+        F.col("e.lo") < F.col("f.hi")) & (F.col("f.lo") < F.col("e.hi"))
+    return _slab_shares(l.join(r, met).select(
+        *zone, *cell, (F.col("l.tile_y") * size).alias("floor"), "e", "f"))
 
 
 def _slab_shares(edges: DataFrame) -> DataFrame:
     """What each pair of slabs ``e`` and ``f`` adds to the area shared by their geometries.
 
-    Heights are taken above ``floor``, any level near both, to keep the numbers small. The
+    Heights are taken above ``floor``, the lower border of their tile. The
     steps are columns of their own: one deep expression would repeat its parts and outgrow
     the size of method the JVM compiles.
     """
@@ -181,7 +183,7 @@ def weather_mask(zones: DataFrame, cells: DataFrame, buffer_m: int,
 
     corner_in_zone = points_in_polygons(first_corners(c), z, size,
                                         ["source_grid_id", "cell_index"]).select(*key)
-    zone_in_cell = points_in_polygons(first_corners(z), c.drop("box"), size, ["x", "y"]).select(*key)
+    zone_in_cell = points_in_shapes(first_corners(z), c, size).select(*key)
 
     rim = outline(z, ["geography_version"])
     low, high = F.least, F.greatest
@@ -189,7 +191,7 @@ def weather_mask(zones: DataFrame, cells: DataFrame, buffer_m: int,
         low("a.x", "b.x").alias("minx"), low("a.y", "b.y").alias("miny"),
         high("a.x", "b.x").alias("maxx"), high("a.y", "b.y").alias("maxy")))
     met = candidate_pairs(c.withColumn("edges", geom.all_edges("geometry")).drop("geometry"),
-                          rim, size, ["source_grid_id", "cell_index"], float(buffer_m))
+                          rim, size, float(buffer_m))
     segments = met.select(
         F.col("r_geography_version").alias("geography_version"), "source_grid_id", "cell_index",
         F.struct(F.col("r_a").alias("a"), F.col("r_b").alias("b")).alias("e"),
@@ -208,25 +210,41 @@ def _point_box(x: str = "x", y: str = "y") -> Column:
                     F.col(x).alias("maxx"), F.col(y).alias("maxy"))
 
 
+def _in_tiles(points: DataFrame, size: float) -> DataFrame:
+    return points.withColumn("tile_x", _tile(F.col("x"), size)).withColumn(
+        "tile_y", _tile(F.col("y"), size))
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, tile_size: float,
                        point_id: Sequence[str], how: str = "inner") -> DataFrame:
     """Points (columns ``x``, ``y``) with the polygons they lie in or on the edge of.
 
-    ``how`` may be ``left_semi`` to keep each point once.
+    A point meets the polygons' index rows of its own tile, with the edges in that tile only.
+    ``how`` may be ``left_semi`` to keep each point once. Polygons that repeat count once.
     """
-    boxed = with_tiles(with_box(polygons), tile_size)
-    keyed = (spread(points, *point_id).withColumn("box", _point_box())
-             .withColumn("tile_x", _tile(F.col("x"), tile_size))
-             .withColumn("tile_y", _tile(F.col("y"), tile_size)))
-    inside = geom.boxes_overlap(F.col("l.box"), F.col("r.box")) & geom.contains_or_touches(
-        "r.geometry", "l.x", "l.y")
-    if how == "left_semi":
-        found = lookup_join(keyed, boxed, TILE_KEYS, how, point_id, condition=inside)
-        return found.drop("box", *TILE_KEYS)
-    carried = [c for c in polygons.columns if c not in points.columns]
-    found = lookup_join(keyed, boxed, TILE_KEYS, how, point_id, condition=inside)
-    return found.select(*[F.col(f"l.{c}") for c in points.columns],
-                        *[F.col(f"r.{c}") for c in carried])
+    carried = [c for c in polygons.columns if c not in (*points.columns, "geometry")]
+    index = tile_index(polygons, carried, tile_size)
+    l, r = _in_tiles(spread(points, *point_id), tile_size).alias("l"), index.alias("r")
+    tile_x, tile_y = F.col("l.tile_x"), F.col("l.tile_y")
+    met = (tile_x == F.col("r.tile_x")) & (tile_y == F.col("r.tile_y")) & in_tile(
+        F.col("r.edges"), F.col("r.corner_inside"), F.col("l.x"), F.col("l.y"), tile_x, tile_y,
+        tile_size)
+    return l.join(r, met, how).select(
+        *[F.col(f"l.{c}") for c in points.columns],
+        *([] if how == "left_semi" else [F.col(f"r.{c}") for c in carried]))
+
+
+def points_in_shapes(points: DataFrame, shapes: DataFrame, tile_size: float) -> DataFrame:
+    """As ``points_in_polygons`` for many shapes (with ``box``) of few edges, such as triangles:
+    the edges go along whole."""
+    carried = [c for c in shapes.columns if c not in (*points.columns, "geometry", "box")]
+    r = with_tiles(shapes.select(*carried, "box", geom.all_edges("geometry").alias("edges")),
+                   tile_size).alias("r")
+    l = _in_tiles(points.withColumn("box", _point_box()), tile_size).alias("l")
+    met = (F.col("l.tile_x") == F.col("r.tile_x")) & (F.col("l.tile_y") == F.col("r.tile_y")) & (
+        geom.boxes_overlap(F.col("l.box"), F.col("r.box"))) & geom.edges_hold("r.edges", "l.x", "l.y")
+    return l.join(r, met).select(*[F.col(f"l.{c}") for c in points.columns],
+                                 *[F.col(f"r.{c}") for c in carried])
 
 
 def points_in_union(points: DataFrame, zones: DataFrame, point_id: Sequence[str],
@@ -409,73 +427,86 @@ def triangle_geometry() -> Column:
     return reproject(geom.promote(geom.polygon(ring)), F.lit(4326))
 
 
-_MAX_DEPTH = 16
-_CROWD = 256
+#: Levels of the tree, eight by eight children to a node, and places up to which one is a leaf.
+_LEVELS, _CROWD = 10, 256
 
 
-def nearest(points: DataFrame, targets: DataFrame, point_id: str,
-            target_columns: Sequence[str]) -> DataFrame:
-    """Nearest target per point with its distance; every target tied for it is kept.
+def _tree(places: DataFrame, size) -> tuple[DataFrame, DataFrame]:
+    """Nodes of a tree over the places, refined only where they are crowded, and their places.
 
-    Targets are reduced to distinct places, and places to a pyramid of occupied tiles, eight
-    by eight children per tile. Points descend the pyramid one level per join and keep only
-    tiles that can still hold a nearest place: those not farther at their closest than the
-    least farthest corner among the kept tiles. The pyramid is as deep as it takes to leave
-    few places per tile, so a crowded area costs depth, not pairs.
+    Nodes: level, nx, ny, their box and whether they are a leaf. One pass counts the places of
+    all levels' tiles; a tile is a node if the tile around it is crowded.
     """
-    places = cut_lineage(targets.groupBy(F.col("x").alias("tx"), F.col("y").alias("ty")).agg(
-        F.count("*").alias("_n")).drop("_n"))
-    size = places.agg(F.count("*").alias("n"), F.min("tx").alias("x0"), F.min("ty").alias("y0"),
-                      F.max("tx").alias("x1"), F.max("ty").alias("y1")).first()
-    if not size["n"]:
-        return points.join(targets.limit(0).select(*target_columns), F.lit(False)).select(
-            point_id, *target_columns, F.lit(None).cast("double").alias("distance_m"))
     side = max(size["x1"] - size["x0"], size["y1"] - size["y0"], 1e-9) * (1 + 1e-9)
+    step = side / 8**_LEVELS
+    last = F.lit(8**_LEVELS - 1)
+    fine = places.select(
+        "tx", "ty", F.least(F.floor((F.col("tx") - size["x0"]) / step), last).alias("cx"),
+        F.least(F.floor((F.col("ty") - size["y0"]) / step), last).alias("cy"))
+    tiled = fine.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(_LEVELS)))).select(
+        "tx", "ty", "level", F.expr(f"shiftright(cx, 3 * ({_LEVELS} - level))").alias("nx"),
+        F.expr(f"shiftright(cy, 3 * ({_LEVELS} - level))").alias("ny"))
+    counted = cut_lineage(tiled.groupBy("level", "nx", "ny").agg(
+        F.count("*").alias("n"), F.min("tx").alias("minx"), F.max("tx").alias("maxx"),
+        F.min("ty").alias("miny"), F.max("ty").alias("maxy")))
+    crowded = counted.filter(F.col("n") > _CROWD).select(
+        (F.col("level") + 1).alias("level"), F.col("nx").alias("cx"), F.col("ny").alias("cy"))
+    child = counted.withColumn("cx", F.shiftright("nx", 3)).withColumn("cy", F.shiftright("ny", 3))
+    inner = child.join(crowded, ["level", "cx", "cy"], "left_semi")
+    nodes = cut_lineage(inner.unionByName(child.filter("level = 1")).withColumn(
+        "leaf", (F.col("n") <= _CROWD) | (F.col("level") == _LEVELS)))
+    held = tiled.join(nodes.filter("leaf").select("level", "nx", "ny"), ["level", "nx", "ny"])
+    return nodes, held
 
-    def tiled(level: int) -> DataFrame:
-        step = side / 8**level
-        return places.select(
-            "tx", "ty", F.floor((F.col("tx") - size["x0"]) / step).cast("long").alias("cx"),
-            F.floor((F.col("ty") - size["y0"]) / step).cast("long").alias("cy"))
 
-    depth = max(1, math.ceil(math.log(size["n"], 64)))
-    while depth < _MAX_DEPTH:
-        crowd = tiled(depth).groupBy("cx", "cy").agg(F.count("*").alias("n"))
-        if crowd.agg(F.max("n")).first()[0] <= _CROWD:
-            break
-        depth += 1
-    leaf = tiled(depth)
+def nearest(points: DataFrame, targets: DataFrame, point_id: str,
+            target_columns: Sequence[str]) -> DataFrame:
+    """Every point with its nearest target and the distance; all targets tied for it are kept.
+
+    Points without position, and all points where no target has one, come out with NULL.
+
+    Targets are reduced to distinct places, and places to a tree of occupied tiles that is deep
+    only where places are crowded. Points descend the tree one level per join and keep only
+    nodes that can still hold a nearest place: those not farther at their closest than the least
+    farthest corner among the kept ones. A leaf is kept as it is until all levels are done.
+    """
+    places = cut_lineage(targets.where("x IS NOT NULL AND y IS NOT NULL").groupBy(
+        F.col("x").alias("tx"), F.col("y").alias("ty")).agg(F.count("*").alias("_n")).drop("_n"))
+    size = places.agg(F.min("tx").alias("x0"), F.min("ty").alias("y0"),
+                      F.max("tx").alias("x1"), F.max("ty").alias("y1")).first()
+    ids = points.select(point_id)
+    if size["x0"] is None:
+        return ids.join(targets.limit(0).select(*target_columns), F.lit(False), "left").withColumn(
+            "distance_m", F.lit(None).cast("double"))
+    nodes, held = _tree(places, size)
+    depth = nodes.agg(F.max("level")).first()[0]
 
     px, py = F.col("px"), F.col("py")
-    kept = spread(points, point_id).select(point_id, F.col("x").alias("px"), F.col("y").alias("py"),
-                         F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
+    gap_x = F.greatest(F.col("minx") - px, px - F.col("maxx"), F.lit(0.0))
+    gap_y = F.greatest(F.col("miny") - py, py - F.col("maxy"), F.lit(0.0))
+    far_x = F.greatest(F.abs(F.col("minx") - px), F.abs(F.col("maxx") - px))
+    far_y = F.greatest(F.abs(F.col("miny") - py), F.abs(F.col("maxy") - py))
+    columns = [point_id, "px", "py", "level", "nx", "ny", "leaf", "_gap", "_far"]
+    placed = spread(points.where("x IS NOT NULL AND y IS NOT NULL"), point_id).select(
+        point_id, F.col("x").alias("px"), F.col("y").alias("py"))
+    kept = placed.withColumns({"level": F.lit(0), "nx": F.lit(0).cast("long"), "ny": F.lit(0).cast(
+        "long"), "leaf": F.lit(False), "_gap": F.lit(0.0), "_far": F.lit(float("inf"))})
     for level in range(1, depth + 1):
-        shrink = 8 ** (depth - level)
-        tiles = leaf.groupBy(F.floor(F.col("cx") / shrink).alias("nx"),
-                             F.floor(F.col("cy") / shrink).alias("ny")).agg(
-            F.min("tx").alias("minx"), F.max("tx").alias("maxx"),
-            F.min("ty").alias("miny"), F.max("ty").alias("maxy"))
-        tiles = (tiles.withColumn("cx", F.floor(F.col("nx") / 8))
-                 .withColumn("cy", F.floor(F.col("ny") / 8)))
-        gap_x = F.greatest(F.col("minx") - px, px - F.col("maxx"), F.lit(0.0))
-        gap_y = F.greatest(F.col("miny") - py, py - F.col("maxy"), F.lit(0.0))
-        far_x = F.greatest(F.abs(F.col("minx") - px), F.abs(F.col("maxx") - px))
-        far_y = F.greatest(F.abs(F.col("miny") - py), F.abs(F.col("maxy") - py))
-        met = lookup_join(kept, tiles, ["cx", "cy"], "inner", [point_id],
-                          small=None if level > 3 else True).select(
-            point_id, "px", "py", "nx", "ny", (gap_x * gap_x + gap_y * gap_y).alias("_gap"),
-            (far_x * far_x + far_y * far_y).alias("_far"))
-        kept = _within_best(met, point_id, "_gap", "_far").select(
-            point_id, "px", "py", F.col("nx").alias("cx"), F.col("ny").alias("cy"))
+        below = nodes.filter(F.col("level") == level).drop("n")
+        inner = kept.filter("NOT leaf").select(point_id, "px", "py", F.col("nx").alias("cx"),
+                                               F.col("ny").alias("cy"))
+        # The first two levels have at most 64 and 4096 nodes.
+        met = inner.join(F.broadcast(below) if level < 3 else below, ["cx", "cy"]).withColumns({
+            "_gap": gap_x * gap_x + gap_y * gap_y, "_far": far_x * far_x + far_y * far_y})
+        kept = _within_best(kept.filter("leaf").select(columns).unionByName(met.select(columns)),
+                            point_id, "_gap", "_far").select(columns)
     apart = F.sqrt(F.pow(px - F.col("tx"), 2) + F.pow(py - F.col("ty"), 2))
-    met = lookup_join(kept, leaf, ["cx", "cy"], "inner", [point_id]).withColumn(
-        "distance_m", apart)
-    winners = cut_lineage(_within_best(met, point_id, "distance_m", "distance_m").select(
-        point_id, "tx", "ty", "distance_m"))
-    # The targets are the larger side, and copies of one place may be many.
+    met = kept.join(held, ["level", "nx", "ny"]).withColumn("distance_m", apart)
+    winners = _within_best(met, point_id, "distance_m", "distance_m").select(
+        point_id, "tx", "ty", "distance_m")
     named = targets.select(F.col("x").alias("tx"), F.col("y").alias("ty"), *target_columns)
-    return (lookup_join(named, winners, ["tx", "ty"], "inner", list(target_columns))
-            .select(point_id, *target_columns, "distance_m"))
+    return ids.join(winners.join(named, ["tx", "ty"]).drop("tx", "ty"), point_id, "left").select(
+        point_id, *target_columns, "distance_m")
 
 
 def _within_best(df: DataFrame, point_id: str, low: str, high: str) -> DataFrame:

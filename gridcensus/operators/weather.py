@@ -82,12 +82,13 @@ def field_identity_audit(field: DataFrame) -> DataFrame:
 
 def aggregate_to_zones(weather: DataFrame, bridge: DataFrame,
                        values: Sequence[str] = schemas.WEATHER_VALUES,
-                       small: bool | None = None) -> DataFrame:
+                       small: bool | None = None, forecasts: DataFrame | None = None) -> DataFrame:
     """Area-weighted mean per zone and forecast, missing-preserving.
 
     The weather is first reduced to bridge cells. Every zone of the bridge comes out for every
     forecast; one of which some bridge cell has no weather row gets NULL values, and
-    ``bridge_coverage`` names those cells' forecasts.
+    ``bridge_coverage`` names those cells' forecasts. ``forecasts`` names the forecasts where
+    the weather may lack some; without it they are those of the weather.
     """
     zone = [c for c in ("plr_id", "geography_version") if c in bridge.columns]
     small = is_small(bridge) if small is None else small
@@ -99,8 +100,9 @@ def aggregate_to_zones(weather: DataFrame, bridge: DataFrame,
     means = joined.groupBy(*zone, *FORECAST).agg(
         F.count("*").alias("_met"), F.max("_cells").alias("_cells"),
         *[weighted_mean(F.col(v), F.col("_w")).alias(v) for v in values])
-    forecasts = weather.agg(F.collect_set(F.struct(*FORECAST))).scalar()
-    expected = sizes.select(*zone, F.explode(forecasts).alias("_f")).select(*zone, "_f.*")
+    known = (weather if forecasts is None else forecasts).agg(
+        F.collect_set(F.struct(*FORECAST))).scalar()
+    expected = sizes.select(*zone, F.explode(known).alias("_f")).select(*zone, "_f.*")
     whole = F.col("_met") == F.col("_cells")
     return expected.join(means, [*zone, *FORECAST], "left").select(
         *zone, *FORECAST, *[F.when(whole, F.col(v)).alias(v) for v in values])
@@ -123,11 +125,17 @@ def missing_bridge_cells(weather: DataFrame, bridge: DataFrame, limit: int = 10)
     return unmatched_keys(bridge, weather, ["cell_index"]).orderBy("cell_index").limit(limit)
 
 
-def plr_weather(field: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Zone weather for every forecast in ``field``."""
+def plr_weather(field: DataFrame, bridge: DataFrame, forecasts: DataFrame | None = None
+                ) -> DataFrame:
+    """Zone weather for every forecast in ``field``, one without a complete cell included.
+
+    ``forecasts`` (the identity columns) may name what the field holds; else a scan of the
+    field's identity columns does.
+    """
     small = is_small(bridge)
     kept = restrict_to_cells(field, bridge, small)
-    return aggregate_to_zones(combine_fields(kept), bridge, small=small)
+    named = (field if forecasts is None else forecasts).select(*FORECAST)
+    return aggregate_to_zones(combine_fields(kept), bridge, small=small, forecasts=named)
 
 
 def plr_weather_population(weather: DataFrame, accepted: DataFrame, rejected: DataFrame,

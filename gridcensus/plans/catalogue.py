@@ -144,9 +144,24 @@ def _temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sentinel_audit(spark, sf_dir):
-    """Temperature contract per run: paired markers, finite, consistent, within bounds."""
-    verdict = gates.temperature_contract(_temperature(spark, sf_dir), None,
-                                         group=("run_time_utc",))
+    """Temperature contract per week's batch: paired markers, finite, consistent, within bounds.
+
+    Every third week is sound; the others hold every defect, some with a cell, a time or a run
+    too few or too many.
+    """
+    n, week = F.col("event_id"), F.date_trunc("week", "ts")
+    sound = F.weekofyear(week) % 3 == 1
+    d = F.when(sound, 0).otherwise(n % 101)
+    k = F.when(d == 10, float("inf")).otherwise(F.col("value") / 10 + 270)
+    hour = F.expr("interval 1 hour")
+    rows = lenses.table(spark, sf_dir, "events").select(
+        week.alias("batch"), F.when(d != 7, n).alias("cell_index"),
+        F.when(d == 11, week - hour).otherwise(week).alias("run_time_utc"),
+        F.when(d == 9, week + hour).when(d != 8, week).alias("valid_time_utc"),
+        F.when(d.isin(1, 2), 9999.0).otherwise(k).alias("temperature_k"),
+        F.when(d.isin(1, 3), 9725.85).when(d == 4, k - 270).otherwise(k - 273.15)
+        .alias("temperature_c"))
+    verdict = gates.temperature_contract(rows, None, group=("batch",))
     return _rounded(_longs(verdict), ("min_k", "max_k"))
 
 
@@ -289,9 +304,15 @@ def population_accounting(spark, sf_dir):
 def population_contract(spark, sf_dir):
     """Strict contract counters and the artefact contract over the lenient split."""
     frame = _coerced(spark, sf_dir)
-    strict = gates.population_contract(frame, None, "202512")
+    key = F.col("plr_id").cast("bigint")
+    spoiled = frame.withColumns({
+        "ZEIT": F.when(key % 47 == 2, "202412").when(key % 47 != 3, F.col("ZEIT")),
+        "plr_id": F.when(key % 43 != 1, F.col("plr_id"))})
+    strict = gates.population_contract(spoiled, None, "202512")
     split = gates.lenient_population_gate(frame).stored()
-    artefact = checks.artefact_contract(split.accepted, split.rejected, None).select(
+    both = split.accepted.filter(key % 53 == 4).select("plr_id", *[
+        F.lit(None).cast(t).alias(c) for c, t in split.rejected.dtypes if c != "plr_id"])
+    artefact = checks.artefact_contract(split.accepted, split.rejected.unionByName(both), None).select(
         F.col("passed").alias("artefact_passed"), "accepted_missing_count", "overlap_count",
         F.col("source_row_count").alias("artefact_rows"))
     return _longs(side_by_side(spark, strict.drop("code"), artefact))
@@ -347,10 +368,10 @@ def orphan_rows(spark, sf_dir):
 
 @query
 def key_differences(spark, sf_dir):
-    """Users with errors against users with purchases above 100."""
+    """Users who ever had an error against users who ever bought."""
     events = lenses.table(spark, sf_dir, "events")
-    a = events.filter("event_type = 'error' and value > 150").select("user_id")
-    b = events.filter("event_type = 'purchase' and value > 100").select("user_id")
+    a = events.filter("event_type = 'error'").select("user_id")
+    b = events.filter("event_type = 'purchase'").select("user_id")
     return joins.compare_keys(a, b, ["user_id"])
 
 
@@ -393,7 +414,8 @@ def _weather(spark: SparkSession, sf_dir: str, newest: bool = False) -> DataFram
     field = lenses.field(spark, sf_dir)
     if newest:
         field = weather.newest_forecast(field, lenses.field_forecasts(spark, sf_dir))
-    return weather.plr_weather(field, lenses.event_bridge(spark, sf_dir))
+    return weather.plr_weather(field, lenses.event_bridge(spark, sf_dir),
+                               lenses.field_forecasts(spark, sf_dir, newest))
 
 
 def _final(spark: SparkSession, sf_dir: str, newest: bool = False) -> DataFrame:
@@ -498,15 +520,24 @@ def _indicator_columns(df: DataFrame) -> DataFrame:
 
 @query
 def partition_complete_full(spark, sf_dir):
-    """Unscoped completeness verdict per forecast."""
+    """Unscoped completeness verdict per forecast, with every defect that it counts."""
+    c = F.col("cell_index")
+    spoiled = lenses.sparse_field(spark, sf_dir).withColumns({
+        "indicator": F.when((c % 97 == 13) & (F.col("indicator") == "U_10M"), "PMSL").otherwise(
+            F.col("indicator")),
+        "valid_time_utc": F.col("valid_time_utc") + F.when(
+            c % 89 == 7, F.expr("interval 1 hour")).otherwise(F.expr("interval 0 hour")),
+        "source_value": F.when(c % 79 != 3, F.col("source_value")),
+        "cell_index": F.when(c % 83 == 11, -c - 1).otherwise(c)})
     verdicts = checks.full_partition_check(
-        lenses.sparse_field(spark, sf_dir), lenses.cell_count(spark, sf_dir), ("source_unit",))
+        spoiled, lenses.cell_count(spark, sf_dir), ("source_unit",))
     return _longs(_indicator_columns(verdicts))
 
 
 @query
 def partition_complete_scoped(spark, sf_dir):
-    """Scoped completeness verdict per forecast, with a lost manifest and stray rows."""
+    """Scoped completeness verdict per forecast, with a lost manifest, stray rows, and sources
+    of a wrong name, size, time or scope in four of five weeks."""
     field, mask = lenses.field(spark, sf_dir), _wanted_cells(spark, sf_dir)
     masked, manifest = weather.mask_fields(field, mask)
     first = field.agg(F.min("run_time_utc")).scalar()
@@ -517,6 +548,14 @@ def partition_complete_scoped(spark, sf_dir):
              "mask_buffer_m": F.lit(5000)}
     sources = manifest.filter(~((F.col("run_time_utc") == last)
                                 & (F.col("indicator") == "V_10M"))).withColumns(scope)
+    week, kind = F.weekofyear("run_time_utc") % 5, F.col("indicator")
+    odd = lambda n, name: (week == n) & (kind == name)
+    sources = sources.withColumns({
+        "indicator": F.when(odd(1, "TD_2M"), "PMSL").otherwise(kind),
+        "source_point_count": F.col("source_point_count") + odd(2, "RELHUM_2M").cast("int"),
+        "valid_time_utc": F.when(odd(3, "U_10M"), F.col("run_time_utc") + F.expr(
+            "interval 1 hour")).otherwise(F.col("valid_time_utc")),
+        "geography_version": F.when(odd(4, "V_10M"), "other").otherwise(F.col("geography_version"))})
     verdicts = checks.scoped_partition_check(
         sources, masked.unionByName(stray), mask.withColumns(scope),
         lenses.cell_count(spark, sf_dir))
@@ -701,22 +740,25 @@ def reproject(spark, sf_dir):
                        F.round("q.x", 6).alias("lon"), F.round("q.y", 6).alias("lat"))
 
 
+def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones, some without a position, and the cells nearest to them."""
+    zones = lenses.rounded_centres(lenses.zones(spark, sf_dir), ["plr_id"]).withColumn(
+        "x", F.when(F.col("plr_id").cast("bigint") % 37 != 5, F.col("x")))
+    cells = lenses.rounded_centres(lenses.cells(spark, sf_dir), ["cell_index"])
+    return spatial.nearest(zones, cells, "plr_id", ["cell_index"])
+
+
 @query
 def nearest_cell(spark, sf_dir):
-    """Nearest triangle centre per zone centroid, ties kept."""
-    zones = lenses.rounded_centres(lenses.zones(spark, sf_dir), ["plr_id"])
-    cells = lenses.rounded_centres(lenses.cells(spark, sf_dir), ["cell_index"])
-    found = spatial.nearest(zones, cells, "plr_id", ["cell_index"])
+    """Nearest triangle centre per zone centroid, ties kept; zones without a position stay."""
+    found = _nearest(spark, sf_dir)
     return _rounded(_longs(found), ("distance_m",), 3)
 
 
 @query
 def nearest_summary(spark, sf_dir):
     """Distances and zones per assigned cell."""
-    zones = lenses.rounded_centres(lenses.zones(spark, sf_dir), ["plr_id"])
-    cells = lenses.rounded_centres(lenses.cells(spark, sf_dir), ["cell_index"])
-    found = spatial.nearest(zones, cells, "plr_id", ["cell_index"])
-    out = profiles.nearest_summary(cut_lineage(found))
+    out = profiles.nearest_summary(cut_lineage(_nearest(spark, sf_dir)))
     return _rounded(_longs(out), [c for c, t in out.dtypes if t == "double"], 3)
 
 

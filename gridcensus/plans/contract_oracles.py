@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridcensus.plans.oracles import FINAL, LINKS, POP, SHAPES, SPARSE
+from gridcensus.plans.oracles import FINAL, LINKS, POP, SHAPES, SPARSE, ZONED
 
 ORACLES: dict[str, str] = {}
 
@@ -320,3 +320,13 @@ c AS (SELECT (SELECT count(*) FROM s) AS source_row_count, (SELECT count(*) FROM
     + (SELECT count(*) FROM no WHERE plr_id NOT IN (SELECT plr_id FROM s)) AS key_difference_count)""",
     """SELECT c.*, source_row_count = accepted_row_count + rejected_row_count AND accepted_rejected_overlap = 0
     AND key_difference_count = 0 AND source_row_count > 0 AS passed FROM c""")
+
+_KNOWN = """CASE WHEN run = (SELECT min(run) FROM runs) OR run = (SELECT max(run) FROM runs)
+  AND plr_id IN (SELECT plr_id FROM links WHERE cell % 50 = 3) THEN NULL ELSE {} END"""
+
+add("incomplete_forecasts", ZONED, "SELECT plr_id, run AS run_time_utc, 'PT000H00M' AS lead_time, "
+    "run AS valid_time_utc, " + ", ".join(
+        f"round({_KNOWN.format(short)}, 6) AS {name}" for short, name in (
+            ("t", "temperature_c"), ("rh", "relative_humidity_percent"),
+            ("td", "dew_point_temperature_c"), ("u", "wind_u_10m_ms"), ("v", "wind_v_10m_ms"),
+            ("ws", "wind_speed_10m_ms"))) + " FROM zoned")

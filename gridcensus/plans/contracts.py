@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcensus import schemas
 from gridcensus.functions import geom, text
 from gridcensus.operators import checks, gates, joins, profiles, report, spatial, weather
 from gridcensus.operators.verdict import offenders, side_by_side
@@ -129,6 +130,19 @@ def mesh_topology(spark, sf_dir):
                   .fillna(0, ["dangling_count"]))
 
 
+@query
+def incomplete_forecasts(spark, sf_dir):
+    """Zone weather where the first run lacks an indicator and the last one a cell of it."""
+    field = lenses.field(spark, sf_dir)
+    runs = lenses.field_forecasts(spark, sf_dir).agg(
+        F.min("run_time_utc").alias("a"), F.max("run_time_utc").alias("b"))
+    run, kind = F.col("run_time_utc"), F.col("indicator")
+    lost = ((run == runs.select("a").scalar()) & (kind == "V_10M")) | (
+        (run == runs.select("b").scalar()) & (kind == "T_2M") & (F.col("cell_index") % 50 == 3))
+    out = weather.plr_weather(field.filter(~lost), lenses.event_bridge(spark, sf_dir))
+    return _rounded(out.drop("geography_version"), schemas.WEATHER_VALUES)
+
+
 # Stored tables
 
 @query

@@ -62,11 +62,14 @@ def field(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "source_value"))
 
 
-def field_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The forecasts that ``field`` holds, from one narrow scan."""
-    return table(spark, sf_dir, "events").select(
-        F.date_trunc("week", "ts").alias("run_time_utc")).distinct().withColumn(
-        "lead_time", F.lit("PT000H00M"))
+def field_forecasts(spark: SparkSession, sf_dir: str, newest: bool = False) -> DataFrame:
+    """The forecasts that ``field`` holds, or the newest, from one narrow scan."""
+    run = F.date_trunc("week", "ts").alias("run_time_utc")
+    rows = table(spark, sf_dir, "events").select(run)
+    known = rows.agg(F.max("run_time_utc").alias("run_time_utc")).where(
+        "run_time_utc IS NOT NULL") if newest else rows.distinct()
+    return known.withColumn("lead_time", F.lit("PT000H00M")).withColumn(
+        "valid_time_utc", F.col("run_time_utc"))
 
 
 def sparse_field(spark: SparkSession, sf_dir: str) -> DataFrame:

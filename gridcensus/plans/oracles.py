@@ -293,16 +293,26 @@ TEMP = """temp AS (SELECT event_id, user_id, CAST(date_trunc('week', ts) AS TIME
   CASE WHEN event_id % 101 IN (1, 3) THEN 9725.85::DOUBLE WHEN event_id % 101 = 4 THEN value / 10
        ELSE value / 10 + 270 - 273.15 END AS c FROM events)"""
 
-add("sentinel_audit", TEMP, """SELECT run AS run_time_utc, count(*) AS row_count,
-  CAST(0 AS BIGINT) AS null_cell_count, count(DISTINCT event_id) AS distinct_cell_count,
-  CAST(0 AS BIGINT) AS null_time_count, CAST(1 AS BIGINT) AS run_time_count,
-  CAST(1 AS BIGINT) AS valid_time_count, count(*) FILTER (d IN (2, 3)) AS half_missing_count,
-  count(*) FILTER (d = 1) AS missing_count, CAST(0 AS BIGINT) AS non_finite_count,
-  count(*) FILTER (d <> 1 AND abs(c - (k - 273.15)) > 1e-6) AS inconsistent_count,
-  round(min(k) FILTER (d <> 1), 6) AS min_k, round(max(k) FILTER (d <> 1), 6) AS max_k,
-  count(*) FILTER (d IN (2, 3)) = 0 AND count(*) FILTER (d <> 1 AND abs(c - (k - 273.15)) > 1e-6) = 0
-    AND min(k) FILTER (d <> 1) >= 253 AND max(k) FILTER (d <> 1) <= 313 AS passed
-  FROM temp GROUP BY run""")
+add("sentinel_audit", """b AS (SELECT *, CAST(date_trunc('week', ts) AS TIMESTAMP) AS batch,
+  CASE WHEN week(date_trunc('week', ts)) % 3 = 1 THEN 0 ELSE event_id % 101 END AS d FROM events),
+t AS (SELECT batch, d, CASE WHEN d <> 7 THEN event_id END AS cell,
+  CASE WHEN d = 11 THEN batch - INTERVAL 1 HOUR ELSE batch END AS run,
+  CASE WHEN d = 9 THEN batch + INTERVAL 1 HOUR WHEN d <> 8 THEN batch END AS valid,
+  CASE WHEN d NOT IN (1, 2, 10) THEN value / 10 + 270 END AS k,
+  CASE WHEN d IN (1, 3) THEN 9725.85::DOUBLE WHEN d = 4 THEN value / 10
+       WHEN d <> 10 THEN value / 10 + 270 - 273.15 END AS c FROM b),
+n AS (SELECT batch, count(*) AS row_count, count(*) FILTER (cell IS NULL) AS null_cell_count,
+  count(DISTINCT cell) AS distinct_cell_count, count(*) FILTER (run IS NULL OR valid IS NULL) AS null_time_count,
+  count(DISTINCT run) AS run_time_count, count(DISTINCT valid) AS valid_time_count,
+  count(*) FILTER (d IN (2, 3)) AS half_missing_count, count(*) FILTER (d = 1) AS missing_count,
+  count(*) FILTER (d = 10) AS non_finite_count,
+  count(*) FILTER (d NOT IN (1, 10) AND abs(c - (coalesce(k, 9999) - 273.15)) > 1e-6) AS inconsistent_count,
+  round(min(CASE d WHEN 2 THEN 9999 ELSE k END), 6) AS min_k,
+  round(max(CASE d WHEN 2 THEN 9999 ELSE k END), 6) AS max_k FROM t GROUP BY batch)""",
+    """SELECT *, null_cell_count = 0 AND distinct_cell_count + null_cell_count = row_count
+  AND null_time_count = 0 AND run_time_count = 1 AND valid_time_count = 1 AND half_missing_count = 0
+  AND non_finite_count = 0 AND inconsistent_count = 0 AND coalesce(min_k >= 253, true)
+  AND coalesce(max_k <= 313, true) AS passed FROM n""")
 
 add("temperature_profile", TEMP + ",\n" + LINKS + """,
 wanted AS (SELECT DISTINCT cell FROM links),
@@ -376,17 +386,26 @@ add("population_accounting", POP, """SELECT count(*) > 0 AS passed, count(*) AS
   count(DISTINCT plr_id) AS distinct_plr_count, CAST(0 AS BIGINT) AS blank_plr_count,
   CAST(1 AS BIGINT) AS reference_code_count, CAST(0 AS BIGINT) AS key_difference_count FROM pop""")
 
-add("population_contract", POP, """SELECT false AS passed, count(*) AS row_count,
-  CAST(0 AS BIGINT) AS blank_id_count, count(DISTINCT plr_id) AS distinct_id_count,
-  CAST(0 AS BIGINT) AS null_code_count, CAST(1 AS BIGINT) AS code_count,
+add("population_contract", POP + """,
+strict AS (SELECT *, CASE WHEN CAST(plr_id AS BIGINT) % 43 <> 1 THEN plr_id END AS id,
+  CASE CAST(plr_id AS BIGINT) % 47 WHEN 2 THEN '202412' WHEN 3 THEN NULL ELSE '202512' END AS code
+  FROM lenient),
+twice AS (SELECT count(*) AS n FROM lenient WHERE reason IS NULL AND CAST(plr_id AS BIGINT) % 53 = 4),
+n AS (SELECT count(*) AS row_count, count(*) - count(id) AS blank_id_count,
+  count(DISTINCT id) AS distinct_id_count, count(*) - count(code) AS null_code_count,
+  count(DISTINCT code) AS code_count, min(code) AS code,
   count(*) FILTER (t IS NULL) AS missing_total_count, count(*) FILTER (t < 0) AS negative_total_count,
   count(*) FILTER (m < 0 OR o < 0) AS negative_component_count,
   count(*) FILTER (m > t OR o > t) AS component_exceeds_count,
   count(*) FILTER (s > t) AS sum_exceeds_count,
   count(*) FILTER (share < 0 OR share > 1) AS share_range_count,
-  count(*) FILTER (reason IS NULL AND share IS NULL) = 0 AS artefact_passed,
-  count(*) FILTER (reason IS NULL AND share IS NULL) AS accepted_missing_count,
-  CAST(0 AS BIGINT) AS overlap_count, count(*) AS artefact_rows FROM lenient""")
+  count(*) FILTER (reason IS NULL AND (t IS NULL OR s IS NULL OR share IS NULL)) AS accepted_missing_count
+  FROM strict)""", """SELECT n.* EXCLUDE (code), code = '202512' AND code_count = 1
+    AND distinct_id_count + blank_id_count = row_count AND blank_id_count = 0 AND null_code_count = 0
+    AND missing_total_count = 0 AND negative_total_count = 0 AND negative_component_count = 0
+    AND component_exceeds_count = 0 AND sum_exceeds_count = 0 AND share_range_count = 0 AS passed,
+  accepted_missing_count = 0 AND twice.n = 0 AS artefact_passed, twice.n AS overlap_count,
+  row_count + twice.n AS artefact_rows FROM n, twice""")
 
 add("population_profile", POP, """SELECT count(*) AS row_count, count(DISTINCT plr_id) AS distinct_id_count,
   CAST(0 AS BIGINT) AS null_id_count, CAST(1 AS BIGINT) AS reference_code_count,
@@ -420,8 +439,8 @@ add("orphan_rows", "", """SELECT l_orderkey AS o_orderkey, count(*) AS row_count
   WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o_orderstatus = 'O')
   GROUP BY 1""")
 
-add("key_differences", """a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND value > 150),
-b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 100)""",
+add("key_differences", """a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error'),
+b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase')""",
     """SELECT user_id, 'missing_right' AS difference FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
 UNION ALL SELECT user_id, 'missing_left' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 
@@ -497,17 +516,23 @@ _ROWS = ", ".join(f"coalesce(max(n) FILTER (indicator = '{i}'), 0) AS rows_{i.lo
 
 add("partition_complete_full", SPARSE + """,
 size AS (SELECT max(user_id) + 1 AS s FROM events),
-per AS (SELECT run, lead_time, indicator, count(*) AS n, min(unit) = max(unit) AS same
-  FROM sparse GROUP BY ALL)""", f"""SELECT run AS run_time_utc, lead_time,
+spoiled AS (SELECT run, lead_time, unit, cell % 89 = 7 AS late, cell % 83 = 11 AS bad,
+  cell % 79 = 3 OR v IS NULL AS empty,
+  CASE WHEN cell % 97 = 13 AND indicator = 'U_10M' THEN 'PMSL' ELSE indicator END AS indicator FROM sparse),
+per AS (SELECT run, lead_time, indicator, indicator <> 'PMSL' AS known, count(*) AS n,
+  min(unit) = max(unit) AS same, count(*) FILTER (late) AS late, count(*) FILTER (bad) AS bad,
+  count(*) FILTER (empty) AS empty FROM spoiled GROUP BY ALL)""", f"""SELECT run AS run_time_utc, lead_time,
   CAST(sum(n) AS BIGINT) AS total_row_count, 5 * (SELECT s FROM size) AS expected_row_count,
-  count(*) AS indicator_count, 5 - count(*) AS missing_indicator_count,
-  CAST(0 AS BIGINT) AS unexpected_indicator_count,
-  5 - count(*) FILTER (n = (SELECT s FROM size)) AS wrong_row_count_indicator_count,
-  CAST(0 AS BIGINT) AS wrong_valid_time_row_count, CAST(0 AS BIGINT) AS invalid_cell_index_row_count,
+  count(*) AS indicator_count, 5 - count(*) FILTER (known) AS missing_indicator_count,
+  count(*) FILTER (NOT known) AS unexpected_indicator_count,
+  5 - count(*) FILTER (known AND n = (SELECT s FROM size)) AS wrong_row_count_indicator_count,
+  CAST(sum(late) AS BIGINT) AS wrong_valid_time_row_count,
+  CAST(sum(bad) AS BIGINT) AS invalid_cell_index_row_count,
   count(*) FILTER (NOT same) AS inconsistent_source_metadata_indicator_count,
-  CAST(0 AS BIGINT) AS null_source_value_count, {_ROWS},
-  sum(n) = 5 * (SELECT s FROM size) AND count(*) FILTER (NOT same) = 0
-    AND count(*) FILTER (n = (SELECT s FROM size)) = 5 AS passed FROM per GROUP BY run, lead_time""")
+  CAST(sum(empty) AS BIGINT) AS null_source_value_count, {_ROWS},
+  sum(n) = 5 * (SELECT s FROM size) AND count(*) = 5 AND count(*) FILTER (NOT same) = 0
+    AND count(*) FILTER (known AND n = (SELECT s FROM size)) = 5 AND sum(late) = 0 AND sum(bad) = 0
+    AS passed FROM per GROUP BY run, lead_time""")
 
 add("partition_complete_scoped", MASKED + """,
 m AS (SELECT count(*) AS m FROM mask),
@@ -520,14 +545,17 @@ per AS (SELECT run, indicator, count(*) AS n, count(*) FILTER (NOT held) AS stra
   'PT000H00M' AS lead_time, CASE WHEN run = (SELECT b FROM bound) THEN 4 ELSE 5 END::BIGINT AS source_indicator_count,
   count(*) AS field_indicator_count, CAST(sum(n) AS BIGINT) AS total_retained_row_count,
   5 * (SELECT m FROM m) AS expected_retained_row_count, (SELECT m FROM m) AS mask_cell_count,
-  CASE WHEN run = (SELECT b FROM bound) THEN 1 ELSE 0 END::BIGINT AS missing_indicator_count,
-  CAST(0 AS BIGINT) AS unexpected_indicator_count,
-  CAST(0 AS BIGINT) AS wrong_source_point_count_indicator_count,
+  (CASE WHEN run = (SELECT b FROM bound) THEN 1 ELSE 0 END
+    + CASE week(run) % 5 WHEN 1 THEN 1 ELSE 0 END)::BIGINT AS missing_indicator_count,
+  CASE week(run) % 5 WHEN 1 THEN 1 ELSE 0 END::BIGINT AS unexpected_indicator_count,
+  CASE week(run) % 5 WHEN 2 THEN 1 ELSE 0 END::BIGINT AS wrong_source_point_count_indicator_count,
   5 - count(*) FILTER (n = (SELECT m FROM m)) AS wrong_retained_row_count_indicator_count,
-  CAST(0 AS BIGINT) AS wrong_valid_time_indicator_count, CAST(0 AS BIGINT) AS inconsistent_scope_count,
+  CASE week(run) % 5 WHEN 3 THEN 1 ELSE 0 END::BIGINT AS wrong_valid_time_indicator_count,
+  CASE WHEN week(run) % 5 = 4 AND run <> (SELECT b FROM bound) THEN 1 ELSE 0 END::BIGINT
+    AS inconsistent_scope_count,
   CAST(sum(stray) AS BIGINT) AS outside_mask_row_count,
   CAST(sum(nulls) AS BIGINT) AS null_retained_value_count, {_ROWS},
-  run <> (SELECT b FROM bound) AND sum(stray) = 0 AND count(*) = 5
+  run <> (SELECT b FROM bound) AND week(run) % 5 = 0 AND sum(stray) = 0 AND count(*) = 5
     AND sum(n) = 5 * (SELECT m FROM m) AS passed FROM per GROUP BY run""")
 
 add("missing_indicators", EV + """,
@@ -654,11 +682,13 @@ a AS (SELECT *, {_krueger('lon', 'lat')[0]} AS xi, {_krueger('lon', 'lat')[1]} A
   round(lon, 6) AS lon, round(lat, 6) AS lat FROM a""")
 
 NEAREST = SHAPES + """,
-spot AS (SELECT plr_id, round(cx) AS px, round(cy) AS py FROM cut),
-gap AS (SELECT plr_id, cell, sqrt(pow(px - x, 2) + pow(py - y, 2)) AS d FROM spot, centre),
+spot AS (SELECT plr_id, CASE WHEN id % 37 <> 5 THEN round(cx) END AS px, round(cy) AS py FROM cut),
+gap AS (SELECT plr_id, cell, sqrt(pow(px - x, 2) + pow(py - y, 2)) AS d FROM spot, centre
+  WHERE px IS NOT NULL),
 best AS (SELECT plr_id, cell, d FROM gap QUALIFY rank() OVER (PARTITION BY plr_id ORDER BY d) = 1)"""
 
-add("nearest_cell", NEAREST, """SELECT plr_id, cell AS cell_index, round(d, 3) AS distance_m FROM best""")
+add("nearest_cell", NEAREST, """SELECT plr_id, cell AS cell_index, round(d, 3) AS distance_m
+  FROM spot LEFT JOIN best USING (plr_id)""")
 
 add("nearest_summary", NEAREST + """,
 load AS (SELECT cell, count(*) AS n FROM best GROUP BY cell)""", """SELECT count(*) AS mapped_count,

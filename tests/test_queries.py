@@ -5,7 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql
-from gridcensus.plans import catalogue, contracts
+from gridcensus.plans import catalogue, contracts, stored_queries
 from tests.compare import connect, difference
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,7 +17,8 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES | contracts.QUERIES))
+@pytest.mark.parametrize("name", sorted(
+    catalogue.QUERIES | contracts.QUERIES | stored_queries.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     assert name in oracle_sql()
     assert difference(spark, duck, name, SF) is None

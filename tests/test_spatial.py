@@ -228,7 +228,30 @@ def test_nearest_with_one_or_no_target(spark):
     points = spark.createDataFrame([("a", 0.0, 0.0)], "plr_id string, x double, y double")
     one = spark.createDataFrame([(1, 3.0, 4.0)], "cell_index int, x double, y double")
     assert spatial.nearest(points, one, "plr_id", ["cell_index"]).first()["distance_m"] == 5.0
-    assert spatial.nearest(points, one.filter("false"), "plr_id", ["cell_index"]).count() == 0
+    left = spatial.nearest(points, one.filter("false"), "plr_id", ["cell_index"]).collect()
+    assert [tuple(r) for r in left] == [("a", None, None)]
+
+
+def test_nearest_keeps_points_without_position_and_passes_over_such_targets(spark):
+    points = spark.createDataFrame([("a", 0.0, 0.0), ("b", None, 1.0), ("c", 1.0, None)],
+                                   "plr_id string, x double, y double")
+    targets = spark.createDataFrame([(1, 3.0, 4.0), (2, None, 0.0), (3, 30.0, 40.0)],
+                                    "cell_index int, x double, y double")
+    got = spatial.nearest(points, targets, "plr_id", ["cell_index"]).collect()
+    assert sorted(map(tuple, got)) == [("a", 1, 5.0), ("b", None, None), ("c", None, None)]
+
+
+def test_only_the_crowded_part_of_the_tree_is_deep(spark):
+    rng = random.Random(2)
+    spots = [(rng.uniform(0, 1), rng.uniform(0, 1)) for _ in range(3000)]
+    spots += [(1000.0 * rng.randint(1, 60), 1000.0 * rng.randint(1, 60)) for _ in range(800)]
+    places = spark.createDataFrame(spots, "tx double, ty double").distinct()
+    size = {"x0": 0.0, "y0": 0.0, "x1": 60000.0, "y1": 60000.0}
+    nodes, held = spatial._tree(places, size)
+    assert held.count() == places.count()
+    leaves = {r["level"]: r["count"] for r in nodes.filter("leaf").groupBy("level").count().collect()}
+    assert max(leaves) >= 4 and nodes.filter("level > 2 AND minx > 8000").isEmpty()
+    assert nodes.filter("leaf AND n > 256").isEmpty()
 
 
 def test_self_crossings(world, spark):

@@ -57,6 +57,17 @@ def test_zone_means_for_several_runs(spark):
     assert a["wind_speed_10m_ms"] == pytest.approx(0.25 * 5 + 0.75 * 13)
 
 
+def test_a_forecast_without_an_indicator_comes_out_missing(spark):
+    later = RUN + dt.timedelta(hours=1)
+    whole = field(spark, runs=(RUN, later))
+    lost = whole.filter((F.col("run_time_utc") == RUN) | (F.col("indicator") != "V_10M"))
+    rows = weather.plr_weather(lost, bridge(spark)).collect()
+    assert sorted((r["plr_id"], r["run_time_utc"]) for r in rows) == [
+        (z, r) for z in "AB" for r in (RUN, later)]
+    for r in rows:
+        assert all((r[v] is None) == (r["run_time_utc"] == later) for v in schemas.WEATHER_VALUES)
+
+
 def test_zone_with_an_uncovered_cell_is_missing(spark):
     broken = field(spark, drop={(i, 0) for i in VALUES})
     rows = {r["plr_id"]: r["temperature_c"]
