@@ -2,26 +2,33 @@
 
 Texts of the same words are one class and are compared once. Every class has a signature of
 ``SLOTS`` slots, the first ``BANDS x ROWS`` of which make bands; classes that share a band's key
-are candidates. At similarity 0.8 a pair
-shares none of the bands with probability (1 - 0.8**ROWS)**BANDS, about 5e-6.
+are candidates. At similarity 0.8 a pair shares none of the bands with probability
+(1 - 0.8**ROWS)**BANDS, about 5e-6; nothing else of the search leaves a link out but by chance
+below 1e-10.
 
 Buckets may be crowded, by true copies or by a passage that many documents share, so the pairs
-of a bucket are never listed. First each member is compared with the bucket's hub only, the
+of a bucket are never put out. First each member is compared with the bucket's hub only, the
 member that shares most with others; the links found join nearly all copies to components. What
-is left are pairs of one bucket in different components. They are compared by their signatures,
-of which every slot keeps one byte, inside a task, and only pairs that agree in at least
-``AGREE`` of the slots come out, to be verified exactly; a pair at similarity 0.8 agrees in fewer
-with probability about 5e-5. A bucket with more than ``CROWDED`` open pairs or ``CHUNK`` members
-is cut into chunks of about ``CHUNK``, and every pair of chunks that holds open pairs is a task:
-no task holds more than two chunks, and one common band is enough in a bucket of any size.
+is left are pairs of one bucket in different components. A pair belongs to the first band it
+shares. Tasks compare the signatures, of which every slot keeps one byte, and say which members
+have a pair of their own that agrees in ``AGREE`` of the slots (a pair at similarity 0.8 agrees
+in fewer with probability below 1e-10). Only these send their words, and the task that gets
+them verifies exactly. It puts out a spanning forest of what it links, at most one row per
+member, and does not look at pairs it has linked already.
+
+A bucket with more than ``CROWDED`` open pairs or ``CHUNK`` members is cut into chunks of about
+``CHUNK``, and every pair of chunks that holds open pairs is a task: no task holds more than two
+chunks, and one common band is enough in a bucket of any size. Where words are sent, parts are
+cut by bytes in the same way, so a hub with very many members goes to each part once.
 
 A link is a pair whose exact probability Jaccard similarity of counted five-word shingles is at
 least 0.8. The group of a document is its component over all links.
 
 Defined results: words are lower-case runs of letters and digits; a text of one to four words has
 one shingle; texts without words (NULL, empty, signs only) are each their own group; rows that
-repeat an id count as one document; an empty table gives an empty result; other columns are kept
-by ``deduplicated`` and ignored else.
+repeat an id with the same words count as one document, with other words each row has its own
+group; rows without an id are never dropped; an empty table gives an empty result; other columns
+are kept by ``deduplicated`` and ignored else.
 """
 
 from __future__ import annotations
@@ -33,13 +40,16 @@ from pyspark.sql import functions as F
 
 from gridcensus.llm import prob_minhash
 from gridcensus.llm.graph import components
-from gridcensus.llm.words import SIMILARITY, small, word_hashes
+from gridcensus.llm.near_vectors import merge
+from gridcensus.llm.words import SIMILARITY, small, word_hashes, words
 from gridcensus.session import cut_lineage, ship_package
 
 BANDS, ROWS, CROWDED = 40, 6, 1_000_000
 #: Slots of a signature (the first BANDS x ROWS make bands), and the share that must agree.
-SLOTS, AGREE = 720, 0.742
+SLOTS, AGREE = 720, 0.7
 BIN_ROWS, CHUNK = 20_000, 4096
+#: Bytes of words that a task gets, and that one side of a comparison may have.
+BIN_BYTES, PART_BYTES = 8_000_000, 16_000_000
 _SLICE_WORDS = 300_000
 
 
@@ -51,13 +61,13 @@ def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
            slots: int = SLOTS) -> DataFrame:
-    """id, c1, c2 (128 bits of the word sequence), band keys and a byte of every slot.
-
-    The keys are NULL without words.
+    """id, a hash of the text, c1, c2 (128 bits of the word sequence), band keys and a byte of
+    every slot. The keys are NULL without words.
     """
     ship_package(docs.sparkSession)
-    hashed = docs.select(F.col("doc_id").alias("id"), word_hashes(F.col("text")).alias("words"))
-    hashed = hashed.select("id", F.xxhash64("words").alias("c1"),
+    hashed = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"),
+                         word_hashes(F.col("text")).alias("words"))
+    hashed = hashed.select("id", "text_hash", F.xxhash64("words").alias("c1"),
                            F.xxhash64(F.lit(17), "words").alias("c2"), "words")
     kind = dict(hashed.dtypes)["id"]
 
@@ -81,39 +91,15 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(keys[filled].ravel()),
                                                  mask=pa.array(~filled))
                 part = batch.slice(first, end - first)
-                yield pa.record_batch({"id": part.column("id"), "c1": part.column("c1"),
-                                       "c2": part.column("c2"), "keys": lists,
+                yield pa.record_batch({**{n: part.column(n) for n in ("id", "text_hash", "c1", "c2")},
+                                       "keys": lists,
                                        "sketch": pa.array([r.tobytes() for r in (
                                            signature & np.uint64(255)).astype(np.uint8)],
                                            pa.binary())})
                 first = end
 
-    return hashed.mapInArrow(sign, f"id {kind}, c1 bigint, c2 bigint, keys array<bigint>, "
-                                   "sketch binary")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs a, b (stored) of documents whose exact similarity is at least ``least``."""
-    ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    texts = docs.select("doc_id", "text").join(small(ids, ids.count()), "doc_id", "left_semi")
-    side = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", word_hashes(F.col("text_a")).alias("words_a"),
-        word_hashes(F.col("text_b")).alias("words_b"))
-    kind = dict(pairs.dtypes)["a"]
-
-    def check(batches):
-        for batch in batches:
-            (wa, oa), (wb, ob) = (_words_of(batch.column(c)) for c in ("words_a", "words_b"))
-            keep = []
-            for i in range(batch.num_rows):
-                a, b = wa[oa[i]:oa[i + 1]], wb[ob[i]:ob[i + 1]]
-                near = prob_minhash.probability_jaccard(
-                    prob_minhash.shingles(a), prob_minhash.shingles(b))
-                keep.append(near >= least - 1e-12)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(check, f"a {kind}, b {kind}").distinct()
+    return hashed.mapInArrow(sign, f"id {kind}, text_hash bigint, c1 bigint, c2 bigint, "
+                                   "keys array<bigint>, sketch binary")
 
 
 def agreeing(sketch: np.ndarray, component: np.ndarray, agree: float,
@@ -153,46 +139,169 @@ def equal_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return lanes.view(np.uint8).reshape(*lanes.shape, 8).sum(-1)
 
 
-def _sketches(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-
+def owned(a: np.ndarray, b: np.ndarray, band: int, rows: int) -> np.ndarray:
+    """Which pairs of sketches share ``band`` first; any pair where the band is negative."""
+    if band < 0:
+        return np.ones(len(a), bool)
+    shared = (a == b)[:, :(band + 1) * rows].reshape(len(a), band + 1, rows).all(2)
+    return shared[:, band] & ~shared[:, :band].any(1)
 
-def _components(column: pa.ChunkedArray) -> np.ndarray:
-    return column.combine_chunks().dictionary_encode().indices.to_numpy()
 
+class Members:
+    """Rows of a task (key, side, id, component, band), by key, then side, then id."""
 
-def alike(buckets: DataFrame, sketches: DataFrame, agree: float) -> DataFrame:
-    """Pairs of one bucket (key, id, component) and different components with like sketches.
-
-    Many buckets, of at most ``CHUNK`` members each, go to a task by a hash of their keys; rows
-    come out for like pairs only.
-    """
-    bins = max(1, -(-buckets.count() // BIN_ROWS))
-    rows = buckets.join(sketches, "id").withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins)))
-    kind = dict(buckets.dtypes)["id"]
+    def __init__(self, group: pa.Table):
+        self.table = group.sort_by([("key", "ascending"), ("side", "ascending"), ("id", "ascending")])
+        self.ids, self.sides = self.table.column("id").to_numpy(), self.table.column("side").to_numpy()
+        self.bands = self.table.column("band").to_numpy()
+        self.components = self.table.column("component").to_numpy()
+        if "sketch" in self.table.column_names:
+            raw = b"".join(self.table.column("sketch").to_pylist())
+            self.sketches = np.frombuffer(raw, np.uint8).reshape(len(self.ids), -1)
 
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("key", "ascending"), ("id", "ascending")])
-        keys = group.column("key").to_numpy()
-        component, sketch = _components(group.column("component")), _sketches(group.column("sketch"))
+    def keys(self):
+        """(first row, first row of side 1, end row) of each key; side 1 may be empty."""
+        keys = self.table.column("key").combine_chunks().dictionary_encode().indices.to_numpy()
         starts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for first, end in zip(starts[:-1], starts[1:]):
-            for i, j in agreeing(sketch[first:end], component[first:end], agree):
-                a.append(i + first)
-                b.append(j + first)
-        ids = group.column("id")
-        found = pa.table({"a": ids.take(pa.array(np.concatenate(a))),
-                          "b": ids.take(pa.array(np.concatenate(b)))})
-        return found.group_by(["a", "b"]).aggregate([])
+            yield first, first + int((self.sides[first:end] == 0).sum()), end
+
+    def like_pairs(self, first: int, cut: int, end: int, agree: float, rows: int):
+        """Row pairs of a key that agree and belong to its band; across sides if it has two."""
+        sketch, component = self.sketches, self.components
+        if cut < end:
+            found = agreeing(sketch[first:cut], component[first:cut], agree,
+                             sketch[cut:end], component[cut:end])
+        else:
+            found = agreeing(sketch[first:end], component[first:end], agree)
+        for i, j in found:
+            i, j = i + first, j + (cut if cut < end else first)
+            keep = owned(sketch[i], sketch[j], int(self.bands[first]), rows)
+            yield i[keep], j[keep]
+
 
-    return rows.select("bin", "key", "id", "component", "sketch").groupBy("bin").applyInArrow(
-        compare, f"a {kind}, b {kind}")
+def with_like_pairs(groups: DataFrame, sketches: DataFrame, agree: float, rows: int) -> DataFrame:
+    """The rows (bin, key, side, id, component, band) that have a pair of their own and alike."""
+    joined = groups.join(sketches, "id").select("bin", "key", "side", "id", "component", "band", "sketch")
 
+    def compare(group: pa.Table) -> pa.Table:
+        held = Members(group)
+        marked = np.zeros(len(held.ids), bool)
+        for first, cut, end in held.keys():
+            for i, j in held.like_pairs(first, cut, end, agree, rows):
+                marked[i] = marked[j] = True
+        return held.table.filter(pa.array(marked)).select(["key", "side", "id", "component", "band"])
+
+    return joined.groupBy("bin").applyInArrow(
+        compare, "key string, side int, id bigint, component bigint, band int")
+
+
+class Shingled:
+    """Counted shingles of some texts, numbered from 0, for many exact similarities."""
+
+    def __init__(self, texts: list[str]):
+        number: dict[str, int] = {}
+        parts = [prob_minhash.shingles(np.array(
+            [number.setdefault(w, len(number)) for w in t.split(" ")], np.uint64)) for t in texts]
+        self._parts = parts
+        self.size = np.array([len(h) for h, _ in parts], np.int64)
+        self._plain = np.array([bool((c == 1).all()) for _, c in parts])
+        distinct, flat = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        self._flat, self._seen = flat.reshape(-1), np.zeros(len(distinct), bool)
+        self._at = np.append(0, np.cumsum(self.size))
+
+    def near(self, one: int, others: np.ndarray, least: float) -> np.ndarray:
+        """Which of the others have at least the similarity ``least`` with one text."""
+        mine = self._flat[self._at[one]:self._at[one + 1]]
+        self._seen[mine] = True
+        size = self.size[others]
+        start = np.append(0, np.cumsum(size))
+        hit = self._seen[self._flat[np.repeat(self._at[others] - start[:-1], size) + np.arange(start[-1])]]
+        self._seen[mine] = False
+        both = np.add.reduceat(hit.astype(np.int64), start[:-1])
+        found = both >= (least - 1e-12) * (len(mine) + size - both)  # if no shingle repeats
+        for at in np.flatnonzero((both > 0) & ~(self._plain[others] & self._plain[one])):
+            found[at] = prob_minhash.probability_jaccard(
+                self._parts[one], self._parts[others[at]]) >= least - 1e-12
+        return found
+
+
+def class_words(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, its words joined by blanks, and their bytes, for the class ids in ``ids``."""
+    wanted = classes.join(ids.select("id").distinct(), "id", "left_semi").select(
+        "id", F.col("one.id").alias("doc_id"), "one.text_hash")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(
+        wanted, ["doc_id", "text_hash"]).select("id", "text").distinct()
+    return cut_lineage(texts.select("id", F.array_join(words(F.col("text")), " ").alias("words")).withColumn(
+        "bytes", F.octet_length("words")))
+
+
+def linked(groups: DataFrame, classes: DataFrame, docs: DataFrame, least: float,
+           agree: float | None, rows: int) -> DataFrame:
+    """Spanning links a, b of the stored rows (key, side, id, component, band).
+
+    Pairs are those within a key, or across its sides if it has two, that lie in different
+    components and, with ``agree``, are alike by their sketches and the key's own.
+    """
+    sent = class_words(docs, classes, groups)
+    sized = cut_lineage(groups.join(sent.select("id", "bytes"), "id"))
+    half = lambda side: F.greatest(F.lit(1), F.ceil(F.sum(F.when(
+        F.col("side") == side, F.col("bytes"))) / PART_BYTES)).cast("int")
+    cuts = sized.groupBy("key").agg(
+        F.coalesce(half(0), F.lit(1)).alias("parts0"), F.coalesce(half(1), F.lit(1)).alias("parts1"),
+        F.max("side").alias("two"))
+    mine = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 0, F.col("parts0")).otherwise(F.col("parts1")))
+    facing = F.when((F.col("side") == 0) & (F.col("two") == 1), F.col("parts1")).otherwise(F.col("parts0"))
+    dealt = sized.join(cuts, "key").withColumn("_mine", mine).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), facing - 1)))
+    low = F.when(F.col("two") == 1, F.when(F.col("side") == 0, F.col("_mine")).otherwise(
+        F.col("_other"))).otherwise(F.least("_mine", "_other"))
+    high = F.when(F.col("two") == 1, F.when(F.col("side") == 0, F.col("_other")).otherwise(
+        F.col("_mine"))).otherwise(F.greatest("_mine", "_other"))
+    side = F.when(F.col("two") == 1, F.col("side")).otherwise((F.col("_mine") > low).cast("int"))
+    dealt = cut_lineage(dealt.select(F.concat_ws("|", "key", low, high).alias("key"), side.alias("side"),
+                                     "id", "component", "band", "bytes"))
+    total = dealt.agg(F.sum("bytes").alias("n")).first()["n"] or 0
+    bins = max(1, -(-total // BIN_BYTES))
+    joined = dealt.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins))).join(
+        sent.select("id", "words"), "id")
+    columns = ["bin", "key", "side", "id", "component", "band", "words"]
+    if agree is not None:
+        joined, columns = joined.join(classes.select("id", "sketch"), "id"), columns + ["sketch"]
 
-def alike_in_chunks(buckets: DataFrame, parts: DataFrame, sketches: DataFrame,
-                    agree: float) -> DataFrame:
-    """What ``alike`` finds, for buckets of any size, by tasks that hold two chunks at most.
+    def compare(group: pa.Table) -> pa.Table:
+        held = Members(group)
+        known, first_row, text_of = np.unique(held.ids, return_index=True, return_inverse=True)
+        texts = Shingled(held.table.column("words").take(pa.array(first_row)).to_pylist())
+        a, b = [], []
+        for first, cut, end in held.keys():
+            if first == cut:
+                continue
+            _, root, of = np.unique(held.components[first:end], return_index=True, return_inverse=True)
+            label = root[of.reshape(-1)]
+            if agree is not None:
+                pairs = held.like_pairs(first, cut, end, agree, rows)
+            else:
+                pairs = ((np.full(end - cut, i), np.arange(cut, end)) for i in range(first, cut))
+            for i, j in pairs:
+                for one in np.unique(i):
+                    others = j[i == one]
+                    others = others[label[others - first] != label[one - first]]
+                    if not len(others):
+                        continue
+                    others = others[texts.near(text_of[one], text_of[others], least)]
+                    _, at = np.unique(label[others - first], return_index=True)
+                    others = others[at]
+                    a.extend([held.ids[one]] * len(others))
+                    b.extend(held.ids[others])
+                    merge(label, np.full(len(others), one - first), others - first)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return joined.select(columns).groupBy("bin").applyInArrow(compare, "a bigint, b bigint")
+
+
+def in_chunks(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (bin, key, side, id, component, band) of pairs of chunks, for buckets of any size.
 
     ``parts`` has the members n of each component of a bucket. One that fills a good part of a
     chunk gets chunks of its own, dealt by a hash of the ids; the others are dealt whole to the
@@ -206,64 +315,51 @@ def alike_in_chunks(buckets: DataFrame, parts: DataFrame, sketches: DataFrame,
                     F.col("cuts"))
     owner = F.when(F.col("own"), F.col("component").cast("string"))
     rows = cut_lineage(buckets.join(small(cuts, cuts.count()), ["key", "component"]).select(
-        "key", "id", "component", owner.alias("owner"),
-        F.concat_ws("|", "key", owner, number).alias("tile")))
+        "key", "band", "id", "component", owner.alias("owner"),
+        F.concat_ws("/", "key", owner, number).alias("tile")))
     tiles = cut_lineage(rows.groupBy("key", "tile").agg(
         F.min("owner").alias("owner"), F.min("component").alias("low"),
         F.max("component").alias("high")))
-    side = lambda n: tiles.select("key", F.col("tile").alias(f"t{n}"), F.col("owner").alias(f"o{n}"),
-                                  (F.col("low") < F.col("high")).alias(f"several{n}"))
-    pairs = cut_lineage(side(1).join(side(2), "key").where(
+    one = lambda n: tiles.select("key", F.col("tile").alias(f"t{n}"), F.col("owner").alias(f"o{n}"),
+                                 (F.col("low") < F.col("high")).alias(f"several{n}"))
+    pairs = cut_lineage(one(1).join(one(2), "key").where(
         "t1 < t2 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2) OR t1 = t2 AND several1").select(
         "t1", "t2"))
-    ends = pairs.select(F.col("t1").alias("tile"), "t1", "t2", F.lit(0).alias("side")).unionByName(
-        pairs.where("t1 < t2").select(F.col("t2").alias("tile"), "t1", "t2", F.lit(1).alias("side")))
-    sent = rows.select("tile", "id", "component").join(
-        small(ends, 8 * pairs.count()), "tile").drop("tile").join(sketches, "id")
-    kind = dict(buckets.dtypes)["id"]
-
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("side", "ascending"), ("id", "ascending")])
-        n = int((group.column("side").to_numpy() == 0).sum())
-        component, sketch = _components(group.column("component")), _sketches(group.column("sketch"))
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if n < len(sketch):
-            found = ((i, j + n) for i, j in agreeing(
-                sketch[:n], component[:n], agree, sketch[n:], component[n:]))
-        else:
-            found = agreeing(sketch, component, agree)
-        for i, j in found:
-            a.append(i)
-            b.append(j)
-        ids = group.column("id")
-        return pa.table({"a": ids.take(pa.array(np.concatenate(a))),
-                         "b": ids.take(pa.array(np.concatenate(b)))})
-
-    return sent.select("t1", "t2", "side", "id", "component", "sketch").groupBy(
-        "t1", "t2").applyInArrow(compare, f"a {kind}, b {kind}")
+    pair = F.concat_ws("|", "t1", "t2")
+    ends = pairs.select(F.col("t1").alias("tile"), pair.alias("pair"), F.lit(0).alias("side")).unionByName(
+        pairs.where("t1 < t2").select(F.col("t2").alias("tile"), pair.alias("pair"), F.lit(1).alias("side")))
+    return rows.select("tile", "band", "id", "component").join(
+        small(ends, 8 * pairs.count()), "tile").select(
+        F.col("pair").alias("bin"), F.col("pair").alias("key"), "side", "id", "component", "band")
 
 
-def candidate_pairs(buckets: DataFrame, classes: DataFrame, crowded: int = CROWDED,
-                    agree: float = AGREE) -> DataFrame:
-    """Like pairs a < b that share a bucket (key, id, component) and lie in different components.
+def open_members(buckets: DataFrame, classes: DataFrame, crowded: int | None = None,
+                 agree: float = AGREE, rows: int = ROWS) -> DataFrame:
+    """Of the rows (key, band, id, component) of buckets, those with a like pair of the bucket's
+    own in different components, as (key, side, id, component, band).
 
-    A bucket with more than ``crowded`` such pairs or ``CHUNK`` members is compared in chunks.
+    A bucket with more than ``crowded`` open pairs or ``CHUNK`` members is compared in chunks.
     """
+    crowded = CROWDED if crowded is None else crowded
     sketches = classes.select("id", "sketch")
     parts = cut_lineage(buckets.groupBy("key", "component").agg(F.count("*").alias("n")))
     count = F.sum("n")
     open_ = cut_lineage(parts.groupBy("key").agg(count.alias("members"), (
         (count * count - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0"))
     calm = (F.col("pairs") <= crowded) & (F.col("members") <= CHUNK)
-    found = alike(cut_lineage(buckets.join(open_.where(calm).select("key"), "key", "left_semi")),
-                  sketches, agree)
+    easy = cut_lineage(buckets.join(open_.where(calm).select("key"), "key", "left_semi"))
+    bins = max(1, -(-easy.count() // BIN_ROWS))
+    found = with_like_pairs(easy.select(
+        F.pmod(F.xxhash64("key"), F.lit(bins)).cast("string").alias("bin"),
+        F.col("key").cast("string").alias("key"), F.lit(0).alias("side"), "id", "component", "band"),
+        sketches, agree, rows)
     busy = cut_lineage(open_.where(~calm).select("key"))
     n_busy = busy.count()
     if n_busy:
         of_busy = lambda df: df.join(small(busy, n_busy), "key", "left_semi")
-        found = found.unionByName(alike_in_chunks(
-            cut_lineage(of_busy(buckets)), of_busy(parts), sketches, agree))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = found.unionByName(with_like_pairs(
+            in_chunks(cut_lineage(of_busy(buckets)), of_busy(parts)), sketches, agree, rows))
+    return found
 
 
 def hubs(buckets: DataFrame) -> DataFrame:
@@ -274,36 +370,59 @@ def hubs(buckets: DataFrame) -> DataFrame:
         "key", F.col("_best.id").alias("hub"))
 
 
-def near_groups(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
-                crowded: int = CROWDED) -> DataFrame:
-    """doc_id, class_id (smallest id with the same words), group_id (smallest id of the
-    component), kept (doc_id = group_id); one row per row of ``docs``."""
+def near_links(buckets: DataFrame, classes: DataFrame, docs: DataFrame, least: float, rows: int,
+               crowded: int | None = None) -> DataFrame:
+    """Spanning links of all classes of buckets (key, band, id, n) by exact similarity."""
+    stars = cut_lineage(buckets.join(hubs(buckets), "key").where("hub <> id").select("hub", "id").distinct())
+    around = stars.select(F.col("hub").cast("string").alias("key"), F.lit(1).alias("side"), "id")
+    middle = stars.select(F.col("hub").cast("string").alias("key"), F.lit(0).alias("side"),
+                          F.col("hub").alias("id")).distinct()
+    groups = cut_lineage(around.unionByName(middle).select(
+        "key", "side", "id", F.col("id").alias("component"), F.lit(-1).alias("band")))
+    links = cut_lineage(linked(groups, classes, docs, least, None, rows))
+    joined = components(links)
+    labelled = cut_lineage(buckets.select("key", "band", "id").join(joined, "id", "left").select(
+        "key", "band", "id", F.coalesce("component", "id").alias("component")))
+    rest = cut_lineage(open_members(labelled, classes, crowded, rows=rows))
+    return links.unionByName(cut_lineage(linked(rest, classes, docs, least, AGREE, rows)))
+
+
+def grouped(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
+            crowded: int | None = None) -> DataFrame:
+    """doc_id, text_hash, class_id, group_id and kept; one row per row of ``docs``."""
     marks = cut_lineage(signed(docs, bands, rows))
+    one = F.struct("id", "text_hash")
     classes = cut_lineage(marks.where("keys IS NOT NULL").groupBy("c1", "c2").agg(
-        F.min("id").alias("id"), F.any_value("keys").alias("keys"),
-        F.any_value("sketch").alias("sketch")))
-    placed = classes.select("id", F.explode("keys").alias("key"))
+        F.min(one).alias("one"), F.min("id").alias("class_id"), F.any_value("keys").alias("keys"),
+        F.any_value("sketch").alias("sketch")).withColumn("id", F.monotonically_increasing_id()))
+    placed = classes.where("class_id IS NOT NULL").select("id", F.posexplode("keys").alias("band", "key"))
     shared = placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = cut_lineage(placed.join(shared, "key"))
-    stars = cut_lineage(buckets.join(hubs(buckets), "key").where("hub <> id").select(
-        F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
-    links = cut_lineage(verified(stars, docs, least))
-    joined = components(links)
-    labelled = cut_lineage(buckets.select("key", "id").join(joined, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")))
-    rest = cut_lineage(candidate_pairs(labelled, classes, crowded))
-    links = links.unionByName(verified(rest, docs, least))
-    grouped = components(links).select(F.col("id").alias("class_id"), "component")
-    of_class = classes.select("c1", "c2", F.col("id").alias("class_id")).join(grouped, "class_id", "left").select(
-        "c1", "c2", "class_id", F.coalesce("component", "class_id").alias("group_id"))
-    found = marks.where("keys IS NOT NULL").select(F.col("id").alias("doc_id"), "c1", "c2").join(
-        of_class, ["c1", "c2"]).select("doc_id", "class_id", "group_id")
+    joined = cut_lineage(components(near_links(buckets, classes, docs, least, rows, crowded)))
+    numbered = cut_lineage(classes.select("c1", "c2", "id", "class_id").join(joined, "id", "left"))
+    smallest = numbered.where("component IS NOT NULL").groupBy("component").agg(
+        F.min("class_id").alias("group_id"))
+    of_class = numbered.join(smallest, "component", "left").select(
+        "c1", "c2", "class_id", F.coalesce("group_id", "class_id").alias("group_id"))
+    found = marks.where("keys IS NOT NULL").select(F.col("id").alias("doc_id"), "text_hash", "c1", "c2").join(
+        of_class, ["c1", "c2"]).select("doc_id", "text_hash", "class_id", "group_id")
     alone = marks.where("keys IS NULL").select(
-        F.col("id").alias("doc_id"), F.col("id").alias("class_id"), F.col("id").alias("group_id"))
+        F.col("id").alias("doc_id"), "text_hash", F.col("id").alias("class_id"), F.col("id").alias("group_id"))
     return found.unionByName(alone).withColumn("kept", F.col("doc_id") == F.col("group_id"))
 
 
+def near_groups(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
+                crowded: int | None = None) -> DataFrame:
+    """doc_id, class_id (smallest id with the same words), group_id (smallest id of the
+    component), kept (doc_id = group_id); one row per row of ``docs``."""
+    return grouped(docs, least, bands, rows, crowded).drop("text_hash")
+
+
 def deduplicated(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One document of each group, with its columns."""
-    gone = cut_lineage(near_groups(docs, least).where("NOT kept").select("doc_id").distinct())
-    return docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
+    gone = cut_lineage(grouped(docs, least).where("NOT kept").select(
+        F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_text")).distinct())
+    keyed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    of = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return keyed.join(small(gone, gone.count()), (F.col(of["doc_id"]) == F.col("_gone")) & (
+        F.xxhash64(of["text"]) == F.col("_gone_text")), "left_anti").toDF(*docs.columns)

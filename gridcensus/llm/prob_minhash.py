@@ -86,6 +86,8 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     if not len(both):
         return 0.0
     x, y = a[1][at_a], b[1][at_b]
+    if a[1].max() == b[1].max() == 1:
+        return len(both) / (len(a[0]) + len(b[0]) - len(both))
     only_a, only_b = a[1].sum() - x.sum(), b[1].sum() - y.sum()
     pairs, n = np.unique(np.stack([x, y], 1), axis=0, return_counts=True)
     ratio_a, ratio_b = pairs[:, 0], pairs[:, 1]

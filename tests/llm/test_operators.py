@@ -310,6 +310,15 @@ def test_near_groups_equal_brute_force(spark):
     assert near_text.near_groups(frame(spark, [])).count() == 0
 
 
+def marked(spark, sketch, component, **how):
+    """Ids with a like pair of their own in the one bucket of all sketches, the first band's."""
+    buckets = spark.createDataFrame([(1, 0, i, component[i]) for i in range(len(sketch))],
+                                    "key long, band int, id long, component long")
+    classes = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(sketch)],
+                                    "id long, sketch binary")
+    return near_text.open_members(buckets, classes, **how)
+
+
 def test_near_text_tasks_are_bounded_in_one_large_bucket(spark, monkeypatch):
     most, plain = 200, GroupedData.applyInArrow
 
@@ -324,24 +333,59 @@ def test_near_text_tasks_are_bounded_in_one_large_bucket(spark, monkeypatch):
     rng = np.random.default_rng(1)
     sketch = rng.integers(0, 256, (900, 720), dtype=np.uint8)
     sketch[899], sketch[898] = sketch[7], sketch[820]  # an outsider like a member, two outsiders
-    part = [0] * 800 + list(range(800, 900))
-    buckets = spark.createDataFrame(
-        [(1, i, part[i]) for i in range(900)], "key long, id long, component long")
-    classes = spark.createDataFrame([(i, [1], r.tobytes()) for i, r in enumerate(sketch)],
-                                    "id long, keys array<long>, sketch binary")
-    found = near_text.candidate_pairs(buckets, classes).collect()
-    assert {(r.a, r.b) for r in found} == {(7, 899), (820, 898)} and len(found) == 2
+    found = marked(spark, sketch, [0] * 800 + list(range(800, 900))).collect()
+    assert sorted(r.id for r in found) == [7, 820, 898, 899]
+    assert len({r.key for r in found if r.id in (7, 899)}) == 1
 
 
 def test_one_common_band_is_enough_in_a_crowded_bucket(spark):
     sketch = np.random.default_rng(2).integers(0, 256, (12, 720), dtype=np.uint8)
     sketch[11] = sketch[0]
-    buckets = spark.createDataFrame([(1, i, i) for i in range(12)],
-                                    "key long, id long, component long")
-    classes = spark.createDataFrame([(i, [1, 100 + i], r.tobytes()) for i, r in enumerate(sketch)],
-                                    "id long, keys array<long>, sketch binary")
-    found = near_text.candidate_pairs(buckets, classes, crowded=3).collect()
-    assert [(r.a, r.b) for r in found] == [(0, 11)]
+    assert sorted(r.id for r in marked(spark, sketch, list(range(12)), crowded=3).collect()) == [0, 11]
+
+
+def test_a_pair_belongs_to_the_first_band_it_shares():
+    a = np.random.default_rng(4).integers(0, 256, (1, 24), dtype=np.uint8)
+    b = a.copy()
+    b[0, 2] ^= 1  # bands of six: the first differs
+    assert [near_text.owned(a, b, band, 6)[0] for band in range(-1, 4)] == [
+        True, False, True, False, False]
+
+
+def barely(base, apart, seed):
+    """A text that shares all but ``apart`` shingles with the base, whose words are distinct."""
+    words = base.split()
+    return " ".join(words[:len(words) - apart] + [f"y{seed}x{i}" for i in range(apart)])
+
+
+def test_near_links_of_a_bucket_of_thousands_near_the_threshold(spark, monkeypatch):
+    """Groups just under and just over 0.8 within one crowd: links are found, pairs never listed."""
+    rows_out, plain = [], near_text.cut_lineage
+    monkeypatch.setattr(near_text, "cut_lineage", lambda df: rows_out.append(
+        (kept := plain(df)).count()) or kept)
+    base = " ".join(f"w{i}" for i in range(104))  # 100 shingles
+    over = [barely(base, 11, i) for i in range(2500)]   # 89 of 111 with each other: 0.802
+    under = [barely(base, 12, i + 5000) for i in range(2500)]  # 88 of 112: 0.786 with all
+    docs = frame(spark, over + under)
+    found = {r.doc_id: r.group_id for r in near_text.near_groups(docs).collect()}
+    assert found == dict.fromkeys(range(2500), 0) | {i: i for i in range(2500, 5000)}
+    assert max(rows_out) < 5000 * 2 * near_text.BANDS
+
+
+def test_parts_of_words_by_bytes_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_text, "PART_BYTES", 3000)
+    monkeypatch.setattr(near_text, "BIN_BYTES", 5000)
+    base = [prose(120, i) for i in range(3)]
+    texts = [edited(base[i % 3], i, 1 + i % 4) for i in range(60)]
+    rows = near_text.near_groups(frame(spark, texts), crowded=3).collect()
+    assert {r.doc_id: r.group_id for r in rows} == dict(enumerate(brute_groups(texts)))
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    texts = [prose(60, 1), prose(60, 1), prose(60, 2)]
+    docs = spark.createDataFrame([(1, texts[0], "x"), (5, texts[1], "y"), (5, texts[2], "z"), (None, texts[0], "w")],
+                                 "doc_id long, text string, lang string")
+    assert sorted(r.lang for r in near_text.deduplicated(docs).collect()) == ["w", "x", "z"]
 
 
 def test_signatures_estimate_probability_jaccard():
