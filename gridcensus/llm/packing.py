@@ -1,13 +1,15 @@
 """Vector bin packing of token pieces into sequences of fixed length.
 
 A sequence is a bin with three limits at once: tokens, segments (pieces it holds) and
-loss-bearing tokens. Bins are filled one at a time: of the piece kinds that still fit, the one
+loss-bearing tokens. The first ``PROMPT`` ids of a document (at most half of it) are its prompt
+and bear no loss, the rest is its answer. The loss limit leaves room for one prompt beside a
+sequence full of answers, and the segment limit is what prompts alone come to. Bins are filled one at a time: of the piece kinds that still fit, the one
 whose demand has the largest dot product with the bin's remaining room goes in (each dimension
 as a share of its limit), until none fits. Pieces of one demand are interchangeable, so a pick
 looks at the distinct demands only.
 
-Documents are cut first: as many full sequences as they hold, then a rest. Only the rests are
-packed, without their ids, in groups of bounded size chosen by a hash of the document; group
+Documents of at most two prompts' length stay whole. Others are cut after the prompt, and answers into as many pieces of the loss limit as they
+hold, then a rest. The pieces are packed, without their ids, in groups of bounded size chosen by a hash of the document; group
 after group is independent, so a lost task repeats with the same result.
 """
 
@@ -26,14 +28,14 @@ from gridcensus.llm import arrow_text
 from gridcensus.llm.token_ids import word_ids
 from gridcensus.session import cut_lineage, ship_package
 
-END_ID = 1
+END_ID, PROMPT = 1, 64
 
 
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 2048
-    segments: int = 256
-    loss: int = 2048
+    segments: int = 32
+    loss: int = 2048 - PROMPT
 
 
 #: Rests that one packing task takes; a group loses at most a few bins' worth of padding.
@@ -41,11 +43,10 @@ GROUP_ROWS = 20_000
 
 
 def token_pieces(docs: DataFrame, path: str, limits: Limits = Limits(),
-                 with_ids: bool = False) -> DataFrame:
-    """Cut every document into pieces of at most ``limits.tokens`` ids; the last may be short.
+                 with_ids: bool = False, prompt: int = PROMPT) -> DataFrame:
+    """Cut every longer document into its prompt and pieces of its answer that fit the limits.
 
-    Columns: doc_id, start, length, loss (ids that bear loss: all but the document's first),
-    ids_crc32 over little-endian unsigned 32-bit ids, doc_tokens, and ``ids`` on request. A NULL
+    Columns: doc_id, start, length, loss (ids that bear loss: none of the prompt), ids_crc32 over little-endian unsigned 32-bit ids, doc_tokens, and ``ids`` on request. A NULL
     or empty text is one piece with the end id alone.
     """
     ship_package(docs.sparkSession)
@@ -62,9 +63,13 @@ def token_pieces(docs: DataFrame, path: str, limits: Limits = Limits(),
                 rows, ids_of = [], []
                 for row, ids in enumerate(word_ids(path).of(part, at), first):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                    for start in range(0, len(ids), size):
-                        piece = ids[start:start + size]
-                        rows.append((row, start, len(piece), len(piece) - (start == 0),
+                    asked = min(prompt, len(ids) // 2)
+                    cuts = [0, len(ids)]
+                    if len(ids) > min(2 * prompt, size):
+                        cuts = [*range(0, asked, limits.tokens), *range(asked, len(ids), size), len(ids)]
+                    for start, end in zip(cuts[:-1], cuts[1:]):
+                        piece = ids[start:end]
+                        rows.append((row, start, len(piece), end - max(start, min(asked, end)),
                                      zlib.crc32(piece.tobytes()), len(ids)))
                         if with_ids:
                             ids_of.append(piece.astype(np.int64))
@@ -118,14 +123,14 @@ def fill(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> tuple[np.ndarr
 def pack(pieces: DataFrame, limits: Limits = Limits(), group_rows: int = GROUP_ROWS) -> DataFrame:
     """Add sequence_id and offset to pieces with doc_id, start, length and loss.
 
-    Pieces that fill a sequence get one each, without a shuffle. The rest are dealt to groups of
+    Pieces that fill a sequence's tokens get one each, without a shuffle. The rest are dealt to groups of
     about ``group_rows`` by a hash of (doc_id, start), which no document or source can crowd.
     Rows that repeat are packed each. Sequence ids are unique, not consecutive: the group in the
     high bits, the bin in the low 32.
     """
     ship_package(pieces.sparkSession)
     pieces = cut_lineage(pieces)
-    full = (F.col("length") == limits.tokens) | (F.col("loss") == limits.loss)
+    full = F.col("length") == limits.tokens
     counted = pieces.agg(F.count(F.when(~full, 1)).alias("rest")).first()
     groups = max(1, -(-counted["rest"] // group_rows))
     rest = pieces.where(~full).withColumn(
