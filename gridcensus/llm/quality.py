@@ -1,14 +1,18 @@
 """Quality scores by nearest-neighbour voting over latent-semantic vectors.
 
-A text becomes the relative frequencies of its terms: runs of three character classes, and marks
-for words that repeat, each weighted by its rarity among the fitted texts. A truncated singular
-value decomposition of the labelled texts' term matrix gives the latent space. Every document is
-projected into it and compared, by exact blocked cosine products, with all labelled vectors; the
-labels of its nearest ones vote with their similarity as weight.
+A text becomes the relative frequencies of its terms: the runs of three bytes of the whole text,
+hashed into ``GRAMS`` buckets, and marks for words that repeat, each weighted by its rarity among
+the fitted texts. A truncated singular value decomposition of the labelled texts' term matrix
+gives the latent space. Every document is projected into it and compared, by exact blocked cosine
+products, with all labelled vectors; the labels of its nearest ones vote with their similarity as
+weight.
 
 The model is fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of their ids, and has a
-fixed size, so it can be broadcast: SAMPLE x RANK vectors and TERMS x RANK loadings. Scoring is a
-map over all documents without a shuffle, and reads whole texts.
+fixed size, so it can be broadcast: SAMPLE x rank vectors and TERMS x rank loadings. The rank is
+the one of ``RANKS`` under which these rows, each voted on by the rows of the other ``INNER``
+folds, are told apart best (mean share of both labels that is right; the smaller rank in a tie).
+The held-out rows take no part in it. Scoring is a map over all documents without a shuffle, and
+reads whole texts.
 
 Defined results: a text without terms (NULL, empty) gets the share of label 1 among the fitted
 rows; rows with a NULL id or label are not fitted on; of a document labelled more than once each
@@ -17,6 +21,7 @@ row counts; with no labelled row at all every score is 0.5; repeated documents s
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,27 +32,15 @@ from pyspark.sql import functions as F
 from gridcensus.llm import arrow_text
 from gridcensus.session import ship_package
 
-SAMPLE, RANK, NEIGHBOURS, BLOCK = 4_000, 16, 25, 2_048
+SAMPLE, RANKS, NEIGHBOURS, BLOCK = 4_000, (16, 32, 64), 25, 512
 ACCEPT = 0.3
-FOLDS = 5
+FOLDS, INNER = 5, 4
 
-_CLASSES = 14
-MARKS = 3  # a word like the one before, a word as the line before began, any word
-TERMS = _CLASSES**3 + MARKS
+GRAMS = 4096
+MARKS = 3  # a word like the one before, a word like the one before that, any word
+TERMS = GRAMS + MARKS
 
 
-def _byte_classes() -> np.ndarray:
-    table = np.full(256, 10, np.uint8)  # other signs
-    table[128:] = 11
-    for number, group in enumerate(("aeiouy", "bcdfghjklmnpqrstvwxz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                                    "0123456789", " \t", "\n\r", ".", ",;:", "!?", "|")):
-        table[list(group.encode())] = number
-    table[list(b"\"'()[]{}<>")] = 12
-    table[list(b"-_/")] = 13
-    return table
-
-
-_CLASS = _byte_classes()
 _WORD_BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -57,9 +50,10 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     counts = np.zeros((texts, TERMS), np.float32)
     if not len(data):
         return counts
-    kind = _CLASS[data].astype(np.int32)
-    run = kind[:-2] * (_CLASSES * _CLASSES) + kind[1:-1] * _CLASSES + kind[2:]
-    blank = (kind == 4) | (kind == 5)
+    wide = data.astype(np.uint32)
+    run = ((wide[:-2] | wide[1:-1] << np.uint32(8) | wide[2:] << np.uint32(16))
+           * np.uint32(2654435761)) >> np.uint32(20)  # the top twelve bits of the product
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
     word = ~blank
     begins = word.copy()
     begins[1:] &= blank[:-1]
@@ -71,13 +65,13 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if len(first) else np.zeros(0, np.uint64)
     for i in range(texts):
         a, b = offsets[i], offsets[i + 1]
-        counts[i, :-MARKS] = np.bincount(run[a:max(a, b - 2)], minlength=TERMS - MARKS)
+        counts[i, :-MARKS] = np.bincount(run[a:max(a, b - 2)], minlength=GRAMS)
     again = np.zeros(len(first), bool)
     again[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
     earlier = np.zeros(len(first), bool)
     earlier[2:] = (hashes[2:] == hashes[:-2]) & (owner[2:] == owner[:-2])
     for mark, chosen in enumerate((again, earlier, np.ones(len(first), bool))):
-        counts[:, TERMS - MARKS + mark] = np.bincount(owner[chosen], minlength=texts)
+        counts[:, GRAMS + mark] = np.bincount(owner[chosen], minlength=texts)
     return counts
 
 
@@ -106,27 +100,62 @@ class Model:
         filled = np.flatnonzero(counts.any(1))
         if not len(self.labels) or not len(filled):
             return out
-        latent = self.project(counts[filled])
-        k = min(self.neighbours, len(self.labels))
-        for at in range(0, len(filled), BLOCK):
-            cosine = latent[at:at + BLOCK] @ self.vectors.T
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cosine, near, 1), 0)
-            votes = (weight * self.labels[near]).sum(1)
-            total = weight.sum(1)
-            out[filled[at:at + BLOCK]] = np.where(total > 0, votes / np.maximum(total, 1e-12), prior)
+        out[filled] = votes(self.project(counts[filled]), self.vectors, self.labels,
+                            self.neighbours, prior)
         return np.clip(np.round(out, 6), 0, 1)
 
 
+def votes(latent: np.ndarray, vectors: np.ndarray, labels: np.ndarray, neighbours: int,
+          prior: float) -> np.ndarray:
+    """Share of label 1 among the nearest vectors of each row, weighted by cosine, in blocks."""
+    out, k = np.full(len(latent), prior), min(neighbours, len(labels))
+    for at in range(0, len(latent), BLOCK):
+        cosine = latent[at:at + BLOCK] @ vectors.T
+        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        weight = np.maximum(np.take_along_axis(cosine, near, 1), 0)
+        total = weight.sum(1)
+        out[at:at + BLOCK] = np.where(total > 0, (weight * labels[near]).sum(1) / np.maximum(
+            total, 1e-12), prior)
+    return out
+
+
+def chosen_rank(latent: np.ndarray, labels: np.ndarray, ranks: tuple[int, ...], neighbours: int,
+                folds: int = INNER, accept: float = ACCEPT) -> int:
+    """The rank under which rows are told apart best by the rows of the other folds.
+
+    ``latent`` has the coordinates of the largest rank, of which smaller ranks take the first.
+    """
+    fold, best = np.arange(len(labels)) % folds, (-1.0, 0)
+    for rank in sorted(ranks):
+        part = latent[:, :rank]
+        part = part / np.maximum(np.sqrt((part * part).sum(1, keepdims=True)), 1e-12)
+        right = np.zeros(len(labels), bool)
+        for f in range(folds):
+            mine, rest = fold == f, fold != f
+            if mine.any() and rest.any():
+                found = votes(part[mine], part[rest], labels[rest], neighbours, float(labels[rest].mean()))
+                right[mine] = (found >= accept) == (labels[mine] >= 0.5)
+        shares = [right[labels == y].mean() for y in np.unique(labels)]
+        best = max(best, (round(float(np.mean(shares)), 6), -rank))
+    return -best[1]
+
+
 def held_out(id_column: Column, folds: int = FOLDS) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % folds == 0
 
 
+def _counts_of(data: np.ndarray, offsets: np.ndarray):
+    """Term counts of all texts, some at a time: a slice of short texts holds very many."""
+    for _, _, part, at in arrow_text.slices(data, offsets):
+        for first in range(0, len(at) - 1, BLOCK):
+            cut = at[first:first + BLOCK + 1]
+            yield term_counts(part[cut[0]:cut[-1]], cut - cut[0])
+
+
 def _counted(batches):
     for batch in batches:
         data, offsets = arrow_text.flat_text(batch.column("text"))
-        rows = [r.tobytes() for _, _, part, at in arrow_text.slices(data, offsets)
-                for r in term_counts(part, at)]
+        rows = [r.tobytes() for part in _counts_of(data, offsets) for r in part]
         yield pa.record_batch({"label": batch.column("label"),
                                "counts": pa.array(rows, pa.binary())})
 
@@ -142,7 +171,7 @@ def leading(matrix: np.ndarray, rank: int, extra: int = 16, rounds: int = 8) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
-        rank: int = RANK, neighbours: int = NEIGHBOURS, folds: int = FOLDS) -> Model:
+        ranks: tuple[int, ...] = RANKS, neighbours: int = NEIGHBOURS, folds: int = FOLDS) -> Model:
     """Fit on at most ``sample`` labelled documents outside the held-out fold.
 
     The rows come to the driver as term counts of fixed size, so what is gathered is bounded by
@@ -159,7 +188,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     truth = np.array([y for y, _ in rows])
     rarity = np.log1p(len(counts) / (1 + (counts > 0).sum(0))).astype(np.float32)
     matrix = weighted(counts, rarity)
-    loadings = leading(matrix, rank)
+    loadings = leading(matrix, max(ranks))
+    rank = min(ranks)
+    if len(truth):
+        mixed = np.argsort([zlib.crc32(c) for _, c in rows], kind="stable")  # folds mix the labels
+        rank = chosen_rank((matrix @ loadings)[mixed], truth[mixed], ranks, neighbours)
+    loadings = np.ascontiguousarray(loadings[:, :rank])
     bare = Model(rarity, loadings, np.zeros((0, rank), np.float32), truth, neighbours)
     return Model(rarity, loadings, bare.project(counts).astype(np.float32), truth, neighbours)
 
@@ -188,8 +222,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None,
     def run(batches):
         for batch in batches:
             data, offsets = arrow_text.flat_text(batch.column("text"))
-            found = [shared.value.scores(term_counts(part, at))
-                     for _, _, part, at in arrow_text.slices(data, offsets)]
+            found = [shared.value.scores(counts) for counts in _counts_of(data, offsets)]
             found = np.concatenate(found) if found else np.zeros(0)
             yield pa.record_batch({n: batch.column(n) for n in out_columns} | {
                 "_score": pa.array(found, pa.float64())})
