@@ -42,7 +42,3 @@ def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points of valid UTF-8 bytes, and the byte position of each."""
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     return points, np.flatnonzero((data & 0xC0) != 0x80)
-
-
-def batches_of(table: pa.Table, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    yield from table.cast(schema).to_batches()

@@ -4,14 +4,15 @@ Rows are ordered by a hash of the text, then a hash of the id, so equal texts li
 Splitters are found without sorting: each round counts, over all partitions, the exact bytes
 below a set of candidate boundaries, and narrows every splitter's interval until a candidate is
 within tolerance of its target. Only those counts reach the driver (at most ``PROBES`` a round).
-A boundary falls inside a group of equal texts only where the group is too large to go around.
+Boundaries lie between groups of equal texts. Where a group lies across a target, the boundary
+goes to its nearer end; only a group that alone has more bytes than a shard is cut inside.
 
 Slots number a shard's rows from 0 without gaps. A shard is cut into parts by a second hash;
 parts are counted first, and each part is numbered on its own, so no task holds a whole shard.
 
 Defined results: a NULL or empty text has size 16 and checksum 0; rows that repeat get a slot
 each; an empty table gives an empty result; columns of the input named like an output are
-replaced.
+replaced, all others kept whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridcensus.llm.words import small
 from gridcensus.session import cut_lineage, ship_package
 
 SHARDS, ROW_BYTES, PROBES, TOLERANCE, PART_ROWS = 40, 16, 640, 0.001, 100_000
@@ -29,13 +31,18 @@ _HALF = 2**63
 _END = 2**128
 
 
+OUTPUTS = ("size", "text_crc32", "shard", "slot")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """The rows with size, text_crc32 and the order key (_high, _low)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({
+    """The columns as c0, c1... with size, text_crc32 and the order key (_high, _low)."""
+    at = docs.columns.index
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = F.coalesce(F.col(f"c{at('text')}"), F.lit(""))
+    return rows.withColumns({
         "size": (F.octet_length(text) + ROW_BYTES).cast("bigint"),
         "text_crc32": F.crc32(text.cast("binary")),
-        "_high": F.xxhash64(text), "_low": F.xxhash64(F.col("doc_id"), F.lit("order"))})
+        "_high": F.xxhash64(text), "_low": F.xxhash64(F.col(f"c{at('doc_id')}"), F.lit("order"))})
 
 
 def _counter(probes: list[int]):
@@ -67,7 +74,8 @@ def splitters(keys: DataFrame, shards: int = SHARDS, probes: int = PROBES,
     """The shards - 1 boundaries, as 128-bit keys, over stored ``keys`` (_high, _low, size).
 
     A splitter is settled once a candidate is within ``tolerance`` of a shard's bytes, or no
-    boundary is left between its two nearest ones.
+    boundary is left between its two nearest ones. Candidates are ends of groups (whole high
+    words) until only one group is left that is larger than a shard.
     """
     total, rows = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     targets = [total * k // shards for k in range(1, shards)]
@@ -75,13 +83,16 @@ def splitters(keys: DataFrame, shards: int = SHARDS, probes: int = PROBES,
     low = [(0, 0, 0)] * len(targets)  # boundary, bytes and rows below it
     high = [(_END, total, rows)] * len(targets)
     found: dict[int, int] = {}
+    inside: set[int] = set()  # splitters whose target lies in a group larger than a shard
     while len(found) < len(targets):
         todo = [k for k in range(len(targets)) if k not in found]
         each = max(3, probes // len(todo))
         tried = set()
         for k in todo:
             a, b = low[k][0], high[k][0]
-            tried |= {a + (b - a) * i // (each + 1) for i in range(1, each + 1)} - {a, b}
+            grain = 1 if k in inside else 2**64
+            tried |= {(a + (b - a) * i // (each + 1)) // grain * grain
+                      for i in range(1, each + 1)} - {a, b}
         tried = sorted(tried)
         counted = keys.select("_high", "_low", "size").mapInArrow(
             _counter(tried), "probe bigint, bytes bigint, rows bigint").groupBy("probe").agg(
@@ -97,8 +108,12 @@ def splitters(keys: DataFrame, shards: int = SHARDS, probes: int = PROBES,
                 if size > targets[k] and probe < high[k][0]:
                     high[k] = probe, size, count
             best = min(low[k], high[k], key=lambda e: abs(e[1] - targets[k]))
-            alone = high[k][2] - low[k][2] <= 1 or high[k][0] - low[k][0] <= 1
-            if abs(best[1] - targets[k]) <= near or alone:
+            gap = high[k][0] - low[k][0]
+            alone = high[k][2] - low[k][2] <= 1 or gap <= (1 if k in inside else 2**64)
+            if alone and k not in inside and gap <= 2**64 and (
+                    high[k][2] - low[k][2] > 1 and (high[k][1] - low[k][1]) * shards > total):
+                inside.add(k)
+            elif abs(best[1] - targets[k]) <= near or alone:
                 found[k] = best[0]
     return [found[k] for k in range(len(targets))]
 
@@ -125,17 +140,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, part_rows: int = PART_ROWS) ->
     counts = keys.groupBy(number.alias("shard"), part.alias("_part")).agg(
         F.count("*").alias("_rows"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "_part", F.coalesce(
-        F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    offsets = cut_lineage(counts.select("shard", "_part", F.coalesce(
+        F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
     within = Window.partitionBy("shard", "_part").orderBy("_high", "_low")
     rows = keyed(docs).withColumns({"shard": number, "_part": part})
-    return rows.withColumn("slot", F.row_number().over(within) - 1).join(
-        F.broadcast(offsets), ["shard", "_part"]).withColumn(
-        "slot", (F.col("slot") + F.col("_offset")).cast("bigint")).drop(
-        "_high", "_low", "_part", "_offset")
-
-
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows in slot order within each file."""
-    sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
-        "shard").parquet(path)
+    numbered = rows.withColumn("slot", F.row_number().over(within) - 1).join(
+        small(offsets, offsets.count()), ["shard", "_part"]).withColumn(
+        "slot", (F.col("slot") + F.col("_offset")).cast("bigint"))
+    return numbered.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)
+                             if c not in OUTPUTS], *OUTPUTS)
