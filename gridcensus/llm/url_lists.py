@@ -27,19 +27,27 @@ from pyspark.sql.window import Window
 from gridcensus.llm.words import small
 from gridcensus.session import cut_lineage
 
-_HOST = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+_HOST = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#]*@)?(\[[^\]/?#@]*\]|[^/?#:@\[\]]+)"
+_ADDRESS = r"^(\[.*|[0-9]+(\.[0-9]+){3})$"
 _PART = r"^[a-z][a-z0-9+.\-]*://[^/?#]+/([^/?#]+)"
 
 
 def host(url: Column) -> Column:
-    return F.nullif(F.regexp_extract(F.lower(url), _HOST, 1), F.lit(""))
+    """The host in lower case: after the last "@" of the authority, without port and final dots;
+    an address in brackets keeps them. NULL if there is none."""
+    found = F.regexp_extract(F.lower(url), _HOST, 1)
+    return F.nullif(F.regexp_replace(found, r"\.+$", ""), F.lit(""))
 
 
 def patterns(url: Column) -> Column:
-    """Patterns that cover a URL: its host, each parent of two labels or more, host and path part."""
+    """Patterns that cover a URL: its host, each parent of two labels or more, host and path part.
+
+    An address has no parents.
+    """
     labels = F.split(host(url), r"\.")
+    last = F.when(host(url).rlike(_ADDRESS), 1).otherwise(F.greatest(F.size(labels) - 1, F.lit(1)))
     parents = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+        F.sequence(F.lit(1), last),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     part = F.regexp_extract(F.lower(url), _PART, 1)
     paths = F.when(part != "", F.array(F.concat_ws("/", host(url), part))).otherwise(
@@ -127,7 +135,8 @@ def derived_entries(pages: DataFrame) -> DataFrame:
 SQL = r"""
 WITH p AS (
   SELECT DISTINCT page_id, url,
-    nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '') AS host,
+    nullif(rtrim(regexp_extract(lower(url),
+      '^[a-z][a-z0-9+.\-]*://(?:[^/?#]*@)?(\[[^\]/?#@]*\]|[^/?#:@\[\]]+)', 1), '.'), '') AS host,
     regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://[^/?#]+/([^/?#]+)', 1) AS part,
     DATE '2024-01-01' + CAST(CAST('0x' || substr(md5('fetch:' || page_id), 1, 7) AS BIGINT) % 366
                              AS INTEGER) AS fetched_on
@@ -135,7 +144,8 @@ WITH p AS (
 l AS (SELECT *, string_split(host, '.') AS labels FROM p),
 k AS (
   SELECT page_id, url, fetched_on, unnest(list_concat(
-    list_transform(range(1, greatest(len(labels) - 1, 1) + 1),
+    list_transform(range(1, CASE WHEN regexp_matches(host, '^(\[.*|[0-9]+(\.[0-9]+){3})$') THEN 1
+                                 ELSE greatest(len(labels) - 1, 1) END + 1),
                    lambda i: array_to_string(labels[i:], '.')),
     CASE WHEN part <> '' THEN [host || '/' || part] ELSE [] END)) AS pattern
   FROM l WHERE host IS NOT NULL),
