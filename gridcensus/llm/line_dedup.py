@@ -11,11 +11,13 @@ a selected fingerprint.
 Fingerprints that occur once anywhere are dropped. Around the others the match is extended both
 ways: all windows that selected the fingerprint, to its left and right, are compared with the
 first place (by doc_id, then position) where the same lines stand; overlapping windows join to
-the full repeated run. Lines in a run that stood somewhere earlier are deleted; the first
-occurrence stays.
+the full repeated run. Lines in a run that stood somewhere earlier are deleted. The first occurrence of
+each line of the run stays; where a run repeats itself shifted (ten equal lines of 25 words), the
+lines of its own first occurrence that were there before go too.
 
 No step gathers a group: fingerprints and windows are counted and reduced to their first place
-with partial aggregates, and joined back on keys that adaptive execution can split.
+with partial aggregates, and joined back; keys with more than a thousandth of all rows, of which
+there are at most a thousand, by a broadcast.
 
 Defined results: lines are compared with blanks collapsed; blank lines belong to no run and go
 only inside one; rows with the same id and text are one document and get the same result; NULL
@@ -31,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcensus.llm.words import hot_join
 from gridcensus.session import cut_lineage, ship_package
 
 WORDS = 50
@@ -104,14 +107,14 @@ def repeated_runs(docs: DataFrame, least: int = WORDS) -> DataFrame:
     """_id, _text, spans: the line ranges of each document that stood somewhere earlier."""
     ship_package(docs.sparkSession)
     selected = cut_lineage(fingerprints(docs, least))
-    shared = selected.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1")
-    joined = selected.join(shared, "fingerprint", "left_semi")
+    shared = cut_lineage(selected.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1"))
+    joined = hot_join(selected, shared, "fingerprint", "left_semi")
     places = cut_lineage(joined.select("_id", "_text", F.explode("windows").alias("w")).select(
         "_id", "_text", "w.first", "w.last", "w.content"))
     place = F.struct("_id", "_text", "first")
-    firsts = places.groupBy("content").agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
-    later = places.join(firsts.where("_n > 1").drop("_n"), "content").where(
-        place > F.col("_first"))
+    firsts = cut_lineage(places.groupBy("content").agg(
+        F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1"))
+    later = hot_join(places, firsts, "content", "inner").where(place > F.col("_first"))
     return later.groupBy("_id", "_text").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
@@ -130,7 +133,7 @@ def cleaned(docs: DataFrame, least: int = WORDS) -> DataFrame:
 
     ``removed`` are the deleted ranges of line numbers from 0, ends included.
     """
-    runs = cut_lineage(repeated_runs(docs, least)).hint("shuffle_hash")
+    runs = cut_lineage(repeated_runs(docs, least))
     columns = [c for c in docs.columns if c != "text"]
     keyed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], "text",
                         F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_key"))

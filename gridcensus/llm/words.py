@@ -36,3 +36,16 @@ def shingle_rows(df: DataFrame, keep: list[str], hashes: str = "_words",
 def small(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if ``rows``, which were counted, are few; else the join shuffles."""
     return F.broadcast(df) if rows <= most else df
+
+
+def hot_join(left: DataFrame, keyed: DataFrame, key: str, how: str, most: int = 1000) -> DataFrame:
+    """Join stored ``left`` with stored ``keyed`` (``key`` once each, with its rows ``_n``).
+
+    Keys with more than one in ``most`` of all rows are at most ``most``: they are broadcast, and
+    their left rows stay where they are. The others are shuffled.
+    """
+    total = left.count()
+    hot = keyed.where(F.col("_n") * most > total).drop("_n")
+    cold = keyed.where(F.col("_n") * most <= total).drop("_n")
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return left.join(F.broadcast(hot), key, how).unionByName(rest.join(cold, key, how))

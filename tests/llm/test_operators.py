@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.llm import (automaton, decontaminate, graph, line_dedup, near_text, near_vectors,
                             packing, prob_minhash, quality, secret_scan, shards, token_counts,
-                            url_lists)
+                            url_lists, words)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 RNG = random.Random(4)
@@ -94,6 +94,31 @@ def test_packing_round_trip_and_limits(spark):
     assert packing.pack(packing.token_pieces(frame(spark, []), path)).count() == 0
 
 
+def test_every_limit_of_a_sequence_closes_some(spark):
+    """Long answers are closed by loss, short documents by segments, the rest by tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [prose(900 + 37 * i, i) for i in range(60)] + [prose(3, i) for i in range(300)] + [
+        prose(100 + i, i) for i in range(300)]
+    rows = packing.pack(packing.token_pieces(frame(spark, texts), path)).collect()
+    limits, closed = packing.Limits(), collections.Counter()
+    of_sequence = collections.defaultdict(list)
+    for r in rows:
+        asked = min(packing.PROMPT, r.doc_tokens // 2)
+        assert r.loss == sum(at >= asked for at in range(r.start, r.start + r.length))
+        assert r.length == r.doc_tokens or r.doc_tokens > 2 * packing.PROMPT
+        of_sequence[r.sequence_id].append(r)
+    used = 0
+    for parts in of_sequence.values():
+        tokens, loss = sum(r.length for r in parts), sum(r.loss for r in parts)
+        assert tokens <= limits.tokens and loss <= limits.loss and len(parts) <= limits.segments
+        used += tokens
+        closed["tokens"] += tokens == limits.tokens
+        closed["loss"] += loss == limits.loss
+        closed["segments"] += len(parts) == limits.segments
+    assert min(closed["tokens"], closed["loss"], closed["segments"]) >= 5, closed
+    assert used / (2048 * len(of_sequence)) > 0.9
+
+
 def test_fill_respects_every_dimension():
     rng = np.random.default_rng(3)
     tokens = rng.integers(1, 60, 500)
@@ -123,10 +148,37 @@ def test_shards_are_near_equal_and_slots_gapless(spark):
     assert set(of_shard) <= set(range(8))
     for part in of_shard.values():
         assert sorted(r.slot for r in part) == list(range(len(part)))
-        assert abs(sum(r.size for r in part) - total / 8) <= 2 * 50_100
+        assert abs(sum(r.size for r in part) - total / 8) <= 50_100  # the text of 50,000 characters
     assert shards.shard(frame(spark, []), shards=8).count() == 0
 
 
+def test_groups_smaller_than_a_shard_stay_whole(spark):
+    texts = [f"{prose(6, i)} {i % 3}" for i in range(3000)]
+    for i in range(60):  # groups from two to a third of a shard, and one larger than a shard
+        texts += [prose(8, 5000 + i)] * (2 + i)
+    texts += [prose(9, 6000)] * 2500
+    rows = shards.shard(clashing(frame(spark, texts)), shards=16).select("doc_id", "shard", "size").collect()
+    places, sizes = collections.defaultdict(set), collections.Counter()
+    for r in rows:
+        places[texts[r.doc_id]].add(r.shard)
+        sizes[r.shard] += r.size
+    assert {t for t, found in places.items() if len(found) > 1} == {prose(9, 6000)}
+    mean = sum(sizes.values()) / 16
+    assert len(sizes) == 16 and max(abs(v - mean) for v in sizes.values()) < 0.3 * mean
+    even = shards.shard(frame(spark, [prose(6, i) for i in range(4000)]), shards=16).groupBy("shard").agg(
+        F.sum("size").alias("n")).collect()
+    mean = sum(r.n for r in even) / 16
+    assert max(abs(r.n - mean) for r in even) <= 0.002 * mean + 100
+
+
+def test_shards_keep_columns_of_any_name(spark):
+    names = ("_high", "_low", "_part", "_offset", "c0", "_rows")
+    docs = frame(spark, ["a", "b"]).withColumns({n: F.lit(n) for n in names})
+    out = shards.shard(docs, shards=2)
+    assert [c for c in out.columns if c not in shards.OUTPUTS] == docs.columns
+    assert all(r[n] == n for r in out.collect() for n in names)
+
+
 def test_splitters_cut_a_group_of_equal_texts(spark):
     docs = frame(spark, ["same words"] * 1000)
     counts = shards.shard(docs, shards=4).groupBy("shard").count().collect()
@@ -236,8 +288,11 @@ def test_line_dedup_deletes_whole_repeated_runs(spark):
 
 
 def test_contained_items_equal_brute_force(spark):
-    items = [prose(n, 50 + n) for n in (5, 6, 9, 17, 40, 60, 33)] + ["a b", "", None]
+    items = [prose(n, 50 + n) for n in (5, 6, 9, 17, 40, 60, 33)] + ["a b", "", None,
+                                                                           "What is two plus", "zebra", "!!"]
     texts = [prose(300, 900 + i) for i in range(30)]
+    texts[7] += " (what is: TWO plus) two?"
+    texts[8] += " a-b, a c b zebra"
     for i, item in enumerate(items[:7]):
         cut = item.split()
         texts[i] += " " + item.upper().replace(" ", ", ")
@@ -249,17 +304,20 @@ def test_contained_items_equal_brute_force(spark):
     found = {(r.doc_id, r.item_id): r.n_found for r in decontaminate.contained(
         clashing(frame(spark, texts)), bench).collect()}
 
-    def grams(text):
-        words = re.findall(r"[^\W_]+", (text or "").lower())
-        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+    def words(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
+
+    def grams(text, n):
+        return {tuple(text[i:i + n]) for i in range(len(text) - n + 1)}
 
     want = {}
     for d, text in enumerate(texts):
         for i, item in enumerate(items):
-            have = grams(item)
-            if have and len(have & grams(text)) >= 0.8 * len(have):
-                want[d, i] = len(have & grams(text))
-    assert found == want and len(want) >= 10
+            n = min(5, len(words(item)))  # a short item is one shingle
+            have = grams(words(item), n) if n else set()
+            if have and len(have & grams(words(text), n)) >= 0.8 * len(have):
+                want[d, i] = len(have & grams(words(text), n))
+    assert found == want and len(want) >= 13 and {(7, 10), (8, 7), (8, 11)} <= set(want)
     clean = decontaminate.without_contaminated(frame(spark, texts), bench)
     assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in want}
     assert decontaminate.contained(frame(spark, []), bench).count() == 0
@@ -498,6 +556,60 @@ def test_url_lists_intervals_and_verdicts(spark):
     assert url_lists.evaluate(captures.limit(0), entries).count() == 0
 
 
+def test_hosts_of_odd_urls(spark):
+    cases = {
+        "http://10.1.2.3:8080/x": ("10.1.2.3", ["10.1.2.3", "10.1.2.3/x"]),
+        "http://[2001:db8::1]:80/x": ("[2001:db8::1]", ["[2001:db8::1]", "[2001:db8::1]/x"]),
+        "https://Example.org./a": ("example.org", ["example.org", "example.org/a"]),
+        "http://user@ex.org@evil.com/": ("evil.com", ["evil.com"]),
+        "http://u:p@sub.ex.org:1/": ("sub.ex.org", ["sub.ex.org", "ex.org"]),
+        "http://localhost": ("localhost", ["localhost"]), "http://@/": (None, None), "x": (None, None)}
+    rows = spark.createDataFrame([(u,) for u in cases], "url string").select(
+        "url", url_lists.host(F.col("url")).alias("host"), url_lists.patterns(F.col("url")).alias("p"))
+    for r in rows.collect():
+        host, found = cases[r.url]
+        assert r.host == host and (host is None or r.p == found), r
+
+
+def test_a_common_key_is_joined_where_it_lies(spark):
+    left = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(900)], "k int, i int")
+    keyed = left.groupBy("k").agg(F.count("*").alias("_n"), F.min("i").alias("first"))
+    got = words.hot_join(left, keyed.where("k <> 9"), "k", "inner", most=10)
+    assert got.columns == ["k", "i", "first"] and got.count() == 899
+    assert got.where("k = 1 AND first <> 1").isEmpty()
+    assert words.hot_join(left, keyed.where("k = 9"), "k", "left_semi", most=10).count() == 1
+
+
+def test_votes_equal_plain_neighbours():
+    rng = np.random.default_rng(6)
+    unit = lambda n: (x := rng.standard_normal((n, 8))) / np.linalg.norm(x, axis=1, keepdims=True)
+    known, rows, labels = unit(300), unit(1100), rng.integers(0, 2, 300).astype(float)
+    got = quality.votes(rows, known, labels, 25, 0.4)
+    for i in range(0, 1100, 7):
+        cosine = [float(a @ rows[i]) for a in known]
+        near = sorted(range(300), key=lambda j: -cosine[j])[:25]
+        weight = [max(cosine[j], 0.0) for j in near]
+        assert abs(got[i] - sum(w * labels[j] for w, j in zip(weight, near)) / sum(weight)) < 1e-9
+    assert quality.votes(rows[:3], -rows[:1], labels[:1], 25, 0.4)[0] == 0.4  # none alike
+
+
+def test_the_rank_is_chosen_by_inner_folds():
+    rng = np.random.default_rng(9)
+    labels = rng.integers(0, 2, 400).astype(float)
+    latent = rng.standard_normal((400, 6)) * 0.3
+    latent[:, 3] += np.where(labels > 0, 2, -2)  # only the fourth coordinate tells
+    assert quality.chosen_rank(latent, labels, (2, 4, 6), 25) == 4
+    assert quality.chosen_rank(latent, np.ones(400), (2, 4, 6), 25) == 2
+
+
+def test_terms_know_no_sign_by_name():
+    texts = [b"abc abc x|y|z", b"", b"a", "é日本 日本".encode()]
+    at = np.cumsum([0] + [len(t) for t in texts])
+    counts = quality.term_counts(np.frombuffer(b"".join(texts), np.uint8), at)
+    assert counts.shape == (4, quality.TERMS) and counts[0, :quality.GRAMS].sum() == len(texts[0]) - 2
+    assert counts[0, quality.GRAMS:].tolist() == [1, 0, 3] and not counts[1].any()
+
+
 def labelled(spark, n=600):
     texts, labels = [], []
     for i in range(n):
