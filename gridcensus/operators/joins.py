@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus.operators.skew import is_small, lookup_join
-from gridcensus.operators.verdict import CheckFailed, side_by_side, with_verdict
+from gridcensus.operators.verdict import side_by_side, with_verdict
 
 _SIDES = {"one_to_one": ("left", "right"), "many_to_one": ("right",),
           "one_to_many": ("left",), "many_to_many": ()}
@@ -20,12 +20,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter(F.col("row_count") > 1))
 
 
-def flag_duplicates(df: DataFrame, keys: Sequence[str], salt_by: Sequence[str],
-                    name: str = "is_duplicate") -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: Sequence[str], name: str = "is_duplicate") -> DataFrame:
     """Mark every member of a duplicated key group, NULL keys grouping together.
 
-    Counting goes through a partial aggregate and the few duplicated keys are joined back,
-    so a key that holds a third of the rows is never gathered in one task.
+    Counting goes through a partial aggregate and the few duplicated keys are joined back in the
+    same job; adaptive execution broadcasts them if they are few, else splits a crowded key.
     """
     marks = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_k{i}")
              for i, k in enumerate(keys)]
@@ -33,23 +32,29 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], salt_by: Sequence[str],
     safe = [f"_k{i}" for i in range(len(keys))] + [f"_n{i}" for i in range(len(keys))]
     keyed = df.select("*", *marks, *nulls)
     repeated = duplicate_keys(keyed, safe).select(*safe, F.lit(True).alias(name))
-    return (lookup_join(keyed, repeated, safe, "left", salt_by)
+    return (keyed.join(repeated, safe, "left")
             .withColumn(name, F.coalesce(name, F.lit(False))).drop(*safe))
 
 
+def refuse_repeats(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """The rows of ``df``; a query that reads them fails if the keys repeat, and names some.
+
+    The count is a subquery of the job that reads the rows, not a job of its own.
+    """
+    some = duplicate_keys(df, keys).limit(10).agg(
+        F.count("*").alias("n"), F.to_json(F.collect_list(F.struct(*keys))).alias("keys"))
+    found = some.select(F.when(F.col("n") > 0, F.col("keys"))).scalar()
+    fault = F.raise_error(F.concat(F.lit(f"{what} repeats keys: "), found)).cast("boolean")
+    return df.filter(F.when(found.isNull(), True).otherwise(fault))
+
+
 def checked_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                 validate: str = "many_to_one", salt_by: Sequence[str] | None = None
-                 ) -> DataFrame:
-    """Join that refuses duplicate keys on the sides that must be unique."""
+                 validate: str = "many_to_one") -> DataFrame:
+    """Join that refuses duplicate keys on the sides that must be unique, when it is run."""
+    sides = {"left": left, "right": right}
     for side in _SIDES[validate]:
-        frame = left if side == "left" else right
-        repeated = duplicate_keys(frame, keys).limit(10).collect()
-        if repeated:
-            raise CheckFailed(f"{side} side of a {validate} join repeats keys: "
-                              f"{[row.asDict() for row in repeated]}")
-    if how in ("inner", "left", "left_semi", "left_anti"):
-        return lookup_join(left, right, keys, how, salt_by or list(left.columns))
-    return left.join(right, list(keys), how)
+        sides[side] = refuse_repeats(sides[side], keys, f"{side} side of a {validate} join")
+    return sides["left"].join(sides["right"], list(keys), how)
 
 
 def join_with_match(left: DataFrame, right: DataFrame, keys: Sequence[str],

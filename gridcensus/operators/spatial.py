@@ -299,7 +299,8 @@ def _ring_edges(df: DataFrame, key: Sequence[str], strip_factor: float) -> DataF
 
 
 def _crossings(strips: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys with two edges that cross, touch where they must not, or run along each other.
+    """Keys with two edges that cross, touch where they must not, or run along each other, and
+    keys whose rings touch in a circle, which cuts the interior in two.
 
     Within its strip an edge takes the square tiles that it passes, so a long vertical side is
     no crowd and a long slanting edge takes as many tiles as it is long. Edges that share several
@@ -331,17 +332,60 @@ def _crossings(strips: DataFrame, key: Sequence[str]) -> DataFrame:
     judged = _with_segment_terms(pairs.select(
         *[F.col(f"l.{k}").alias(k) for k in key], F.col("l.e").alias("e"),
         F.col("r.e").alias("f"), neighbours.alias("_neighbours"),
+        F.col("l.ring").alias("_ring"), F.col("r.ring").alias("_other"),
         (F.col("l.ring") != F.col("r.ring")).alias("_rings"), shared.alias("_shared")))
     parallel = F.col("_ux") * F.col("_vy") == F.col("_uy") * F.col("_vx")
     folded = parallel & (F.col("_ux") * F.col("_vx") + F.col("_uy") * F.col("_vy") < 0)
     alongside = parallel & F.col("_shared") & (F.col("d2") == 0)
     bad = (F.when(F.col("_neighbours"), folded)
            .when(F.col("_rings"), F.col("crosses") | alongside).otherwise(F.col("d2") == 0))
-    return judged.groupBy(*key).agg(F.max(bad).alias("_bad")).filter("_bad").select(*key)
+    on = F.filter(F.array(*[F.when(F.col(d) == 0, end) for d, end in (
+        ("_d1", F.col("f.a")), ("_d2", F.col("f.b")), ("_d3", F.col("e.a")), ("_d4", F.col("e.b")))]),
+        lambda p: p.isNotNull())
+    touching = F.col("_rings") & (F.col("_ring.part") == F.col("_other.part")) & (F.col("d2") == 0)
+    meets = F.struct("_ring", "_other", on.alias("points"))
+    found = judged.groupBy(*key).agg(
+        F.max(bad).alias("_bad"), F.collect_set(F.when(touching, meets)).alias("_meets"))
+    return found.filter(F.col("_bad") | (
+        (F.size("_meets") > 0) & _touch_in_a_circle(F.col("_meets")))).select(*key)
+
+
+def _touch_in_a_circle(meets: Column) -> Column:
+    """Whether the graph of rings and the points where they touch has a circle.
+
+    The rings' ends of points are taken one after the other; one whose ring and point are joined
+    already closes a circle. There are as few groups as rings that touch.
+    """
+    def name(*parts: Column) -> Column:
+        return F.concat_ws(",", *[p.cast("string") for p in parts])
+
+    def links(m: Column) -> Column:
+        spots = F.transform(m["points"], lambda p: name(m["_ring"]["part"], p["x"], p["y"]))
+        rings = F.array(*[name(m[r]["part"], m[r]["hole"]) for r in ("_ring", "_other")])
+        return F.flatten(F.transform(spots, lambda p: F.transform(
+            rings, lambda r: F.struct(r.alias("ring"), p.alias("point")))))
+
+    def join(state: Column, link: Column) -> Column:
+        one = F.coalesce(F.get(F.filter(state["groups"], lambda g: F.array_contains(
+            g, link["ring"])), F.lit(0)), F.array(link["ring"]))
+        holds = F.array_contains(one, link["point"])
+        other = F.coalesce(F.get(F.filter(state["groups"], lambda g: F.array_contains(
+            g, link["point"])), F.lit(0)), F.array(link["point"]))
+        rest = F.filter(state["groups"], lambda g: ~F.array_contains(
+            g, link["ring"]) & ~F.array_contains(g, link["point"]))
+        return F.struct(
+            F.when(holds, state["groups"]).otherwise(
+                F.concat(rest, F.array(F.concat(one, other)))).alias("groups"),
+            (state["circle"] | holds).alias("circle"))
+
+    start = F.struct(F.array().cast("array<array<string>>").alias("groups"), F.lit(False).alias("circle"))
+    every = F.array_distinct(F.flatten(F.transform(meets, links)))
+    return F.aggregate(every, start, join)["circle"]
 
 
 def self_crossings(df: DataFrame, key: Sequence[str], strip_factor: float = 2.0) -> DataFrame:
-    """Keys whose rings cross themselves or each other, or share more than points."""
+    """Keys whose rings cross themselves or each other, share more than points, or touch in a
+    circle."""
     return _crossings(_ring_edges(df, key, strip_factor), key)
 
 
@@ -391,8 +435,8 @@ def flag_invalid(df: DataFrame, key: Sequence[str], name: str = "is_invalid") ->
     """Mark geometries that are no simple feature.
 
     Rings must be closed and have area, must not cross or run along each other, holes lie in
-    their shell and not in each other, and no part lies in another. Not tested: whether holes
-    that touch at several points cut the interior in two.
+    their shell and not in each other, no part lies in another, and the interior of a part is
+    not cut in two by rings that touch each other in a circle.
     """
     closed = geom.rings_are_closed("geometry")
     sound = F.coalesce(closed & (geom.area("geometry") > 0), F.lit(False))
@@ -520,4 +564,4 @@ def _within_best(df: DataFrame, point_id: str, low: str, high: str) -> DataFrame
 
 def duplicate_zone_flags(raw: DataFrame) -> DataFrame:
     """Every member of a repeated (id, version) group; NULL ids group together."""
-    return flag_duplicates(raw, ["plr_id", "geography_version"], ["source_row_id"])
+    return flag_duplicates(raw, ["plr_id", "geography_version"])

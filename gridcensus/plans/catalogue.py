@@ -338,8 +338,7 @@ def duplicate_flags(spark, sf_dir):
     """Every member of a repeated line key is flagged; counted per line number."""
     lines = lenses.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    flagged = joins.flag_duplicates(lines, ["l_orderkey", "l_linenumber"],
-                                    ["l_partkey", "l_suppkey", "l_extendedprice"])
+    flagged = joins.flag_duplicates(lines, ["l_orderkey", "l_linenumber"])
     return flagged.groupBy(F.col("l_linenumber").cast("bigint").alias("l_linenumber")).agg(
         F.count("*").alias("row_count"),
         aggregates.count_if(F.col("is_duplicate")).alias("duplicate_rows"))

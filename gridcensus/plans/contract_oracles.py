@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridcensus.plans.oracles import FINAL, LINKS, POP, SHAPES, SPARSE, ZONED
+from gridcensus.plans.oracles import EV, FINAL, LINKS, POP, SHAPES, SPARSE, ZONED
 
 ORACLES: dict[str, str] = {}
 
@@ -330,3 +330,36 @@ add("incomplete_forecasts", ZONED, "SELECT plr_id, run AS run_time_utc, 'PT000H0
             ("t", "temperature_c"), ("rh", "relative_humidity_percent"),
             ("td", "dew_point_temperature_c"), ("u", "wind_u_10m_ms"), ("v", "wind_v_10m_ms"),
             ("ws", "wind_speed_10m_ms"))) + " FROM zoned")
+
+add("sql_functions", SPARSE + ",\n" + LINKS + ",\n" + POP + """,
+z AS (SELECT plr_id, count(DISTINCT cell) AS n FROM links GROUP BY plr_id),
+f AS (SELECT run, lead_time, count(*) AS n, count(DISTINCT indicator) AS kinds FROM sparse GROUP BY ALL)""",
+    """SELECT 'population' AS kind, reason AS label, count(*) AS row_count FROM pop
+  WHERE reason IN ('zero_population_total', 'invalid_population_65plus') GROUP BY reason
+UNION ALL SELECT 'bridge', CAST(n AS VARCHAR), count(*) FROM z WHERE n >= 2 GROUP BY n
+UNION ALL SELECT 'forecast', lead_time, CAST(sum(n) AS BIGINT) FROM f WHERE lead_time = 'PT002H00M' GROUP BY 2
+UNION ALL SELECT 'lacking', lead_time, count(*) FROM f WHERE lead_time = 'PT006H00M' AND kinds < 5 GROUP BY 2""")
+
+add("stream_outcomes", EV + """,
+came AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS run, lead_time, indicator,
+    ts + to_hours(CAST(CASE WHEN event_id % 4 = 0 THEN 1 ELSE 30 + event_id % 40 END AS INTEGER)) AS arrived
+  FROM ev WHERE value > 20),
+expected AS (SELECT DISTINCT run, l.lead_time FROM came, leads l),
+mark AS (SELECT least(max(run), max(arrived)) - INTERVAL 30 MINUTE AS w FROM came),
+want(o, indicator) AS (VALUES (0, 'T_2M'), (1, 'RELHUM_2M'), (2, 'TD_2M'), (3, 'U_10M'), (4, 'V_10M')),
+seen AS (SELECT DISTINCT run, lead_time, indicator FROM came
+  WHERE arrived >= run AND arrived <= run + INTERVAL 48 HOUR),
+judged AS (SELECT e.run, e.lead_time, string_agg(w.indicator, ',' ORDER BY o) FILTER (s.indicator IS NULL) AS miss
+  FROM expected e CROSS JOIN want w LEFT JOIN seen s
+    ON s.run = e.run AND s.lead_time = e.lead_time AND s.indicator = w.indicator GROUP BY ALL)""",
+    """SELECT run AS run_time_utc, lead_time, coalesce(miss, '') AS missing_indicators, miss IS NULL AS complete
+  FROM judged, mark WHERE miss IS NULL OR run + INTERVAL 48 HOUR < w""")
+
+add("zone_interiors", """rings(kind, ring, points) AS (VALUES
+  (0, 's', ['l']), (0, 'a', ['l']), (1, 's', ['l', 'r']), (1, 'a', ['l', 'r']),
+  (2, 's', ['l', 'r']), (2, 'a', ['l', 'm']), (2, 'b', ['m', 'r']),
+  (3, 's', ['l']), (3, 'a', ['l', 'm']), (3, 'b', ['m'])),
+ends AS (SELECT kind, ring, unnest(points) AS point FROM rings),
+graph AS (SELECT kind, count(*) AS ends, count(DISTINCT ring) + count(DISTINCT point) AS corners
+  FROM ends GROUP BY kind)""", """SELECT c_custkey, coalesce(ends >= corners, false) AS is_invalid
+  FROM customer LEFT JOIN graph ON kind = c_custkey % 5""")

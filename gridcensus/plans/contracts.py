@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from gridcensus import schemas
 from gridcensus.functions import geom, text
-from gridcensus.operators import checks, gates, joins, profiles, report, spatial, weather
+from gridcensus.operators import (checks, gates, joins, profiles, readiness, report, spatial,
+                                  weather)
 from gridcensus.operators.verdict import offenders, side_by_side
 from gridcensus.plans import lenses
 from gridcensus.plans.catalogue import Query, _coerced, _final, _longs, _rounded
 from gridcensus.session import cut_lineage, stored_path
 from gridcensus.sources import mesh, population, tables, zones
+from gridcensus.sources.functions import table_function
+from gridcensus.streaming import completion
 
 QUERIES: dict[str, Query] = {}
 
@@ -320,8 +323,7 @@ def checked_lookup(spark, sf_dir):
     orders = lenses.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     lines = lenses.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
-    joined = joins.checked_join(lines, orders, ["o_orderkey"], "left", "many_to_one",
-                                ["o_orderkey", "l_linenumber"])
+    joined = joins.checked_join(lines, orders, ["o_orderkey"], "left", "many_to_one")
     return joined.groupBy("o_orderpriority").agg(
         F.count("*").alias("line_count"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
 
@@ -504,3 +506,80 @@ def seeded_accounting(spark, sf_dir):
     nowhere = split.accepted.filter(d == 3).select(F.concat(F.lit("X"), "plr_id").alias("plr_id"))
     refused = split.rejected.select("plr_id").union(both).union(nowhere)
     return _longs(joins.split_accounting(split.classified, accepted, refused, ["plr_id"]))
+
+
+@query
+def sql_functions(spark, sf_dir):
+    """Population, bridge and completeness checks asked as table functions in SQL."""
+    table_function("population_issues", {"wanted": "STRING"}, gates.classify_population(
+        lenses.raw_population(spark, sf_dir)).select("plr_id", "rejection_reason"),
+        "t.rejection_reason = wanted")
+    rollup = profiles.zone_rollup(lenses.event_bridge(spark, sf_dir)).select(
+        "plr_id", "geography_version", "source_grid_id", "icon_cells_used", "weight_sum")
+    table_function("bridge_zones", {"version": "STRING", "grid": "STRING", "cells": "BIGINT"}, rollup,
+                   "t.geography_version = version AND t.source_grid_id = grid AND "
+                   "t.icon_cells_used >= cells")
+    verdicts = checks.full_partition_check(
+        lenses.sparse_field(spark, sf_dir), lenses.cell_count(spark, sf_dir), ("source_unit",)).select(
+        "run_time_utc", "lead_time", "total_row_count", "missing_indicator_count")
+    table_function("lacking_forecasts", {"lead": "STRING", "least": "INT"}, verdicts,
+                   "t.lead_time = lead AND t.missing_indicator_count >= least")
+    return spark.sql(f"""
+        SELECT 'population' AS kind, rejection_reason AS label, count(*) AS row_count
+        FROM population_issues('zero_population_total') GROUP BY rejection_reason
+        UNION ALL SELECT 'population', rejection_reason, count(*)
+        FROM population_issues('invalid_population_65plus') GROUP BY rejection_reason
+        UNION ALL SELECT 'bridge', CAST(z.icon_cells_used AS STRING), count(*)
+        FROM bridge_zones('{lenses.VERSION}', '{lenses.GRID}', 2) AS z GROUP BY z.icon_cells_used
+        UNION ALL SELECT 'forecast', lead_time, sum(total_row_count)
+        FROM lacking_forecasts('PT002H00M', 0) GROUP BY lead_time
+        UNION ALL SELECT 'lacking', lead_time, count(*)
+        FROM lacking_forecasts('PT006H00M', 1) GROUP BY lead_time""")
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    """Forecasts that a stream completes, and those given up with what they lack.
+
+    Runs are expected and fields arrive in six files each, some fields twice, some too late.
+    """
+    n, run = F.col("event_id"), F.date_trunc("day", "ts")
+    delay = F.make_interval(hours=F.when(n % 4 == 0, 1).otherwise(30 + n % 40).cast("int"))
+    fields = cut_lineage(lenses.table(spark, sf_dir, "events").filter("value > 20").select(
+        run.alias("run_time_utc"), lenses._lead(n).alias("lead_time"),
+        lenses._indicator().alias("indicator"), (F.col("ts") + delay).cast("timestamp").alias("arrived_at")))
+    runs = cut_lineage(readiness.with_leads(fields.select("run_time_utc").distinct()).select(
+        "run_time_utc", "lead_time"))
+    folders = {}
+    for name, df, at in (("runs", runs, "run_time_utc"), ("fields", fields, "arrived_at")):
+        folders[name] = stored_path(spark)
+        low, high = df.agg(F.min(F.unix_seconds(at)), F.max(F.unix_seconds(at))).first()
+        step = ((high or 0) - (low or 0)) // 6 + 1
+        for part in range(6):  # files are read in the order they were written
+            seconds = F.unix_seconds(at) - F.lit(low or 0)
+            df.filter(F.floor(seconds / step) == part).coalesce(1).write.mode("append").parquet(
+                folders[name])
+    read = lambda name, df: spark.readStream.schema(df.schema).option(
+        "maxFilesPerTrigger", 1).parquet(folders[name])
+    found = completion.run_outcomes(read("runs", runs), read("fields", fields))
+    return found.withColumn("missing_indicators", F.array_join("missing_indicators", ","))
+
+
+@query
+def zone_interiors(spark, sf_dir):
+    """Squares whose holes touch the shell or each other: an interior must stay in one piece."""
+    x, y = lenses._square("c_custkey")
+    at = lambda *spots: geom.closed_ring(*[geom.point(x + a, y + b) for a, b in spots])
+    shell = at((0, 0), (900, 0), (900, 900), (0, 900))
+    once = at((0, 300), (300, 200), (300, 400))           # touches the left side
+    twice = at((0, 300), (450, 200), (900, 300), (450, 400))  # touches both sides
+    right = at((300, 300), (900, 300), (600, 400))        # touches the first hole and the right side
+    inner = at((300, 300), (500, 250), (500, 350))        # touches the first hole only
+    kind = F.col("c_custkey") % 5
+    left = at((0, 300), (300, 300), (150, 400))
+    shape = (F.when(kind == 0, geom.polygon(shell, once)).when(kind == 1, geom.polygon(shell, twice))
+             .when(kind == 2, geom.polygon(shell, left, right))
+             .when(kind == 3, geom.polygon(shell, left, inner)).otherwise(geom.polygon(shell)))
+    rows = lenses.table(spark, sf_dir, "customer").select(
+        "c_custkey", geom.promote(shape).alias("geometry"))
+    return spatial.flag_invalid(rows, ["c_custkey"]).select("c_custkey", "is_invalid")

@@ -2,6 +2,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from gridcensus.operators import aggregates, joins, profiles, report, skew
@@ -46,7 +47,7 @@ def test_conditions_beyond_equality(spark):
 def test_duplicates_flag_all_members_and_nulls_group(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None), (5, "b"), (6, "")],
                                "id int, k string")
-    got = {r["id"]: r["is_duplicate"] for r in joins.flag_duplicates(df, ["k"], ["id"]).collect()}
+    got = {r["id"]: r["is_duplicate"] for r in joins.flag_duplicates(df, ["k"]).collect()}
     assert got == {1: True, 2: True, 3: True, 4: True, 5: False, 6: False}
 
 
@@ -54,10 +55,22 @@ def test_checked_join_refuses_repeats(spark):
     left = spark.createDataFrame([(1, "x"), (1, "y")], "k int, a string")
     right = spark.createDataFrame([(1, "z"), (1, "w")], "k int, b string")
     assert joins.checked_join(right, left.limit(1), ["k"], "left").count() == 2
-    with pytest.raises(CheckFailed, match="right side"):
-        joins.checked_join(left, right, ["k"])
-    with pytest.raises(CheckFailed, match="left side"):
-        joins.checked_join(left, right.limit(1), ["k"], validate="one_to_one")
+    # Nothing runs while the join is built; reading it fails.
+    refused = joins.checked_join(left, right, ["k"])
+    with pytest.raises(SparkRuntimeException, match=r'right side.*"k":1'):
+        refused.collect()
+    with pytest.raises(SparkRuntimeException, match="left side"):
+        joins.checked_join(left, right.limit(1), ["k"], validate="one_to_one").collect()
+
+
+def test_building_checked_joins_and_flags_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(10).withColumnRenamed("id", "k")
+    spark.sparkContext.setJobGroup("building", "")
+    joined = joins.flag_duplicates(joins.checked_join(df, df, ["k"], "left"), ["k"])
+    assert not tracker.getJobIdsForGroup("building")
+    assert joined.count() == 10
+    assert tracker.getJobIdsForGroup("building")
 
 
 def explained(spark, registry):

@@ -275,3 +275,33 @@ def test_overlap_expression_agrees_with_the_job(world):
     got = {(r["plr_id"], r["cell_index"]): r["a"] for r in direct.collect()}
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], abs=1e-5) for k in want)
+
+
+def test_rings_that_touch_in_a_circle_cut_the_interior(spark):
+    """Against a search for a circle in the graph of rings and touching points."""
+    shell = [(0.0, 0.0), (90.0, 0.0), (90.0, 90.0), (0.0, 90.0)]
+    rng, shapes, want = random.Random(12), [], set()
+    for i in range(60):
+        spots = rng.sample(range(0, 9), rng.randint(1, 5))  # holes between points of a lattice line
+        holes, ends = [], []
+        for a in sorted(spots):
+            x = a * 10.0
+            holes.append([(x, 45.0), (x + 5, 47.0), (x + 10, 45.0), (x + 5, 43.0)])
+            ends += [(a, a), (a, a + 1)]
+        ends += [("s", p) for p in {p for _, p in ends} if p in (0, 9)]
+        links = set(ends)
+        while True:  # rings or points met once are on no circle
+            met = [v for e in links for v in (("r", e[0]), ("p", e[1]))]
+            less = {e for e in links if met.count(("r", e[0])) > 1 and met.count(("p", e[1])) > 1}
+            if less == links:
+                break
+            links = less
+        if links:
+            want.add(f"{i:03d}")
+        shapes.append([shell, *holes])
+    shapes.append([shell, *[[(a * 10.0, 45.0), (a * 10.0 + 5, 47.0), (a * 10.0 + 10, 45.0),
+                             (a * 10.0 + 5, 43.0)] for a in range(9)]])
+    want.add("060")
+    zones, _ = frames(spark, shapes, mesh(1, 1, 10))
+    found = spatial.flag_invalid(zones, ["plr_id"]).filter("is_invalid")
+    assert {r["plr_id"] for r in found.collect()} == want
