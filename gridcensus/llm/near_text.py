@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from gridcensus.llm import prob_minhash
 from gridcensus.llm.graph import components
 from gridcensus.llm.near_vectors import merge
-from gridcensus.llm.words import SIMILARITY, small, word_hashes, words
+from gridcensus.llm.words import SIMILARITY, hot_join, small, word_hashes, words
 from gridcensus.session import cut_lineage, ship_package
 
 BANDS, ROWS, CROWDED = 40, 6, 1_000_000
@@ -400,10 +400,12 @@ def grouped(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows
     buckets = cut_lineage(placed.join(shared, "key"))
     joined = cut_lineage(components(near_links(buckets, classes, docs, least, rows, crowded)))
     numbered = cut_lineage(classes.select("c1", "c2", "id", "class_id").join(joined, "id", "left"))
-    smallest = numbered.where("component IS NOT NULL").groupBy("component").agg(
-        F.min("class_id").alias("group_id"))
-    of_class = numbered.join(smallest, "component", "left").select(
-        "c1", "c2", "class_id", F.coalesce("group_id", "class_id").alias("group_id"))
+    linked_ones = numbered.where("component IS NOT NULL")
+    smallest = cut_lineage(linked_ones.groupBy("component").agg(
+        F.min("class_id").alias("group_id"), F.count("*").alias("_n")))
+    of_class = hot_join(linked_ones, smallest, "component", "inner").select(
+        "c1", "c2", "class_id", "group_id").unionByName(numbered.where("component IS NULL").select(
+            "c1", "c2", "class_id", F.col("class_id").alias("group_id")))
     found = marks.where("keys IS NOT NULL").select(F.col("id").alias("doc_id"), "text_hash", "c1", "c2").join(
         of_class, ["c1", "c2"]).select("doc_id", "text_hash", "class_id", "group_id")
     alone = marks.where("keys IS NULL").select(
