@@ -2,6 +2,12 @@
 
 Every stage reads what its predecessor kept as a Parquet table and returns the columns of
 ``documents``, until the last, which returns the placed pieces. No stage samples or caps rows.
+
+Defined results: needed are ``doc_id`` and ``text``; other columns go through as they are, whatever
+their names, except that ``n_chars``, where there is one, follows a text that was cut. NULL and
+empty texts stay until packing, where they are one end id; a row without an id is judged by its
+text and never dropped as a copy or for a benchmark item; rows that repeat an id are documents
+each; an empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus.llm import decontaminate, line_dedup, near_text, packing, quality
-from gridcensus.session import cut_lineage
+from gridcensus.session import cut_lineage, release_stored, stored_paths
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,11 +28,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines go; a document goes if nothing but blanks is left of it."""
-    found = line_dedup.cleaned(docs)
-    emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
-    return found.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.when(
-        F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(
-        F.col("n_chars"))).select(docs.columns)
+    inner = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
+    found = line_dedup.cleaned(docs.toDF(*inner.values()))
+    cut = F.col("n_removed") > 0
+    emptied = cut & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    left = found.where(~F.coalesce(emptied, F.lit(False)))
+    kinds = dict(docs.dtypes)
+    return left.select(*[
+        F.when(cut, F.length("text").cast(kinds[c])).otherwise(F.col(n)).alias(c)
+        if c == "n_chars" else F.col(n).alias(c) for c, n in inner.items()])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; the copies that a stage made are deleted when it is done."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = stored_paths()
     for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
+        release_stored(spark, [p for p in stored_paths()[:-1] if p not in before])
     return STAGES[-1][1](spark, docs, sf_dir)

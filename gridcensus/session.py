@@ -35,11 +35,15 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Where that is unset it becomes a folder of the warehouse, which executors share as well;
-    a machine's own temporary folder is never taken.
+    a machine's own temporary folder is never taken. A warehouse on the driver's own disk is
+    refused unless the executors are on the same machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        master = spark.conf.get("spark.master", "local")
+        if folder.startswith(("file:", "/")) and not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -66,11 +70,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_stored(spark: SparkSession) -> int:
-    """Delete every copy ``cut_lineage`` made in this process; returns how many."""
+def stored_paths() -> list[str]:
+    """Copies made in this process and not released yet, oldest first."""
+    return list(_STORED)
+
+
+def release_stored(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete the copies ``cut_lineage`` made in this process, or those named; returns how many."""
     count = 0
-    while _STORED:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+    for name in stored_paths() if paths is None else paths:
+        _STORED.remove(name)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         count += bool(files.delete(path, True))
     return count

@@ -13,15 +13,23 @@ RUN_IN_PAGE = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}"
 IDENTITY = ("indicator", "run_time_utc", "lead_time", "valid_time_utc", "sha256")
 
 
+_HEAD = 256
+
+
 def payload_problem(content: Column) -> Column:
     """Why binary content is no data file: empty, or a web page; NULL if it may be one.
 
-    Blanks before the first mark don't count, however many.
+    Blanks before the first mark don't count, however many: where the first ``_HEAD`` bytes don't
+    show the mark's end, the whole content is looked at.
     """
-    marks = F.ltrim(F.translate(F.decode(content, "ISO-8859-1"), "\t\n\r\f\v", "     "))
-    head = F.lower(F.substring(marks, 1, 16))
+    def mark(part: Column) -> Column:
+        text = F.translate(F.decode(part, "ISO-8859-1"), "\t\n\r\f\v", "     ")
+        return F.lower(F.substring(F.ltrim(text), 1, 16))
+
+    head = mark(F.substring(content, 1, _HEAD))
+    shown = F.when((F.length(head) < 16) & (F.length(content) > _HEAD), mark(content)).otherwise(head)
     return (F.when(F.length(content) == 0, "empty_payload")
-            .when(head.startswith("<html") | head.startswith("<!doctype html"), "html_payload"))
+            .when(shown.startswith("<html") | shown.startswith("<!doctype html"), "html_payload"))
 
 
 def with_digest(df: DataFrame, content: str = "content") -> DataFrame:

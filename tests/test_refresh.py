@@ -100,15 +100,25 @@ def test_shared_folder_falls_back_to_the_warehouse(spark):
             self[key] = value
 
     class Session:
-        conf = Conf({"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+        conf = Conf({"spark.sql.warehouse.dir": "hdfs:///warehouse", "spark.master": "yarn"})
+
+    class Own:
+        conf = Conf({"spark.sql.warehouse.dir": "file:/home/me/warehouse", "spark.master": "yarn"})
+
+    with pytest.raises(ValueError, match="all executors share"):
+        shared_folder(Own())
 
     assert shared_folder(Session()) == "hdfs:///warehouse/_checkpoints"
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
 def test_stored_tables_keep_rows_and_can_be_released(spark):
-    from gridcensus.session import cut_lineage, release_stored
+    from gridcensus.session import cut_lineage, release_stored, stored_paths
 
     stored = cut_lineage(spark.range(7))
     assert stored.count() == 7 and stored.dtypes == spark.range(7).dtypes
-    assert release_stored(spark) >= 1
+    other = cut_lineage(spark.range(3))
+    assert release_stored(spark, stored_paths()[-1:]) == 1 and stored.count() == 7
+    with pytest.raises(Exception):
+        other.count()
+    assert release_stored(spark) >= 1 and not stored_paths()

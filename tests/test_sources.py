@@ -215,3 +215,12 @@ def test_points_geojson(spark, tmp_path):
     zones.write_points_geojson(df, str(tmp_path / "g"), ["cell_index"])
     doc = json.loads(spark.read.text(str(tmp_path / "g")).first()[0])
     assert doc["geometry"] == {"type": "Point", "coordinates": [13.4, 52.5]}
+
+
+def test_payload_mark_behind_any_blanks(spark):
+    cases = {b"": "empty_payload", b"<HTML>": "html_payload", b"GRIB" + b" " * 400: None,
+             b" \n\t" * 200 + b"<!DocType html>": "html_payload", b" " * 250 + b"<html lang=x>": "html_payload",
+             b" " * 255 + b"<htm>": None, b" " * 600: None, b"\xff\xfe<html>": None}
+    rows = spark.createDataFrame([(bytearray(c),) for c in cases], "content binary").select(
+        "content", manifests.payload_problem(F.col("content")).alias("problem")).collect()
+    assert {bytes(r["content"]): r["problem"] for r in rows} == cases
