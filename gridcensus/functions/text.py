@@ -62,10 +62,6 @@ def outside(c: Column, low, high) -> Column:
     return ~c.between(low, high)
 
 
-def one_of(c: Column, allowed: Sequence[str]) -> Column:
-    return c.isin(*allowed)
-
-
 def directory_label(c: Column) -> Column:
     """Lower-case label restricted to letters, digits and underscores, else NULL."""
     label = F.lower(F.btrim(c))

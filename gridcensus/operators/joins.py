@@ -162,8 +162,3 @@ def latest_partition(df: DataFrame, order: Sequence[Column], keys: Sequence[str]
     """Rows of the first partition in ``order``; the key frame is one row by its limit."""
     newest = df.groupBy(*keys).agg(F.count("*").alias("_n")).orderBy(*order).limit(1)
     return df.join(F.broadcast(newest.select(*keys)), list(keys), "inner")
-
-
-def one_row(spark: SparkSession, **values) -> DataFrame:
-    """A single row of literals, for parameters carried next to counters."""
-    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])

@@ -18,12 +18,6 @@ from gridcensus.operators.spatial import flag_invalid, with_box
 from gridcensus.operators.verdict import side_by_side
 
 
-def schema_rows(df: DataFrame) -> DataFrame:
-    """Column names and types in order."""
-    return df.sparkSession.createDataFrame(
-        [(i, n, t) for i, (n, t) in enumerate(df.dtypes)], "position int, name string, type string")
-
-
 def population_profile(frame: DataFrame) -> DataFrame:
     """Identity, reference codes and missing counts of a coerced snapshot, one row."""
     return side_by_side(

@@ -363,3 +363,38 @@ ends AS (SELECT kind, ring, unnest(points) AS point FROM rings),
 graph AS (SELECT kind, count(*) AS ends, count(DISTINCT ring) + count(DISTINCT point) AS corners
   FROM ends GROUP BY kind)""", """SELECT c_custkey, coalesce(ends >= corners, false) AS is_invalid
   FROM customer LEFT JOIN graph ON kind = c_custkey % 5""")
+
+add("zone_neighbours", SHAPES, """SELECT a.plr_id, count(b.id) AS neighbour_count FROM zone a LEFT JOIN zone b
+  ON a.id <> b.id AND abs(a.x - b.x) <= 4000 AND abs(a.y - b.y) <= 4000
+    AND NOT (a.kind = 2 AND b.x > a.x AND b.y > a.y) AND NOT (b.kind = 2 AND a.x > b.x AND a.y > b.y)
+  GROUP BY a.plr_id""")
+
+add("zone_documents", SHAPES, """SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'urn:ogc:def:crs:EPSG::25833'
+    ELSE 'EPSG:4326' END AS source_crs,
+  CASE WHEN c_nationkey % 2 = 0 THEN 25833 ELSE 4326 END::BIGINT AS srid, 'MultiPolygon' AS geometry_type,
+  count(*) AS feature_count, count(DISTINCT plr_id) AS zone_count, round(sum(area), 1) AS area_m2
+  FROM cut JOIN customer ON c_custkey = id GROUP BY ALL""")
+
+add("lenient_preconditions", POP + """,
+n AS (SELECT count(*) AS source_row_count, count(DISTINCT id) AS distinct_plr_count,
+  count(*) - count(id) AS blank_plr_count,
+  count(*) FILTER (reason IS NULL AND (t IS NULL OR s IS NULL OR share IS NULL)) AS accepted_missing_count
+  FROM (SELECT *, CASE WHEN CAST(plr_id AS BIGINT) % 41 = 0 THEN '7'
+    WHEN CAST(plr_id AS BIGINT) % 43 <> 1 THEN plr_id END AS id FROM lenient))""",
+    """SELECT *, blank_plr_count = 0 AND accepted_missing_count = 0
+  AND distinct_plr_count + blank_plr_count = source_row_count AS passed FROM n""")
+
+add("bridge_counters", LINKS + """,
+b AS (SELECT plr_id, CAST(plr_id AS BIGINT) % 13 AS d, CASE WHEN CAST(plr_id AS BIGINT) % 13 <> 1 THEN cell END
+    AS cell, w, sum(w) OVER (PARTITION BY plr_id) AS total FROM links),
+x AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE d = 6),
+r AS (SELECT plr_id, sum(CASE d WHEN 5 THEN 1.5 ELSE 1.0 END * w / total) AS weight,
+  sum(w) / max(CASE WHEN d <> 2 THEN total END) AS cover FROM x GROUP BY plr_id)""",
+    """SELECT count(*) AS row_count, count(DISTINCT plr_id) AS distinct_plr_count,
+  count(DISTINCT cell) AS distinct_icon_cell_count, count(*) - count(plr_id) AS plr_id_null_count,
+  count(*) - count(cell) AS cell_index_null_count, count(*) - count(w) AS intersection_area_m2_null_count,
+  count(*) FILTER (d = 2) AS plr_area_m2_null_count, count(*) - count(w) AS icon_cell_area_m2_null_count,
+  count(*) - count(w) AS fraction_of_plr_null_count, count(*) - count(w) AS fraction_of_icon_cell_null_count,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT plr_id, cell FROM x)) AS duplicate_plr_cell_pair_count,
+  (SELECT round(max(abs(weight - 1)), 6) FROM r) AS max_weight_error,
+  (SELECT round(max(abs(cover - 1)), 6) FROM r) AS max_coverage_error FROM x""")

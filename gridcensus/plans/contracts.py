@@ -583,3 +583,58 @@ def zone_interiors(spark, sf_dir):
     rows = lenses.table(spark, sf_dir, "customer").select(
         "c_custkey", geom.promote(shape).alias("geometry"))
     return spatial.flag_invalid(rows, ["c_custkey"]).select("c_custkey", "is_invalid")
+
+
+@query
+def zone_neighbours(spark, sf_dir):
+    """How many other zones share at least a point with a zone."""
+    z = spatial.with_box(lenses.zones(spark, sf_dir).select("plr_id", "geometry"))
+    met = spatial.candidate_pairs(z, z, float(lenses.ZONE_M)).filter(
+        (F.col("plr_id") != F.col("r_plr_id")) & geom.intersects("geometry", "r_geometry"))
+    counted = met.groupBy("plr_id").agg(F.count("*").alias("neighbour_count"))
+    return z.select("plr_id").join(counted, "plr_id", "left").fillna(0, ["neighbour_count"])
+
+
+@query
+def zone_documents(spark, sf_dir):
+    """Zone features as one document per nation, with or without a named reference system."""
+    nation = F.col("c_nationkey")
+    feature = F.concat(
+        F.lit('{"type":"Feature","properties":{"PLR_ID":"'), lenses.plr_id(F.col("c_custkey")),
+        F.lit('"},"geometry":{"type":"MultiPolygon","coordinates":'),
+        F.to_json(_coordinates("geometry")), F.lit("}}"))
+    crs = F.when(nation % 2 == 0, F.lit(
+        '"crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:EPSG::25833"}},')).otherwise("")
+    path = stored_path(spark)
+    (lenses.table(spark, sf_dir, "customer")
+     .select("c_nationkey", "c_custkey", lenses.zone_polygon().alias("geometry"))
+     .groupBy("c_nationkey").agg(F.array_join(F.collect_list(feature), ",").alias("f"))
+     .select(F.concat(F.lit('{"type":"FeatureCollection",'), crs, F.lit('"features":['), "f",
+                      F.lit("]}")).alias("value"), "c_nationkey")
+     .repartition("c_nationkey").write.partitionBy("c_nationkey").text(path))
+    read = zones.read_zones(spark, path, lenses.VERSION, "b" * 64, "2023-01-01")
+    return _longs(read.groupBy("source_crs", "srid", "geometry_type").agg(
+        F.count("*").alias("feature_count"), F.count_distinct("plr_id_source").alias("zone_count"),
+        F.round(F.sum(geom.area("geometry")), 1).alias("area_m2")))
+
+
+@query
+def lenient_preconditions(spark, sf_dir):
+    """What the lenient gate requires of a snapshot, with blank and repeated ids among it."""
+    key = F.col("plr_id").cast("bigint")
+    frame = _coerced(spark, sf_dir).withColumn("plr_id", F.when(key % 41 == 0, F.lit("7")).when(
+        key % 43 != 1, F.col("plr_id")))
+    return _longs(gates.lenient_preconditions(gates.lenient_population_gate(frame), None))
+
+
+@query
+def bridge_counters(spark, sf_dir):
+    """Sizes, missing values, repeated pairs and largest errors of a bridge with faults."""
+    d = F.col("plr_id").cast("bigint") % 13
+    bridge = lenses.event_bridge(spark, sf_dir).withColumns({
+        "cell_index": F.when(d != 1, F.col("cell_index")),
+        "plr_area_m2": F.when(d != 2, F.col("plr_area_m2")),
+        "fraction_of_plr": F.when(d == 5, F.col("fraction_of_plr") * 1.5).otherwise(
+            F.col("fraction_of_plr"))})
+    profile = profiles.bridge_profile(bridge.unionByName(bridge.filter(d == 6)))
+    return _rounded(_longs(profile), ("max_weight_error", "max_coverage_error"))

@@ -382,9 +382,13 @@ add("population_reasons", POP, """SELECT reason AS rejection_reason, count(*) AS
 add("population_accounting", POP, """SELECT count(*) > 0 AS passed, count(*) AS source_row_count,
   count(*) FILTER (reason IS NULL) AS accepted_row_count,
   count(*) FILTER (reason IS NOT NULL) AS rejected_row_count,
-  CAST(0 AS BIGINT) AS accepted_rejected_overlap, count(DISTINCT plr_id) = count(*) AS preconditions_passed,
-  count(DISTINCT plr_id) AS distinct_plr_count, CAST(0 AS BIGINT) AS blank_plr_count,
-  CAST(1 AS BIGINT) AS reference_code_count, CAST(0 AS BIGINT) AS key_difference_count FROM pop""")
+  (SELECT count(*) FROM (SELECT plr_id FROM pop WHERE reason IS NULL
+    INTERSECT SELECT plr_id FROM pop WHERE reason IS NOT NULL)) AS accepted_rejected_overlap,
+  count(DISTINCT plr_id) = count(*) AS preconditions_passed,
+  count(DISTINCT plr_id) AS distinct_plr_count, count(*) - count(nullif(trim(plr_id), '')) AS blank_plr_count,
+  CAST(1 AS BIGINT) AS reference_code_count,
+  (SELECT count(*) FROM (SELECT plr_id FROM raw EXCEPT SELECT plr_id FROM pop)) AS key_difference_count
+  FROM pop""")
 
 add("population_contract", POP + """,
 strict AS (SELECT *, CASE WHEN CAST(plr_id AS BIGINT) % 43 <> 1 THEN plr_id END AS id,
@@ -498,18 +502,35 @@ add("status_reason_counts", FINAL, """SELECT 'status' AS kind, status AS label,
   FROM final GROUP BY status UNION ALL
   SELECT 'reason', reason, count(*) FROM final WHERE reason IS NOT NULL GROUP BY reason""")
 
-add("final_checks", FINAL, """SELECT count(DISTINCT run) AS forecast_count, true AS coverage_passed,
-  count(*) AS row_count, CAST(0 AS BIGINT) AS missing_plr_ids, true AS passed,
-  count(*) FILTER (reason IS NULL) AS available_count,
-  count(*) FILTER (reason IS NOT NULL) AS final_rejected_count, CAST(0 AS BIGINT) AS bad_status_count,
-  count(*) FILTER (reason IS NULL AND (total IS NULL OR senior IS NULL OR share IS NULL))
-    AS available_incomplete_count, CAST(0 AS BIGINT) AS rejected_with_metrics_count,
-  CAST(0 AS BIGINT) AS rejected_without_reason_count,
-  (SELECT count(*) FROM pop WHERE reason IS NOT NULL) AS registry_rejected_count,
-  CAST(0 AS BIGINT) AS registry_difference_count, true AS explained_passed,
-  count(DISTINCT CASE WHEN reason IS NOT NULL THEN plr_id END) AS unmatched_key_count,
-  CAST(0 AS BIGINT) AS unexplained_key_count, CAST(0 AS BIGINT) AS unused_registry_key_count,
-  true AS identity_passed FROM final""")
+add("final_checks", FINAL + """,
+zones AS (SELECT count(*) AS c FROM customer),
+per AS (SELECT run, count(*) AS n, count(DISTINCT plr_id) AS d, count(*) - count(plr_id) AS blank
+  FROM final GROUP BY run),
+refused AS (SELECT DISTINCT plr_id FROM final WHERE status = 'rejected_source_record'),
+registry AS (SELECT plr_id FROM pop WHERE reason IS NOT NULL),
+n AS (SELECT count(DISTINCT run) AS forecast_count, count(*) AS row_count,
+  count(*) FILTER (status = 'available') AS available_count,
+  count(*) FILTER (status = 'rejected_source_record') AS final_rejected_count,
+  count(*) FILTER (status IS NULL OR status NOT IN ('available', 'rejected_source_record')) AS bad_status_count,
+  count(*) FILTER (status = 'available' AND (total IS NULL OR senior IS NULL OR share IS NULL))
+    AS available_incomplete_count,
+  count(*) FILTER (status = 'rejected_source_record'
+    AND (total IS NOT NULL OR senior IS NOT NULL OR share IS NOT NULL)) AS rejected_with_metrics_count,
+  count(*) FILTER (status = 'rejected_source_record' AND reason IS NULL) AS rejected_without_reason_count,
+  (SELECT count(*) FROM registry) AS registry_rejected_count,
+  (SELECT count(*) FROM refused WHERE plr_id NOT IN (SELECT plr_id FROM registry))
+    + (SELECT count(*) FROM registry WHERE plr_id NOT IN (SELECT plr_id FROM refused)) AS registry_difference_count,
+  count(DISTINCT CASE WHEN plr_id NOT IN (SELECT plr_id FROM pop WHERE reason IS NULL) THEN plr_id END)
+    AS unmatched_key_count,
+  count(DISTINCT CASE WHEN plr_id NOT IN (SELECT plr_id FROM pop) THEN plr_id END) AS unexplained_key_count,
+  (SELECT count(*) FROM registry WHERE plr_id NOT IN (SELECT plr_id FROM final)) AS unused_registry_key_count
+  FROM final)""", """SELECT n.*, CAST((SELECT sum(blank) FROM per) AS BIGINT) AS missing_plr_ids,
+  (SELECT bool_and(n = c AND d = c AND blank = 0) FROM per, zones) AS coverage_passed,
+  bad_status_count + available_incomplete_count + rejected_with_metrics_count
+    + rejected_without_reason_count + registry_difference_count = 0 AS passed,
+  unexplained_key_count + unused_registry_key_count = 0 AS explained_passed,
+  (SELECT bool_and(run = strptime(strftime(run, '%Y%m%dT%H%M'), '%Y%m%dT%H%M')) FROM final) AS identity_passed
+  FROM n""")
 
 _ROWS = ", ".join(f"coalesce(max(n) FILTER (indicator = '{i}'), 0) AS rows_{i.lower()}"
                   for i in ("T_2M", "RELHUM_2M", "TD_2M", "U_10M", "V_10M"))
@@ -650,15 +671,19 @@ add("area_bridge", BRIDGE, """SELECT plr_id, cell AS cell_index, round(a, 3) AS
   round(f, 6) AS fraction_of_plr, round(g, 6) AS fraction_of_icon_cell FROM bridge""")
 
 add("bridge_quality", BRIDGE + """,
-sums AS (SELECT plr_id, sum(f) AS s FROM bridge GROUP BY plr_id)""", """SELECT true AS passed, count(*) AS bridge_row_count,
+sums AS (SELECT plr_id, sum(f) AS s FROM bridge GROUP BY plr_id),
+n AS (SELECT count(*) AS bridge_row_count,
   count(DISTINCT plr_id) AS represented_plr_count, count(DISTINCT cell) AS represented_icon_cell_count,
   (SELECT count(*) FROM customer) AS source_plr_count,
   (SELECT count(*) FROM customer) - count(DISTINCT plr_id) AS missing_plr_count,
-  CAST(0 AS BIGINT) AS orphan_plr_count, CAST(0 AS BIGINT) AS orphan_icon_cell_count,
+  count(*) FILTER (plr_id NOT IN (SELECT plr_id FROM zone)) AS orphan_plr_count,
+  count(*) FILTER (cell NOT IN (SELECT cell FROM tri)) AS orphan_icon_cell_count,
   count(*) FILTER (a <= 0) AS nonpositive_area_count,
   count(*) FILTER (f > 1.000001 OR g > 1.000001) AS invalid_fraction_count,
   (SELECT count(*) FROM sums WHERE abs(s - 1) > 1e-6) AS plr_weight_failure_count,
-  (SELECT round(max(abs(s - 1)), 6) FROM sums) AS max_plr_weight_error FROM bridge""")
+  (SELECT round(max(abs(s - 1)), 6) FROM sums) AS max_plr_weight_error FROM bridge)""",
+    """SELECT *, missing_plr_count + orphan_plr_count + orphan_icon_cell_count + nonpositive_area_count
+  + invalid_fraction_count + plr_weight_failure_count = 0 AS passed FROM n""")
 
 add("bridge_profile", BRIDGE, """SELECT plr_id, count(DISTINCT cell) AS icon_cells_used,
   round(sum(f), 6) AS weight_sum, round(sum(a), 3) AS intersection_area_sum_m2,
@@ -720,11 +745,14 @@ o AS (SELECT * FROM e GROUP BY ALL HAVING count(*) = 1)""", """SELECT CASE WHEN
 add("weather_mask", MASK, """SELECT '2023-01-01' AS geography_version, 'G1' AS source_grid_id,
   CAST(5000 AS BIGINT) AS mask_buffer_m, cell AS cell_index FROM masked""")
 
-add("mask_quality", MASK + BRIDGE[len(SHAPES):], """SELECT true AS passed,
-  (SELECT count(*) FROM customer) AS source_plr_count, (SELECT count(*) FROM masked) AS mask_cell_count,
+add("mask_quality", MASK + BRIDGE[len(SHAPES):] + """,
+n AS (SELECT (SELECT count(*) FROM customer) AS source_plr_count, (SELECT count(*) FROM masked) AS mask_cell_count,
   (SELECT count(DISTINCT cell) FROM bridge) AS bridge_cell_count,
   (SELECT count(DISTINCT cell) FROM bridge WHERE cell NOT IN (SELECT cell FROM masked))
-    AS missing_bridge_cell_count, CAST(0 AS BIGINT) AS orphan_mask_cell_count""")
+    AS missing_bridge_cell_count,
+  (SELECT count(*) FROM masked WHERE cell NOT IN (SELECT cell FROM tri)) AS orphan_mask_cell_count)""",
+    """SELECT *, mask_cell_count > 0 AND missing_bridge_cell_count = 0 AND orphan_mask_cell_count = 0 AS passed
+  FROM n""")
 
 add("zone_gate", "", """SELECT c_custkey AS source_row_id, CASE c_custkey % 19 WHEN 1 THEN NULL
     WHEN 3 THEN 'DUP00001' ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS plr_id,
