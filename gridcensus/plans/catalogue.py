@@ -730,7 +730,7 @@ def bridge_references(spark, sf_dir):
 def reproject(spark, sf_dir):
     """Supplier numbers as positions, to planar metres and back."""
     lon = F.pmod("s_suppkey", F.lit(50)) * 0.1 + 12.0
-    lat = F.floor(F.col("s_suppkey") / 50) * 0.05 + 48.0
+    lat = F.floor(F.col("s_suppkey") / 50) % 800 * 0.05 + 48.0
     rows = lenses.table(spark, sf_dir, "supplier").select(
         "s_suppkey", lon.alias("lon"), lat.alias("lat"))
     planar = rows.withColumn("p", projection.to_planar(F.col("lon"), F.col("lat")))

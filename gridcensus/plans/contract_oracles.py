@@ -398,3 +398,9 @@ r AS (SELECT plr_id, sum(CASE d WHEN 5 THEN 1.5 ELSE 1.0 END * w / total) AS wei
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT plr_id, cell FROM x)) AS duplicate_plr_cell_pair_count,
   (SELECT round(max(abs(weight - 1)), 6) FROM r) AS max_weight_error,
   (SELECT round(max(abs(cover - 1)), 6) FROM r) AS max_coverage_error FROM x""")
+
+add("binary_manifest", """f AS (SELECT doc_id // 500 AS file, string_agg(
+    CASE WHEN doc_id // 500 % 5 = 3 THEN 'x' ELSE '' END || coalesce(text, '') || chr(10), ''
+    ORDER BY doc_id) AS content FROM documents GROUP BY 1)""", """SELECT file, strlen(content) AS size_bytes,
+  sha256(content) AS sha256, file % 5 = 3 AS rehashed,
+  CASE WHEN file % 5 = 3 THEN 'replace' ELSE 'reuse' END AS decision FROM f""")

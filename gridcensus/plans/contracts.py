@@ -17,7 +17,7 @@ from gridcensus.operators.verdict import offenders, side_by_side
 from gridcensus.plans import lenses
 from gridcensus.plans.catalogue import Query, _coerced, _final, _longs, _rounded
 from gridcensus.session import cut_lineage, stored_path
-from gridcensus.sources import mesh, population, tables, zones
+from gridcensus.sources import manifests, mesh, population, stored, tables, zones
 from gridcensus.sources.functions import table_function
 from gridcensus.streaming import completion
 
@@ -638,3 +638,45 @@ def bridge_counters(spark, sf_dir):
             F.col("fraction_of_plr"))})
     profile = profiles.bridge_profile(bridge.unionByName(bridge.filter(d == 6)))
     return _rounded(_longs(profile), ("max_weight_error", "max_coverage_error"))
+
+
+def _as_files(df: DataFrame, value: str, path: str, ending: str) -> None:
+    """Column ``value`` of the rows of each ``file``, in the order of doc_id, as file<ending>."""
+    spark, staging = df.sparkSession, stored_path(df.sparkSession)
+    (df.select("file", "doc_id", F.col(value).alias("value")).repartition("file")
+     .sortWithinPartitions("file", "doc_id").select("file", "value")
+     .write.partitionBy("file").text(staging))
+    root = staging.rsplit("/", 1)[0]
+    folder = stored.Folder(spark, root)
+    inner, target = staging[len(root) + 1:], path[len(root) + 1:]
+    for name in folder.partitions(inner, 1):
+        part, = folder.files(f"{inner}/{name}")
+        wanted = f"{target}/{name.split('=')[1]}{ending}"
+        folder.delete(wanted)
+        folder.move(f"{inner}/{name}/{part}", wanted)
+
+
+@query
+def binary_manifest(spark, sf_dir):
+    """Files of 500 documents each with sidecars; some change, and only they are hashed again."""
+    docs = lenses.table(spark, sf_dir, "documents").select(
+        F.floor(F.col("doc_id") / 500).alias("file"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    path, sides = stored_path(spark), stored_path(spark)
+    _as_files(docs, "text", path, ".bin")
+    first = cut_lineage(manifests.incremental_manifest(spark, path, glob="*.bin"))
+    identity = {"indicator": F.lit("T_2M"), "lead_time": F.lit("PT000H00M"),
+                "run_time_utc": F.lit("2026-08-19").cast("timestamp"),
+                "valid_time_utc": F.lit("2026-08-19").cast("timestamp")}
+    name = F.regexp_extract("path", r"([^/]+)\.bin$", 1)
+    lines = first.withColumns(identity).select(
+        name.alias("file"), F.lit(0).alias("doc_id"), F.to_json(F.struct(
+            "indicator", "run_time_utc", "lead_time", "valid_time_utc", "sha256", "size_bytes")).alias("line"))
+    _as_files(lines, "line", sides, ".bin.json")
+    _as_files(docs.filter("file % 5 = 3").withColumn("text", F.concat(F.lit("x"), "text")), "text",
+              path, ".bin")
+    again = cut_lineage(manifests.incremental_manifest(spark, path, first, "*.bin"))
+    judged = manifests.reuse_decision(
+        again.withColumns(identity).withColumn("path", name),
+        manifests.sidecars_by_path(spark, sides).withColumn("path", name))
+    return judged.select(F.col("path").cast("bigint").alias("file"), "size_bytes", "sha256",
+                         "rehashed", "decision")

@@ -228,7 +228,7 @@ def mesh(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     regular = lattice.select(
         F.lit(GRID).alias("source_grid_id"), "vertex_index",
         (F.pmod(v, F.lit(wide)) * 0.1 + 13.0).alias("longitude_deg"),
-        (F.floor(v / wide) * 0.002 + 52.0).alias("latitude_deg"))
+        (F.floor(v / wide) % 15000 * 0.002 + 52.0).alias("latitude_deg"))
     broken = part.filter(d.isin(3, 4)).select(
         F.lit(GRID).alias("source_grid_id"),
         F.when(d == 3, odd).otherwise(odd + 1).alias("vertex_index"),

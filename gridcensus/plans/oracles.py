@@ -234,7 +234,7 @@ def _northing(xi: str = "xi", eta: str = "eta") -> str:
 
 LATTICE = f"""part_cells AS (SELECT p_partkey AS cell, p_partkey % 23 AS d, p_partkey % 2 AS half,
     (p_partkey // 2) % 6 AS c, (p_partkey // 2) // 6 AS r FROM part),
-places AS (SELECT cell, d, n, 13.0::DOUBLE + cc * 0.1 AS lon, 52.0::DOUBLE + rr * 0.002 AS lat FROM (
+places AS (SELECT cell, d, n, 13.0::DOUBLE + cc * 0.1 AS lon, 52.0::DOUBLE + rr % 15000 * 0.002 AS lat FROM (
     SELECT cell, d, 0 AS n, c AS cc, r AS rr FROM part_cells UNION ALL
     SELECT cell, d, 1, c + 1, r + 1 FROM part_cells UNION ALL
     SELECT cell, d, 2, CASE half WHEN 0 THEN c + 1 ELSE c END, CASE half WHEN 0 THEN r ELSE r + 1 END
@@ -657,7 +657,7 @@ add("mesh_profile", """c AS (SELECT p_partkey AS k, p_partkey % 23 AS d, p_partk
 corner AS (SELECT k, b AS v FROM c UNION ALL SELECT k, b + 8 FROM c UNION ALL
   SELECT k, CASE d WHEN 2 THEN b WHEN 3 THEN k * 2 + 100000000 WHEN 4 THEN k * 2 + 100000001
     ELSE CASE half WHEN 0 THEN b + 1 ELSE b + 7 END END FROM c WHERE d <> 1),
-vertex AS (SELECT DISTINCT v, 13.0::DOUBLE + v % 7 * 0.1 AS lon, 52.0::DOUBLE + v // 7 * 0.002 AS lat FROM (
+vertex AS (SELECT DISTINCT v, 13.0::DOUBLE + v % 7 * 0.1 AS lon, 52.0::DOUBLE + v // 7 % 15000 * 0.002 AS lat FROM (
     SELECT b AS v FROM c UNION SELECT b + 1 FROM c UNION SELECT b + 7 FROM c UNION SELECT b + 8 FROM c)
   UNION ALL SELECT k, CASE d WHEN 4 THEN 13.0 END, 95.0 FROM c WHERE d IN (3, 4)),
 n AS (SELECT k, count(*) AS n FROM corner GROUP BY k)""", """SELECT (SELECT count(*) FROM n) AS cell_count,
@@ -701,7 +701,7 @@ UNION ALL SELECT DISTINCT 'cell', CAST(cell AS VARCHAR), 'missing_from_source' F
   WHERE cell NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)""")
 
 add("reproject", f"""p AS (SELECT s_suppkey, 12.0::DOUBLE + s_suppkey % 50 * 0.1 AS lon,
-    48.0::DOUBLE + s_suppkey // 50 * 0.05 AS lat FROM supplier),
+    48.0::DOUBLE + s_suppkey // 50 % 800 * 0.05 AS lat FROM supplier),
 a AS (SELECT *, {_krueger('lon', 'lat')[0]} AS xi, {_krueger('lon', 'lat')[1]} AS eta FROM p)""",
     f"""SELECT s_suppkey, round({_easting()}, 3) AS x, round({_northing()}, 3) AS y,
   round(lon, 6) AS lon, round(lat, 6) AS lat FROM a""")

@@ -49,6 +49,34 @@ def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> Da
     return with_digest(reader.load(path)).drop("content")
 
 
+def incremental_manifest(spark: SparkSession, path: str, known: DataFrame | None = None,
+                         glob: str | None = None) -> DataFrame:
+    """path, modified, size_bytes, sha256, payload_problem and rehashed per file.
+
+    ``known`` is the manifest of an earlier look (stored). Files whose time and size are as they
+    were keep its hash; the others' content is read. The listing reads no content, and the read of
+    the changed files is bounded below by the oldest change, which the reader pushes down.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(path).withColumnRenamed("modificationTime", "modified")
+    columns = ["path", "modified", "size_bytes", "sha256", "payload_problem"]
+    if known is None:
+        return with_digest(files.drop("length")).select(*columns, F.lit(True).alias("rehashed"))
+    listed = files.select("path", "modified", F.col("length").alias("size_bytes"))
+    same = ["path", "modified", "size_bytes"]
+    changed = listed.join(known.select(*same), same, "left_anti")
+    oldest = changed.agg(F.min("modified")).first()[0]
+    kept = known.select(*columns).join(listed, same, "left_semi").select(
+        *columns, F.lit(False).alias("rehashed"))
+    if oldest is None:
+        return kept
+    fresh = files.where(F.col("modified") >= F.lit(oldest)).drop("length").join(
+        changed.select("path"), "path", "left_semi")
+    return kept.unionByName(with_digest(fresh).select(*columns, F.lit(True).alias("rehashed")))
+
+
 def with_expected_files(manifest: DataFrame, expected: DataFrame, key: str = "path") -> DataFrame:
     """Every expected file once; those the manifest lacks are empty or absent."""
     return expected.select(key).join(manifest, key, "left").withColumn(
@@ -64,6 +92,12 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
             .option("mode", "PERMISSIVE").json(path))
 
 
+def sidecars_by_path(spark: SparkSession, path: str) -> DataFrame:
+    """The sidecars ``<file>.json`` below a folder, with the path of the file they stand beside."""
+    found = read_sidecars(spark, path).select("*", F.col("_metadata.file_path").alias("path"))
+    return found.withColumn("path", F.regexp_replace("path", r"\.json$", ""))
+
+
 def reuse_decision(retained: DataFrame, sidecars: DataFrame, key: str = "path") -> DataFrame:
     """``reuse`` when all five identity fields agree, ``missing`` without a sidecar, else
     ``replace``."""

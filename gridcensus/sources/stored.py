@@ -55,6 +55,11 @@ class Folder:
             found = below
         return sorted(found)
 
+    def files(self, name: str) -> list[str]:
+        """Names of the files directly in ``name`` that readers see."""
+        found = [s.getPath().getName() for s in self._files.listStatus(self._at(name)) if s.isFile()]
+        return sorted(f for f in found if not f.startswith(("_", ".")))
+
     def move(self, source: str, target: str) -> None:
         self._files.mkdirs(self._at(target).getParent())
         if not self._files.rename(self._at(source), self._at(target)):
