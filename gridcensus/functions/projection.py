@@ -1,4 +1,5 @@
-"""Transverse Mercator (UTM north zones on GRS80) and back, as Column expressions.
+"""Transverse Mercator (UTM zones of both hemispheres on GRS80) and back, Web Mercator to degrees,
+as Column expressions.
 
 Krueger series to the fourth power of the third flattening, accurate to micrometres
 inside the zone.
@@ -85,24 +86,48 @@ def _map_points(geometry: Column, convert) -> Column:
         poly, lambda ring: F.transform(ring, lambda p: convert(p.x, p.y))))
 
 
-def utm_meridian(srid: Column) -> Column:
-    """Central meridian of a northern UTM zone on ETRS89 or WGS 84, else NULL.
+# Reference systems by number. Geographic ones (WGS 84, ETRS89), Web Mercator, and
+# ranges of transverse Mercator zones as (first, last, zone of the first, false northing).
+GEOGRAPHIC, WEB_MERCATOR = (4326, 4258), 3857
+ZONES = ((25828, 25838, 28, 0.0), (32601, 32660, 1, 0.0), (32701, 32760, 1, 10_000_000.0))
 
-    The two datums are taken as one, as they differ by less than a metre.
+
+def zone_of(srid: Column) -> Column:
+    """``struct<meridian,north>`` of a transverse Mercator system, else NULL.
+
+    The datums ETRS89 and WGS 84 are taken as one, as they differ by less than a metre.
     """
-    zoned = srid.between(25828, 25838) | srid.between(32601, 32660)
-    return F.when(zoned, (F.pmod(srid, F.lit(100)) * 6 - 183).cast("double"))
+    found = F.lit(None).cast("struct<meridian:double,north:double>")
+    for first, last, number, north in ZONES:
+        meridian = ((srid - first + number) * 6 - 183).cast("double")
+        found = F.when(srid.between(first, last), F.struct(
+            meridian.alias("meridian"), F.lit(north).alias("north"))).otherwise(found)
+    return found
+
+
+def is_supported(srid: Column) -> Column:
+    """Whether ``reproject`` knows the system."""
+    return srid.isin(*GEOGRAPHIC, WEB_MERCATOR) | zone_of(srid).isNotNull()
+
+
+def from_web_mercator(x: Column, y: Column) -> Column:
+    """Metres of the spherical web projection to ``struct<x,y>`` in degrees."""
+    return F.struct(F.degrees(x / SEMI_MAJOR).alias("x"),
+                    F.degrees(F.atan(F.sinh(y / SEMI_MAJOR))).alias("y"))
 
 
 def reproject(geometry: Column, srid: Column, planar_srid: int = 25833) -> Column:
-    """Geometry of a geographic or UTM system in one UTM zone; other systems give NULL."""
+    """Geometry of a supported system in one northern UTM zone; other systems give NULL."""
     there = float(planar_srid % 100 * 6 - 183)
-    here = utm_meridian(srid)
+    here = zone_of(srid)
     return (F.when(srid == planar_srid, geometry)
-            .when(srid.isin(4326, 4258), _map_points(
+            .when(srid.isin(*GEOGRAPHIC), _map_points(
                 geometry, lambda x, y: to_planar(x, y, there)))
+            .when(srid == WEB_MERCATOR, _map_points(geometry, lambda x, y: let(
+                from_web_mercator(x, y), lambda p: to_planar(p.x, p.y, there))))
             .when(here.isNotNull(), _map_points(geometry, lambda x, y: let(
-                to_geographic(x, y, here), lambda p: to_planar(p.x, p.y, there)))))
+                to_geographic(x, y - here.north, here.meridian),
+                lambda p: to_planar(p.x, p.y, there)))))
 
 
 def to_geographic_geometry(geometry: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gridcensus import schemas
 from gridcensus.functions import fields, geom, text
 from gridcensus.functions.forecast import valid_time
-from gridcensus.functions.projection import reproject
+from gridcensus.functions.projection import is_supported, reproject
 from gridcensus.operators.aggregates import count_if
 from gridcensus.operators.spatial import (duplicate_zone_flags, flag_invalid, triangle_geometry,
                                           triangles)
@@ -165,8 +165,8 @@ def zone_gate(raw: DataFrame) -> Split:
     """Classify raw zones, reproject the sound ones, and quarantine what the transform broke.
 
     ``raw`` follows ``schemas.RAW_ZONE``. Rings are compared with each other once, before the
-    transform; after it closure and area are tested again, which a zone in a system that has no
-    transform here fails too.
+    transform; after it closure and area are tested again. A zone in a system that has no
+    transform here is quarantined as such.
     """
     g = F.col("geometry")
     keyed = raw.withColumn("plr_id", text.blank_to_null(F.col("plr_id_source")))
@@ -179,7 +179,8 @@ def zone_gate(raw: DataFrame) -> Split:
         (geom.is_empty("geometry"), "empty_geometry"),
         (F.col("srid").isNull() | (F.col("srid") == 0), "missing_srid"),
         (~geom.is_polygonal(F.col("geometry_type")), "non_polygonal_geometry"),
-        (F.col("is_invalid"), "invalid_geometry"))
+        (F.col("is_invalid"), "invalid_geometry"),
+        (~is_supported(F.col("srid")), "unsupported_srid"))
     planar = (flagged.withColumn("rejection_reason", first)
               .withColumn("geometry", F.when(F.col("rejection_reason").isNull(),
                                              reproject(g, F.col("srid")))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridcensus.plans.oracles import EV, FINAL, LINKS, POP, SHAPES, SPARSE, ZONED
+from gridcensus.plans.oracles import (_easting, _krueger, _northing, EV, FINAL, LINKS, POP, SHAPES, SPARSE, ZONED)
 
 ORACLES: dict[str, str] = {}
 
@@ -404,3 +404,11 @@ add("binary_manifest", """f AS (SELECT doc_id // 500 AS file, string_agg(
     ORDER BY doc_id) AS content FROM documents GROUP BY 1)""", """SELECT file, strlen(content) AS size_bytes,
   sha256(content) AS sha256, file % 5 = 3 AS rehashed,
   CASE WHEN file % 5 = 3 THEN 'replace' ELSE 'reuse' END AS decision FROM f""")
+
+add("reproject_systems", f"""p AS (SELECT s_suppkey, 12.0::DOUBLE + s_suppkey % 50 * 0.05 AS lon,
+    (s_suppkey // 50 % 400 * 0.05 + 1.0::DOUBLE) * CASE s_suppkey % 4 WHEN 0 THEN 1 ELSE -1 END AS lat
+  FROM supplier),
+a AS (SELECT *, {_krueger('lon', 'lat')[0]} AS xi, {_krueger('lon', 'lat')[1]} AS eta FROM p)""",
+    f"""SELECT s_suppkey, [3857, 32733, 32734, 2056][s_suppkey % 4 + 1]::BIGINT AS srid, s_suppkey % 4 <> 3 AS is_supported,
+  CASE WHEN s_suppkey % 4 <> 3 THEN round({_easting()}, 3) END AS x,
+  CASE WHEN s_suppkey % 4 <> 3 THEN round({_northing()}, 3) END AS y FROM a""")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus import schemas
-from gridcensus.functions import geom, text
+from gridcensus.functions import geom, projection, text
 from gridcensus.operators import (checks, gates, joins, profiles, readiness, report, spatial,
                                   weather)
 from gridcensus.operators.verdict import offenders, side_by_side
@@ -680,3 +680,26 @@ def binary_manifest(spark, sf_dir):
         manifests.sidecars_by_path(spark, sides).withColumn("path", name))
     return judged.select(F.col("path").cast("bigint").alias("file"), "size_bytes", "sha256",
                          "rehashed", "decision")
+
+
+@query
+def reproject_systems(spark, sf_dir):
+    """Supplier positions in Web Mercator, two southern UTM zones or an unknown system, put into
+    one northern zone."""
+    n = F.col("s_suppkey")
+    lon = F.pmod(n, F.lit(50)) * 0.05 + 12.0
+    lat = (F.floor(n / 50) % 400 * 0.05 + 1.0) * F.when(n % 4 == 0, 1.0).otherwise(-1.0)
+    srid = F.when(n % 4 == 0, 3857).when(n % 4 == 1, 32733).when(n % 4 == 2, 32734).otherwise(2056)
+    south = lambda meridian: projection.to_planar(F.col("lon"), F.col("lat"), meridian)
+    placed = lenses.table(spark, sf_dir, "supplier").select(
+        "s_suppkey", lon.alias("lon"), lat.alias("lat"), srid.alias("srid")).withColumn(
+        "zone", F.when(F.col("srid") == 32733, south(15.0)).otherwise(south(21.0)))
+    web = F.struct((F.radians("lon") * projection.SEMI_MAJOR).alias("x"),
+                   (F.asinh(F.tan(F.radians("lat"))) * projection.SEMI_MAJOR).alias("y"))
+    utm = F.struct(F.col("zone.x").alias("x"), (F.col("zone.y") + 10_000_000.0).alias("y"))
+    there = placed.withColumn("p", F.when(F.col("srid") == 3857, web).otherwise(utm))
+    moved = there.withColumn("q", projection.reproject(F.array(F.array(F.array("p"))), F.col("srid")))
+    spot = F.col("q")[0][0][0]
+    return moved.select("s_suppkey", F.col("srid").cast("bigint").alias("srid"),
+                        projection.is_supported(F.col("srid")).alias("is_supported"),
+                        F.round(spot["x"], 3).alias("x"), F.round(spot["y"], 3).alias("y"))

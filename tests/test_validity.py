@@ -3,6 +3,8 @@
 import random
 import time
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +103,22 @@ def test_other_zones_reach_the_planar_one(spark, srid, meridian):
     assert row["got"]["y"] == pytest.approx(row["want"]["y"], abs=1e-3)
 
 
+def test_southern_zones_and_web_mercator_reach_the_planar_one(spark):
+    """Control points worked out in plain Python from the closed formulas."""
+    lon, lat = 13.4, -33.25
+    web = (math.radians(lon) * 6378137.0, math.asinh(math.tan(math.radians(lat))) * 6378137.0)
+    want = spark.range(1).select(projection.to_planar(F.lit(lon), F.lit(lat)).alias("p")).first()["p"]
+    south = spark.range(1).select(projection.to_planar(F.lit(lon), F.lit(lat), 9.0).alias("p")).first()["p"]
+    for srid, x, y in ((3857, *web), (32732, south["x"], south["y"] + 1e7)):
+        point = F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
+        got = spark.range(1).select(projection.reproject(
+            F.array(F.array(F.array(point))), F.lit(srid))[0][0][0].alias("p")).first()["p"]
+        assert (got["x"], got["y"]) == pytest.approx((want["x"], want["y"]), abs=1e-3)
+    known = spark.range(1).select(*[projection.is_supported(F.lit(s)).alias(str(s)) for s in (
+        4326, 25833, 32760, 3857, 31466, 32761)]).first()
+    assert list(known) == [True, True, True, True, False, False]
+
+
 def test_systems_without_a_transform_are_quarantined(spark):
     rows = [(1, "A", 31466), (2, "B", 25833), (3, "C", 0), (4, "D", 25832)]
     raw = spark.createDataFrame(rows, "source_row_id bigint, plr_id_source string, srid int").select(
@@ -110,7 +128,7 @@ def test_systems_without_a_transform_are_quarantined(spark):
         .alias("geometry"), F.lit("v").alias("geography_version"),
         F.lit("2023-01-01").cast("date").alias("reference_date"), F.lit("s").alias("source_sha256"))
     got = {r["plr_id"]: r["rejection_reason"] for r in gates.zone_gate(raw).classified.collect()}
-    assert got == {"A": "invalid_after_transform", "B": None, "C": "missing_srid", "D": None}
+    assert got == {"A": "unsupported_srid", "B": None, "C": "missing_srid", "D": None}
 
 
 def test_accents_by_rule(spark):
