@@ -158,3 +158,32 @@ def test_stream_drops_late_arrivals(spark, tmp_path):
 def test_stream_without_arrivals(spark, tmp_path):
     spark.createDataFrame([], OBSERVED).write.parquet(str(tmp_path / "none"))
     assert completion.run_available(arrivals(spark, str(tmp_path / "none")), "none").count() == 0
+
+
+def test_outcomes_of_arrivals_in_several_batches(spark, tmp_path):
+    """Complete, given up, repeated, late and still open forecasts."""
+    runs, fields = str(tmp_path / "runs"), str(tmp_path / "fields")
+    lead, step = LEADS[0], dt.timedelta(hours=1)
+    days = [dt.datetime(2026, 8, d) for d in (1, 2, 3, 9, 20)]
+
+    def arrive(rows):
+        spark.createDataFrame(rows, OBSERVED + ", arrived_at timestamp").coalesce(1).write.mode(
+            "append").parquet(fields)
+
+    for day in days:
+        spark.createDataFrame([(day, lead)], "run_time_utc timestamp, lead_time string").coalesce(
+            1).write.mode("append").parquet(runs)
+    arrive([(days[0], lead, i, days[0] + step) for i in INDICATORS])
+    arrive([(days[0], lead, i, days[0] + step) for i in INDICATORS])          # repeated
+    arrive([(days[1], lead, i, days[1] + step) for i in INDICATORS[:3]])
+    arrive([(days[1], lead, INDICATORS[3], days[1] + 49 * step),              # too late
+            (days[2], lead, "PMSL", days[2] + step)])                         # unknown
+    arrive([(days[4], lead, i, days[4] + step) for i in INDICATORS[1:]])
+    read = lambda path, schema: spark.readStream.schema(schema).option(
+        "maxFilesPerTrigger", 1).parquet(path)
+    found = completion.run_outcomes(
+        read(runs, "run_time_utc timestamp, lead_time string"),
+        read(fields, OBSERVED + ", arrived_at timestamp"))
+    got = {r["run_time_utc"]: (r["missing_indicators"], r["complete"]) for r in found.collect()}
+    assert got == {days[0]: ([], True), days[1]: (list(INDICATORS[3:]), False),
+                   days[2]: (list(INDICATORS), False), days[3]: (list(INDICATORS), False)}

@@ -224,3 +224,36 @@ def test_payload_mark_behind_any_blanks(spark):
     rows = spark.createDataFrame([(bytearray(c),) for c in cases], "content binary").select(
         "content", manifests.payload_problem(F.col("content")).alias("problem")).collect()
     assert {bytes(r["content"]): r["problem"] for r in rows} == cases
+
+
+def test_only_changed_files_are_hashed_again(spark, tmp_path):
+    import os
+
+    for n in "abc":
+        (tmp_path / f"{n}.bin").write_bytes(n.encode() * 5)
+        (tmp_path / f"{n}.bin.json").write_text('{"indicator": "T_2M", "sha256": "x"}')
+    listed = manifests.incremental_manifest(spark, str(tmp_path), glob="*.bin")
+    first = listed.collect()
+    known = spark.createDataFrame(first, listed.schema)
+    assert len(first) == 3 and all(r["rehashed"] for r in first)
+    (tmp_path / "b.bin").write_bytes(b"other")
+    (tmp_path / "d.bin").write_bytes(b"new")
+    (tmp_path / "c.bin").unlink()
+    os.utime(tmp_path / "d.bin", (1, 1))  # older than all others, but unknown
+    again = {r["path"][-5:]: r for r in manifests.incremental_manifest(
+        spark, str(tmp_path), known, "*.bin").collect()}
+    assert {n: r["rehashed"] for n, r in again.items()} == {"a.bin": False, "b.bin": True, "d.bin": True}
+    assert again["b.bin"]["sha256"] == hashlib.sha256(b"other").hexdigest()
+    same = manifests.incremental_manifest(spark, str(tmp_path), spark.createDataFrame(
+        list(again.values()), listed.schema), "*.bin")
+    assert same.count() == 3 and same.filter("rehashed").isEmpty()
+
+
+def test_table_functions_take_parameters(spark):
+    from gridcensus.sources.functions import table_function
+
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "k int, `odd name` string")
+    table_function("rows_above", {"least": "INT", "name": "STRING"}, df, "t.k > least AND NOT t.`odd name` <=> name")
+    assert [r["k"] for r in spark.sql("SELECT * FROM rows_above(1, 'c')").collect()] == [2]
+    table_function("rows_above", {"least": "INT"}, df, "t.k > least")
+    assert spark.sql("SELECT count(*) FROM rows_above(0)").first()[0] == 3

@@ -1,10 +1,9 @@
 """Simple-feature validity, other UTM zones, accents, and the byte bound of broadcasts."""
 
+import math
 import random
 import time
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
 
