@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1_000_000
 
@@ -38,6 +39,20 @@ def slices(data: np.ndarray, offsets: np.ndarray,
         first = end
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
+               most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in slices whose texts have about ``most`` bytes, one row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        offsets = np.append(0, np.cumsum(sizes, dtype=np.int64) + 64 * np.arange(1, len(sizes) + 1))
+        first = 0
+        while first < batch.num_rows:
+            end = int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1
+            end = min(max(end, first + 1), batch.num_rows)
+            yield batch.slice(first, end - first)
+            first = end
+
+
 def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points of valid UTF-8 bytes, and the byte position of each."""
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)

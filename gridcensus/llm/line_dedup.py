@@ -33,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcensus.llm import arrow_text
 from gridcensus.llm.words import hot_join
 from gridcensus.session import cut_lineage, ship_package
 
@@ -85,7 +86,7 @@ def fingerprints(docs: DataFrame, least: int = WORDS) -> DataFrame:
     kind = dict(docs.select(F.col("doc_id").alias("_id")).dtypes)["_id"]
 
     def select(batches):
-        for batch in batches:
+        for batch in arrow_text.row_slices(batches):
             rows, keys, spans = [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 for (digest, _), windows in windows_of(text or "", least).items():
@@ -144,7 +145,7 @@ def cleaned(docs: DataFrame, least: int = WORDS) -> DataFrame:
     ranges = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
     def delete(batches):
-        for batch in batches:
+        for batch in arrow_text.row_slices(batches):
             text, spans = batch.column("text"), batch.column("spans").to_pylist()
             lines = pc.add(pc.count_substring(text, "\n"), 1).fill_null(0).cast(pa.int32())
             edited, cuts, gone = [], [], []
