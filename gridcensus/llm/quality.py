@@ -8,9 +8,10 @@ products, with all labelled vectors; the labels of its nearest ones vote with th
 weight.
 
 The model is fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of their ids, and has a
-fixed size, so it can be broadcast: SAMPLE x rank vectors and TERMS x rank loadings. The rank is
-the one of ``RANKS`` under which these rows, each voted on by the rows of the other ``INNER``
-folds, are told apart best (mean share of both labels that is right; the smaller rank in a tie).
+fixed size, so it can be broadcast: SAMPLE x rank vectors and TERMS x rank loadings. The rank and
+the number of neighbours are those of ``RANKS`` and ``NEIGHBOURS`` under which these rows, each voted
+on by the rows of the other ``INNER`` folds, are told apart best (mean share of both labels that is
+right; in a tie the smaller rank, then more neighbours).
 The held-out rows take no part in it. Scoring is a map over all documents without a shuffle, and
 reads whole texts.
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from gridcensus.llm import arrow_text
 from gridcensus.session import ship_package
 
-SAMPLE, RANKS, NEIGHBOURS, BLOCK = 4_000, (16, 32, 64), 25, 512
+SAMPLE, RANKS, NEIGHBOURS, BLOCK = 4_000, (16, 32, 64), (5, 9, 15, 25), 512
 ACCEPT = 0.3
 FOLDS, INNER = 5, 4
 
@@ -119,25 +120,27 @@ def votes(latent: np.ndarray, vectors: np.ndarray, labels: np.ndarray, neighbour
     return out
 
 
-def chosen_rank(latent: np.ndarray, labels: np.ndarray, ranks: tuple[int, ...], neighbours: int,
-                folds: int = INNER, accept: float = ACCEPT) -> int:
-    """The rank under which rows are told apart best by the rows of the other folds.
+def chosen_shape(latent: np.ndarray, labels: np.ndarray, ranks: tuple[int, ...] = RANKS,
+                 neighbours: tuple[int, ...] = NEIGHBOURS, folds: int = INNER,
+                 accept: float = ACCEPT) -> tuple[int, int]:
+    """The rank and the neighbours with which rows are told apart best by the rows of other folds.
 
     ``latent`` has the coordinates of the largest rank, of which smaller ranks take the first.
     """
-    fold, best = np.arange(len(labels)) % folds, (-1.0, 0)
-    for rank in sorted(ranks):
+    fold, best = np.arange(len(labels)) % folds, (-1.0, 0, 0)
+    for rank in ranks:
         part = latent[:, :rank]
         part = part / np.maximum(np.sqrt((part * part).sum(1, keepdims=True)), 1e-12)
-        right = np.zeros(len(labels), bool)
-        for f in range(folds):
-            mine, rest = fold == f, fold != f
-            if mine.any() and rest.any():
-                found = votes(part[mine], part[rest], labels[rest], neighbours, float(labels[rest].mean()))
-                right[mine] = (found >= accept) == (labels[mine] >= 0.5)
-        shares = [right[labels == y].mean() for y in np.unique(labels)]
-        best = max(best, (round(float(np.mean(shares)), 6), -rank))
-    return -best[1]
+        for k in neighbours:
+            right = np.zeros(len(labels), bool)
+            for f in range(folds):
+                mine, rest = fold == f, fold != f
+                if mine.any() and rest.any():
+                    found = votes(part[mine], part[rest], labels[rest], k, float(labels[rest].mean()))
+                    right[mine] = (found >= accept) == (labels[mine] >= 0.5)
+            shares = [right[labels == y].mean() for y in np.unique(labels)]
+            best = max(best, (round(float(np.mean(shares)), 6), -rank, k))
+    return -best[1], best[2]
 
 
 def held_out(id_column: Column, folds: int = FOLDS) -> Column:
@@ -171,7 +174,8 @@ def leading(matrix: np.ndarray, rank: int, extra: int = 16, rounds: int = 8) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
-        ranks: tuple[int, ...] = RANKS, neighbours: int = NEIGHBOURS, folds: int = FOLDS) -> Model:
+        ranks: tuple[int, ...] = RANKS, neighbours: tuple[int, ...] = NEIGHBOURS,
+        folds: int = FOLDS) -> Model:
     """Fit on at most ``sample`` labelled documents outside the held-out fold.
 
     The rows come to the driver as term counts of fixed size, so what is gathered is bounded by
@@ -189,13 +193,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     rarity = np.log1p(len(counts) / (1 + (counts > 0).sum(0))).astype(np.float32)
     matrix = weighted(counts, rarity)
     loadings = leading(matrix, max(ranks))
-    rank = min(ranks)
+    rank, k = min(ranks), max(neighbours)
     if len(truth):
         mixed = np.argsort([zlib.crc32(c) for _, c in rows], kind="stable")  # folds mix the labels
-        rank = chosen_rank((matrix @ loadings)[mixed], truth[mixed], ranks, neighbours)
+        rank, k = chosen_shape((matrix @ loadings)[mixed], truth[mixed], ranks, neighbours)
     loadings = np.ascontiguousarray(loadings[:, :rank])
-    bare = Model(rarity, loadings, np.zeros((0, rank), np.float32), truth, neighbours)
-    return Model(rarity, loadings, bare.project(counts).astype(np.float32), truth, neighbours)
+    bare = Model(rarity, loadings, np.zeros((0, rank), np.float32), truth, k)
+    return Model(rarity, loadings, bare.project(counts).astype(np.float32), truth, k)
 
 
 def accepted(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:

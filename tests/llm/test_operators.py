@@ -598,8 +598,11 @@ def test_the_rank_is_chosen_by_inner_folds():
     labels = rng.integers(0, 2, 400).astype(float)
     latent = rng.standard_normal((400, 6)) * 0.3
     latent[:, 3] += np.where(labels > 0, 2, -2)  # only the fourth coordinate tells
-    assert quality.chosen_rank(latent, labels, (2, 4, 6), 25) == 4
-    assert quality.chosen_rank(latent, np.ones(400), (2, 4, 6), 25) == 2
+    assert quality.chosen_shape(latent, labels, (2, 4, 6), (25,)) == (4, 25)
+    assert quality.chosen_shape(latent, np.ones(400), (2, 4, 6), (5, 25)) == (2, 25)
+    few = np.r_[np.zeros(12), np.ones(388)]  # a small group that many neighbours outvote
+    spots = np.where(few[:, None] > 0, [[1.0, 0.0]], [[0.6, 0.8]]) + rng.standard_normal((400, 2)) * 0.01
+    assert quality.chosen_shape(spots, few, (2,), (5, 25)) == (2, 5)
 
 
 def test_terms_know_no_sign_by_name():
