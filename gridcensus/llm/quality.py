@@ -37,7 +37,7 @@ SAMPLE, RANKS, NEIGHBOURS, BLOCK = 4_000, (16, 32, 64), (5, 9, 15, 25), 512
 ACCEPT = 0.3
 FOLDS, INNER = 5, 4
 
-GRAMS = 4096
+GRAMS = 2048
 MARKS = 3  # a word like the one before, a word like the one before that, any word
 TERMS = GRAMS + MARKS
 
@@ -53,7 +53,7 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return counts
     wide = data.astype(np.uint32)
     run = ((wide[:-2] | wide[1:-1] << np.uint32(8) | wide[2:] << np.uint32(16))
-           * np.uint32(2654435761)) >> np.uint32(20)  # the top twelve bits of the product
+           * np.uint32(2654435761)) >> np.uint32(21)  # the top eleven bits of the product
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     word = ~blank
     begins = word.copy()
@@ -78,9 +78,11 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def weighted(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Square roots of relative frequencies times rarity, at unit length; zero stays zero."""
-    total = np.maximum(counts[:, :-MARKS].sum(1, keepdims=True), 1)
-    out = np.sqrt(counts / total) * rarity
-    return out / np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-12)
+    out = counts / np.maximum(counts[:, :-MARKS].sum(1, keepdims=True), 1)
+    np.sqrt(out, out=out)
+    out *= rarity
+    out /= np.maximum(np.sqrt(np.einsum("ij,ij->i", out, out))[:, None], 1e-12)
+    return out
 
 
 @dataclass(frozen=True)
@@ -158,11 +160,25 @@ def _counts_of(data: np.ndarray, offsets: np.ndarray):
 def _counted(batches):
     for batch in batches:
         data, offsets = arrow_text.flat_text(batch.column("text"))
-        rows = [r.tobytes() for part in _counts_of(data, offsets) for r in part]
+        rows = [_packed(r) for part in _counts_of(data, offsets) for r in part]
         yield pa.record_batch({"label": batch.column("label"),
                                "counts": pa.array(rows, pa.binary())})
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """The terms that occur, then how often each, as 32-bit numbers: few of all terms do."""
+    at = np.flatnonzero(counts)
+    return np.concatenate([at.astype(np.float32), counts[at]]).tobytes()
+
+
+def _unpacked(rows: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(rows), TERMS), np.float32)
+    for row, raw in zip(out, rows):
+        at, counts = np.frombuffer(raw, np.float32).reshape(2, -1)
+        row[at.astype(np.int64)] = counts
+    return out
+
+
 def leading(matrix: np.ndarray, rank: int, extra: int = 16, rounds: int = 8) -> np.ndarray:
     """Leading right singular vectors by subspace iteration from a fixed random start."""
     start = np.random.Generator(np.random.PCG64(11)).standard_normal((matrix.shape[1], rank + extra))
@@ -178,8 +194,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
         folds: int = FOLDS) -> Model:
     """Fit on at most ``sample`` labelled documents outside the held-out fold.
 
-    The rows come to the driver as term counts of fixed size, so what is gathered is bounded by
-    ``sample`` whatever the texts' lengths.
+    The rows come to the driver as counts of the terms that occur, so what is gathered is bounded by
+    ``sample`` times ``TERMS`` whatever the texts' lengths.
     """
     ship_package(docs.sparkSession)
     known = labels.select(F.col("doc_id"), F.col(label).cast("double").alias("label")).where(
@@ -188,14 +204,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
         "label", "text").mapInArrow(_counted, "label double, counts binary").collect()
     rows = sorted((r["label"], bytes(r["counts"])) for r in rows)
-    counts = np.array([np.frombuffer(c, np.float32) for _, c in rows]).reshape(-1, TERMS)
     truth = np.array([y for y, _ in rows])
+    mixed = np.argsort([zlib.crc32(c) for _, c in rows], kind="stable")  # folds mix the labels
+    counts = _unpacked([c for _, c in rows])
+    del rows
     rarity = np.log1p(len(counts) / (1 + (counts > 0).sum(0))).astype(np.float32)
     matrix = weighted(counts, rarity)
     loadings = leading(matrix, max(ranks))
     rank, k = min(ranks), max(neighbours)
     if len(truth):
-        mixed = np.argsort([zlib.crc32(c) for _, c in rows], kind="stable")  # folds mix the labels
         rank, k = chosen_shape((matrix @ loadings)[mixed], truth[mixed], ranks, neighbours)
     loadings = np.ascontiguousarray(loadings[:, :rank])
     bare = Model(rarity, loadings, np.zeros((0, rank), np.float32), truth, k)
