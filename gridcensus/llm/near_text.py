@@ -227,13 +227,18 @@ class Shingled:
 
 
 def class_words(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, its words joined by blanks, and their bytes, for the class ids in ``ids``."""
-    wanted = classes.join(ids.select("id").distinct(), "id", "left_semi").select(
-        "id", F.col("one.id").alias("doc_id"), "one.text_hash")
+    """id, its words joined by blanks, and their bytes, for the class ids in ``ids``.
+
+    A row that repeats an id and its text is read as often; only then is one of them picked.
+    """
+    wanted = cut_lineage(classes.join(ids.select("id").distinct(), "id", "left_semi").select(
+        "id", F.col("one.id").alias("doc_id"), "one.text_hash"))
+    n_wanted = wanted.count()
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(
-        wanted, ["doc_id", "text_hash"]).select("id", "text").distinct()
-    return cut_lineage(texts.select("id", F.array_join(words(F.col("text")), " ").alias("words")).withColumn(
+        small(wanted, n_wanted), ["doc_id", "text_hash"])
+    sent = cut_lineage(texts.select("id", F.array_join(words(F.col("text")), " ").alias("words")).withColumn(
         "bytes", F.octet_length("words")))
+    return sent if sent.count() == n_wanted else cut_lineage(sent.distinct())
 
 
 def linked(groups: DataFrame, classes: DataFrame, docs: DataFrame, least: float,
@@ -263,8 +268,8 @@ def linked(groups: DataFrame, classes: DataFrame, docs: DataFrame, least: float,
                                      "id", "component", "band", "bytes"))
     total = dealt.agg(F.sum("bytes").alias("n")).first()["n"] or 0
     bins = max(1, -(-total // BIN_BYTES))
-    joined = dealt.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins))).join(
-        sent.select("id", "words"), "id")
+    placed = dealt.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins)))
+    joined = small(placed, placed.count()).join(sent.select("id", "words"), "id")
     columns = ["bin", "key", "side", "id", "component", "band", "words"]
     if agree is not None:
         joined, columns = joined.join(classes.select("id", "sketch"), "id"), columns + ["sketch"]
