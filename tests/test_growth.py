@@ -5,7 +5,9 @@ import io
 
 from pyspark.sql import functions as F
 
-from gridcensus.operators import skew
+from gridcensus.functions import geom
+from gridcensus.llm import line_dedup
+from gridcensus.operators import skew, spatial
 from gridcensus.plans import lenses
 
 
@@ -37,3 +39,33 @@ def test_lens_rows_are_dealt_over_all_tasks(spark, tmp_path):
         found = lens(spark, str(tmp_path))
         assert "REPARTITION_BY_NUM" in plan_of(found), lens.__name__
         assert found.count() == 40
+
+
+def test_work_on_spread_rows_stays_behind_the_shuffle(spark):
+    rows = skew.spread(spark.range(100).select("id"), "id")
+    long = rows.withColumn("n", F.length(F.repeat(F.lit("x"), F.col("id").cast("int")))).where("n > 90")
+    above, below = plan_of(long).split("REPARTITION_BY_NUM")
+    assert "repeat" in above and "repeat" not in below
+    assert long.count() == 9
+
+
+def test_rows_cut_from_geometries_are_not_broadcast(spark):
+    f = F.col("id") * 100.0
+    square = geom.promote(geom.polygon(geom.rectangle(f, F.lit(0.0), f + 100, F.lit(100.0))))
+    zones = spark.range(3).select(F.format_string("%08d", "id").alias("plr_id"),
+                                  F.lit("v").alias("geography_version"), square.alias("geometry"))
+    cells = spark.range(9).select(F.lit("G").alias("source_grid_id"), F.col("id").cast("int").alias(
+        "cell_index"), square.alias("geometry"), F.lit(10000.0).alias("icon_cell_area_m2"))
+    mask = spatial.weather_mask(zones, cells, 150, 100.0)
+    assert "Broadcast" not in plan_of(mask)
+    assert sorted(r["cell_index"] for r in mask.collect()) == [0, 1, 2, 3, 4]
+    key = ["plr_id", "geography_version"], ["source_grid_id", "cell_index"]
+    assert "Broadcast" not in plan_of(spatial.slab_pairs(zones, cells, *key, 100.0))
+
+
+def test_line_dedup_moves_texts_the_same_way_at_every_size(spark):
+    run = "\n".join(f"line {i} " + "word " * 12 for i in range(6))
+    docs = spark.createDataFrame([(1, run), (2, "other\n" + run), (3, None)], "doc_id long, text string")
+    out = line_dedup.cleaned(docs)
+    assert "SortMergeJoin" in plan_of(out) and "Broadcast" not in plan_of(out)
+    assert {r["doc_id"]: r["n_removed"] for r in out.collect()} == {1: 0, 2: 6, 3: 0}
