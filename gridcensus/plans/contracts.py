@@ -22,6 +22,8 @@ from gridcensus.sources.functions import table_function
 from gridcensus.streaming import completion
 
 QUERIES: dict[str, Query] = {}
+#: Zones of a document, all nations taken together, before a nation gets a further one.
+DOCUMENT_ZONES = 100_000
 
 
 def query(fn: Query) -> Query:
@@ -580,7 +582,7 @@ def zone_interiors(spark, sf_dir):
     shape = (F.when(kind == 0, geom.polygon(shell, once)).when(kind == 1, geom.polygon(shell, twice))
              .when(kind == 2, geom.polygon(shell, left, right))
              .when(kind == 3, geom.polygon(shell, left, inner)).otherwise(geom.polygon(shell)))
-    rows = lenses.table(spark, sf_dir, "customer").select(
+    rows = lenses.keyed_rows(spark, sf_dir, "customer", "c_custkey").select(
         "c_custkey", geom.promote(shape).alias("geometry"))
     return spatial.flag_invalid(rows, ["c_custkey"]).select("c_custkey", "is_invalid")
 
@@ -597,8 +599,14 @@ def zone_neighbours(spark, sf_dir):
 
 @query
 def zone_documents(spark, sf_dir):
-    """Zone features as one document per nation, with or without a named reference system."""
+    """Zone features as documents per nation, with or without a named reference system.
+
+    A document is one record and one task's work, so a nation with many zones has several, of
+    about ``DOCUMENT_ZONES`` zones at most.
+    """
     nation = F.col("c_nationkey")
+    customers = lenses.table(spark, sf_dir, "customer")
+    documents = F.ceil(customers.agg(F.count("*")).scalar() / DOCUMENT_ZONES)
     feature = F.concat(
         F.lit('{"type":"Feature","properties":{"PLR_ID":"'), lenses.plr_id(F.col("c_custkey")),
         F.lit('"},"geometry":{"type":"MultiPolygon","coordinates":'),
@@ -606,12 +614,13 @@ def zone_documents(spark, sf_dir):
     crs = F.when(nation % 2 == 0, F.lit(
         '"crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:EPSG::25833"}},')).otherwise("")
     path = stored_path(spark)
-    (lenses.table(spark, sf_dir, "customer")
-     .select("c_nationkey", "c_custkey", lenses.zone_polygon().alias("geometry"))
-     .groupBy("c_nationkey").agg(F.array_join(F.collect_list(feature), ",").alias("f"))
+    (lenses.keyed_rows(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+     .select("c_nationkey", F.pmod(F.xxhash64("c_custkey"), F.greatest(documents, F.lit(1))).alias(
+         "document"), "c_custkey", lenses.zone_polygon().alias("geometry"))
+     .groupBy("c_nationkey", "document").agg(F.array_join(F.collect_list(feature), ",").alias("f"))
      .select(F.concat(F.lit('{"type":"FeatureCollection",'), crs, F.lit('"features":['), "f",
-                      F.lit("]}")).alias("value"), "c_nationkey")
-     .repartition("c_nationkey").write.partitionBy("c_nationkey").text(path))
+                      F.lit("]}")).alias("value"), "c_nationkey", "document")
+     .repartition("c_nationkey", "document").write.partitionBy("c_nationkey", "document").text(path))
     read = zones.read_zones(spark, path, lenses.VERSION, "b" * 64, "2023-01-01")
     return _longs(read.groupBy("source_crs", "srid", "geometry_type").agg(
         F.count("*").alias("feature_count"), F.count_distinct("plr_id_source").alias("zone_count"),
