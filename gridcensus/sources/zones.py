@@ -49,13 +49,16 @@ def read_features(spark: SparkSession, path: str, line_delimited: bool = False)
     """One row per feature: properties, geometry_type, geometry, source_crs, srid.
 
     ``line_delimited`` reads one feature per line and splits large files over tasks; a
-    single FeatureCollection document is one record by its format.
+    single FeatureCollection document is one record by its format. It is parsed from its text:
+    the reader of JSON files would go back to the file for every feature's coordinates.
     """
     if line_delimited:
         features = spark.read.schema(_FEATURE).json(path).withColumn(
             "source_crs", F.lit(None).cast("string"))
     else:
-        doc = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
+        whole = spark.read.text(path, wholetext=True)
+        doc = whole.select(F.from_json(F.ltrim("value", F.lit("\ufeff")), _COLLECTION).alias("d")
+                           ).select("d.*")
         features = doc.select(F.col("crs.properties")["name"].alias("source_crs"),
                               F.explode("features").alias("f")).select("source_crs", "f.*")
     crs = F.coalesce("source_crs", F.lit("EPSG:4326"))

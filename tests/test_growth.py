@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from gridcensus.functions import geom
 from gridcensus.llm import line_dedup
 from gridcensus.operators import skew, spatial
-from gridcensus.plans import lenses
+from gridcensus.plans import contracts, lenses
+from gridcensus.session import stored_paths
+from gridcensus.sources import zones as zone_files
 
 
 def plan_of(df) -> str:
@@ -69,3 +71,21 @@ def test_line_dedup_moves_texts_the_same_way_at_every_size(spark):
     out = line_dedup.cleaned(docs)
     assert "SortMergeJoin" in plan_of(out) and "Broadcast" not in plan_of(out)
     assert {r["doc_id"]: r["n_removed"] for r in out.collect()} == {1: 0, 2: 6, 3: 0}
+
+
+def test_nation_with_many_zones_has_several_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(contracts, "DOCUMENT_ZONES", 20)
+    spark.range(100).select(F.col("id").alias("c_custkey"), (F.col("id") % 2).alias("c_nationkey")
+                            ).write.parquet(str(tmp_path / "customer.parquet"))
+    found = contracts.zone_documents(spark, str(tmp_path))
+    path = stored_paths()[-1]
+    assert sorted(r["feature_count"] for r in found.collect()) == [50, 50]
+    documents = spark.read.text(path).groupBy("c_nationkey").count().collect()
+    assert all(r["count"] == 5 for r in documents) and len(documents) == 2
+    (tmp_path / "bom.geojson").write_bytes(b"\xef\xbb\xbf" + b'{"type":"FeatureCollection",\n"features":'
+        b'[{"type":"Feature","properties":{"PLR_ID":"7"},"geometry":{"type":"Polygon",'
+        b'"coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}}]}')
+    (tmp_path / "broken.geojson").write_text('{"features": [')
+    assert zone_files.read_features(spark, str(tmp_path / "broken.geojson")).count() == 0
+    feature, = zone_files.read_features(spark, str(tmp_path / "bom.geojson")).collect()
+    assert feature["properties"] == {"PLR_ID": "7"} and len(feature["geometry"][0][0]) == 4
