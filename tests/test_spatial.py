@@ -305,3 +305,55 @@ def test_rings_that_touch_in_a_circle_cut_the_interior(spark):
     zones, _ = frames(spark, shapes, mesh(1, 1, 10))
     found = spatial.flag_invalid(zones, ["plr_id"]).filter("is_invalid")
     assert {r["plr_id"] for r in found.collect()} == want
+
+
+def leaves(df):
+    return df._jdf.queryExecution().analyzed().collectLeaves().size()
+
+
+def test_nearest_reads_every_level_once(spark):
+    rng = random.Random(5)
+    targets = [(i, 1000.0 + rng.random() * 0.01, 1000.0 + rng.random() * 0.01) for i in range(900)]
+    targets += [(900, 0.0, 0.0), (901, 2000.0, 0.0), (902, 1000.5, 1000.5), (903, 1000.5, 1000.5)]
+    points = [("a", 1000.2, 1000.1), ("b", 1000.0, 0.0), ("c", 1000.005, 1000.005), ("c", 1900.0, 3.0),
+              ("d", None, 1.0)]
+    got = spatial.nearest(spark.createDataFrame(points, "plr_id string, x double, y double"),
+                          spark.createDataFrame(targets, "cell_index int, x double, y double"),
+                          "plr_id", ["cell_index"])
+    assert leaves(got) <= 16  # ten levels at most; twice as many per level before
+    rows = [(r["plr_id"], r["cell_index"]) for r in got.collect()]
+    gap = lambda p, t: math.hypot(p[1] - t[1], p[2] - t[2])
+    best = {p: min(gap(p, t) for t in targets) for p in points[:4]}
+    least = {"a": best[points[0]], "b": best[points[1]], "c": min(best[points[2]], best[points[3]])}
+    for p in points[:2]:
+        assert {c for i, c in rows if i == p[0]} == {
+            t[0] for t in targets if gap(p, t) == pytest.approx(least[p[0]], rel=1e-12)}
+    assert {c for i, c in rows if i == "c"} == {
+        t[0] for p in points[2:4] for t in targets if gap(p, t) == least["c"]}
+    assert rows.count(("d", None)) == 1
+
+
+def test_leaf_on_the_last_level_is_searched_in_lists(spark):
+    step = 2.0**-40
+    targets = spark.range(1200).select(F.col("id").cast("int").alias("cell_index"),
+                                       (F.lit(1.0) + F.col("id") * step).alias("x"), F.lit(1.0).alias("y"))
+    far = spark.createDataFrame([(1200, 1e9, 1e9)], "cell_index int, x double, y double")
+    points = spark.createDataFrame([("a", 1.0 + 700 * step, 1.0), ("b", 0.0, 1.0)],
+                                   "plr_id string, x double, y double")
+    got = spatial.nearest(points, targets.union(far), "plr_id", ["cell_index"]).collect()
+    assert {(r["plr_id"], r["cell_index"]) for r in got} == {("a", 700), ("b", 0)}
+
+
+def test_rings_are_dealt_by_their_number(spark, monkeypatch):
+    from gridcensus.operators import skew
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 3)
+    square = lambda x, y, m: close([(x, y), (x + m, y), (x + m, y + m), (x, y + m)])
+    shapes = [(1, [[square(0.0, 0.0, 9.0), square(1.0, 1.0, 2.0), square(5.0, 5.0, 2.0)]]),
+              (2, [[square(0.0, 0.0, 9.0), square(1.0, 1.0, 6.0), square(3.0, 3.0, 2.0)]]),
+              (3, [[square(0.0, 0.0, 9.0), square(20.0, 1.0, 2.0)]]), (4, [[square(0.0, 0.0, 9.0)]]),
+              (5, [[square(0.0, 0.0, 9.0)], [square(2.0, 2.0, 3.0)]])]
+    df = spark.createDataFrame(shapes, f"id int, geometry {GEOMETRY}")
+    assert skew.dealt(df, 60, "id").rdd.getNumPartitions() == 20
+    marked = spatial.flag_invalid(df, ["id"])
+    assert "RepartitionByExpression" in marked._jdf.queryExecution().analyzed().toString()
+    assert {r["id"] for r in marked.collect() if r["is_invalid"]} == {2, 3, 5}
