@@ -121,3 +121,13 @@ def test_polygons_that_repeat_count_once(spark):
     points = spark.createDataFrame([(1, 3.0, 3.0), (2, None, 3.0)], "id int, x double, y double")
     assert [tuple(r) for r in spatial.points_in_polygons(points, twice, 4.0, ["id"]).collect()] == [
         (1, 3.0, 3.0, "a")]
+
+
+def test_slabs_come_from_one_pass_over_the_tiles(spark):
+    rings = spark.createDataFrame([(1, [[close([(0.0, 0.0), (25.0, 3.0), (9.0, 31.0)])]])],
+                                  f"id int, geometry {GEOMETRY}")
+    found = tiling.tile_slabs(rings, ["id"], 5.0)
+    assert found._jdf.queryExecution().analyzed().collectLeaves().size() == 2
+    height = F.col("y") - F.col("tile_y") * 5.0 + (F.col("hi") - F.col("lo")) * F.col("m") / 2
+    area = found.agg(F.sum(F.col("sign") * (F.col("hi") - F.col("lo")) * height)).first()[0]
+    assert area == pytest.approx(shoelace([(0.0, 0.0), (25.0, 3.0), (9.0, 31.0)]))
