@@ -108,11 +108,14 @@ def aggregate_to_zones(weather: DataFrame, bridge: DataFrame,
         *zone, *FORECAST, *[F.when(whole, F.col(v)).alias(v) for v in values])
 
 
-def bridge_coverage(weather: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Per forecast: how many bridge cells the weather lacks."""
+def bridge_coverage(weather: DataFrame, bridge: DataFrame, kept: DataFrame | None = None
+                    ) -> DataFrame:
+    """Per forecast: how many bridge cells the weather lacks. ``kept`` may name the weather's rows
+    of bridge cells."""
     cells = bridge.select("cell_index").distinct()
     total = cells.agg(F.count("*").alias("n")).scalar()
-    present = restrict_to_cells(weather, cells).groupBy(*FORECAST).agg(
+    kept = restrict_to_cells(weather, cells) if kept is None else kept
+    present = kept.groupBy(*FORECAST).agg(
         F.count_distinct("cell_index").alias("matched_cell_count"))
     forecasts = weather.select(*FORECAST).distinct()
     counts = (forecasts.join(present, list(FORECAST), "left").fillna(0)
@@ -125,15 +128,15 @@ def missing_bridge_cells(weather: DataFrame, bridge: DataFrame, limit: int = 10)
     return unmatched_keys(bridge, weather, ["cell_index"]).orderBy("cell_index").limit(limit)
 
 
-def plr_weather(field: DataFrame, bridge: DataFrame, forecasts: DataFrame | None = None
-                ) -> DataFrame:
+def plr_weather(field: DataFrame, bridge: DataFrame, forecasts: DataFrame | None = None,
+                kept: DataFrame | None = None) -> DataFrame:
     """Zone weather for every forecast in ``field``, one without a complete cell included.
 
     ``forecasts`` (the identity columns) may name what the field holds; else a scan of the
-    field's identity columns does.
+    field's identity columns does. ``kept`` may name the field's rows of bridge cells.
     """
     small = is_small(bridge)
-    kept = restrict_to_cells(field, bridge, small)
+    kept = restrict_to_cells(field, bridge, small) if kept is None else kept
     named = (field if forecasts is None else forecasts).select(*FORECAST)
     return aggregate_to_zones(combine_fields(kept), bridge, small=small, forecasts=named)
 

@@ -111,14 +111,15 @@ def publish_exposure(field: DataFrame, bridge: DataFrame, accepted: DataFrame,
                      expected_zones: int = schemas.EXPECTED_ZONE_COUNT) -> Refreshed:
     """Zone weather with population for every forecast in ``field``, checked, then written.
 
-    The zone weather is kept in the shared folder between the checks and the write, so the
-    fields are read once.
+    The fields of the bridge cells, the zone weather and the result are kept in the shared folder
+    between the checks and the write, so the fields are joined to the cells once and the zones to
+    the population once.
     """
-    enforce(weather.bridge_coverage(field, bridge), "bridge cells")
-    enforce(weather.field_identity_audit(weather.restrict_to_cells(field, bridge)),
-            "fields of the bridge cells")
-    zone_weather = cut_lineage(weather.plr_weather(field, bridge))
-    final = weather.plr_weather_population(zone_weather, accepted, rejected)
+    kept = cut_lineage(weather.restrict_to_cells(field, bridge))
+    enforce(weather.bridge_coverage(field, bridge, kept), "bridge cells")
+    enforce(weather.field_identity_audit(kept), "fields of the bridge cells")
+    zone_weather = cut_lineage(weather.plr_weather(field, bridge, kept=kept))
+    final = cut_lineage(weather.plr_weather_population(zone_weather, accepted, rejected))
     enforce(explained_audit(zone_weather, accepted, rejected, "plr_id"), "population keys")
     enforce(checks.coverage_check(final, expected_zones), "zone coverage")
     enforce(checks.exceptions_check(final, rejected), "population exceptions")

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gridcensus.operators import checks
+from gridcensus.operators import checks, weather
 from gridcensus.operators.verdict import CheckFailed, enforce, require_rows
 from gridcensus.plans import refresh
 from gridcensus.sources import tables
@@ -75,6 +75,24 @@ def test_from_sources_to_published_partitions(spark, tmp_path):
                                  people.rejected, None, 2)
 
 
+def test_exposure_joins_the_fields_to_the_cells_once(spark, monkeypatch):
+    calls, restrict = [], weather.restrict_to_cells
+    monkeypatch.setattr(weather, "restrict_to_cells", lambda *args: calls.append(1) or restrict(*args))
+    run = dt.datetime(2026, 8, 19, 12)
+    field = spark.createDataFrame(
+        [(run, "PT000H00M", run, i, c, 280.0) for i in ("T_2M", "RELHUM_2M", "TD_2M", "U_10M", "V_10M")
+         for c in (0, 1)], "run_time_utc timestamp, lead_time string, valid_time_utc timestamp, "
+        "indicator string, cell_index int, source_value double")
+    bridge = spark.createDataFrame([("A", "v", "G", 0, 1.0)], "plr_id string, geography_version string, "
+                                   "source_grid_id string, cell_index int, fraction_of_plr double")
+    people = spark.createDataFrame([("A", 10, 4, 0.4)], "plr_id string, population_total bigint, "
+                                   "population_65plus bigint, share_65plus double")
+    refused = spark.createDataFrame([], "plr_id string, rejection_reason string")
+    out = refresh.publish_exposure(field, bridge, people, refused, None, 1)
+    assert len(calls) == 1 and out.summary.first()["available_count"] == 1
+    assert out.table._jdf.queryExecution().analyzed().collectLeaves().size() == 1
+
+
 def test_mask_lookup_fails_when_empty(spark):
     empty = spark.createDataFrame([], "geography_version string, mask_buffer_m int")
     zones = spark.createDataFrame([("v", dt.date(2023, 1, 1))],
