@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions import geom
 from gridcensus.llm import line_dedup
-from gridcensus.operators import skew, spatial
+from gridcensus.operators import skew, spatial, tiling
 from gridcensus.plans import contracts, lenses
 from gridcensus.session import stored_paths
 from gridcensus.sources import zones as zone_files
@@ -65,6 +65,27 @@ def test_rows_cut_from_geometries_are_not_broadcast(spark):
     assert "Broadcast" not in plan_of(spatial.slab_pairs(zones, cells, *key, 100.0))
 
 
+def test_a_mask_sends_its_cells_once_and_edges_as_four_numbers(spark):
+    def frame(*rings):
+        rows = [(f"{i:08d}", "v", [[[(float(x), float(y)) for x, y in ring]]]) for i, ring in enumerate(rings)]
+        return spark.createDataFrame(
+            rows, "plr_id string, geography_version string, geometry array<array<array<struct<x:double,y:double>>>>")
+
+    # Zones inside a cell and far from its edges, the second without area or outline; one over many
+    # cells; none near the last cell.
+    zones = frame([(510, 520), (512, 520), (512, 523), (510, 520)], [(1510, 520), (1512, 523), (1510, 520)],
+                  [(9000, 0), (13000, 0), (13000, 1000), (9000, 1000), (9000, 0)])
+    f = F.col("id") * 1000.0
+    cells = spark.range(20).select(F.lit("G").alias("source_grid_id"), F.col("id").cast("int").alias(
+        "cell_index"), geom.promote(geom.polygon(geom.rectangle(f, F.lit(0.0), f + 1000, F.lit(1000.0)))
+                                    ).alias("geometry"))
+    mask = spatial.weather_mask(zones, cells, 100, 1000.0)
+    assert plan_of(mask).count("SortMergeJoin") == 2
+    assert sorted(r["cell_index"] for r in mask.collect()) == [0, 1, *range(8, 14)]
+    index = tiling.tile_index(zones, ["plr_id"], 6000.0)
+    assert index.schema["edges"].dataType.elementType.fieldNames() == ["px", "py", "qx", "qy"]
+
+
 def test_line_dedup_moves_texts_the_same_way_at_every_size(spark):
     run = "\n".join(f"line {i} " + "word " * 12 for i in range(6))
     docs = spark.createDataFrame([(1, run), (2, "other\n" + run), (3, None)], "doc_id long, text string")
